@@ -1,6 +1,6 @@
 """All registered queries: importing the modules fills the registry."""
 
-from lendloom.workload import history, ledger, scalars, vendors  # noqa: F401
+from lendloom.workload import encoding, evaluation, history, ledger, nested, profiling, scalars, vendors  # noqa: F401
 from lendloom.workload.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
