@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -51,23 +51,47 @@ def source_columns(features: Sequence[str]) -> list[str]:
     return [name.removesuffix("diff") for name in features]
 
 
-def prepare(df: DataFrame, scorer: Scorer, as_of: Column) -> DataFrame:
-    """Model input: clean, fill, merge rare labels, encode."""
-    changed: dict[str, Column] = {name: text.percent_to_fraction(F.col(name)) for name in scorer.percent}
-    if scorer.bank:
-        changed[scorer.bank] = text.canonical_name(F.col(scorer.bank), BANK_RULES_SCORING)
-    for name in scorer.dates:
+def clean_inputs(
+    df: DataFrame, as_of: Column, percent: Sequence[str] = PERCENT_COLUMNS, date_columns: Sequence[str] = DATE_COLUMNS, bank: str | None = "Bank"
+) -> DataFrame:
+    """Percentages, bank names, date differences, and the fills that are fixed."""
+    changed: dict[str, Column] = {name: text.percent_to_fraction(F.col(name)) for name in percent}
+    if bank:
+        changed[bank] = text.canonical_name(F.col(bank), BANK_RULES_SCORING)
+    for name in date_columns:
         changed[f"{name}diff"] = dates.days_between(dates.parse_text_date(F.col(name).cast("string")), as_of.cast("timestamp"))
     cleaned = df.withColumns(changed)
     fixed = {k: v for k, v in (CONSTANT_FILLS | DATE_DIFF_FILLS).items() if k in cleaned.columns}
-    if fixed:
-        cleaned = encode.apply_missing(cleaned, encode.constant_fills(df.sparkSession, fixed))
-    filled = encode.apply_missing(cleaned, scorer.missing)
-    merged = encode.apply_rare(filled, scorer.rare)
+    return cleaned.fillna(fixed) if fixed else cleaned
+
+
+def prepare(df: DataFrame, scorer: Scorer, as_of: Column) -> DataFrame:
+    """Model input: clean, fill, merge rare labels, encode, in the order of the features."""
+    cleaned = clean_inputs(df, as_of, scorer.percent, scorer.dates, scorer.bank)
+    merged = encode.apply_rare(encode.apply_missing(cleaned, scorer.missing), scorer.rare)
     encoded = encode.apply_target(merged, scorer.target, scorer.default_rate)
     return encoded.withColumns({name: F.col(name).cast("double") for name in scorer.features})
 
 
+def fit_scorer(
+    train: DataFrame, target: str, as_of: Column, learn: Callable[[DataFrame, Sequence[str], str], PipelineModel], **columns
+) -> Scorer:
+    """Fit states and model on train rows, through the same transform that scoring uses.
+
+    Unseen labels get the mean target of the train rows.
+    """
+    scorer = Scorer(missing=None, rare=None, target=None, model=None, **columns)
+    numeric = [name for name in scorer.features if name not in scorer.labels]
+    cleaned = clean_inputs(train, as_of, scorer.percent, scorer.dates, scorer.bank)
+    scorer.missing = encode.fit_missing(cleaned, scorer.labels, numeric)
+    filled = encode.apply_missing(cleaned, scorer.missing)
+    scorer.rare = encode.fit_rare(filled, scorer.labels)
+    scorer.target = encode.fit_target(encode.apply_rare(filled, scorer.rare), scorer.labels, target)
+    scorer.default_rate = train.agg(F.avg(target)).first()[0]
+    scorer.model = learn(prepare(train, scorer, as_of), list(scorer.features), target)
+    return scorer
+
+
 def score(df: DataFrame, scorer: Scorer, key: str, as_of: Column) -> DataFrame:
     """Key, the inputs as they came in, score, predicted class and both probabilities.
 
@@ -85,7 +109,3 @@ def assemble_applicants(bureau: DataFrame, customers: DataFrame) -> DataFrame:
     joined = join_renamed(bureau, answered, "application_id", "applicant_id")
     named = joined.withColumn("state_name", text.lookup_literal(F.col("state"), STATE_NAMES))
     return add_monthly_income(employment_rollup(named, "employment_response"), rounded=True)
-
-
-def fills_of(spark: SparkSession, values: Mapping[str, object]) -> DataFrame:
-    return encode.constant_fills(spark, values)

@@ -8,13 +8,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
 JSON_DATE = "MM/dd/yyyy, HH:mm:ss"
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """CSV with quoted text that may hold quotes, commas and line breaks."""
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, multi_line: bool = True) -> DataFrame:
+    """CSV with quoted text that may hold quotes, commas and line breaks.
+
+    Files with line breaks inside fields cannot be cut: each is one task. Without such
+    fields turn ``multi_line`` off, so that large files are read in pieces.
+    """
+    return spark.read.options(**CSV_OPTIONS, multiLine=multi_line).schema(schema).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
