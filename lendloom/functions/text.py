@@ -102,5 +102,6 @@ def lookup_literal(key: Column, mapping: Mapping) -> Column:
 def read_quoted(text: Column) -> Column:
     """Rewrite the bare words None, True, False of a literal list to null, true, false."""
     for word, replacement in (("None", "null"), ("True", "true"), ("False", "false")):
-        text = F.regexp_replace(text, rf"(?<=[:\[,]\s{{0,4}}){word}(?=\s*[,\]}}])", replacement)
+        rewritten = F.regexp_replace(text, rf"([:\[,]\s*){word}(?=\s*[,\]}}])", f"$1{replacement}")
+        text = F.when(F.contains(text, F.lit(word)), rewritten).otherwise(text)
     return text

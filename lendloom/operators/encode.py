@@ -16,6 +16,13 @@ from lendloom.functions.text import lookup_literal
 from lendloom.operators.profile import exact_quantiles, label_counts, label_rates, value_shares
 
 LITERAL_LABELS = 2_000
+HELD_ROWS = 20_000
+
+
+def held(state: DataFrame, max_rows: int = HELD_ROWS) -> DataFrame:
+    """A small state as a local table, so that using it does not fit it again; a larger one is left as it is."""
+    rows = state.limit(max_rows + 1).collect()
+    return state.sparkSession.createDataFrame(rows, state.schema) if len(rows) <= max_rows else state
 
 
 def bucket_of(*keys: Column | str) -> Column:
@@ -125,9 +132,9 @@ def apply_rare(df: DataFrame, state: DataFrame) -> DataFrame:
 
 def scarce_binary(df: DataFrame, columns: Sequence[str], max_share: float = 0.2) -> list[str]:
     """Columns with at most two labels of which one is scarce."""
-    total = df.count()
-    rows = label_counts(df, columns).groupBy("feature").agg(F.count("*").alias("labels"), F.min("n").alias("least")).collect()
-    return sorted(r["feature"] for r in rows if r["labels"] <= 2 and r["least"] / total < max_share)
+    counts = label_counts(df, columns)
+    rows = counts.groupBy("feature").agg(F.count("*").alias("labels"), F.min("n").alias("least"), F.sum("n").alias("all")).collect()
+    return sorted(r["feature"] for r in rows if r["labels"] <= 2 and r["least"] / r["all"] < max_share)
 
 
 # --- target rates -----------------------------------------------------------------
@@ -144,15 +151,16 @@ def apply_target(df: DataFrame, state: DataFrame, default: float | None = None)
     Small states become literal maps. A state that was fitted on many labels is joined,
     one column at a time.
     """
-    small = state.limit(LITERAL_LABELS + 1).count() <= LITERAL_LABELS
-    features = [r["feature"] for r in state.select("feature").distinct().collect() if r["feature"] in df.columns]
-    if small:
+    rows = state.limit(LITERAL_LABELS + 1).collect()
+    if len(rows) <= LITERAL_LABELS:
         maps: dict[str, dict[str, float]] = {}
-        for row in state.collect():
-            maps.setdefault(row["feature"], {})[row["label"]] = row["rate"]
-        rates = {name: lookup_literal(F.col(name).cast("string"), maps[name]) for name in features}
+        for row in rows:
+            if row["feature"] in df.columns:
+                maps.setdefault(row["feature"], {})[row["label"]] = row["rate"]
+        rates = {name: lookup_literal(F.col(name).cast("string"), labels) for name, labels in maps.items()}
         return df.withColumns({name: F.coalesce(rate, F.lit(default).cast("double")) for name, rate in rates.items()})
-    for name in features:
+    features = [r["feature"] for r in state.select("feature").distinct().collect()]  # one row per column
+    for name in [f for f in features if f in df.columns]:
         part = state.where(F.col("feature") == name).select(F.col("label").alias("_label"), F.col("rate").alias("_rate"))
         joined = df.join(part, F.col(name).cast("string") == F.col("_label"), "left")
         df = joined.withColumn(name, F.coalesce("_rate", F.lit(default).cast("double"))).drop("_label", "_rate")

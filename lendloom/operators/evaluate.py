@@ -47,7 +47,7 @@ def score_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ())
 def roc_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = (), **limits) -> DataFrame:
     """(by, pos, neg, auc): ties count one half. NULL when one class is missing."""
     counts = score_counts(df, score, label, by)
-    ranked = running(counts, by, "score", {"neg_upto": ("sum", "neg")}, **limits)
+    ranked = running(counts, by, "score", {"neg_upto": ("sum", "neg")}, bound=df, **limits)
     wide = lambda c: F.col(c).cast("decimal(38,0)")
     wins = F.sum((F.col("pos").cast("decimal(18,0)") * (2 * F.col("neg_upto") - F.col("neg")).cast("decimal(19,0)")).cast("decimal(38,0)"))
     sums = ranked.groupBy(*by).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), wins.alias("_wins"))
@@ -58,7 +58,7 @@ def roc_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = (), **lim
 def roc_curve(df: DataFrame, score: str, label: str, by: Sequence[str] = (), **limits) -> DataFrame:
     """(by, threshold, tp, fp, tpr, fpr): one point per distinct score, highest first by threshold."""
     counts = score_counts(df, score, label, by).withColumn("_falling", -F.col("score"))
-    points = running(counts, by, "_falling", {"tp": ("sum", "pos"), "fp": ("sum", "neg")}, **limits)
+    points = running(counts, by, "_falling", {"tp": ("sum", "pos"), "fp": ("sum", "neg")}, bound=df, **limits)
     totals = counts.groupBy(*by).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
     if by:
         joined = points.join(totals, list(by))

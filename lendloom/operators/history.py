@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lendloom.functions.text import money
@@ -29,7 +30,7 @@ def application_history(applicants: DataFrame, **limits) -> DataFrame:
         "previous_type": ("previous", "type"),
     }
     return (
-        running(keyed, ["_person"], "id", specs, **limits)
+        running(keyed, ["_person"], "id", specs, bound=applicants, **limits)
         .withColumns(
             {
                 "times_applied": F.when(known, F.col("times_applied")).otherwise(F.lit(0)),
@@ -40,7 +41,7 @@ def application_history(applicants: DataFrame, **limits) -> DataFrame:
     )
 
 
-def prior_applications(leads: DataFrame, applicants: DataFrame, **limits) -> DataFrame:
+def prior_applications(leads: DataFrame, applicants: DataFrame) -> DataFrame:
     """Per lead: applications of the same person on earlier days, and the type of the last of them.
 
     ``leads`` needs lead_id, social, lead_ts. Applications are first reduced to one row
@@ -56,7 +57,9 @@ def prior_applications(leads: DataFrame, applicants: DataFrame, **limits) -> Dat
     asked = leads.where(F.col("social").isNotNull()).select("social", lead_day.alias("day")).distinct()
     asked = asked.select("social", "day", F.lit(0).cast("bigint").alias("n"), F.lit(None).cast(applied.schema["last"].dataType).alias("last"))
     days = applied.unionByName(asked).groupBy("social", "day").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
-    known = running(days, ["social"], "day", {"prior_count": ("sum", "n"), "prior_last": ("max", "last")}, **limits)
+    # one row per person and calendar day: a person has some ten thousand at most, however many applications
+    upto_day = W.partitionBy("social").orderBy("day").rowsBetween(W.unboundedPreceding, W.currentRow)
+    known = days.select("social", "day", F.sum("n").over(upto_day).alias("prior_count"), F.max("last").over(upto_day).alias("prior_last"))
     known = known.select("social", "day", "prior_count", F.col("prior_last.type").alias("prior_type"))
     return (
         leads.withColumn("day", lead_day)

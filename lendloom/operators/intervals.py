@@ -26,7 +26,7 @@ def other_inquiries(requests: DataFrame, p: LeadParams) -> DataFrame:
 
 
 def lead_inquiries(
-    applications: DataFrame, requests: DataFrame, p: LeadParams, shift_hours: int = 3, within: int = 300, **skew
+    applications: DataFrame, requests: DataFrame, p: LeadParams, shift_hours: int = 3, within: int = 300
 ) -> DataFrame:
     """Lead inquiries within ``within`` seconds of the shifted application time, per (social, application second).
 

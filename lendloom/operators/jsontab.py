@@ -26,12 +26,16 @@ def close_truncated(text: Column) -> Column:
     return F.when(F.endswith(text, F.lit("]")), text).otherwise(repaired)
 
 
-def employers(text: Column) -> Column:
-    """Array of employers: all elements but the last two, which describe something else.
+def list_elements(text: Column) -> Column:
+    """Array of all elements of a literal list."""
+    return F.from_json(read_quoted(close_truncated(text)), EMPLOYER, {"allowSingleQuotes": "true"})
+
+
+def employers(elements: Column) -> Column:
+    """All elements but the last two, which describe something else.
 
     After a repair this drops two real employers as well, as the source system does.
     """
-    elements = F.from_json(read_quoted(close_truncated(text)), EMPLOYER, {"allowSingleQuotes": "true"})
     return F.slice(elements, F.lit(1), F.greatest(F.size(elements) - TRAILING_ELEMENTS, F.lit(0)))
 
 
@@ -41,7 +45,8 @@ def employment_rollup(df: DataFrame, column: str) -> DataFrame:
     "Latest" follows the text order of the date; among equal dates the first element
     counts. Without an active job, or without the key, the facts are N/A, N/A and 0.
     """
-    parsed = df.where(F.startswith(column, F.lit("["))).withColumn("_jobs", employers(F.col(column)))
+    parsed = df.where(F.startswith(column, F.lit("["))).withColumn("_list", list_elements(F.col(column)))
+    parsed = parsed.withColumn("_jobs", employers(F.col("_list"))).drop("_list")
     parsed = parsed.withColumn("_active", F.filter("_jobs", lambda job: job["EmploymentStatus"] == "Active"))
     newest = F.array_max(F.transform("_active", lambda job: job["CurrDateAsOf"]))
     parsed = parsed.withColumn("_newest", newest)

@@ -67,7 +67,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Mapping[str,
     """
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "feature", "value")
     counts = long.where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy("feature", "value").agg(F.count("*").alias("n"))
-    ranked = running(counts, ["feature"], "value", {"upto": ("sum", "n")}, **limits)
+    ranked = running(counts, ["feature"], "value", {"upto": ("sum", "n")}, bound=df, **limits)
     sizes = counts.groupBy("feature").agg(F.sum("n").alias("size"))  # one row per column of the frame
     placed = ranked.join(F.broadcast(sizes), "feature")
     last_rank = F.col("size") - 1

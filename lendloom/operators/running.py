@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from lendloom.operators.skew import largest_group
 
-MAX_GROUP_ROWS = 2_000_000
+MAX_GROUP_ROWS = 5_000_000
 CHUNKS = 1024
 
 # kind -> value over the frame; "previous" and "count" are handled on their own.
@@ -31,6 +31,7 @@ def running(
     order: str,
     specs: Mapping[str, tuple[str, str | None]],
     *,
+    bound: DataFrame | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
     chunks: int = CHUNKS,
 ) -> DataFrame:
@@ -38,9 +39,12 @@ def running(
 
     Kinds ``count``, ``sum``, ``min`` and ``max`` include the current row;
     ``previous`` is the value of the row before (NULL for the first row of a key).
+    ``bound`` is a frame that is cheap to count and has at least as many rows as any key
+    of ``df``, such as the table that ``df`` was aggregated from.
     """
     keys = list(keys)
-    if df.count() <= max_group_rows or largest_group(df, keys) <= max_group_rows:
+    counted = df if bound is None else bound
+    if counted.count() <= max_group_rows or largest_group(df, keys) <= max_group_rows:
         window = W.partitionBy(*keys).orderBy(order)
         return df.select("*", *[_local(kind, column, window).alias(name) for name, (kind, column) in specs.items()])
     return _chunked(df, keys, order, specs, chunks)

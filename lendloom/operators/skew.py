@@ -40,6 +40,7 @@ def enrich(
     key: str,
     how: str = "left",
     *,
+    hot: list | None = None,
     share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
     salts: int = SALTS,
@@ -47,9 +48,11 @@ def enrich(
     """Join facts with a lookup of few rows per key, spreading the hot keys of the facts.
 
     Rows of a hot key are dealt over ``salts`` partitions and only the lookup rows of
-    hot keys are repeated. Without hot keys it is a plain join.
+    hot keys are repeated. Without hot keys it is a plain join. Finding hot keys reads
+    the facts once more: give ``hot`` when the facts are the result of much work and the
+    keys can be counted on the table they come from.
     """
-    hot = hot_keys(facts, key, share, min_rows)
+    hot = hot_keys(facts, key, share, min_rows) if hot is None else hot
     if not hot:
         return facts.join(lookup, key, how)
     is_hot = F.col(key).isin(hot)
@@ -59,6 +62,15 @@ def enrich(
     return dealt.join(repeated, [key, "_salt"], how).drop("_salt")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows to all cores before expensive parsing when the input has fewer files than cores.
+
+    A large input has files enough, and then nothing is added to the plan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only after counting; a larger side is left to the optimizer's own join choice."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -22,16 +22,15 @@ def without_declaration(text: Column) -> Column:
 
 
 def parse_xml(text: Column, schema: T.StructType | str, drop_ampersands: bool = False) -> Column:
-    """Struct of a document, NULL when it is missing or malformed. The schema is a struct or a column list as text."""
+    """Struct of a document; every field is NULL when the text is missing or malformed.
+
+    The schema is a struct type or a column list as text. Keep the result in a column of
+    its own before taking several fields, so that each document is parsed once.
+    """
     body = without_declaration(text)
     if drop_ampersands:
         body = F.replace(body, F.lit("&"), F.lit(""))
-    if isinstance(schema, str):
-        marked = f"{schema}, _broken string"
-    else:
-        marked = T.StructType([*schema.fields, T.StructField("_broken", T.StringType())])
-    parsed = F.from_xml(body, marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
-    return F.when(parsed["_broken"].isNull(), parsed)
+    return F.from_xml(body, schema, {"mode": "PERMISSIVE"})
 
 
 def first_named(entries: Column, name: str) -> Column:

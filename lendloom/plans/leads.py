@@ -1,11 +1,13 @@
 """The wide lead table: one row per lead and vendor response, from the operational tables.
 
 Order of work. The running history of a person needs the full application table, so it
-comes first. Then applications are filtered, and everything known per application is
-collected in one frame with one row per application; likewise per account. Leads join
-those two frames once each, through ``enrich``, which spreads hot keys. Tables that
-multiply rows are reduced to distinct values first, which stands for the DISTINCT over
-the whole row that the source system runs at the end.
+comes first. Then applications are filtered, also to those with an employment response,
+since others give no row. Everything known per application is collected in one frame
+with one row per application; likewise per account. Leads join those two frames once
+each, through ``enrich``, which spreads hot keys. Documents are parsed once per lead or
+application, before rows multiply. Tables that multiply rows are reduced to distinct
+values first, which stands for the DISTINCT over the whole row that the source system
+runs at the end.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from lendloom.operators.intervals import add_inquiries
 from lendloom.operators.ledger import first_debit, first_payment, last_entry_type, ledger_rollup
 from lendloom.operators.lookups import first_by, last_before_first, last_by, lookups, pick
 from lendloom.operators.membership import above_or_listed, between_dates
-from lendloom.operators.skew import broadcast_if_small, enrich
+from lendloom.operators.skew import broadcast_if_small, enrich, hot_keys
 from lendloom.operators.xmltab import LEAD_KEYS, named_values, parse_xml
 from lendloom.params import LeadParams
 
@@ -137,16 +139,25 @@ def mapping_facts(t: Tables, p: LeadParams) -> DataFrame:
     )
 
 
-def application_facts(t: Tables, p: LeadParams) -> DataFrame:
-    """Filtered applications with everything that is known per application."""
+def answered_applications(t: Tables) -> DataFrame:
+    """(applicant_id, employment_response): distinct answers to requests made for leads."""
+    asked = t["employment_request"].where(same_text(F.col("source"), "Leads")).select("mapping_id", "response")
+    return (
+        asked.join(t["applicant_mapping"].select("mapping_id", "applicant_id"), "mapping_id")
+        .select("applicant_id", F.col("response").alias("employment_response"))
+        .distinct()
+    )
+
+
+def application_facts(t: Tables, p: LeadParams, only: DataFrame | None = None) -> DataFrame:
+    """Filtered applications with everything that is known per application; ``only`` holds the ids to keep."""
     history = application_history(t["applicant"])
     recent = between_dates(history, "dte", F.lit(p.start), F.lit(p.as_of))
     wanted = above_or_listed(recent, "id", p.id_threshold, t["reserved_applicants"], "applicant_id")
-    priced = add_inquiries(wanted, t["employment_request"], p)
-    facts = priced.select(
-        F.col("id").alias("applicant_id"),
-        *[F.col(c) for c in priced.columns if c != "id"],
-    )
+    if only is not None:
+        wanted = wanted.join(only.select(F.col("applicant_id").alias("id")), "id", "left_semi")
+    priced = add_inquiries(wanted, t["employment_request"], p, hot=hot_keys(t["applicant"], "social"))
+    facts = priced.withColumnRenamed("id", "applicant_id")
     reasons = t["auto_failure_x_applicant"].join(broadcast_if_small(t["auto_failure_reason"]), "reason_id", "left")
     notes = t["manual_reject_x"].join(broadcast_if_small(t["reject_note"]), "note_id", "left")
     open_transactions = first_by(t["open_transact_log"], "applicant_id", "id", ["id"]).withColumnRenamed("id", "open_transaction_id")
@@ -168,6 +179,15 @@ def application_facts(t: Tables, p: LeadParams) -> DataFrame:
     ]
     for part in per_application:
         facts = facts.join(part, "applicant_id", "left")
+    facts = facts.withColumns(
+        {"_bureau": parse_xml(F.col("bureau_response"), _BUREAU), "_credit": parse_xml(F.col("credit_response"), _BUREAU_CREDIT)}
+    )
+    facts = facts.withColumns(
+        {
+            "paid_off_loans": F.substring(F.col("_bureau.ApplicationInfo.LoanPerformance.NumberofLoansPaidOff"), 1, 10),
+            "paid_off_loans_credit": F.substring(F.col("_credit.LoanPerformance.NumberofLoansPaidOff"), 1, 10),
+        }
+    ).drop("_bureau", "_credit", "credit_response")
     states = t["states"].select(F.lower("name").alias("_state"), F.col("name").alias("state_name"), F.col("abbr").alias("state_abbr"))
     return facts.join(broadcast_if_small(states), F.lower("state") == F.col("_state"), "left").drop("_state")
 
@@ -213,31 +233,25 @@ def renewal_facts(t: Tables) -> DataFrame:
 
 def lead_facts(t: Tables, p: LeadParams, xml_root: str = "loan_request") -> DataFrame:
     """Leads with all looked-up facts; fan-out by carrier values and by employment response."""
-    log = t["lead_log"].where(F.col("applicant_id").isNotNull()).select(
-        *[F.col(c) for c in t["lead_log"].columns if c != "status"], F.col("status").alias("lead_status")
-    )
+    answered = answered_applications(t)
+    log = t["lead_log"].withColumnRenamed("status", "lead_status").join(answered.select("applicant_id"), "applicant_id", "left_semi")
     rejects = t["lead_reject_x"].join(broadcast_if_small(t["lead_reject_reason"]), "reason_id", "left")
     rejects = rejects.select("lead_id", F.col("reason").alias("auto_reject_reason")).distinct()
     partners = t["partner"].select(
         F.lower("username").alias("_partner"), F.col("name").alias("partner_name"), "traffic_source", "lead_price"
     )
-    leads = enrich(log, application_facts(t, p), "applicant_id", "inner")
-    leads = leads.join(renewal_facts(t), "lead_id", "left")
+    leads = log.join(renewal_facts(t), "lead_id", "left")
     leads = leads.join(t["contract_tracker"].select("lead_id", "link_open_ts").distinct(), "lead_id", "left")
     leads = leads.join(rejects, "lead_id", "left")
     leads = leads.withColumn("_partner", F.lower("username"))
     leads = leads.join(broadcast_if_small(partners), "_partner", "left").drop("_partner")
-    leads = enrich(leads, account_facts(t), "account_id", "left")
+    leads = enrich(leads, account_facts(t), "account_id", hot=hot_keys(t["renewal_log"], "cust_id"))
+    leads = named_values(leads, "xml_in", LEAD_KEYS, xml_root, "_bal").drop("xml_in")
+    facts = application_facts(t, p, answered)
+    leads = enrich(leads, facts, "applicant_id", "inner", hot=hot_keys(t["lead_log"], "applicant_id"))
     for part in carrier_lookups(t).values():
         leads = leads.join(part, "applicant_id", "left")
-    answered = (
-        t["employment_request"]
-        .where(same_text(F.col("source"), "Leads"))
-        .join(t["applicant_mapping"].select("mapping_id", "applicant_id"), "mapping_id")
-        .select("applicant_id", F.col("response").alias("employment_response"))
-        .distinct()
-    )
-    return named_values(leads.join(answered, "applicant_id"), "xml_in", LEAD_KEYS, xml_root, "_bal")
+    return leads.join(answered, "applicant_id")
 
 
 def derived_columns(t: Tables, p: LeadParams) -> dict[str, Column]:
@@ -264,8 +278,6 @@ def derived_columns(t: Tables, p: LeadParams) -> dict[str, Column]:
         "email_domain": text.email_domain(c("email_primary_bal")),
         "payment_ratio": money.payment_ratio(c("loan_amount_desired_bal"), c("income_monthly_bal")),
         "store_label": labels.store_label(c("first_store_id"), c("tracked_model"), c("tracked_store_id"), c("bureau_store_id"), p),
-        "paid_off_loans": F.substring(parse_xml(c("bureau_response"), _BUREAU)["ApplicationInfo"]["LoanPerformance"]["NumberofLoansPaidOff"], 1, 10),
-        "paid_off_loans_credit": F.substring(parse_xml(c("credit_response"), _BUREAU_CREDIT)["LoanPerformance"]["NumberofLoansPaidOff"], 1, 10),
         "card_provided": F.when(c("card_count") > 0, "Y").otherwise("N"),
         "military": flag(c("military_store_id").isNotNull()),
         "loan_performance": flag(text.contains_text(c("bureau_response"), marker.loan_performance.strip("<>"))),

@@ -83,10 +83,10 @@ def fit_scorer(
     scorer = Scorer(missing=None, rare=None, target=None, model=None, **columns)
     numeric = [name for name in scorer.features if name not in scorer.labels]
     cleaned = clean_inputs(train, as_of, scorer.percent, scorer.dates, scorer.bank)
-    scorer.missing = encode.fit_missing(cleaned, scorer.labels, numeric)
+    scorer.missing = encode.held(encode.fit_missing(cleaned, scorer.labels, numeric))
     filled = encode.apply_missing(cleaned, scorer.missing)
-    scorer.rare = encode.fit_rare(filled, scorer.labels)
-    scorer.target = encode.fit_target(encode.apply_rare(filled, scorer.rare), scorer.labels, target)
+    scorer.rare = encode.held(encode.fit_rare(filled, scorer.labels))
+    scorer.target = encode.held(encode.fit_target(encode.apply_rare(filled, scorer.rare), scorer.labels, target))
     scorer.default_rate = train.agg(F.avg(target)).first()[0]
     scorer.model = learn(prepare(train, scorer, as_of), list(scorer.features), target)
     return scorer

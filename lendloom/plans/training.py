@@ -74,13 +74,13 @@ class Fitted:
 
 def fit_states(train: DataFrame, text_columns: Sequence[str], numeric: Sequence[str], target: str) -> Fitted:
     """Fills, rare labels and target rates from train rows only, each fitted on the result of the one before."""
-    missing = encode.fit_missing(train, text_columns, numeric)
+    missing = encode.held(encode.fit_missing(train, text_columns, numeric))
     filled = encode.apply_missing(train, missing)
-    rare = encode.fit_rare(filled, text_columns)
+    rare = encode.held(encode.fit_rare(filled, text_columns))
     merged = encode.apply_rare(filled, rare)
     dropped = encode.scarce_binary(merged, text_columns)
     kept = [c for c in text_columns if c not in dropped]
-    rates = encode.fit_target(merged, kept, target)
+    rates = encode.held(encode.fit_target(merged, kept, target))
     return Fitted(missing, rare, rates, dropped)
 
 

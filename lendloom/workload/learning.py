@@ -13,7 +13,7 @@ from lendloom.plans.scoring import Scorer, fit_scorer, score
 from lendloom.session import scratch_dir
 from lendloom.sources.files import request_json
 from lendloom.streaming.requests import read_requests, score_stream, write_scores
-from lendloom.workload.ledger import labelled
+from lendloom.workload.ledger import first_payment_labels
 from lendloom.workload.registry import query, table
 
 NUMBERS = ["price", "balance", "lines", "quantity", "month"]
@@ -22,7 +22,7 @@ ROUNDS = 10
 
 def applications(spark, folder):
     """Cycled applications with features and the first-payment-default label."""
-    labels = labelled(spark, folder).where("cycled = 1").select(F.col("id").alias("o_orderkey"), F.col("first_payment_default").cast("int").alias("bad"))
+    labels = first_payment_labels(spark, folder).where("cycled = 1").select(F.col("id").alias("o_orderkey"), F.col("first_payment_default").cast("int").alias("bad"))
     orders = table(spark, folder, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("price"),
         F.month("o_orderdate").cast("double").alias("month"), F.col("o_orderpriority").alias("priority"),

@@ -118,6 +118,18 @@ def labelled(spark, folder):
     return joined.select("id", *[column.cast("bigint").alias(name) for name, column in flags.items()])
 
 
+def first_payment_labels(spark, folder):
+    """The two labels that need nothing but the first payment."""
+    c = F.col
+    t = star(spark, folder, "applicant", "account", "ledger")
+    paid = ops.first_payment(t["ledger"]).select(c("ss").alias("social"), c("id").alias("payment_id"), c("dte").alias("payment_date"))
+    accounts = t["account"].select("id", "social").join(paid, "social", "left")
+    rows = t["applicant"].select("id", "date_due").join(accounts, "id")
+    unused = {k: F.lit(None) for k in ("total_paid", "payment_count", "renewal_count", "new_loan_amount", "principal_paid")}
+    flags = default_flags(c("date_due"), F.lit(None), c("payment_date"), c("payment_id"), unused, F.lit(None), F.lit(None), F.lit(PARAMS.as_of))
+    return rows.select("id", *[flags[name].cast("bigint").alias(name) for name in ("cycled", "first_payment_default")])
+
+
 @query("default_labels", with_star(DEFAULT_SQL, *DEFAULT_TABLES))
 def default_labels(spark, folder):
     return labelled(spark, folder)
@@ -135,7 +147,7 @@ FROM ({DEFAULT_SQL}) JOIN orders ON o_orderkey = id JOIN customer ON c_custkey =
     ),
 )
 def default_rate_by_segment(spark, folder):
-    cycled = labelled(spark, folder).where("cycled = 1").select(F.col("id").alias("o_orderkey"), "first_payment_default")
+    cycled = first_payment_labels(spark, folder).where("cycled = 1").select(F.col("id").alias("o_orderkey"), "first_payment_default")
     orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
     per_customer = cycled.join(orders, "o_orderkey").groupBy("c_custkey").agg(
         F.count("*").alias("n"), F.sum("first_payment_default").alias("bad")

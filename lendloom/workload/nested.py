@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendloom.operators import jsontab, xmltab
+from lendloom.operators.skew import spread
 from lendloom.plans.leads import bureau_documents
 from lendloom.workload.registry import query, shape, table
 from lendloom.workload.star import PARAMS, star, with_star
@@ -24,7 +25,7 @@ FROM lead_values
     ),
 )
 def xml_named_values(spark, folder):
-    parsed = xmltab.named_values(star(spark, folder, "lead_log")["lead_log"].select("lead_id", "xml_in"), "xml_in")
+    parsed = xmltab.named_values(spread(star(spark, folder, "lead_log")["lead_log"].select("lead_id", "xml_in")), "xml_in")
     c = F.col
     return parsed.select(
         "lead_id", "income_monthly", "bank_name",
@@ -47,7 +48,7 @@ FROM bureau_response
 def xml_paths(spark, folder):
     loans = "LoanPerformance struct<NumberofLoansPaidOff:string>"
     schema = f"ApplicationInfo struct<LoanPerformance:struct<NumberofLoansPaidOff:string>>, {loans}"
-    rows = star(spark, folder, "bureau_response")["bureau_response"].select("id", xmltab.parse_xml(F.col("response"), schema).alias("doc"))
+    rows = spread(star(spark, folder, "bureau_response")["bureau_response"]).select("id", xmltab.parse_xml(F.col("response"), schema).alias("doc"))
     return rows.select(
         "id",
         F.col("doc.ApplicationInfo.LoanPerformance.NumberofLoansPaidOff").alias("inner_paid_off"),
@@ -80,7 +81,7 @@ FROM bureau_response
     ),
 )
 def xml_flatten(spark, folder):
-    return xmltab.flatten_xml(star(spark, folder, "bureau_response")["bureau_response"], "response", FLAT_SCHEMA, keep=["id"])
+    return xmltab.flatten_xml(spread(star(spark, folder, "bureau_response")["bureau_response"]), "response", FLAT_SCHEMA, keep=["id"])
 
 
 @query(
@@ -120,7 +121,7 @@ FROM (SELECT event_id, event_type,
 
 
 def jobs(spark, folder):
-    rows = spark.sql(JOBS_SQL, events=table(spark, folder, "events"))
+    rows = spark.sql(JOBS_SQL, events=spread(table(spark, folder, "events")))
     return rows.withColumn("response", F.translate("response", "~", "'"))
 
 
