@@ -95,7 +95,7 @@ def fit_adaptive(
 ) -> AdaptiveBoosting:
     """SAMME with stumps. Weights depend on all rounds before, so lineage is cut every ``cut_every`` rounds."""
     rows = assembler(features).transform(train.select(*features, F.col(label).cast("double").alias(label)))
-    rows = rows.select("features", label, F.lit(1.0).alias("weight"))
+    rows = rows.select("features", label, F.lit(1.0).alias("weight")).persist()
     model = AdaptiveBoosting(list(features), [], [])
     for number in range(rounds):
         stump = DecisionTreeClassifier(labelCol=label, weightCol="weight", maxDepth=1, seed=seed + number, predictionCol="_vote")
@@ -111,9 +111,11 @@ def fit_adaptive(
         if error == 0:
             break
         grown = F.col("weight") * F.when(F.col("_vote") != F.col(label), math.exp(weight)).otherwise(1.0) / float(sums["all"])
-        rows = voted.select("features", label, grown.alias("weight"))
-        if (number + 1) % cut_every == 0:
-            rows = checkpointed(rows)
+        earlier, rows = rows, voted.select("features", label, grown.alias("weight"))
+        rows = checkpointed(rows) if (number + 1) % cut_every == 0 else rows.persist()
+        rows.count()  # fill the cache before the one it is built from goes
+        earlier.unpersist()
+    rows.unpersist()
     if not model.trees:
         raise ValueError("no stump is better than chance")
     return model
@@ -153,11 +155,13 @@ def auc_of(model, df: DataFrame, label: str) -> float:
 def logit_table(train: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """(feature, coefficient, p_value, odds_ratio) of a logit without constant."""
     data = assembler(features).transform(train.select(*features, F.col(label).cast("double").alias(label)))
+    data = data.select("features", label).persist()  # read once per iteration
     model = GeneralizedLinearRegression(family="binomial", link="logit", fitIntercept=False, labelCol=label).fit(data)
     rows = [
         (name, float(weight), float(p), float(math.exp(weight)))
         for name, weight, p in zip(features, model.coefficients, model.summary.pValues)
     ]
+    data.unpersist()
     return train.sparkSession.createDataFrame(rows, "feature string, coefficient double, p_value double, odds_ratio double")
 
 

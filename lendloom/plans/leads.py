@@ -124,10 +124,12 @@ def cnr_notes(t: Tables) -> DataFrame:
 
 def mapping_facts(t: Tables, p: LeadParams) -> DataFrame:
     """Per application: mapping, upsell amounts, latest bank verification."""
-    checks = t["bank_account"].join(t["bank_verify_log"].where(F.col("location").isin(list(p.verify_locations))), "bank_account_id")
-    row = pick({"code": F.col("code"), "ts": F.col("inquiry_ts")}, F.struct("inquiry_ts", "code"), last=True)
-    latest = lookups(checks, "mapping_id", {"row": row}).select(
-        "mapping_id", F.col("row.code").alias("verify_code"), F.col("row.ts").alias("verify_ts")
+    located = t["bank_verify_log"].where(F.col("location").isin(list(p.verify_locations)))
+    # latest per bank account first, so that a busy account meets its mappings as one row
+    per_account = last_by(located, "bank_account_id", ["inquiry_ts", "code"], ["code", "inquiry_ts"])
+    checks = t["bank_account"].join(per_account, "bank_account_id")
+    latest = last_by(checks, "mapping_id", ["inquiry_ts", "code"], ["code", "inquiry_ts"]).select(
+        "mapping_id", F.col("code").alias("verify_code"), F.col("inquiry_ts").alias("verify_ts")
     )
     return (
         t["applicant_mapping"]
@@ -139,14 +141,12 @@ def mapping_facts(t: Tables, p: LeadParams) -> DataFrame:
     )
 
 
-def answered_applications(t: Tables) -> DataFrame:
+def answered_applications(t: Tables, hot: list | None = None) -> DataFrame:
     """(applicant_id, employment_response): distinct answers to requests made for leads."""
-    asked = t["employment_request"].where(same_text(F.col("source"), "Leads")).select("mapping_id", "response")
-    return (
-        asked.join(t["applicant_mapping"].select("mapping_id", "applicant_id"), "mapping_id")
-        .select("applicant_id", F.col("response").alias("employment_response"))
-        .distinct()
-    )
+    asked = t["employment_request"].where(same_text(F.col("source"), "Leads")).select("mapping_id", "response").distinct()
+    owners = t["applicant_mapping"].select("mapping_id", "applicant_id").distinct()
+    mapped = enrich(asked, owners, "mapping_id", "inner", hot=hot or [])
+    return mapped.select("applicant_id", F.col("response").alias("employment_response")).distinct()
 
 
 def application_facts(t: Tables, p: LeadParams, only: DataFrame | None = None) -> DataFrame:
@@ -233,7 +233,8 @@ def renewal_facts(t: Tables) -> DataFrame:
 
 def lead_facts(t: Tables, p: LeadParams, xml_root: str = "loan_request") -> DataFrame:
     """Leads with all looked-up facts; fan-out by carrier values and by employment response."""
-    answered = answered_applications(t)
+    hot_mappings = hot_keys(t["employment_request"], "mapping_id")
+    answered = answered_applications(t, hot_mappings)
     log = t["lead_log"].withColumnRenamed("status", "lead_status").join(answered.select("applicant_id"), "applicant_id", "left_semi")
     rejects = t["lead_reject_x"].join(broadcast_if_small(t["lead_reject_reason"]), "reason_id", "left")
     rejects = rejects.select("lead_id", F.col("reason").alias("auto_reject_reason")).distinct()
@@ -251,7 +252,15 @@ def lead_facts(t: Tables, p: LeadParams, xml_root: str = "loan_request") -> Data
     leads = enrich(leads, facts, "applicant_id", "inner", hot=hot_keys(t["lead_log"], "applicant_id"))
     for part in carrier_lookups(t).values():
         leads = leads.join(part, "applicant_id", "left")
-    return leads.join(answered, "applicant_id")
+    return enrich(answered, leads, "applicant_id", "inner", hot=_owners(t, hot_mappings))
+
+
+def _owners(t: Tables, mappings: list) -> list:
+    """Applicants behind a bounded list of mappings."""
+    if not mappings:
+        return []
+    rows = t["applicant_mapping"].where(F.col("mapping_id").isin(mappings)).select("applicant_id").distinct()
+    return [row[0] for row in rows.collect()]
 
 
 def derived_columns(t: Tables, p: LeadParams) -> dict[str, Column]:

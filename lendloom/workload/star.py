@@ -92,7 +92,7 @@ SELECT o_orderkey AS id, 'A' || CAST(o_orderkey AS STRING) AS social, o_ordersta
 FROM {orders}
 """,
     "ledger": """
-SELECT 2 * ((l_orderkey * 10 + l_linenumber) * 100000000 + l_partkey) AS id, 'A' || CAST(l_orderkey AS STRING) AS ss,
+SELECT 2 * ((l_orderkey * 10 + l_linenumber) * 100000000 + CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT)) AS id, 'A' || CAST(l_orderkey AS STRING) AS ss,
   CASE WHEN l_quantity >= 46 THEN 'Return' WHEN l_quantity <= 3 THEN 'Loan Increase'
     WHEN l_returnflag = 'R' THEN 'Payment' WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'New Loan'
     WHEN l_returnflag = 'A' THEN 'renewal' WHEN l_linestatus = 'F' THEN 'Active -> Written Off' ELSE 'PAY off' END AS type,
@@ -101,10 +101,10 @@ SELECT 2 * ((l_orderkey * 10 + l_linenumber) * 100000000 + l_partkey) AS id, 'A'
   CAST(l_shipdate AS DATE) AS dte, CAST(NULL AS BIGINT) AS reference_id
 FROM {lineitem}
 UNION ALL
-SELECT 2 * ((l_orderkey * 10 + l_linenumber) * 100000000 + l_partkey) + 1 AS id, 'A' || CAST(l_orderkey AS STRING) AS ss,
+SELECT 2 * ((l_orderkey * 10 + l_linenumber) * 100000000 + CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT)) + 1 AS id, 'A' || CAST(l_orderkey AS STRING) AS ss,
   'Reverted Payment' AS type, CAST(0 AS DECIMAL(18,4)) AS net, CAST(0 AS DECIMAL(18,2)) AS paidprin,
   CAST(0 AS DECIMAL(18,2)) AS paidint, CAST(0 AS DECIMAL(18,2)) AS payment, CAST(l_shipdate AS DATE) AS dte,
-  2 * ((l_orderkey * 10 + l_linenumber) * 100000000 + l_partkey) AS reference_id
+  2 * ((l_orderkey * 10 + l_linenumber) * 100000000 + CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT)) AS reference_id
 FROM {lineitem} WHERE l_returnflag = 'R' AND l_linestatus = 'F'
 """,
     "partner": """
