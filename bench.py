@@ -1,4 +1,4 @@
-"""Time the headline queries: one warm-up run each, then the median of three. Prints one JSON line."""
+"""Time the headline queries: one warm-up run each, then the median of BENCH_RUNS runs (default 1). Prints one JSON line."""
 
 from __future__ import annotations
 
@@ -12,11 +12,10 @@ from lendloom.session import local_session
 from lendloom.workload.catalog import QUERIES
 
 HEADLINE = (
-    "lead_wide", "lead_cost_report", "default_rate_by_segment", "ledger_rollup", "first_unreverted_payment", "running_applications",
-    "running_applications_chunked", "prior_applicants", "interval_inquiries", "nearest_verification", "bot_to_human_response",
-    "bureau_lookups", "xml_named_values", "xml_flatten", "employment_rollup", "value_shares", "numeric_summary", "chi_square",
-    "missing_apply", "rare_apply", "target_encode", "roc_auc", "roc_curve", "quantile_bins", "feature_auc", "csv_round_trip",
-    "request_json", "boosted_scores", "batch_score", "stream_score",
+    "lead_wide", "default_rate_by_segment", "ledger_rollup", "first_unreverted_payment", "running_applications", "prior_applicants",
+    "interval_inquiries", "nearest_verification", "bot_to_human_response", "bureau_lookups", "xml_named_values", "xml_flatten",
+    "employment_rollup", "value_shares", "numeric_summary", "chi_square", "missing_apply", "rare_apply", "target_encode", "roc_auc",
+    "roc_curve", "quantile_bins", "feature_auc", "csv_round_trip", "request_json", "boosted_scores", "batch_score",
 )
 
 
@@ -29,7 +28,7 @@ def seconds(build, spark, folder: str) -> float:
 def main(names) -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = local_session(cores=cores)
     timings = {}
     for name in names:

@@ -55,24 +55,28 @@ def roc_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = (), **lim
     return sums.select(*by, "pos", "neg", F.try_divide(wide("_wins").cast("double"), pairs).alias("auc"))
 
 
-def roc_curve(df: DataFrame, score: str, label: str, by: Sequence[str] = (), **limits) -> DataFrame:
-    """(by, threshold, tp, fp, tpr, fpr): one point per distinct score, highest first by threshold."""
+def _curve(df: DataFrame, score: str, label: str, by: Sequence[str], limits: Mapping) -> DataFrame:
+    """One row per distinct score with its own counts, the counts from the top, and the totals."""
     counts = score_counts(df, score, label, by).withColumn("_falling", -F.col("score"))
     points = running(counts, by, "_falling", {"tp": ("sum", "pos"), "fp": ("sum", "neg")}, bound=df, **limits)
-    totals = counts.groupBy(*by).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
+    rows = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    actual = F.col(label).cast("bigint")
+    sums = [F.sum(actual).alias("all_pos"), F.sum(1 - actual).alias("all_neg")]
     if by:
-        joined = points.join(totals, list(by))
-    else:
-        joined = points.withColumns({"all_pos": totals.select("all_pos").scalar(), "all_neg": totals.select("all_neg").scalar()})
-    return joined.select(
+        return points.join(rows.groupBy(*by).agg(*sums), list(by))
+    totals = rows.agg(*sums).select(F.struct("all_pos", "all_neg")).scalar()
+    return points.withColumn("_totals", totals).select("*", "_totals.*").drop("_totals")
+
+
+def roc_curve(df: DataFrame, score: str, label: str, by: Sequence[str] = (), **limits) -> DataFrame:
+    """(by, threshold, tp, fp, tpr, fpr): one point per distinct score, counting scores at or above it."""
+    return _curve(df, score, label, by, limits).select(
         *by,
         F.col("score").alias("threshold"),
         "tp",
         "fp",
         F.try_divide(F.col("tp"), F.col("all_pos")).alias("tpr"),
         F.try_divide(F.col("fp"), F.col("all_neg")).alias("fpr"),
-        "all_pos",
-        "all_neg",
     )
 
 
@@ -83,13 +87,10 @@ def no_skill(df: DataFrame, label: str) -> DataFrame:
 
 def threshold_accuracy(df: DataFrame, score: str, label: str, **limits) -> DataFrame:
     """(threshold, accuracy) for every distinct score, predicted meaning score > threshold; best first."""
-    curve = roc_curve(df, score, label, **limits)
-    counts = score_counts(df, score, label).select(F.col("score").alias("threshold"), "pos", "neg")
-    above = curve.join(counts, "threshold")
     right = (F.col("tp") - F.col("pos")) + (F.col("all_neg") - (F.col("fp") - F.col("neg")))
-    return above.select("threshold", F.try_divide(right, F.col("all_pos") + F.col("all_neg")).alias("accuracy")).orderBy(
-        F.desc("accuracy"), "threshold"
-    )
+    accuracy = F.try_divide(right, F.col("all_pos") + F.col("all_neg"))
+    points = _curve(df, score, label, (), limits).select(F.col("score").alias("threshold"), accuracy.alias("accuracy"))
+    return points.orderBy(F.desc("accuracy"), "threshold")
 
 
 def model_average(scored: Mapping[str, DataFrame], key: str, score: str) -> DataFrame:

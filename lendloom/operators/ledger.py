@@ -16,11 +16,11 @@ ROLLUP_COLUMNS = (
 
 def ledger_rollup(ledger: DataFrame, key: str = "ss") -> DataFrame:
     """Nine conditional sums per key, one pass."""
-    entry = F.col("type")
-    payment = contains_text(entry, "pay")
-    settled = payment | same_text(entry, "Return")
-    renewal, write_off, new_loan = (same_text(entry, t) for t in ("Renewal", "Active -> Written Off", "New Loan"))
-    lent = new_loan | renewal | same_text(entry, "Loan Increase")
+    entry = F.col("_entry")
+    payment = F.contains(entry, F.lit("pay"))
+    settled = payment | (entry == "return")
+    renewal, write_off, new_loan = (entry == t for t in ("renewal", "active -> written off", "new loan"))
+    lent = new_loan | renewal | (entry == "loan increase")
 
     def amount(condition: Column, column: str, scale: int = 2) -> Column:
         decimal = f"decimal(18,{scale})"
@@ -28,6 +28,7 @@ def ledger_rollup(ledger: DataFrame, key: str = "ss") -> DataFrame:
 
     return (
         ledger.where(F.col(key).isNotNull())
+        .withColumn("_entry", F.rtrim(F.lower("type")))  # compared many times, computed once
         .groupBy(key)
         .agg(
             F.sum(F.when(payment, 1).otherwise(0)).alias("payment_count"),

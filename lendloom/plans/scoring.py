@@ -73,10 +73,8 @@ def prepare(df: DataFrame, scorer: Scorer, as_of: Column) -> DataFrame:
     return encoded.withColumns({name: F.col(name).cast("double") for name in scorer.features})
 
 
-def fit_scorer(
-    train: DataFrame, target: str, as_of: Column, learn: Callable[[DataFrame, Sequence[str], str], PipelineModel], **columns
-) -> Scorer:
-    """Fit states and model on train rows, through the same transform that scoring uses.
+def fit_input_states(train: DataFrame, target: str, as_of: Column, **columns) -> Scorer:
+    """A scorer without a model: fills, rare labels and target rates of the train rows.
 
     Unseen labels get the mean target of the train rows.
     """
@@ -88,6 +86,14 @@ def fit_scorer(
     scorer.rare = encode.held(encode.fit_rare(filled, scorer.labels))
     scorer.target = encode.held(encode.fit_target(encode.apply_rare(filled, scorer.rare), scorer.labels, target))
     scorer.default_rate = train.agg(F.avg(target)).first()[0]
+    return scorer
+
+
+def fit_scorer(
+    train: DataFrame, target: str, as_of: Column, learn: Callable[[DataFrame, Sequence[str], str], PipelineModel], **columns
+) -> Scorer:
+    """States and model from train rows, through the same transform that scoring uses."""
+    scorer = fit_input_states(train, target, as_of, **columns)
     scorer.model = learn(prepare(train, scorer, as_of), list(scorer.features), target)
     return scorer
 

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 from lendloom.operators import models
 from lendloom.operators.encode import split
 from lendloom.operators.evaluate import confusion
-from lendloom.plans.scoring import Scorer, fit_scorer, score
+from lendloom.plans.scoring import Scorer, fit_input_states, fit_scorer, prepare, score
 from lendloom.session import scratch_dir
 from lendloom.sources.files import request_json
 from lendloom.streaming.requests import read_requests, score_stream, write_scores
-from lendloom.workload.ledger import first_payment_labels
-from lendloom.workload.registry import query, table
+from lendloom.workload.ledger import FIRST_SQL, first_payment_labels
+from lendloom.workload.registry import query, shape, table
+from lendloom.workload.star import with_star
 
 NUMBERS = ["price", "balance", "lines", "quantity", "month"]
 ROUNDS = 10
@@ -143,6 +144,36 @@ def fitted_scorer(spark, folder) -> tuple[Scorer, object]:
     return scorer, test.drop("bad")
 
 
+LABEL_SQL = with_star(
+    f"""
+SELECT id, CASE WHEN first_payment_id IS NULL THEN 1 WHEN first_payment_date - date_due > 7 THEN 1 ELSE 0 END AS bad
+FROM (SELECT a.id, a.date_due, f.* FROM applicant a JOIN account c ON c.id = a.id LEFT JOIN ({FIRST_SQL}) f ON f.ss = c.social)
+WHERE DATE '2001-06-30' - date_due > 7
+""",
+    "applicant", "account", "ledger",
+)
+PREPARED_SQL = f"""
+WITH r AS (SELECT l.id, l.bad, CASE WHEN l.id % 20 <> 0 THEN o_totalprice END AS price, c_acctbal AS balance, (l.id % 101) / 100 AS match,
+    CASE WHEN l.id % 20 <> 0 THEN CAST(date_diff('day', o_orderdate, TIMESTAMP '2001-06-30') AS DOUBLE) END AS seendiff,
+    'BANK ' || o_orderpriority AS bank, c_mktsegment AS segment, CAST('0x' || substr(md5(CAST(l.id AS VARCHAR)), 1, 6) AS BIGINT) % 10 >= 3 AS train
+  FROM ({LABEL_SQL}) l JOIN orders ON o_orderkey = l.id JOIN customer ON c_custkey = o_custkey),
+  t AS (SELECT * FROM r WHERE train), b AS (SELECT bank, avg(bad) AS rate FROM t GROUP BY 1), s AS (SELECT segment, avg(bad) AS rate FROM t GROUP BY 1)
+SELECT id, round(coalesce(price, (SELECT median(price) FROM t)), 4) AS price, round(balance, 4) AS balance, round(match, 4) AS match,
+  coalesce(seendiff, (SELECT median(seendiff) FROM t)) AS seendiff, round(b.rate, 8) AS "Bank", round(s.rate, 8) AS segment
+FROM r JOIN b USING (bank) JOIN s USING (segment) WHERE NOT train
+"""
+
+
+@query("prepared_requests", PREPARED_SQL)
+def prepared_requests(spark, folder):
+    """Model input of the test rows, from states fitted on the train rows."""
+    train, test = split(requests(spark, folder), "id")
+    states = fit_input_states(train.cache(), "bad", as_of(), **SCORER_COLUMNS)
+    train.unpersist()
+    kinds = {"price": "r4", "balance": "r4", "match": "r4", "seendiff": "double", "Bank": "r8", "segment": "r8"}
+    return shape(prepare(test, states, as_of()), id="bigint", **kinds)
+
+
 @query("batch_score")
 def batch_score(spark, folder):
     scorer, test = fitted_scorer(spark, folder)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from lendloom.operators import jsontab, xmltab
 from lendloom.operators.skew import spread
 from lendloom.plans.leads import bureau_documents
+from lendloom.plans.scoring import assemble_applicants
 from lendloom.workload.registry import query, shape, table
 from lendloom.workload.star import PARAMS, star, with_star
 
@@ -156,6 +157,28 @@ def employment_rollup(spark, folder):
     )
 
 
+@query(
+    "assembled_applicants",
+    f"""
+SELECT event_id, user_id AS application_id, round(c_acctbal, 2) AS balance, CASE user_id % 4 WHEN 0 THEN 'California' WHEN 1 THEN 'Texas' WHEN 2 THEN 'Guam' END AS state_name,
+  CAST(employers AS BIGINT) AS employer_count,
+  round_even(CASE WHEN first_active AND (NOT second_active OR first_date >= second_date) THEN CAST(first_income AS DOUBLE) * 52 / 12
+    WHEN second_active THEN CAST(second_income AS DOUBLE) ELSE 0 END, 0) AS monthly_income
+FROM ({JOB_FACTS_SQL}) JOIN events USING (event_id) JOIN customer ON c_custkey = user_id
+""",
+)
+def assembled_applicants(spark, folder):
+    """Bureau rows and customer rows joined and completed, as before scoring."""
+    bureau = table(spark, folder, "customer").select(F.col("c_custkey").alias("application_id"), F.col("c_acctbal").alias("balance"))
+    code = F.element_at(F.array(*[F.lit(s) for s in ("CA", "TX", "GU", "??")]), (F.col("user_id") % 4 + 1).cast("int"))
+    owners = table(spark, folder, "events").select("event_id", F.col("user_id").alias("applicant_id"), code.alias("state"))
+    customers = jobs(spark, folder).withColumnRenamed("response", "employment_response").join(owners, "event_id")
+    rows = assemble_applicants(bureau, customers)
+    return shape(
+        rows, event_id="bigint", application_id="bigint", balance="r2", state_name="string", employer_count="bigint", monthly_income="double"
+    )
+
+
 @query(
     "list_repair",
     """
