@@ -49,3 +49,11 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
     found = contamination(docs, read(spark, folder, "benchmark"), size=13, one_in=20)
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query("op8_packing")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    from lendloom.llm.packing import pack, pieces, public_tokenizer
+
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return pack(pieces(docs, public_tokenizer("word_bpe_49k.json"), capacity=2048), capacity=2048)
