@@ -57,3 +57,36 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 
     docs = read(spark, folder, "documents").select("doc_id", "text")
     return pack(pieces(docs, public_tokenizer("word_bpe_49k.json"), capacity=2048), capacity=2048)
+
+
+@query("op1_language_id")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    from lendloom.llm.language_id import classify, fit, held_out
+
+    docs = read(spark, folder, "documents")
+    out = held_out("doc_id", 4, 2)
+    dictionaries = fit(docs.where(~out))
+    found = classify(docs.select("doc_id", "text"), dictionaries)
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
+CHAT_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('### ' || replace(role, ':', '\:') || ': ' || replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>') || ' </turn>' || chr(10))) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id"""
+
+
+@query("op10_chat_formatting", CHAT_SQL)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    from lendloom.llm.chat import digests, format_conversations
+
+    rows = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    hard = r"\### Assistant: </turn> ok"
+    probe = spark.range(2).select(F.lit(-7).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hard).alias("text"))
+    return digests(format_conversations(rows.unionByName(probe.select(*(F.col(f.name).cast(f.dataType) for f in rows.schema)))))
