@@ -90,3 +90,19 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     hard = r"\### Assistant: </turn> ok"
     probe = spark.range(2).select(F.lit(-7).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hard).alias("text"))
     return digests(format_conversations(rows.unionByName(probe.select(*(F.col(f.name).cast(f.dataType) for f in rows.schema)))))
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, p.payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest"""
+
+
+@query("op6_warc", WARC_SQL)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    from lendloom.llm.warc import round_trip
+
+    back = round_trip(read(spark, folder, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
