@@ -106,3 +106,10 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 
     back = round_trip(read(spark, folder, "pages"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op7_html_text")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    from lendloom.llm.html_text import extract
+
+    return extract(read(spark, folder, "pages").select("page_id", "url", "html"))
