@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +17,10 @@ SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of a folder. Workers on this machine find the package where the driver did; a cluster gets it with --py-files."""
+    here, environment = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), spark.sparkContext.environment
+    if here not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [here, environment.get("PYTHONPATH", "")]))
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -136,10 +141,10 @@ def shingle_hashes(words: np.ndarray, begins: np.ndarray, size: int) -> list[np.
         if high - low >= size:
             sets.append(np.unique(grams[low:high - size + 1]))
         elif high > low:
-            short = np.uint64(high - low)
-            for w in words[low:high]:
-                short = mix(np.array([short * np.uint64(_BASE) + w], np.uint64))[0]
-            sets.append(np.array([short], np.uint64))
+            short = np.full(1, high - low, np.uint64)
+            for at in range(low, high):
+                short = mix(short * np.uint64(_BASE) + words[at:at + 1])
+            sets.append(short)
         else:
             sets.append(np.zeros(0, np.uint64))
     return sets

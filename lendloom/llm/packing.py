@@ -291,7 +291,7 @@ def pack(items: DataFrame, *, capacity: int = CAPACITY, group_items: int = GROUP
         ring = state.select("_group", F.pmod(F.col("island") + 1, F.lit(ISLANDS)).alias("island"), F.col("elite").alias("migrant"))
         state = state.drop("migrant").join(ring, ["_group", "island"]).select("_group", "island", "sizes", "elite", "migrant")
 
-    def settle(key, frame: pd.DataFrame, islands: pd.DataFrame) -> pd.DataFrame:
+    def settle(key: tuple, frame: pd.DataFrame, islands: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["length", *(n for n in ("doc_id", "piece", "start") if n in frame)], ascending=False, kind="stable")
         lengths = frame["length"].to_numpy(np.int64)
         ranked = sorted(((fitness(lengths, b, capacity), -i, b) for i, b in zip(islands["island"], (np.frombuffer(e, "<i4") for e in islands["elite"]))), key=lambda x: x[:2])

@@ -113,3 +113,10 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     from lendloom.llm.html_text import extract
 
     return extract(read(spark, folder, "pages").select("page_id", "url", "html"))
+
+
+@query("op3_jaccard_join")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    from lendloom.llm.jaccard_join import jaccard_components
+
+    return jaccard_components(read(spark, folder, "documents").select("doc_id", "text"), size=5, percent=80)
