@@ -44,11 +44,15 @@ def fit(
 ) -> dict[str, bytes]:
     """Dictionary per language. The sample is chosen on ids and labels alone; only the chosen documents' texts are read."""
     known = labelled.where(F.col(label).isNotNull() & F.col(id_column).isNotNull())
-    names = [r[0] for r in known.groupBy(label).count().select(label).limit(max_languages + 1).collect()]
-    if len(names) > max_languages:
+    counts = {r[0]: r[1] for r in known.groupBy(label).count().limit(max_languages + 1).collect()}
+    if len(counts) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
+    names = sorted(counts)
     chance = F.xxhash64(F.col(id_column).cast("string"), F.lit("sample"))
+    # Hashes below this hold about four times the wanted rows of a language, so few rows meet to be ranked.
+    shares = F.create_map(*(F.lit(x) for n in names for x in (n, int(-2**63 + 2**64 * min(1.0, 4 * sample_docs / counts[n]) - 2**12) if counts[n] > 4 * sample_docs else 2**63 - 1))) if names else F.lit(None)
     ranked = known.select(F.col(id_column).alias("_id"), F.col(label).alias("_lang"), chance.alias("_h"))
+    ranked = ranked.where(F.col("_h") <= shares[F.col("_lang")]) if names else ranked
     chosen = ranked.withColumn("_n", F.row_number().over(Window.partitionBy("_lang").orderBy("_h", "_id"))).where(F.col("_n") <= sample_docs)
     # At most languages * sample_docs ids: the bound above.
     wanted = F.broadcast(chosen.select("_id", "_lang", "_h"))
