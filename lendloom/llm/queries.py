@@ -120,3 +120,11 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     from lendloom.llm.jaccard_join import jaccard_components
 
     return jaccard_components(read(spark, folder, "documents").select("doc_id", "text"), size=5, percent=80)
+
+
+@query("op2_suffix_tree")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    from lendloom.llm.language_id import held_out
+    from lendloom.llm.suffix_tree import score
+
+    return score(read(spark, folder, "documents").select("doc_id", "text", held_out("doc_id", 5, 1).alias("held_out")))
