@@ -128,3 +128,10 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     from lendloom.llm.suffix_tree import score
 
     return score(read(spark, folder, "documents").select("doc_id", "text", held_out("doc_id", 5, 1).alias("held_out")))
+
+
+@query("op4_nn_descent")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    from lendloom.llm.nn_descent import near_duplicates
+
+    return near_duplicates(read(spark, folder, "embeddings").select("vec_id", "embedding"), threshold=0.9)
