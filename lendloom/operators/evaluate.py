@@ -36,9 +36,14 @@ def confusion(df: DataFrame, score: str, label: str, threshold: float = 0.5, by:
     )
 
 
+def _rated(df: DataFrame, score: str, label: str) -> DataFrame:
+    """Rows with a label and a score; NaN is no score."""
+    return df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(label).isNotNull())
+
+
 def score_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """(by, score, pos, neg): one row per distinct score."""
-    rows = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    rows = _rated(df, score, label)
     return rows.groupBy(*by, F.col(score).cast("double").alias("score")).agg(
         F.sum(F.col(label).cast("bigint")).alias("pos"), F.sum(1 - F.col(label).cast("bigint")).alias("neg")
     )
@@ -59,7 +64,7 @@ def _curve(df: DataFrame, score: str, label: str, by: Sequence[str], limits: Map
     """One row per distinct score with its own counts, the counts from the top, and the totals."""
     counts = score_counts(df, score, label, by).withColumn("_falling", -F.col("score"))
     points = running(counts, by, "_falling", {"tp": ("sum", "pos"), "fp": ("sum", "neg")}, bound=df, **limits)
-    rows = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    rows = _rated(df, score, label)
     actual = F.col(label).cast("bigint")
     sums = [F.sum(actual).alias("all_pos"), F.sum(1 - actual).alias("all_neg")]
     if by:

@@ -1,30 +1,37 @@
 """Running values per key that do not depend on the size of a key.
 
-A plain window sorts all rows of one key in one task. When the largest key is too
-big for that, rows are cut into chunks of the order column (global quantiles), each
-chunk is summarised, the summaries are accumulated per key (at most one row per
-chunk), and a window inside (key, chunk) adds the carried value. The order column
-must be free of NULLs and unique per key: aggregate ties first.
+Rows are dealt once, in ranges of (keys, order), and that exchange is kept. A range is
+summarised per key, the summaries are accumulated along the ranges of a key, and a window
+inside (key, range) adds what the key carries in. A large key simply covers many ranges,
+whatever values it holds, so every size takes the same plan. The order column must be
+free of NULLs and unique per key: aggregate ties first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lendloom.operators.skew import largest_group
+from lendloom.session import checkpointed
 
-MAX_GROUP_ROWS = 5_000_000
-CHUNKS = 1024
+ROWS_PER_TASK = 2_000_000
 
 # kind -> value over the frame; "previous" and "count" are handled on their own.
 FRAME_FUNCTIONS = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
 
 
+def ranges(df: DataFrame, keys: Sequence[str], order: str, bound: DataFrame | None = None, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Rows sorted into ranges of about ``rows_per_task`` rows, numbered in ``_range``; kept, since ranges are drawn by sampling."""
+    session = df.sparkSession
+    at_least = int(session.conf.get("spark.sql.shuffle.partitions")) if bound is None else 1
+    needed = 1 if bound is None else -(-bound.count() // rows_per_task)
+    dealt = df.repartitionByRange(max(at_least, needed, 1), *keys, order)
+    return checkpointed(dealt.withColumn("_range", F.spark_partition_id()))
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -32,50 +39,27 @@ def running(
     specs: Mapping[str, tuple[str, str | None]],
     *,
     bound: DataFrame | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
-    chunks: int = CHUNKS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add one column per spec: ``name -> (kind, column)``.
 
     Kinds ``count``, ``sum``, ``min`` and ``max`` include the current row;
     ``previous`` is the value of the row before (NULL for the first row of a key).
-    ``bound`` is a frame that is cheap to count and has at least as many rows as any key
-    of ``df``, such as the table that ``df`` was aggregated from.
+    ``bound`` is a frame that is cheap to count and has at least as many rows as ``df``,
+    such as the table that ``df`` was aggregated from; without it there are as many
+    ranges as shuffle partitions.
     """
     keys = list(keys)
-    counted = df if bound is None else bound
-    if counted.count() <= max_group_rows or largest_group(df, keys) <= max_group_rows:
-        window = W.partitionBy(*keys).orderBy(order)
-        return df.select("*", *[_local(kind, column, window).alias(name) for name, (kind, column) in specs.items()])
-    return _chunked(df, keys, order, specs, chunks)
-
-
-def _local(kind: str, column: str | None, window) -> Column:
-    if kind == "previous":
-        return F.lag(column).over(window)
-    frame = window.rowsBetween(W.unboundedPreceding, W.currentRow)
-    return FRAME_FUNCTIONS[kind](F.col(column) if column else F.lit(1)).over(frame)
-
-
-def order_chunks(df: DataFrame, order: str, chunks: int) -> DataFrame:
-    """Add ``_chunk``, a bucket number that grows with the order column."""
-    positioned = df.withColumn("_position", F.col(order).cast("double"))
-    shares = [i / chunks for i in range(1, chunks)]
-    edges = sorted(set(positioned.approxQuantile("_position", shares, 0.25 / chunks)))
-    splits = [float("-inf"), *edges, float("inf")]
-    return Bucketizer(splits=splits, inputCol="_position", outputCol="_chunk").transform(positioned).drop("_position")
-
-
-def _chunked(df: DataFrame, keys: list[str], order: str, specs: Mapping, chunks: int) -> DataFrame:
-    rows = order_chunks(df, order, chunks)
+    rows = ranges(df, keys, order, bound, rows_per_task)
     summaries = []
     for name, (kind, column) in specs.items():
         value = F.col(column) if column else F.lit(1)
         summary = F.max_by(value, F.col(order)) if kind == "previous" else FRAME_FUNCTIONS[kind](value)
         summaries.append(summary.alias(f"_{name}"))
-    per_chunk = rows.groupBy(*keys, "_chunk").agg(*summaries)
+    per_range = rows.groupBy(*keys, "_range").agg(*summaries)
 
-    by_key = W.partitionBy(*keys).orderBy("_chunk")
+    # one row per range that a key covers
+    by_key = W.partitionBy(*keys).orderBy("_range")
     before = by_key.rowsBetween(W.unboundedPreceding, -1)
     carried = []
     for name, (kind, _) in specs.items():
@@ -85,9 +69,9 @@ def _chunked(df: DataFrame, keys: list[str], order: str, specs: Mapping, chunks:
         else:
             merge = F.sum if kind == "count" else FRAME_FUNCTIONS[kind]
             carried.append(merge(carry).over(before).alias(f"_{name}"))
-    carry = per_chunk.select(*keys, "_chunk", *carried)
+    carry = per_range.select(*keys, "_range", *carried)
 
-    inside = W.partitionBy(*keys, "_chunk").orderBy(order)
+    inside = W.partitionBy(*keys, "_range").orderBy(order)
     columns = []
     for name, (kind, column) in specs.items():
         local, carry_in = _local(kind, column, inside), F.col(f"_{name}")
@@ -100,4 +84,11 @@ def _chunked(df: DataFrame, keys: list[str], order: str, specs: Mapping, chunks:
         else:
             value = (F.least if kind == "min" else F.greatest)(local, carry_in)
         columns.append(value.alias(name))
-    return rows.join(carry, [*keys, "_chunk"], "left").select(*df.columns, *columns)
+    return rows.join(carry, [*keys, "_range"], "left").select(*df.columns, *columns)
+
+
+def _local(kind: str, column: str | None, window) -> Column:
+    if kind == "previous":
+        return F.lag(column).over(window)
+    frame = window.rowsBetween(W.unboundedPreceding, W.currentRow)
+    return FRAME_FUNCTIONS[kind](F.col(column) if column else F.lit(1)).over(frame)

@@ -2,36 +2,52 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.001
-HOT_ROWS = 2_000_000
-SALTS = 64
-BROADCAST_ROWS = 100_000
-
+from lendloom.session import checkpointed
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest group. Partial counts are merged, no group is gathered."""
-    if not keys:
-        return df.count()
-    row = df.groupBy(*keys).count().agg(F.max("count")).first()
-    return row[0] or 0
+ROWS_PER_TASK = 2_000_000
+NULL_SALTS = 1 << 16
+BROADCAST_BYTES = 64 << 20
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> list:
-    """Keys with at least ``share`` of all rows, and at least ``min_rows`` of them.
+def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, bound: DataFrame | None = None) -> DataFrame | None:
+    """(key, _salts): keys with more rows than one task should get, and over how many tasks to deal them. None if there are none.
 
-    At most 1/share keys can qualify, so the list that reaches the driver is bounded.
+    There are at most rows / rows_per_task of them. ``bound`` is a frame that is cheap to
+    count and has at least as many rows as any key of ``df``.
     """
-    total = df.count()
-    if total < min_rows:
-        return []
-    floor = max(int(total * share), min_rows)
-    rows = df.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") >= floor).collect()
-    return [row[0] for row in rows]
+    if (df if bound is None else bound).count() <= rows_per_task:
+        return None
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > rows_per_task)
+    hot = checkpointed(counts.select(key, F.ceil(F.col("count") / rows_per_task).cast("int").alias("_salts")))
+    return None if hot.isEmpty() else hot
+
+
+UNKNOWN = "unknown"
+
+
+def _salts(df: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
+    """Add ``_salts``: over how many tasks the rows of the key are dealt."""
+    if hot is None:
+        return df.withColumn("_salts", F.lit(1))
+    # bounded: one row per hot key
+    return df.join(F.broadcast(hot), key, "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
+
+
+def dealt(df: DataFrame, key: str, hot: DataFrame | None, name: str) -> DataFrame:
+    """Number the rows of a hot key at random, and so those without a key, which match nothing but must not pile up."""
+    number = F.xxhash64(*df.columns) + F.spark_partition_id()
+    salts = F.when(F.col(key).isNull(), F.lit(NULL_SALTS)).otherwise(F.col("_salts"))
+    return _salts(df, key, hot).withColumn(name, F.pmod(number, salts).cast("int")).drop("_salts")
+
+
+def repeated(df: DataFrame, key: str, hot: DataFrame | None, name: str) -> DataFrame:
+    """Repeat the rows of a hot key for every number its partners may have."""
+    if hot is None:
+        return df.withColumn(name, F.lit(0))
+    return _salts(df, key, hot).withColumn(name, F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
 
 
 def enrich(
@@ -40,37 +56,40 @@ def enrich(
     key: str,
     how: str = "left",
     *,
-    hot: list | None = None,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
-    salts: int = SALTS,
+    hot: DataFrame | str | None = UNKNOWN,
+    lookup_hot: DataFrame | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Join facts with a lookup of few rows per key, spreading the hot keys of the facts.
+    """Join facts with a lookup, spreading hot keys of the facts and facts without a key.
 
-    Rows of a hot key are dealt over ``salts`` partitions and only the lookup rows of
-    hot keys are repeated. Without hot keys it is a plain join. Finding hot keys reads
-    the facts once more: give ``hot`` when the facts are the result of much work and the
-    keys can be counted on the table they come from.
+    Rows of a hot key are dealt over as many tasks as its size asks for, and only the
+    lookup rows of hot keys are repeated. Finding hot keys reads the facts once more: give
+    ``hot`` when the facts are the result of much work and the keys can be counted on the
+    table they come from. ``lookup_hot`` does the same for a lookup with many rows per key.
     """
-    hot = hot_keys(facts, key, share, min_rows) if hot is None else hot
-    if not hot:
+    if isinstance(hot, str):
+        hot = hot_keys(facts, key, rows_per_task)
+    if hot is None and lookup_hot is None and how != "left":
         return facts.join(lookup, key, how)
-    is_hot = F.col(key).isin(hot)
-    dealt = facts.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(*facts.columns) + F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0)).cast("int"))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = lookup.withColumn("_salt", F.explode(copies))
-    return dealt.join(repeated, [key, "_salt"], how).drop("_salt")
+    left, right = dealt(facts, key, hot, "_salt"), repeated(lookup, key, hot, "_salt")
+    if lookup_hot is None:
+        return left.join(right, [key, "_salt"], how).drop("_salt")
+    left, right = repeated(left, key, lookup_hot, "_other"), dealt(right, key, lookup_hot, "_other")
+    if how != "inner":
+        raise ValueError("a lookup with hot keys takes an inner join")
+    return left.join(right, [key, "_salt", "_other"], how).drop("_salt", "_other")
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal rows to all cores before expensive parsing when the input has fewer files than cores.
+    """Deal rows to all cores before expensive parsing when the input is read in fewer partitions than there are cores.
 
-    A large input has files enough, and then nothing is added to the plan.
+    A large input has partitions enough, and then nothing is added to the plan.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after counting; a larger side is left to the optimizer's own join choice."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only after measuring the rows as text; a larger side is left to the optimizer's own join choice."""
+    size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
+    return F.broadcast(df) if (df.agg(size).first()[0] or 0) <= max_bytes else df

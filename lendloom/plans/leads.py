@@ -141,11 +141,11 @@ def mapping_facts(t: Tables, p: LeadParams) -> DataFrame:
     )
 
 
-def answered_applications(t: Tables, hot: list | None = None) -> DataFrame:
+def answered_applications(t: Tables, hot: DataFrame | None = None) -> DataFrame:
     """(applicant_id, employment_response): distinct answers to requests made for leads."""
     asked = t["employment_request"].where(same_text(F.col("source"), "Leads")).select("mapping_id", "response").distinct()
     owners = t["applicant_mapping"].select("mapping_id", "applicant_id").distinct()
-    mapped = enrich(asked, owners, "mapping_id", "inner", hot=hot or [])
+    mapped = enrich(asked, owners, "mapping_id", "inner", hot=hot)
     return mapped.select("applicant_id", F.col("response").alias("employment_response")).distinct()
 
 
@@ -233,9 +233,10 @@ def renewal_facts(t: Tables) -> DataFrame:
 
 def lead_facts(t: Tables, p: LeadParams, xml_root: str = "loan_request") -> DataFrame:
     """Leads with all looked-up facts; fan-out by carrier values and by employment response."""
-    hot_mappings = hot_keys(t["employment_request"], "mapping_id")
-    answered = answered_applications(t, hot_mappings)
-    log = t["lead_log"].withColumnRenamed("status", "lead_status").join(answered.select("applicant_id"), "applicant_id", "left_semi")
+    answered = answered_applications(t, hot_keys(t["employment_request"], "mapping_id"))
+    hot_answers = hot_keys(answered, "applicant_id", bound=t["employment_request"])
+    hot_leads = hot_keys(t["lead_log"], "applicant_id")
+    log = enrich(t["lead_log"].withColumnRenamed("status", "lead_status"), answered.select("applicant_id"), "applicant_id", "left_semi", hot=hot_leads)
     rejects = t["lead_reject_x"].join(broadcast_if_small(t["lead_reject_reason"]), "reason_id", "left")
     rejects = rejects.select("lead_id", F.col("reason").alias("auto_reject_reason")).distinct()
     partners = t["partner"].select(
@@ -249,24 +250,16 @@ def lead_facts(t: Tables, p: LeadParams, xml_root: str = "loan_request") -> Data
     leads = enrich(leads, account_facts(t), "account_id", hot=hot_keys(t["renewal_log"], "cust_id"))
     leads = named_values(leads, "xml_in", LEAD_KEYS, xml_root, "_bal").drop("xml_in")
     facts = application_facts(t, p, answered)
-    leads = enrich(leads, facts, "applicant_id", "inner", hot=hot_keys(t["lead_log"], "applicant_id"))
+    leads = enrich(leads, facts, "applicant_id", "inner", hot=hot_leads)
     for part in carrier_lookups(t).values():
-        leads = leads.join(part, "applicant_id", "left")
-    return enrich(answered, leads, "applicant_id", "inner", hot=_owners(t, hot_mappings))
-
-
-def _owners(t: Tables, mappings: list) -> list:
-    """Applicants behind a bounded list of mappings."""
-    if not mappings:
-        return []
-    rows = t["applicant_mapping"].where(F.col("mapping_id").isin(mappings)).select("applicant_id").distinct()
-    return [row[0] for row in rows.collect()]
+        leads = enrich(leads, part, "applicant_id", "left", hot=hot_leads)
+    return enrich(answered, leads, "applicant_id", "inner", hot=hot_answers, lookup_hot=hot_leads)
 
 
 def derived_columns(t: Tables, p: LeadParams) -> dict[str, Column]:
     """Flags, labels, costs and default rules over the columns of ``lead_facts``."""
     c, price, marker = F.col, p.prices, p.markers
-    prices = t["cost_per_service"].limit(1)  # a one-row table, read as scalars
+    prices = t["cost_per_service"]  # a one-row table, read as scalars; a second row is an error
     unit = lambda name: prices.select(name).scalar()
     dob = dates.dob_from_parts(c("date_dob_m_bal"), c("date_dob_d_bal"), c("date_dob_y_bal"))
     amount = money.loan_amount(c("loan_amount"))

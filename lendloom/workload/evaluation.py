@@ -57,7 +57,7 @@ def roc_auc(spark, folder):
 @query("roc_auc_chunked", AUC_SQL)
 def roc_auc_chunked(spark, folder):
     """The same through the path for more distinct scores than one task should sort."""
-    rows = evaluate.roc_auc(scored(spark, folder), "score", "bad", max_group_rows=1, chunks=16)
+    rows = evaluate.roc_auc(scored(spark, folder), "score", "bad", rows_per_task=20)
     return shape(rows, pos="bigint", neg="bigint", auc="r8")
 
 

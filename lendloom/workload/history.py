@@ -27,7 +27,7 @@ def running_applications(spark, folder):
 def running_applications_chunked(spark, folder):
     """The same through the path for persons too large for one task."""
     people = star(spark, folder, "applicant")["applicant"].select("id", "social", "salary", "type")
-    rows = ops.application_history(people, max_group_rows=1, chunks=16)
+    rows = ops.application_history(people, rows_per_task=500)
     return shape(rows, id="bigint", times_applied="bigint", min_salary="double", previous_type="string")
 
 

@@ -71,7 +71,7 @@ def numeric_summary(spark, folder):
 @query("numeric_summary_chunked", SUMMARY_SQL)
 def numeric_summary_chunked(spark, folder):
     """The same through the path for columns with too many values for one task."""
-    return _summary(spark, folder, max_group_rows=1, chunks=16)
+    return _summary(spark, folder, rows_per_task=500)
 
 
 @query(

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lendloom.operators import evaluate, history, lookups, profile, skew
-from lendloom.operators.running import running
+from lendloom.operators.running import ranges, running
 
 random.seed(7)
 # one key holds a third of all rows
@@ -24,10 +24,10 @@ def brute_force():
     return found
 
 
-@pytest.mark.parametrize("limits", [{}, {"max_group_rows": 10, "chunks": 7}, {"max_group_rows": 10, "chunks": 64}])
+@pytest.mark.parametrize("limits", [{}, {"rows_per_task": 400}, {"rows_per_task": 50}])
 def test_running_equals_brute_force(spark, limits):
     df = spark.createDataFrame(ROWS, "id long, key string, value long, tag string").repartition(5)
-    rows = running(df, ["key"], "id", SPECS, **limits).collect()
+    rows = running(df, ["key"], "id", SPECS, bound=df, **limits).collect()
     assert {r["id"]: (r["n"], r["total"], r["low"], r["high"], r["before"]) for r in rows} == brute_force()
 
 
@@ -35,34 +35,52 @@ def test_running_with_nulls_in_values(spark):
     data = [(i, "k", None if i % 4 else i) for i in range(40)]
     df = spark.createDataFrame(data, "id long, key string, value long")
     specs = {"total": ("sum", "value"), "before": ("previous", "value")}
-    plain = sorted(running(df, ["key"], "id", specs).collect())
-    assert sorted(running(df, ["key"], "id", specs, max_group_rows=1, chunks=5).collect()) == plain
+    plain = sorted(running(df, ["key"], "id", specs, bound=df).collect())
+    assert sorted(running(df, ["key"], "id", specs, bound=df, rows_per_task=8).collect()) == plain
 
 
-def test_no_task_holds_a_whole_hot_key(spark):
-    df = spark.createDataFrame(ROWS, "id long, key string, value long, tag string")
-    from lendloom.operators.running import order_chunks
-
-    chunked = order_chunks(df, "id", 30)
-    largest = chunked.groupBy("key", "_chunk").count().agg(F.max("count")).first()[0]
-    assert largest < 2 * 1000 / 30 + 10
+@pytest.mark.parametrize("rows", [
+    [(i, "hot") for i in range(4000)],  # a person with consecutive ids
+    [(10_000 * f + i, f"feature{f}") for f in range(10) for i in range(400)],  # ten features on ten ranges
+])
+def test_no_task_holds_more_than_its_share(spark, rows):
+    df = spark.createDataFrame(rows, "id long, key string")
+    sizes = [r["count"] for r in ranges(df, ["key"], "id", df, 200).groupBy("_range").count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) <= 2 * 200 and len(sizes) >= 15
 
 
-@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
 def test_enrich_with_hot_keys(spark, how):
     facts = spark.createDataFrame(ROWS + [(9001, None, 1, "z")], "id long, key string, value long, tag string")
-    lookup = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("k3", 4)], "key string, extra int")
-    assert skew.hot_keys(facts, "key", 0.2, 100) == ["hot"]
+    lookup = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("k2", 4)], "key string, extra int")
+    assert {r["key"]: r["_salts"] for r in skew.hot_keys(facts, "key", 300).collect()} == {"hot": 4}
     plain = facts.join(lookup, "key", how)
-    salted = skew.enrich(facts, lookup, "key", how, share=0.2, min_rows=100, salts=8)
-    assert sorted(salted.select(*plain.columns).collect(), key=str) == sorted(plain.collect(), key=str)
+    for limits in ({"rows_per_task": 300}, {}):
+        salted = skew.enrich(facts, lookup, "key", how, **limits)
+        assert sorted(salted.select(*plain.columns).collect(), key=str) == sorted(plain.collect(), key=str)
+
+
+def test_enrich_with_hot_keys_on_both_sides(spark):
+    left = spark.createDataFrame([(i, "hot" if i % 2 else "a") for i in range(60)], "l int, key string")
+    right = spark.createDataFrame([(i, "hot" if i % 3 else "a") for i in range(40)], "r int, key string")
+    hot, other = skew.hot_keys(left, "key", 10), skew.hot_keys(right, "key", 10)
+    salted = skew.enrich(left, right, "key", "inner", hot=hot, lookup_hot=other)
+    assert sorted(salted.select("l", "r").collect()) == sorted(left.join(right, "key").select("l", "r").collect())
+
+
+def test_rows_without_key_do_not_pile_up(spark):
+    """Nine of ten rows have no key: they are dealt over all partitions of the join."""
+    facts = spark.range(4000).select("id", F.when(F.col("id") % 10 == 0, F.col("id")).alias("key"))
+    numbered = skew.dealt(facts, "key", None, "_salt").repartition(16, "key", "_salt")
+    largest = numbered.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert largest < 2 * 4000 / 16
 
 
 def test_broadcast_only_after_counting(spark):
-    small, large = spark.range(5), spark.range(50)
+    small, large = spark.range(5), spark.range(5000)
     plan = lambda df: df._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" in plan(skew.broadcast_if_small(small, 10))
-    assert "ResolvedHint" not in plan(skew.broadcast_if_small(large, 10))
+    assert "ResolvedHint" in plan(skew.broadcast_if_small(small, 1000))
+    assert "ResolvedHint" not in plan(skew.broadcast_if_small(large, 1000))
 
 
 def test_exact_quantiles_chunked(spark):
@@ -70,7 +88,7 @@ def test_exact_quantiles_chunked(spark):
     df = spark.createDataFrame(data, "a double, b double")
     shares = {"low": 0.1, "mid": 0.5, "high": 0.97}
     expected = {n: df.agg(*[F.percentile(n, F.lit(s)) for s in shares.values()]).first() for n in ("a", "b")}
-    for limits in ({}, {"max_group_rows": 1, "chunks": 4}):
+    for limits in ({}, {"rows_per_task": 20}):
         for row in profile.exact_quantiles(df, ["a", "b"], shares, **limits).collect():
             assert [row[n] for n in shares] == pytest.approx(list(expected[row["feature"]]))
 
@@ -84,7 +102,7 @@ def test_last_before_first_with_hot_key(spark):
     notes = [(i, "hot", "bot" if i < 700 else "agent", i) for i in range(1000)] + [(2000, "a", "agent", 1), (2001, "a", "bot", 2), (2002, "b", "bot", 3)]
     df = spark.createDataFrame(notes, "id long, key string, who string, at int")
     bot = F.col("who") == "bot"
-    for limits in ({}, {"share": 0.1, "min_rows": 10, "salts": 4}):
+    for limits in ({}, {"rows_per_task": 100}):
         found = {r["key"]: (r["first"]["id"], r["before"] and r["before"]["id"]) for r in lookups.last_before_first(df, "key", "id", ~bot, bot, ["at"], **limits).collect()}
         assert found == {"hot": (700, 699), "a": (2000, None)}
 
@@ -93,7 +111,7 @@ def test_history_of_missing_and_repeated_people(spark):
     data = [(1, "S1", "A", "$10.5"), (2, None, "B", "7"), (3, "s1", "C", "$3"), (4, None, "D", None), (5, "S1", "E", "bad")]
     df = spark.createDataFrame(data, "id long, social string, type string, salary string")
     expected = [(1, 1, 10.5, None), (2, 0, None, None), (3, 2, 3.0, "A"), (4, 0, None, None), (5, 3, 3.0, "C")]
-    for limits in ({}, {"max_group_rows": 1, "chunks": 3}):
+    for limits in ({}, {"rows_per_task": 3}):
         rows = history.application_history(df, **limits).collect()
         assert sorted((r["id"], r["times_applied"], r["min_salary"] and float(r["min_salary"]), r["previous_type"]) for r in rows) == expected
 
@@ -104,11 +122,14 @@ def test_auc_properties(spark):
     wins = sum((a > b) + 0.5 * (a == b) for a, p in data if p for b, n in data if not n)
     pos = sum(y for _, y in data)
     expected = wins / (pos * (len(data) - pos))
-    for limits in ({}, {"max_group_rows": 1, "chunks": 3}):
+    for limits in ({}, {"rows_per_task": 3}):
         assert evaluate.roc_auc(df, "s", "y", **limits).first()["auc"] == pytest.approx(expected)
     assert evaluate.roc_auc(df.withColumn("s", -F.col("s")), "s", "y").first()["auc"] == pytest.approx(1 - expected)
     assert evaluate.roc_auc(df.where("y = 1"), "s", "y").first()["auc"] is None
     assert evaluate.no_skill(df, "y").first()["auc"] == 0.5
+    odd = df.unionByName(spark.createDataFrame([(float("nan"), 1), (None, 0), (0.5, None)], "s double, y int"))
+    for limits in ({}, {"rows_per_task": 3}):
+        assert evaluate.roc_auc(odd, "s", "y", **limits).first()["auc"] == pytest.approx(expected)
 
 
 def test_bins_cover_all_rows(spark):
