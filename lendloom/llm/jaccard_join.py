@@ -145,7 +145,7 @@ def set_names(docs: DataFrame, id_column: str = "doc_id", column: str = "text",
     return docs.where(F.col(id_column).isNotNull()).select(id_column, column).mapInArrow(name, "doc_id long, n_shingles long, h1 long, h2 long, least long")
 
 
-def _only(docs: DataFrame, ids: DataFrame, id_column: str, how: str) -> DataFrame:
+def only(docs: DataFrame, ids: DataFrame, id_column: str, how: str) -> DataFrame:
     """Documents with (or without) an id. The ids are broadcast if they are counted to be few, else joined by a shuffle."""
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     ids = ids.select(F.col(ids.columns[0]).alias("_only"))
@@ -221,7 +221,7 @@ def _kept_sets(docs: DataFrame, id_column: str, column: str, size: int) -> DataF
 
     def keep(batches):
         for ids, sets in _sets(batches, id_column, column, size):
-            hist = [np.minimum(np.bincount((mix(s ^ _HIST) >> np.uint64(57)).astype(np.int64), minlength=HISTOGRAM), 65535).astype("<u2").tobytes() for s in sets]
+            hist = [np.minimum(np.bincount((mix(s ^ _HIST) >> np.uint64(57)).astype(np.int64), minlength=HISTOGRAM), 32767).astype("<u2").tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [ids.cast(pa.int64()), pa.array(list(map(len, sets)), pa.int64()), pa.array(hist, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc", "n", "hist", "shingles"])
 
@@ -279,21 +279,37 @@ def _rest(shared: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -
     rows = rows.withColumn("blocks", blocks).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc", "comp", "n", "hist")
 
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        i, j = frame["i"].iloc[0], frame["j"].iloc[0]
-        left, right = (frame[frame["own"] == k].sort_values("doc") for k in (i, j))
-        doc, comp, n, hist = right["doc"].to_numpy(), right["comp"].to_numpy(), right["n"].to_numpy(), _histograms(right["hist"])
-        a, b = [], []
-        for d, c, m, h in zip(left["doc"], left["comp"], left["n"], left["hist"]):
-            far = np.flatnonzero(comp != c)
-            far = far[_may_link(n[far], m, 0, percent)]
-            far = far[_may_link(n[far], m, np.abs(hist[far] - np.frombuffer(h, "<u2").astype(np.int32)).sum(axis=1), percent)]
-            a.append(np.minimum(doc[far], d))
-            b.append(np.maximum(doc[far], d))
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-        return pd.DataFrame(np.unique(np.stack([a, b], axis=1), axis=0), columns=["a", "b"])
-
-    return rows.groupBy("sig", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    def compare(batches):
+        table = pa.Table.from_batches(list(batches))
+        if not table.num_rows:
+            return
+        sig, i, j, own, doc, comp, n = (table.column(c).to_numpy() for c in ("sig", "i", "j", "own", "doc", "comp", "n"))
+        order = np.lexsort((doc, own, j, i, sig))
+        group = np.cumsum(np.concatenate([[True], (np.diff(sig[order]) != 0) | (np.diff(i[order]) != 0) | (np.diff(j[order]) != 0)]))
+        _, first, code = np.unique(doc, return_index=True, return_inverse=True)
+        hist = _histograms(table.column("hist").take(pa.array(first)).to_pylist()).astype(np.int16)
+        doc, comp, n, code, own, across = doc[first], comp[first], n[first], code[order], own[order], (i != j)[order]
+        # Members of a group stand together: compare each with the one ``step`` places on, as long as any group is that long.
+        seen, held = np.zeros(0, np.int64), 0
+        found: list[np.ndarray] = []
+        for step in range(1, int(np.bincount(group).max())):
+            at = np.flatnonzero(group[step:] == group[:-step])
+            at = at[~across[at] | (own[at] != own[at + step])]
+            x, y = code[at], code[at + step]
+            ok = (comp[x] != comp[y]) & _may_link(n[x], n[y], 0, percent)
+            pair = np.unique(np.minimum(x[ok], y[ok]) * len(doc) + np.maximum(x[ok], y[ok]))
+            pair = np.setdiff1d(pair, seen, assume_unique=True)
+            held += len(pair)
+            for part in np.array_split(pair, max(1, len(pair) // 50_000)):
+                x, y = part // len(doc), part % len(doc)
+                found.append(part[_may_link(n[x], n[y], np.abs(hist[x] - hist[y]).sum(axis=1, dtype=np.int64), percent)])
+            if held < 5_000_000:  # beyond this a pair may be looked at again, which changes nothing
+                seen = np.union1d(seen, pair)
+        pair = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(doc[pair // len(doc)]), pa.array(doc[pair % len(doc)])], names=["a", "b"])
+
+    parts = max(partitions_of(shared), shared.sparkSession.sparkContext.defaultParallelism)
+    return rows.repartition(parts, "sig", "i", "j").mapInArrow(compare, "a long, b long").distinct()
 
 
 def jaccard_components(docs: DataFrame, *, id_column: str = "doc_id", column: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
@@ -308,9 +324,9 @@ def jaccard_components(docs: DataFrame, *, id_column: str = "doc_id", column: st
     plan = Plan(largest, percent, _statistics(names, classes, largest))
     single = names.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id")
     absent = copies.select("doc_id").join(single, "doc_id", "left_anti")
-    reps = _only(docs, absent, id_column, "left_anti")
+    reps = only(docs, absent, id_column, "left_anti")
     shared = written(shared_signatures(reps, plan, id_column, column, size).distinct(), "signatures")
-    sets = written(_kept_sets(_only(reps, shared.select("doc").distinct(), id_column, "left_semi"), id_column, column, size), "candidates")
+    sets = written(_kept_sets(only(reps, shared.select("doc").distinct(), id_column, "left_semi"), id_column, column, size), "candidates")
     first = written(_verified(_stars(shared), sets, percent), "links")
     labels = written(components(first), "labels")
     second = _verified(_rest(shared, labels, sets, percent), sets, percent)
