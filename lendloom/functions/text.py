@@ -75,9 +75,20 @@ def prefix_before_bracket(text: Column, width: int = 30) -> Column:
     return F.regexp_extract(F.substring(text, 1, width), r"^[^\[%]*", 0)
 
 
-def percent_to_fraction(text: Column) -> Column:
-    """'93%' -> 0.93; NULL when the rest is no number."""
-    return F.regexp_replace(text.cast("string"), r"^%+|%+$", "").try_cast("double") / 100
+def is_number(value: Column) -> Column:
+    """Whether the column's type is numeric: known when the plan is made, so it costs nothing per row."""
+    return F.regexp_like(F.typeof(value), F.lit("^(tinyint|smallint|int|bigint|float|double|decimal.*)$"))
+
+
+def percent_to_fraction(value: Column) -> Column:
+    """'93%' -> 0.93; NULL when the rest is no number. A column that holds numbers is a fraction already."""
+    text = F.regexp_replace(value.cast("string"), r"^%+|%+$", "").try_cast("double") / 100
+    return F.when(is_number(value), value.try_cast("double")).otherwise(text)
+
+
+def label_text(value: Column) -> Column:
+    """A label as text: numbers of any type in one form ('1.0'), so that fitted labels meet the same values in another type."""
+    return F.when(is_number(value), value.try_cast("double").cast("string")).otherwise(value.cast("string"))
 
 
 def to_number(text: Column, divisor: float = 1.0) -> Column:

@@ -12,17 +12,19 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendloom.functions.text import lookup_literal
+from lendloom.functions.text import label_text, lookup_literal
 from lendloom.operators.profile import exact_quantiles, label_counts, label_rates, value_shares
+from lendloom.operators.skew import broadcast_if_small
+from lendloom.session import checkpointed
 
-LITERAL_LABELS = 2_000
-HELD_ROWS = 20_000
+def held(state: DataFrame) -> DataFrame:
+    """A fitted state, kept in the shared folder, so that using it does not fit it again."""
+    return checkpointed(state)
 
 
-def held(state: DataFrame, max_rows: int = HELD_ROWS) -> DataFrame:
-    """A small state as a local table, so that using it does not fit it again; a larger one is left as it is."""
-    rows = state.limit(max_rows + 1).collect()
-    return state.sparkSession.createDataFrame(rows, state.schema) if len(rows) <= max_rows else state
+def as_labels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns as label text, one form for numbers of any type."""
+    return df.withColumns({c: label_text(F.col(c)) for c in columns}) if columns else df
 
 
 def bucket_of(*keys: Column | str) -> Column:
@@ -90,7 +92,7 @@ def fit_rare(train: DataFrame, columns: Sequence[str], min_share: float = 0.01)
     'rare' becomes a frequent label itself when the merged rows exceed the share, as a
     second fitting round would find.
     """
-    counts = label_counts(train, columns)
+    counts = label_counts(as_labels(train, columns), columns)
     per_feature = counts.groupBy("feature").agg(
         F.sum("n").alias("size"),
         F.count("*").alias("values"),
@@ -125,7 +127,7 @@ def apply_rare(df: DataFrame, state: DataFrame) -> DataFrame:
     changed = {}
     for name, labels in frequent.items():
         if name in df.columns:
-            text = F.col(name).cast("string")
+            text = label_text(F.col(name))
             changed[name] = F.when(text.isin(labels), text).otherwise(F.lit(replacement[name]))
     return df.withColumns(changed) if changed else df
 
@@ -142,28 +144,21 @@ def scarce_binary(df: DataFrame, columns: Sequence[str], max_share: float = 0.2)
 
 def fit_target(train: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """(feature, label, rate): mean target per label, no smoothing."""
-    return label_rates(train, columns, target).select("feature", "label", F.col("bad_rate").alias("rate"))
+    return label_rates(as_labels(train, columns), columns, target).select("feature", "label", F.col("bad_rate").alias("rate"))
 
 
 def apply_target(df: DataFrame, state: DataFrame, default: float | None = None) -> DataFrame:
     """Replace labels by their rate; unseen labels give ``default``.
 
-    Small states become literal maps. A state that was fitted on many labels is joined,
-    one column at a time.
+    Every encoded column meets the rates of its own labels; the state is joined, one column
+    at a time, by the skew-safe join, since the mode owns most rows.
     """
-    rows = state.limit(LITERAL_LABELS + 1).collect()
-    if len(rows) <= LITERAL_LABELS:
-        maps: dict[str, dict[str, float]] = {}
-        for row in rows:
-            if row["feature"] in df.columns:
-                maps.setdefault(row["feature"], {})[row["label"]] = row["rate"]
-        rates = {name: lookup_literal(F.col(name).cast("string"), labels) for name, labels in maps.items()}
-        return df.withColumns({name: F.coalesce(rate, F.lit(default).cast("double")) for name, rate in rates.items()})
     features = [r["feature"] for r in state.select("feature").distinct().collect()]  # one row per column
     for name in [f for f in features if f in df.columns]:
         part = state.where(F.col("feature") == name).select(F.col("label").alias("_label"), F.col("rate").alias("_rate"))
-        joined = df.join(part, F.col(name).cast("string") == F.col("_label"), "left")
-        df = joined.withColumn(name, F.coalesce("_rate", F.lit(default).cast("double"))).drop("_label", "_rate")
+        labelled = df.withColumn("_label", label_text(F.col(name)))
+        joined = labelled.join(broadcast_if_small(part), "_label", "left")
+        df = joined.withColumn(name, F.coalesce("_rate", F.lit(default).cast("double"))).select(*df.columns)
     return df
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -36,6 +37,10 @@ class Scorer:
     default_rate: float = 0.0
 
     def save(self, folder: str) -> None:
+        """States, model, column lists and the rate of unseen labels."""
+        settings = {"features": list(self.features), "labels": list(self.labels), "percent": list(self.percent), "dates": list(self.dates), "bank": self.bank, "default_rate": self.default_rate}
+        spark = self.missing.sparkSession
+        save_state(spark.createDataFrame([(json.dumps(settings),)], "settings string"), f"{folder}/settings")
         for name in ("missing", "rare", "target"):
             save_state(getattr(self, name), f"{folder}/{name}")
         save_model(self.model, f"{folder}/model")
@@ -43,7 +48,8 @@ class Scorer:
     @classmethod
     def load(cls, spark: SparkSession, folder: str, **columns) -> Scorer:
         states = {name: load_state(spark, f"{folder}/{name}") for name in ("missing", "rare", "target")}
-        return cls(model=load_model(f"{folder}/model"), **states, **columns)
+        saved = json.loads(load_state(spark, f"{folder}/settings").first()["settings"])
+        return cls(model=load_model(f"{folder}/model"), **states, **(saved | columns))
 
 
 def source_columns(features: Sequence[str]) -> list[str]:

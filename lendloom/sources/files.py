@@ -42,9 +42,30 @@ def request_schema(columns: dict[str, str]) -> str:
     return ", ".join(f"`{name}` array<{kind}>" for name, kind in columns.items())
 
 
+def _parsed(df: DataFrame, column: str, columns: dict[str, str], keep: Sequence[str]) -> DataFrame:
+    schema = f"{request_schema(columns)}, `_bad` string"
+    request = F.from_json(F.col(column), schema, {"columnNameOfCorruptRecord": "_bad"})
+    return df.select(*keep, F.col(column).alias("_text"), request.alias("_request"))
+
+
+def request_rejects(df: DataFrame, column: str, columns: dict[str, str], keep: Sequence[str] = ()) -> DataFrame:
+    """(keep, text, reason) of requests that give no rows, or whose lists differ in length: malformed, empty, uneven."""
+    parsed = _parsed(df, column, columns, keep)
+    sizes = [F.size(F.coalesce(F.col(f"_request.{name}"), F.array())) for name in columns]
+    longest, shortest = (F.greatest(*sizes), F.least(*sizes)) if len(sizes) > 1 else (sizes[0], sizes[0])
+    reason = (
+        F.when(F.col("_request").isNull() | F.col("_request._bad").isNotNull(), "malformed")
+        .when(longest == 0, "empty").when(longest != shortest, "uneven")
+    )
+    return parsed.select(*keep, F.col("_text").alias("text"), reason.alias("reason")).where("reason IS NOT NULL")
+
+
 def request_rows(df: DataFrame, column: str, columns: dict[str, str], keep: Sequence[str] = ()) -> DataFrame:
-    """One row per position of the lists in a request text; shorter lists are padded with NULL."""
-    parsed = df.select(*keep, F.from_json(F.col(column), request_schema(columns)).alias("_request"))
+    """One row per position of the lists in a request text; shorter lists are padded with NULL.
+
+    A text that is no request gives no row here: ``request_rejects`` lists it.
+    """
+    parsed = _parsed(df, column, columns, keep).where(F.col("_request._bad").isNull())
     zipped = F.arrays_zip(*[F.coalesce(F.col(f"_request.{name}"), F.array()).alias(name) for name in columns])
     return parsed.select(*keep, F.explode(zipped).alias("_row")).select(*keep, *[F.col(f"_row.{name}").alias(name) for name in columns])
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from lendloom.plans.scoring import Scorer, score
-from lendloom.sources.files import request_rows
+from lendloom.sources.files import request_rejects, request_rows
 
 
 def read_requests(spark: SparkSession, folder: str, columns: dict[str, str], files_per_trigger: int = 1000) -> DataFrame:
@@ -15,6 +15,12 @@ def read_requests(spark: SparkSession, folder: str, columns: dict[str, str], fil
     return request_rows(lines, "value", columns)
 
 
+def read_rejects(spark: SparkSession, folder: str, columns: dict[str, str], files_per_trigger: int = 1000) -> DataFrame:
+    """Stream of the request lines that cannot be scored, with the reason: for a sink of its own beside the scores."""
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(folder)
+    return request_rejects(lines, "value", columns)
+
+
 def score_stream(requests: DataFrame, scorer: Scorer, key: str, as_of: Column) -> DataFrame:
     return score(requests, scorer, key, as_of)
 

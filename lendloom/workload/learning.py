@@ -185,7 +185,7 @@ def saved_model_score(spark, folder):
     scorer, test = fitted_scorer(spark, folder)
     path = scratch_dir(spark, "scorer")
     scorer.save(path)
-    return score(test, Scorer.load(spark, path, default_rate=scorer.default_rate, **SCORER_COLUMNS), "id", as_of())
+    return score(test, Scorer.load(spark, path), "id", as_of())
 
 
 @query("stream_score")

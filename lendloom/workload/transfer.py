@@ -23,13 +23,13 @@ def csv_round_trip(spark, folder):
 
 @query(
     "csv_append",
-    "SELECT o_orderstatus AS status, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders WHERE o_orderstatus IN ('F', 'P') GROUP BY 1",
+    "SELECT o_orderstatus AS status, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY 1",
 )
 def csv_append(spark, folder):
     path = scratch_dir(spark, "csv")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
-    for status in ("F", "P"):
-        files.write_csv(orders.where(F.col("o_orderstatus") == status), path, mode="append")
+    for half in (0, 1):
+        files.write_csv(orders.where(F.col("o_orderkey") % 2 == half), path, mode="append")
     back = files.read_csv(spark, path, "o_orderkey bigint, o_orderstatus string", multi_line=False)
     return back.groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
 
@@ -71,3 +71,20 @@ SELECT o_orderkey, o_custkey AS customer, 'said "' || o_orderpriority || '"' AS
 def request_rows(spark, folder):
     columns = {"customer": "bigint", "note": "string", "share": "double"}
     return files.request_rows(request_texts(spark, folder), "json", columns, keep=["o_orderkey"])
+
+
+@query(
+    "request_rejects",
+    """
+SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'malformed' WHEN 1 THEN 'uneven' ELSE 'empty' END AS reason FROM orders WHERE o_orderkey % 4 < 3
+""",
+)
+def request_rejects(spark, folder):
+    """Requests that were cut short, have lists of unequal length, or hold nothing come back with their ids."""
+    row = F.col("o_orderkey") % 4
+    texts = request_texts(spark, folder).select(
+        "o_orderkey",
+        F.when(row == 0, F.expr("substring(json, 1, 20)")).when(row == 1, F.regexp_replace("json", r'"customer":\[', '"customer":[7,')).when(row == 2, F.lit("{}")).otherwise(F.col("json")).alias("json"),
+    )
+    columns = {"customer": "bigint", "note": "string", "share": "double"}
+    return files.request_rejects(texts, "json", columns, keep=["o_orderkey"]).select("o_orderkey", "reason")

@@ -60,12 +60,20 @@ def test_target_rates_in_range_and_unseen(spark):
     assert [r[0] for r in encode.apply_target(new, fitted, 0.3).collect()] == [0.5, 0.3, 0.3]
 
 
-def test_large_state_is_joined(spark, monkeypatch):
-    train = spark.range(60).select(F.col("id").cast("string").alias("v"), (F.col("id") % 2).cast("int").alias("y"))
+def test_large_state(spark):
+    train = spark.range(3000).select(F.col("id").cast("string").alias("v"), (F.col("id") % 2).cast("int").alias("y"))
     fitted = encode.fit_target(train, ["v"], "y")
-    literal = sorted(r[0] for r in encode.apply_target(train, fitted).select("v").collect())
-    monkeypatch.setattr(encode, "LITERAL_LABELS", 10)
-    assert sorted(r[0] for r in encode.apply_target(train, fitted).select("v").collect()) == literal
+    assert encode.apply_target(train, fitted).where("v <> y OR v IS NULL").count() == 0
+
+
+def test_labels_of_another_number_type(spark):
+    """States fitted on INT hold for the same values as DOUBLE, text labels are untouched."""
+    train = spark.createDataFrame([(i % 3, str(i % 3), i % 2) for i in range(90)], "n int, t string, y int")
+    rare, rates = encode.fit_rare(train.withColumn("n", F.col("n") * 10), ["n"], 0.0), encode.fit_target(train, ["n", "t"], "y")
+    wide = train.select(F.col("n").cast("double"), "t", "y")
+    assert encode.apply_rare(wide.withColumn("n", F.col("n") * 10), rare).where("n IN ('0.0', '10.0', '20.0')").count() == 90
+    assert encode.apply_target(wide, rates).collect() == encode.apply_target(train, rates).collect()
+    assert encode.apply_target(wide, rates).where("n IS NULL OR t IS NULL").count() == 0
 
 
 def test_states_come_from_train_rows_only(spark):

@@ -125,7 +125,8 @@ def test_stream_equals_batch(spark, applicants, scorer, tmp_path):
 
 def test_saved_scorer(spark, applicants, scorer, tmp_path):
     scorer.save(str(tmp_path / "s"))
-    loaded = Scorer.load(spark, str(tmp_path / "s"), default_rate=scorer.default_rate, **COLUMNS)
+    loaded = Scorer.load(spark, str(tmp_path / "s"))
+    assert loaded.default_rate == scorer.default_rate and tuple(loaded.features) == COLUMNS["features"]
     pick = lambda s: sorted(score(applicants, s, "id", as_of()).select("id", "score").collect())
     assert pick(loaded) == pick(scorer)
 
