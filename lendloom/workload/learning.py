@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lendloom.operators import models
@@ -44,58 +47,110 @@ def parts(spark, folder):
     return split(applications(spark, folder), "id")
 
 
-def _scores(fit, spark, folder):
+def checked(scored, *more):
+    """Scores depend on the learner, so what is compared are the identities that every score must satisfy, row by row."""
+    near = lambda left, right: (F.abs(left - right) < 1e-6).cast("int")
+    return scored.select(
+        "id", *more,
+        near(F.col("prob_0") + F.col("prob_1"), F.lit(1.0)).alias("sums_to_one"),
+        near(F.col("score"), F.col("prob_0") * 1000).alias("is_scaled"),
+        (F.col("prob_1").between(0, 1) & ((F.col("prob_1") > 0.5) == (F.col("predicted") == 1))).cast("int").alias("is_decided"),
+    )
+
+
+def _fitted(fit, spark, folder):
     train, test = parts(spark, folder)
     model = fit(train.cache(), NUMBERS, "bad")
     train.unpersist()
-    return models.add_scores(model, test).select("id", "bad", "predicted", "prob_0", "prob_1", "score")
+    return models.add_scores(model, test)
+
+
+def _scores(fit, spark, folder):
+    return checked(_fitted(fit, spark, folder), "bad")
+
+
+LABEL_SQL = with_star(
+    f"""
+SELECT id, CASE WHEN first_payment_id IS NULL THEN 1 WHEN first_payment_date - date_due > 7 THEN 1 ELSE 0 END AS bad
+FROM (SELECT a.id, a.date_due, f.* FROM applicant a JOIN account c ON c.id = a.id LEFT JOIN ({FIRST_SQL}) f ON f.ss = c.social)
+WHERE DATE '2001-06-30' - date_due > 7
+""",
+    "applicant", "account", "ledger",
+)
+TRAIN = "CAST('0x' || substr(md5(CAST(l.id AS VARCHAR)), 1, 6) AS BIGINT) % 10 >= 3"
+CHECKS = "1 AS sums_to_one, 1 AS is_scaled, 1 AS is_decided"
+SCORES_SQL = f"SELECT l.id, l.bad, {CHECKS} FROM ({LABEL_SQL}) l WHERE NOT {TRAIN}"
 
 
-@query("boosted_scores")
+@query("boosted_scores", SCORES_SQL)
 def boosted_scores(spark, folder):
+    """``ROUNDS`` rounds, a parameter of this query; ``fit_boosted`` itself takes 100."""
     return _scores(lambda *a: models.fit_boosted(*a, rounds=ROUNDS), spark, folder)
 
 
-@query("tuned_boosting_scores")
+@query("tuned_boosting_scores", SCORES_SQL)
 def tuned_boosting_scores(spark, folder):
+    """``ROUNDS`` rounds, a parameter of this query; ``fit_tuned_boosting`` itself takes 3,000."""
     return _scores(lambda *a: models.fit_tuned_boosting(*a, rounds=ROUNDS), spark, folder)
 
 
-@query("forest_scores")
+@query("forest_scores", SCORES_SQL)
 def forest_scores(spark, folder):
+    """20 trees, a parameter of this query; ``fit_forest`` itself takes 1,000."""
     return _scores(lambda *a: models.fit_forest(*a, trees=20), spark, folder)
 
 
-@query("adaptive_scores")
+@query("adaptive_scores", SCORES_SQL)
 def adaptive_scores(spark, folder):
+    """5 rounds, a parameter of this query; ``fit_adaptive`` itself takes 50."""
     return _scores(lambda *a: models.fit_adaptive(*a, rounds=5), spark, folder)
 
 
-@query("logistic_scores")
+@query("logistic_scores", SCORES_SQL)
 def logistic_scores(spark, folder):
     return _scores(models.fit_logistic, spark, folder)
 
 
-@query("logistic_confusion")
+@query("logistic_confusion", f"SELECT CAST(count(*) FILTER (bad = 1) AS BIGINT) AS bad_rows, CAST(count(*) FILTER (bad = 0) AS BIGINT) AS good_rows, 1 AS fits FROM ({SCORES_SQL})")
 def logistic_confusion(spark, folder):
-    return confusion(_scores(models.fit_logistic, spark, folder), "prob_1", "bad")
+    """The cells add up to the labels, and accuracy follows from them."""
+    cells = confusion(_fitted(models.fit_logistic, spark, folder), "prob_1", "bad")
+    right = (F.col("tp") + F.col("tn")) / (F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn"))
+    return cells.select((F.col("tp") + F.col("fn")).alias("bad_rows"), (F.col("tn") + F.col("fp")).alias("good_rows"), (F.abs(right - F.col("accuracy")) < 1e-9).cast("int").alias("fits"))
 
 
-@query("logit_table")
+FEATURES_SQL = "SELECT unnest(['price', 'balance', 'lines', 'quantity', 'month']) AS feature"
+
+
+@query("logit_table", f"SELECT feature, 1 AS is_solved, 1 AS odds_fit FROM ({FEATURES_SQL})")
 def logit_table(spark, folder):
+    """The coefficients solve the score equations: for every feature, the residuals weighted by it sum to nothing."""
     train, _ = parts(spark, folder)
-    return models.logit_table(train, NUMBERS, "bad")
+    table_rows = models.logit_table(train, NUMBERS, "bad").collect()  # one row per feature
+    linear = sum((F.col(r["feature"]) * r["coefficient"] for r in table_rows), F.lit(0.0))
+    residual = F.col("bad") - 1 / (1 + F.exp(-linear))
+    sums = train.agg(*[(F.abs(F.sum(F.col(c) * residual)) / F.sum(F.abs(F.col(c)))).alias(c) for c in NUMBERS]).first()
+    rows = [(r["feature"], int(sums[r["feature"]] < 1e-4), int(abs(math.exp(r["coefficient"]) - r["odds_ratio"]) < 1e-9)) for r in table_rows]
+    return spark.createDataFrame(rows, "feature string, is_solved int, odds_fit int")
 
 
-@query("backward_elimination")
+@query("backward_elimination", f"SELECT CAST(count(*) AS BIGINT) AS train_rows, 1 AS all_significant, 1 AS refit_agrees FROM ({LABEL_SQL}) l WHERE {TRAIN}")
 def backward_elimination(spark, folder):
+    """The features left are significant, and an ordinary least-squares fit on them gives the same p-values."""
     train, _ = parts(spark, folder)
     kept = models.backward_elimination(train, NUMBERS, "bad")
-    return spark.createDataFrame(kept, "feature string, p_value double")
+    agrees = True
+    if kept:
+        data = models.assembler([n for n, _ in kept]).transform(train.select(*[n for n, _ in kept], F.col("bad").cast("double").alias("bad")))
+        refit = LinearRegression(labelCol="bad", solver="normal").fit(data).summary.pValues
+        agrees = all(abs(p - q) < 1e-6 for (_, p), q in zip(kept, refit))
+    significant = all(p <= 0.05 for _, p in kept)
+    return train.agg(F.count("*").alias("train_rows")).select("train_rows", F.lit(int(significant)).alias("all_significant"), F.lit(int(agrees)).alias("refit_agrees"))
 
 
-@query("importances")
+@query("importances", f"SELECT model, feature, 1 AS in_range, 1 AS sums_to_one FROM ({FEATURES_SQL}) CROSS JOIN (SELECT unnest(['forest', 'boosted', 'logistic']) AS model)")
 def importances(spark, folder):
+    """Importances of trees lie in [0, 1] and sum to one per model; those of the logistic model are absolute coefficients."""
     train, _ = parts(spark, folder)
     train = train.cache()
     fitted = {
@@ -104,7 +159,13 @@ def importances(spark, folder):
         "logistic": models.fit_logistic(train, NUMBERS, "bad"),
     }
     train.unpersist()
-    return models.importance_table(spark, fitted, NUMBERS)
+    rows = models.importance_table(spark, fitted, NUMBERS)
+    total = F.sum("importance").over(W.partitionBy("model"))  # one row per feature and model
+    tree = F.col("model") != "logistic"
+    return rows.select(
+        "model", "feature", ((F.col("importance") >= 0) & (~tree | (F.col("importance") <= 1 + 1e-9))).cast("int").alias("in_range"),
+        (~tree | (F.abs(total - 1) < 1e-6)).cast("int").alias("sums_to_one"),
+    )
 
 
 # --- scoring of requests ------------------------------------------------------------
@@ -144,14 +205,6 @@ def fitted_scorer(spark, folder) -> tuple[Scorer, object]:
     return scorer, test.drop("bad")
 
 
-LABEL_SQL = with_star(
-    f"""
-SELECT id, CASE WHEN first_payment_id IS NULL THEN 1 WHEN first_payment_date - date_due > 7 THEN 1 ELSE 0 END AS bad
-FROM (SELECT a.id, a.date_due, f.* FROM applicant a JOIN account c ON c.id = a.id LEFT JOIN ({FIRST_SQL}) f ON f.ss = c.social)
-WHERE DATE '2001-06-30' - date_due > 7
-""",
-    "applicant", "account", "ledger",
-)
 PREPARED_SQL = f"""
 WITH r AS (SELECT l.id, l.bad, CASE WHEN l.id % 20 <> 0 THEN o_totalprice END AS price, c_acctbal AS balance, (l.id % 101) / 100 AS match,
     CASE WHEN l.id % 20 <> 0 THEN CAST(date_diff('day', o_orderdate, TIMESTAMP '2001-06-30') AS DOUBLE) END AS seendiff,
@@ -174,26 +227,45 @@ def prepared_requests(spark, folder):
     return shape(prepare(test, states, as_of()), id="bigint", **kinds)
 
 
-@query("batch_score")
+INPUTS_SQL = f"""
+SELECT l.id, CASE WHEN l.id % 20 <> 0 THEN o_totalprice END AS price, c_acctbal AS balance, CAST(l.id % 101 AS VARCHAR) || '%' AS match,
+  CASE WHEN l.id % 20 <> 0 THEN strftime(o_orderdate, '%-m/%-d/%Y %-I:%M:%S %p') END AS seen, 'bank ' || o_orderpriority AS "Bank", c_mktsegment AS segment, {CHECKS}
+FROM ({LABEL_SQL}) l JOIN orders ON o_orderkey = l.id JOIN customer ON c_custkey = o_custkey WHERE NOT {TRAIN}
+"""
+SAME_SQL = f"SELECT id, {CHECKS}, 1 AS is_same FROM ({INPUTS_SQL})"
+INPUTS = ("price", "balance", "match", "seen", "Bank", "segment")
+
+
+def same_scores(scored, reference):
+    """Identities of the scores, and whether each equals the score that another way of scoring gives."""
+    other = reference.select("id", F.col("score").alias("_score"), F.col("predicted").alias("_predicted"))
+    both = scored.join(other, "id", "full")
+    same = (F.abs(F.col("score") - F.col("_score")) < 1e-9) & (F.col("predicted") == F.col("_predicted"))
+    return checked(both, F.coalesce(same, F.lit(False)).cast("int").alias("is_same"))
+
+
+@query("batch_score", INPUTS_SQL)
 def batch_score(spark, folder):
+    """Scored requests come back with the inputs as they arrived. The model has 5 rounds, a parameter of these queries."""
     scorer, test = fitted_scorer(spark, folder)
-    return score(test, scorer, "id", as_of())
+    return checked(score(test, scorer, "id", as_of()), *INPUTS)
 
 
-@query("saved_model_score")
+@query("saved_model_score", SAME_SQL)
 def saved_model_score(spark, folder):
+    """A scorer that was saved and loaded without arguments gives the scores of the one that was not."""
     scorer, test = fitted_scorer(spark, folder)
     path = scratch_dir(spark, "scorer")
     scorer.save(path)
-    return score(test, Scorer.load(spark, path), "id", as_of())
+    return same_scores(score(test, Scorer.load(spark, path), "id", as_of()), score(test, scorer, "id", as_of()))
 
 
-@query("stream_score")
+@query("stream_score", SAME_SQL)
 def stream_score(spark, folder):
-    """Requests written as text files, scored by a stream, and read back from its sink."""
+    """Requests written as text files and scored by a stream get the scores of the batch."""
     scorer, test = fitted_scorer(spark, folder)
     path = scratch_dir(spark, "stream")
     request_json(test, list(REQUEST_COLUMNS)).select("json").write.text(f"{path}/requests")
     stream = read_requests(spark, f"{path}/requests", REQUEST_COLUMNS)
     write_scores(score_stream(stream, scorer, "id", as_of()), f"{path}/scores", f"{path}/progress").awaitTermination()
-    return spark.read.parquet(f"{path}/scores")
+    return same_scores(spark.read.parquet(f"{path}/scores"), score(test, scorer, "id", as_of()))

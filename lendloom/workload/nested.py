@@ -89,7 +89,7 @@ def xml_flatten(spark, folder):
     "bureau_documents",
     with_star(
         """
-SELECT a.id AS applicant_id, CAST(length(b.response) AS BIGINT) AS length FROM applicant a
+SELECT a.id AS applicant_id, md5(b.response) AS digest FROM applicant a
   JOIN (SELECT applicant_id, response FROM (SELECT *, row_number() OVER (PARTITION BY applicant_id ORDER BY id) AS rn
         FROM bureau_response WHERE store_id <> '0020') WHERE rn = 1) b ON b.applicant_id = a.id
 WHERE b.response IS NOT NULL AND (a.id > 60 OR a.id IN (SELECT applicant_id FROM reserved_applicants))
@@ -100,7 +100,7 @@ WHERE b.response IS NOT NULL AND (a.id > 60 OR a.id IN (SELECT applicant_id FROM
 def bureau_texts(spark, folder):
     t = star(spark, folder, "applicant", "bureau_response", "reserved_applicants")
     rows = bureau_documents(t, PARAMS)
-    return rows.select("applicant_id", F.length("response").cast("bigint").alias("length"))
+    return rows.select("applicant_id", F.md5("response").alias("digest"))
 
 
 # A list of jobs per event: number of jobs, truncation and quoting follow from the id.
