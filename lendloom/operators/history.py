@@ -51,10 +51,10 @@ def prior_applications(leads: DataFrame, applicants: DataFrame) -> DataFrame:
     lead_day = F.datediff(F.col("lead_ts").cast("date"), F.lit("1970-01-01").cast("date"))
     applied = (
         applicants.where(F.col("social").isNotNull() & F.col("dte").isNotNull())
-        .groupBy("social", (day + 1).alias("day"))
+        .groupBy(F.lower("social").alias("social"), (day + 1).alias("day"))
         .agg(F.count("*").alias("n"), F.max(F.struct("id", "type")).alias("last"))
     )
-    asked = leads.where(F.col("social").isNotNull()).select("social", lead_day.alias("day")).distinct()
+    asked = leads.where(F.col("social").isNotNull()).select(F.lower("social").alias("social"), lead_day.alias("day")).distinct()
     asked = asked.select("social", "day", F.lit(0).cast("bigint").alias("n"), F.lit(None).cast(applied.schema["last"].dataType).alias("last"))
     days = applied.unionByName(asked).groupBy("social", "day").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
     # one row per person and calendar day: a person has some ten thousand at most, however many applications
@@ -62,10 +62,10 @@ def prior_applications(leads: DataFrame, applicants: DataFrame) -> DataFrame:
     known = days.select("social", "day", F.sum("n").over(upto_day).alias("prior_count"), F.max("last").over(upto_day).alias("prior_last"))
     known = known.select("social", "day", "prior_count", F.col("prior_last.type").alias("prior_type"))
     return (
-        leads.withColumn("day", lead_day)
-        .join(known, ["social", "day"], "left")
+        leads.withColumns({"day": lead_day, "_person": F.lower("social")})
+        .join(known.withColumnRenamed("social", "_person"), ["_person", "day"], "left")
         .withColumns({"prior_count": F.coalesce("prior_count", F.lit(0)), "prior_type": F.coalesce("prior_type", F.lit(""))})
-        .drop("day")
+        .drop("day", "_person")
     )
 
 

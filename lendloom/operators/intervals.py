@@ -16,7 +16,7 @@ from lendloom.params import LeadParams
 def _billable(requests: DataFrame, source: Column, p: LeadParams) -> DataFrame:
     """Requests that named an employer; a NULL response does not count."""
     named = ~contains_text(F.col("response"), p.markers.no_employer)
-    return requests.where(F.col("social").isNotNull() & named & source).withColumn("price", employment_price(F.col("request_ts"), p))
+    return requests.where(F.col("social").isNotNull() & named & source).withColumn("social", F.lower("social")).withColumn("price", employment_price(F.col("request_ts"), p))
 
 
 def other_inquiries(requests: DataFrame, p: LeadParams) -> DataFrame:
@@ -44,7 +44,7 @@ def lead_inquiries(
     )
     applied = (
         applications.where(F.col("social").isNotNull() & F.col("app_ts").isNotNull())
-        .select("social", epoch_second(F.col("app_ts")).alias("app_second"))
+        .select(F.lower("social").alias("social"), epoch_second(F.col("app_ts")).alias("app_second"))
         .distinct()
         .withColumn("at", F.col("app_second") + shift_hours * 3600)
         .withColumn("slot", F.explode(F.array(*[slot(F.col("at")) + step for step in (-1, 0, 1)])))
@@ -61,8 +61,10 @@ def add_inquiries(applications: DataFrame, requests: DataFrame, p: LeadParams, *
     other = other_inquiries(requests, p).select(
         "social", F.col("inquiries").alias("other_inquiries"), F.col("inquiry_cost").alias("other_cost")
     )
-    timed = applications.withColumn("app_second", epoch_second(F.col("app_ts"))).join(near, ["social", "app_second"], "left")
-    joined = enrich(timed.drop("app_second"), other, "social", "left", **skew)
+    # a person is one whatever the case of the social; the column itself is kept as it came
+    person = applications.withColumns({"_person": F.lower("social"), "app_second": epoch_second(F.col("app_ts"))})
+    timed = person.join(near.withColumnRenamed("social", "_person"), ["_person", "app_second"], "left")
+    joined = enrich(timed.drop("app_second"), other.withColumnRenamed("social", "_person"), "_person", "left", **skew).drop("_person")
     zero = F.lit(0).cast("decimal(20,2)")
     return joined.withColumns(
         {name: F.coalesce(name, F.lit(0)) for name in ("lead_inquiries", "other_inquiries")}

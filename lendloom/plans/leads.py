@@ -13,6 +13,7 @@ runs at the end.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from lendloom.operators.membership import above_or_listed, between_dates
 from lendloom.operators.skew import broadcast_if_small, enrich, hot_keys
 from lendloom.operators.xmltab import LEAD_KEYS, named_values, parse_xml
 from lendloom.params import LeadParams
+from lendloom.session import checkpointed
 
 Tables = Mapping[str, DataFrame]
 
@@ -55,28 +57,30 @@ def carrier_lookups(t: Tables) -> dict[str, DataFrame]:
 
 
 def bureau_lookups(t: Tables, p: LeadParams) -> DataFrame:
-    """Three lookups on one table in one aggregation: any store but military, military, credit."""
+    """Three lookups on one table: any store but military, military, credit.
+
+    Only ids are aggregated; the documents of the chosen rows are read back by (applicant, id)
+    and parsed there, once each.
+    """
     store = F.col("store_id")
-    row = {name: F.col(name) for name in ("id", "store_id", "risk_score", "response")}
-    found = lookups(
-        t["bureau_response"],
-        "applicant_id",
-        {
-            "bureau": pick(row, F.col("id"), where=store != p.military_store),
-            "military": pick({"store_id": store}, F.col("id"), where=store == p.military_store),
-            "credit": pick(row, F.col("id"), where=store == p.credit_store),
-        },
+    first = lambda where: F.min(F.when(where, F.col("id")))
+    log = t["bureau_response"].where(F.col("applicant_id").isNotNull())
+    ids = log.groupBy("applicant_id").agg(
+        first(store != p.military_store).alias("bureau_response_id"), first(store == p.military_store).alias("_military"), first(store == p.credit_store).alias("_credit")
     )
-    return found.select(
-        "applicant_id",
-        F.col("bureau.id").alias("bureau_response_id"),
-        F.col("bureau.store_id").alias("bureau_store_id"),
-        F.col("bureau.risk_score").alias("risk_score"),
-        F.col("bureau.response").alias("bureau_response"),
-        F.col("military.store_id").alias("military_store_id"),
-        F.col("credit.risk_score").alias("credit_risk_score"),
-        F.col("credit.response").alias("credit_response"),
+    chosen = ids.select("applicant_id", F.explode(F.array("bureau_response_id", "_credit")).alias("id")).where("id IS NOT NULL").distinct()
+    rows = log.select("applicant_id", "id", "store_id", "risk_score", "response").join(chosen, ["applicant_id", "id"], "left_semi")
+    paid_off = lambda schema, *path: F.substring(reduce(lambda c, name: c[name], path, parse_xml(F.col("response"), schema)), 1, 10)
+    bureau = rows.select(
+        "applicant_id", F.col("id").alias("bureau_response_id"), F.col("store_id").alias("bureau_store_id"), "risk_score", F.col("response").alias("bureau_response"),
+        paid_off(_BUREAU, "ApplicationInfo", "LoanPerformance", "NumberofLoansPaidOff").alias("paid_off_loans"),
+    )
+    credit = rows.select(
+        "applicant_id", F.col("id").alias("_credit"), F.col("risk_score").alias("credit_risk_score"),
+        paid_off(_BUREAU_CREDIT, "LoanPerformance", "NumberofLoansPaidOff").alias("paid_off_loans_credit"), F.col("response").alias("credit_response"),
     )
+    found = ids.join(bureau, ["applicant_id", "bureau_response_id"], "left").join(credit, ["applicant_id", "_credit"], "left")
+    return found.withColumn("military_store_id", F.when(F.col("_military").isNotNull(), F.lit(p.military_store))).drop("_military", "_credit")
 
 
 def model_lookups(t: Tables, p: LeadParams) -> DataFrame:
@@ -104,7 +108,7 @@ def model_lookups(t: Tables, p: LeadParams) -> DataFrame:
 
 def note_lookups(t: Tables, p: LeadParams, **skew) -> DataFrame:
     """First human note, the last bot note before it, and the time between them."""
-    by_bot = F.col("submitted_by") == p.bot_user
+    by_bot = same_text(F.col("submitted_by"), p.bot_user)
     found = last_before_first(t["app_notes"], "cust_id", "id", ~by_bot, by_bot, ["note_ts"], **skew)
     human, bot = F.col("first.note_ts"), F.col("before.note_ts")
     return found.select(
@@ -149,6 +153,19 @@ def answered_applications(t: Tables, hot: DataFrame | None = None) -> DataFrame:
     return mapped.select("applicant_id", F.col("response").alias("employment_response")).distinct()
 
 
+_PER_APPLICATION = {
+    "bureau_response": "applicant_id", "identity_log": "applicant_id", "model_tracking": "applicant_id", "app_notes": "cust_id",
+    "open_transact_log": "applicant_id", "store_two": "applicant_id",
+}
+
+
+def _of_applications(t: Tables, wanted: DataFrame) -> Tables:
+    """The vendor logs with the rows of the wanted applications only, before anything is aggregated."""
+    ids = broadcast_if_small(checkpointed(wanted.select("id").distinct()))
+    own = {name: t[name].join(ids.select(F.col("id").alias(key)), key, "left_semi") for name, key in _PER_APPLICATION.items()}
+    return {**t, **own}
+
+
 def application_facts(t: Tables, p: LeadParams, only: DataFrame | None = None) -> DataFrame:
     """Filtered applications with everything that is known per application; ``only`` holds the ids to keep."""
     history = application_history(t["applicant"])
@@ -156,7 +173,8 @@ def application_facts(t: Tables, p: LeadParams, only: DataFrame | None = None) -
     wanted = above_or_listed(recent, "id", p.id_threshold, t["reserved_applicants"], "applicant_id")
     if only is not None:
         wanted = wanted.join(only.select(F.col("applicant_id").alias("id")), "id", "left_semi")
-    priced = add_inquiries(wanted, t["employment_request"], p, hot=hot_keys(t["applicant"], "social"))
+    t = _of_applications(t, wanted)
+    priced = add_inquiries(wanted, t["employment_request"], p, hot=hot_keys(t["applicant"].select(F.lower("social").alias("_person")), "_person"))
     facts = priced.withColumnRenamed("id", "applicant_id")
     reasons = t["auto_failure_x_applicant"].join(broadcast_if_small(t["auto_failure_reason"]), "reason_id", "left")
     notes = t["manual_reject_x"].join(broadcast_if_small(t["reject_note"]), "note_id", "left")
@@ -179,15 +197,7 @@ def application_facts(t: Tables, p: LeadParams, only: DataFrame | None = None) -
     ]
     for part in per_application:
         facts = facts.join(part, "applicant_id", "left")
-    facts = facts.withColumns(
-        {"_bureau": parse_xml(F.col("bureau_response"), _BUREAU), "_credit": parse_xml(F.col("credit_response"), _BUREAU_CREDIT)}
-    )
-    facts = facts.withColumns(
-        {
-            "paid_off_loans": F.substring(F.col("_bureau.ApplicationInfo.LoanPerformance.NumberofLoansPaidOff"), 1, 10),
-            "paid_off_loans_credit": F.substring(F.col("_credit.LoanPerformance.NumberofLoansPaidOff"), 1, 10),
-        }
-    ).drop("_bureau", "_credit", "credit_response")
+    facts = facts.drop("credit_response")
     states = t["states"].select(F.lower("name").alias("_state"), F.col("name").alias("state_name"), F.col("abbr").alias("state_abbr"))
     return facts.join(broadcast_if_small(states), F.lower("state") == F.col("_state"), "left").drop("_state")
 
@@ -206,11 +216,12 @@ def account_facts(t: Tables) -> DataFrame:
     """Accounts with ledger sums, first payment, first debit and card count."""
     accounts = t["account"].select(
         F.col("id").alias("account_id"),
-        F.col("social").alias("account_social"),
+        F.lower("social").alias("account_social"),
         F.col("type").alias("account_type"),
         F.col("aff_id").alias("account_aff_id"),
         F.col("date_due").alias("account_due"),
     )
+    t = {**t, "ledger": t["ledger"].withColumn("ss", F.lower("ss"))}  # one person whatever the case
     paid = first_payment(t["ledger"]).select("ss", F.col("id").alias("first_payment_id"), F.col("dte").alias("first_payment_date"))
     ledger = ledger_rollup(t["ledger"]).join(paid, "ss", "left").join(last_entry_type(t["ledger"]), "ss", "left")
     by_social = ledger.withColumnRenamed("ss", "account_social")
@@ -364,6 +375,7 @@ def wide_leads(t: Tables, p: LeadParams, xml_root: str = "loan_request", with_de
 def bureau_documents(t: Tables, p: LeadParams) -> DataFrame:
     """The other extraction: application id and the bureau response alone, for flattening."""
     wanted = above_or_listed(t["applicant"].select("id"), "id", p.id_threshold, t["reserved_applicants"], "applicant_id")
-    row = pick({"response": F.col("response")}, F.col("id"), where=F.col("store_id") != p.military_store)
-    found = lookups(t["bureau_response"], "applicant_id", {"row": row}).select("applicant_id", "row.response")
+    log = t["bureau_response"].where(F.col("applicant_id").isNotNull() & (F.col("store_id") != p.military_store))
+    first = log.groupBy("applicant_id").agg(F.min("id").alias("id"))
+    found = log.select("applicant_id", "id", "response").join(first, ["applicant_id", "id"], "left_semi").drop("id")
     return wanted.select(F.col("id").alias("applicant_id")).join(found, "applicant_id").where(F.col("response").isNotNull())

@@ -122,3 +122,12 @@ def test_default_flags_without_ledger_rows(spark):
 
 def test_states():
     assert len(STATE_NAMES) == 57 and STATE_NAMES["VI"] == "U.S. Virgin Islands"
+
+
+def test_percent_of_numbers_and_text(spark):
+    from lendloom.functions.text import label_text, percent_to_fraction
+
+    df = spark.createDataFrame([("93%", 0.93, 7), ("x", None, None), ("%5", 1.5, 0)], "t string, d double, i int")
+    got = df.select(*[percent_to_fraction(F.col(c)).alias(c) for c in df.columns]).collect()
+    assert [tuple(r) for r in got] == [(0.93, 0.93, 7.0), (None, None, None), (0.05, 1.5, 0.0)]
+    assert [tuple(r) for r in df.select(*[label_text(F.col(c)) for c in df.columns]).limit(1).collect()] == [("93%", "0.93", "7.0")]

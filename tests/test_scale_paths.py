@@ -147,3 +147,11 @@ def test_lookups_do_not_depend_on_partitioning(spark):
     first = lambda d: sorted(lookups.first_by(d, "key", "id", ["id", "value"]).collect())
     last = lambda d: sorted(lookups.keep_last(d, "key", "value", "id").collect())
     assert first(df.repartition(1)) == first(df.repartition(7)) and last(df.repartition(1)) == last(df.repartition(7))
+
+
+def test_a_person_is_one_whatever_the_case(spark):
+    applied = [(1, "S1", "A", "2021-01-01"), (2, "s1", "B", "2021-01-03"), (3, "s2", "C", "2021-01-02")]
+    applicants = spark.createDataFrame(applied, "id long, social string, type string, dte string").withColumn("dte", F.to_date("dte"))
+    leads = spark.createDataFrame([(9, "s1", "2021-01-05 10:00:00"), (8, "S1", "2021-01-02 10:00:00"), (7, "S2", "2021-01-02 10:00:00"), (6, None, None)], "lead_id long, social string, lead_ts string")
+    found = {r["lead_id"]: (r["social"], r["prior_count"], r["prior_type"]) for r in history.prior_applications(leads.withColumn("lead_ts", F.to_timestamp("lead_ts")), applicants).collect()}
+    assert found == {9: ("s1", 2, "B"), 8: ("S1", 1, "A"), 7: ("S2", 0, ""), 6: (None, 0, "")}
