@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendloom.operators.evaluate import roc_auc
-from lendloom.session import checkpointed
+from lendloom.session import checkpointed, set_checkpoint_folder
 
 
 def assembler(features: Sequence[str]) -> VectorAssembler:
@@ -32,6 +32,7 @@ def assembler(features: Sequence[str]) -> VectorAssembler:
 
 
 def _fit(learner, train: DataFrame, features: Sequence[str], label: str) -> PipelineModel:
+    set_checkpoint_folder(train.sparkSession)  # boosting cuts its lineage there
     data = train.select(*features, F.col(label).cast("double").alias(label))
     return Pipeline(stages=[assembler(features), learner]).fit(data)
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -25,12 +28,20 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "8g")
     return spark
 
 
+@functools.cache
+def _own_folder() -> str:
+    """One folder of this process, for a local master; it goes when the process ends."""
+    folder = tempfile.mkdtemp(prefix="lendloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def _shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="lendloom-")
+    if spark.sparkContext.master.startswith("local["):
+        return _own_folder()
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
 
 
@@ -39,9 +50,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{_shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def set_checkpoint_folder(spark: SparkSession) -> None:
+    """Checkpoints go to the shared folder, unless the session has one already."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(_shared_folder(spark))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage through reliable storage, so that a lost executor costs no recomputation."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(_shared_folder(df.sparkSession))
+    set_checkpoint_folder(df.sparkSession)
     return df.checkpoint()

@@ -154,15 +154,17 @@ def mode_labels(spark, folder):
     return profile.mode_labels(frame(spark, folder), TEXTS)
 
 
-@query(
-    "column_selection",
-    f"""
-WITH f AS ({FRAME}), n AS (SELECT count(*) AS n FROM f)
-SELECT * FROM (VALUES ('priority', 'categorical'), ('status', 'categorical'), ('half_price', 'dropped'), ('constant', 'dropped'),
-  ('mostly', 'near_constant'), ('price', 'numerical'), ('visits', 'numerical'), ('few', 'categorical')) AS v(feature, role)
-WHERE (SELECT n FROM n) > 0
-""",
+NUMERIC_KINDS = ("half_price", "price", "visits", "few")
+SELECTION_SQL = _each(
+    COLUMNS,
+    "SELECT '{c}' AS feature, CASE WHEN n = 0 OR (d = 1 AND n = rows) OR rows - n > 0.4 * rows THEN 'dropped' WHEN top >= 0.9 * rows THEN 'near_constant' "
+    "WHEN d >= 10 AND '{c}' IN " + str(NUMERIC_KINDS) + " THEN 'numerical' ELSE 'categorical' END AS role "
+    "FROM (SELECT (SELECT count(*) FROM f) AS rows, count({c}) AS n, count(DISTINCT {c}) AS d, "
+    "(SELECT max(k) FROM (SELECT count(*) AS k FROM f WHERE {c} IS NOT NULL GROUP BY {c})) AS top FROM f)",
 )
+
+
+@query("column_selection", SELECTION_SQL)
 def column_selection(spark, folder):
     rows = frame(spark, folder).drop("o_orderkey")
     dropped = profile.droppable_columns(rows)
