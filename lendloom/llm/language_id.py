@@ -50,7 +50,8 @@ def fit(
     names = sorted(counts)
     chance = F.xxhash64(F.col(id_column).cast("string"), F.lit("sample"))
     # Hashes below this hold about four times the wanted rows of a language, so few rows meet to be ranked.
-    shares = F.create_map(*(F.lit(x) for n in names for x in (n, int(-2**63 + 2**64 * min(1.0, 4 * sample_docs / counts[n]) - 2**12) if counts[n] > 4 * sample_docs else 2**63 - 1))) if names else F.lit(None)
+    bounds = {n: int(-2**63 + 2**64 * (4 * sample_docs / k)) if k > 4 * sample_docs else 2**63 - 1 for n, k in counts.items()}
+    shares = F.create_map(*(x for n in names for x in (F.lit(n), F.lit(bounds[n]).cast("long")))) if names else None
     ranked = known.select(F.col(id_column).alias("_id"), F.col(label).alias("_lang"), chance.alias("_h"))
     ranked = ranked.where(F.col("_h") <= shares[F.col("_lang")]) if names else ranked
     chosen = ranked.withColumn("_n", F.row_number().over(Window.partitionBy("_lang").orderBy("_h", "_id"))).where(F.col("_n") <= sample_docs)

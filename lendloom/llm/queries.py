@@ -21,6 +21,41 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+UP, LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+ALNUM_SQL = f"regexp_extract_all(translate(coalesce(text, ''), '{UP}', '{LOW}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+SPACED_SQL = f"regexp_extract_all(translate(coalesce(text, ''), '{UP}', '{LOW}'), '[^\\x20\\x09-\\x0D]+')"
+CONTAMINATION_SQL = f"""
+WITH b AS (SELECT CAST(item_id AS VARCHAR) AS item, {ALNUM_SQL} AS ws FROM benchmark WHERE item_id IS NOT NULL),
+bw AS (SELECT DISTINCT item, array_to_string(ws[i:i + least(len(ws), 13) - 1], ' ') AS win, least(len(ws), 13) AS n
+  FROM (SELECT item, ws, unnest(range(1, greatest(len(ws) - 13, 0) + 2)) AS i FROM b WHERE len(ws) > 0)),
+d AS (SELECT doc_id, {ALNUM_SQL} AS ws FROM documents),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (SELECT doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS win
+  FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d CROSS JOIN sizes WHERE len(ws) >= n)),
+hits AS (SELECT doc_id, i, dw.n, item FROM dw JOIN bw ON dw.win = bw.win),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN pos ON pos.doc_id = d.doc_id LEFT JOIN found ON found.doc_id = d.doc_id"""
+JACCARD_SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {SPACED_SQL} AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 5, 0) + 2)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT x, y FROM shared JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * k >= 80 * (nx.n + ny.n - k)),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) c ON c.x = d.doc_id"""
+VECTOR_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y),
+c AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT e.vec_id, coalesce(l.n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN c ON c.x = e.vec_id LEFT JOIN (SELECT x, count(*) AS n FROM links GROUP BY x) l ON l.x = e.vec_id"""
+
 LINE_SQL = r"""
 WITH lines AS (
   SELECT doc_id, place, line,
@@ -42,7 +77,7 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_lines(docs, min_docs=10, min_chars=1).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
-@query("op5_decontamination")
+@query("op5_decontamination", CONTAMINATION_SQL)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     from lendloom.llm.decontaminate import contamination
 
@@ -115,7 +150,7 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return extract(read(spark, folder, "pages").select("page_id", "url", "html"))
 
 
-@query("op3_jaccard_join")
+@query("op3_jaccard_join", JACCARD_SQL)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     from lendloom.llm.jaccard_join import jaccard_components
 
@@ -130,7 +165,7 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return score(read(spark, folder, "documents").select("doc_id", "text", held_out("doc_id", 5, 1).alias("held_out")))
 
 
-@query("op4_nn_descent")
+@query("op4_nn_descent", VECTOR_SQL)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     from lendloom.llm.nn_descent import near_duplicates
 

@@ -28,12 +28,14 @@ def rows_of(table):
     return duckdb.sql(f"SELECT * FROM '{FOLDER}/{table}.parquet'").fetchall()
 
 
-def test_jaccard_and_decontamination(spark):
+def test_the_sql_itself():
+    """The SQL of the links and of the contamination rule against plain Python."""
+    connection = oracle.connect(FOLDER)
     docs = [(r[0], r[1]) for r in rows_of("documents")]
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in QUERIES["op3_jaccard_join"](spark, FOLDER).collect()}
-    assert got == brute.jaccard_components(docs)
-    hits = sorted(tuple(r) for r in QUERIES["op5_decontamination"](spark, FOLDER).collect())
-    assert hits == sorted(brute.contamination(docs, rows_of("benchmark")))
+    links = {a: (n, c) for a, n, c in connection.execute(ORACLES["op3_jaccard_join"]).fetchall()}
+    assert links == brute.jaccard_components(docs)
+    hits = connection.execute(ORACLES["op5_decontamination"]).fetchall()
+    assert sorted(hits) == sorted(brute.contamination(docs, rows_of("benchmark")))
 
 
 def test_pipeline(spark):

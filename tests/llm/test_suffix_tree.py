@@ -57,7 +57,8 @@ def test_states_sum_to_one():
     assert not np.isnan(root.spare[0])
     total = 0.0
     for word, b in zip([11, 22, 33, 99], base):
-        total += chances(np.array([11, word], np.uint64), np.array([0.5, b]), [root, lower])[1]
+        words = np.array([11, word], np.uint64)
+        total += chances(words, root.find(words), np.array([0.5, b]), [root, lower])[1]
     assert total == pytest.approx(1.0)
 
 
@@ -66,7 +67,8 @@ def test_no_context_crosses_a_text():
     root.chance = np.array([0.5, 0.5])
     root.spare = np.array([0.25, 0.25])
     lower = Level(np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    got = chances(np.array([5, END_WORD, 7], np.uint64), np.array([0.5, 0.5, 0.1]), [root, lower])
+    words = np.array([5, END_WORD, 7], np.uint64)
+    got = chances(words, root.find(words), np.array([0.5, 0.5, 0.1]), [root, lower])
     assert got.tolist() == [0.5, 0.125, 0.1]
 
 
