@@ -32,8 +32,8 @@ def _salts(df: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
     """Add ``_salts``: over how many tasks the rows of the key are dealt."""
     if hot is None:
         return df.withColumn("_salts", F.lit(1))
-    # bounded: one row per hot key
-    return df.join(F.broadcast(hot), key, "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
+    # bounded: one row per hot key; it may have been counted on a table that names the key otherwise
+    return df.join(F.broadcast(hot.toDF(key, "_salts")), key, "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
 
 
 def dealt(df: DataFrame, key: str, hot: DataFrame | None, name: str) -> DataFrame:
