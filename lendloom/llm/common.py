@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 from collections.abc import Iterator
 
@@ -10,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lendloom.operators.skew import enrich, hot_keys
 from lendloom.session import checkpointed, scratch_dir
 
 SLICE_BYTES = 1 << 21
@@ -32,6 +34,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Jobs that run inside pass rows to Python in batches of so many: for rows of many kilobytes."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def gathered(batches) -> pa.Table | None:
+    """All batches of a partition as one table; None if there are no rows."""
+    batches = list(batches)
+    table = pa.Table.from_batches(batches) if batches else None
+    return table if table is not None and table.num_rows else None
+
+
 def partitions_of(df: DataFrame) -> int:
     """Partitions of a scan: they follow the size of the input."""
     return max(1, df.rdd.getNumPartitions())
@@ -185,7 +206,8 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
+        # A component's root may own most links: they are dealt over as many tasks as their number asks for.
+        large = enrich(both.where("b > a"), least, "a", "inner", hot=hot_keys(both, "a")).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").unionAll(
             down.select("a", F.col("m").alias("b"))).distinct()

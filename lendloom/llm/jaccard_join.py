@@ -37,14 +37,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendloom.llm.common import components, mix, partitions_of, shingle_hashes, slices, word_hashes, written
+from lendloom.llm.common import batches_of, components, gathered, mix, partitions_of, shingle_hashes, slices, word_hashes, written
 
 SIZE, PERCENT = 5, 80
 RATIO = 1.6
+SLICE_BYTES = 1 << 19
 HISTOGRAM = 128
 BROADCAST_IDS = 4_000_000
-HELD_SIGNATURES = 2_000_000
+HELD_SIGNATURES = 600_000
 BUCKET_BLOCK = 1500
+BATCH_ROWS = 1000
 _SEGMENT, _TOKEN, _HIST = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -86,10 +88,12 @@ class Plan:
     def need(self, band: int, size: int) -> int:
         """The largest difference that a set of this size can have to a partner it meets in the band."""
         top = self.starts[band + 1] - 1
-        small = min(size, top)
-        wide = range(small, small * 100 // self.percent + 1) if size <= top else [size]
-        worst = max((most_difference(small, b, self.percent) for b in ([*wide][-12:] if len(wide) > 12 else wide)), default=0)
-        return max(0, worst, most_difference(size, size, self.percent) if size <= top else 0)
+        # The difference grows with the sum of the sizes but for its parity: the last few sums hold the largest.
+        if size <= top:
+            pairs = [(size, b) for b in range(size, size * 100 // self.percent + 1)][-12:]
+        else:
+            pairs = [(a, size) for a in range(max(1, top - 3), top + 1)]
+        return max(0, *(most_difference(a, b, self.percent) for a, b in pairs))
 
     def bands(self, size: int) -> list[int]:
         own = int(np.searchsorted(self.starts, size, "right")) - 1
@@ -126,7 +130,7 @@ class Plan:
 def _sets(batches, id_column: str, column: str, size: int):
     for batch in batches:
         ids = batch.column(id_column)
-        for low, high, data, bounds in slices(batch.column(column)):
+        for low, high, data, bounds in slices(batch.column(column), SLICE_BYTES):
             words, begins = word_hashes(data, bounds)
             yield ids.slice(low, high - low), shingle_hashes(words, begins, size)
 
@@ -258,8 +262,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     small = sets.select("doc", "n", "hist")
     sized = pairs.join(small.toDF("a", "na", "ha"), "a").join(small.toDF("b", "nb", "hb"), "b")
-    left = sized.mapInPandas(bound, "a long, b long")
-    whole = sets.select("doc", "shingles")
+    left = written(sized.mapInPandas(bound, "a long, b long"), "pairs")
+    # Whole sets travel only for documents that still have a pair.
+    whole = only(sets.select("doc", "shingles"), left.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "doc", "left_semi")
     return left.join(whole.toDF("a", "sa"), "a").join(whole.toDF("b", "sb"), "b").select("a", "b", "sa", "sb").mapInPandas(exact, "a long, b long")
 
 
@@ -280,8 +285,7 @@ def _rest(shared: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -
     rows = rows.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc", "comp", "n", "hist")
 
     def compare(batches):
-        table = pa.Table.from_batches(list(batches))
-        if not table.num_rows:
+        if (table := gathered(batches)) is None:
             return
         sig, i, j, own, doc, comp, n = (table.column(c).to_numpy() for c in ("sig", "i", "j", "own", "doc", "comp", "n"))
         order = np.lexsort((doc, own, j, i, sig))
@@ -289,23 +293,36 @@ def _rest(shared: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -
         _, first, code = np.unique(doc, return_index=True, return_inverse=True)
         hist = _histograms(table.column("hist").take(pa.array(first)).to_pylist()).astype(np.int16)
         doc, comp, n, code, own, across = doc[first], comp[first], n[first], code[order], own[order], (i != j)[order]
-        # Members of a group stand together: compare each with the one ``step`` places on, as long as any group is that long.
-        seen, held = np.zeros(0, np.int64), 0
-        found: list[np.ndarray] = []
-        for step in range(1, int(np.bincount(group).max())):
-            at = np.flatnonzero(group[step:] == group[:-step])
-            at = at[~across[at] | (own[at] != own[at + step])]
-            x, y = code[at], code[at + step]
-            ok = (comp[x] != comp[y]) & _may_link(n[x], n[y], 0, percent)
-            pair = np.unique(np.minimum(x[ok], y[ok]) * len(doc) + np.maximum(x[ok], y[ok]))
-            pair = np.setdiff1d(pair, seen, assume_unique=True)
-            held += len(pair)
+        sizes = np.bincount(group)[group]
+        left = sizes - 1 - (np.arange(len(group)) - np.searchsorted(group, group))
+        longest = np.argsort(-left, kind="stable")
+        ranked = -left[longest]
+        seen, found, held = np.zeros(0, np.int64), [np.zeros(0, np.int64)], []
+
+        def flush() -> None:
+            nonlocal seen, held
+            pair = np.unique(np.concatenate(held))
+            if len(seen):
+                pair = pair[seen[np.minimum(np.searchsorted(seen, pair), len(seen) - 1)] != pair]
             for part in np.array_split(pair, max(1, len(pair) // 50_000)):
                 x, y = part // len(doc), part % len(doc)
                 found.append(part[_may_link(n[x], n[y], np.abs(hist[x] - hist[y]).sum(axis=1, dtype=np.int64), percent)])
-            if held < 5_000_000:  # beyond this a pair may be looked at again, which changes nothing
+            if len(seen) < 5_000_000:  # beyond this a pair may be looked at again, which changes nothing
                 seen = np.union1d(seen, pair)
-        pair = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+            held = []
+
+        # Members of a group stand together: compare each with the one ``step`` places on, while its group reaches that far.
+        for step in range(1, int(sizes.max())):
+            at = longest[:np.searchsorted(ranked, -step, "right")]
+            at = at[~across[at] | (own[at] != own[at + step])]
+            x, y = code[at], code[at + step]
+            ok = (comp[x] != comp[y]) & _may_link(n[x], n[y], 0, percent)
+            held.append(np.minimum(x[ok], y[ok]) * len(doc) + np.maximum(x[ok], y[ok]))
+            if sum(map(len, held)) > 1_000_000 or len(held) > 500:
+                flush()
+        if held:
+            flush()
+        pair = np.unique(np.concatenate(found))
         yield pa.RecordBatch.from_arrays([pa.array(doc[pair // len(doc)]), pa.array(doc[pair % len(doc)])], names=["a", "b"])
 
     parts = max(partitions_of(shared), shared.sparkSession.sparkContext.defaultParallelism)
@@ -314,6 +331,11 @@ def _rest(shared: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -
 
 def jaccard_components(docs: DataFrame, *, id_column: str = "doc_id", column: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every document with an id."""
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        return _joined(docs, id_column, column, size, percent)
+
+
+def _joined(docs: DataFrame, id_column: str, column: str, size: int, percent: int) -> DataFrame:
     docs = docs.where(F.col(id_column).isNotNull()).select(id_column, column)
     names = written(set_names(docs, id_column, column, size), "sets")
     classes = names.where("n_shingles > 0").groupBy("n_shingles", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
