@@ -15,7 +15,7 @@ sets and their mean similarity, both measured over all documents):
 Equal sets are first reduced to one representative. Signatures are counted per task before they are shuffled, in blocks. What
 shares a signature is a bucket; a bucket is never expanded to pairs at once:
 
-1. every member is compared with the smallest and the largest of its bucket (two stars); the links found give components;
+1. every document is compared with the smallest member of most of its buckets; the links found give components;
 2. only members of different components are still compared, in blocks, behind a bound: the summed difference of two small
    histograms of shingles never exceeds the true difference.
 
@@ -42,7 +42,7 @@ from lendloom.llm.common import batches_of, components, gathered, mix, partition
 SIZE, PERCENT = 5, 80
 RATIO = 1.6
 SLICE_BYTES = 1 << 19
-HISTOGRAM = 128
+HISTOGRAM = 512
 BROADCAST_IDS = 4_000_000
 HELD_SIGNATURES = 600_000
 BUCKET_BLOCK = 1500
@@ -225,7 +225,7 @@ def _kept_sets(docs: DataFrame, id_column: str, column: str, size: int) -> DataF
 
     def keep(batches):
         for ids, sets in _sets(batches, id_column, column, size):
-            hist = [np.minimum(np.bincount((mix(s ^ _HIST) >> np.uint64(57)).astype(np.int64), minlength=HISTOGRAM), 32767).astype("<u2").tobytes() for s in sets]
+            hist = [np.minimum(np.bincount((mix(s ^ _HIST) >> np.uint64(55)).astype(np.int64), minlength=HISTOGRAM), 255).astype(np.uint8).tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [ids.cast(pa.int64()), pa.array(list(map(len, sets)), pa.int64()), pa.array(hist, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc", "n", "hist", "shingles"])
 
@@ -239,7 +239,7 @@ def _may_link(na, nb, difference, percent):
 
 
 def _histograms(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), "<u2").reshape(-1, HISTOGRAM).astype(np.int32)
+    return np.frombuffer(b"".join(column), np.uint8).reshape(-1, HISTOGRAM).astype(np.int16)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -248,7 +248,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def bound(frames):
         for frame in frames:
             if len(frame):
-                far = np.abs(_histograms(frame["ha"]) - _histograms(frame["hb"])).sum(axis=1)
+                far = np.abs(_histograms(frame["ha"]) - _histograms(frame["hb"])).sum(axis=1, dtype=np.int64)
                 yield frame.loc[_may_link(frame["na"].to_numpy(), frame["nb"].to_numpy(), far, percent), ["a", "b"]]
 
     def exact(frames):
@@ -269,9 +269,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _stars(shared: DataFrame) -> DataFrame:
-    ends = shared.groupBy("sig").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-    both = shared.join(ends, "sig").select(F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("doc").alias("b")), F.struct(F.col("doc").alias("a"), F.col("high").alias("b")))).alias("p"))
-    return both.select("p.a", "p.b").where("a < b").distinct()
+    """At most one pair per document: with the smallest member of most of its buckets."""
+    least = shared.groupBy("sig").agg(F.min("doc").alias("a"))
+    met = shared.join(least, "sig").where("a < doc").groupBy("a", "doc").count()
+    best = met.groupBy("doc").agg(F.max_by("a", F.struct("count", -F.col("a"))).alias("a"))
+    return best.select("a", F.col("doc").alias("b"))
 
 
 def _rest(shared: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -291,7 +293,7 @@ def _rest(shared: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -
         order = np.lexsort((doc, own, j, i, sig))
         group = np.cumsum(np.concatenate([[True], (np.diff(sig[order]) != 0) | (np.diff(i[order]) != 0) | (np.diff(j[order]) != 0)]))
         _, first, code = np.unique(doc, return_index=True, return_inverse=True)
-        hist = _histograms(table.column("hist").take(pa.array(first)).to_pylist()).astype(np.int16)
+        hist = _histograms(table.column("hist").take(pa.array(first)).to_pylist())
         doc, comp, n, code, own, across = doc[first], comp[first], n[first], code[order], own[order], (i != j)[order]
         sizes = np.bincount(group)[group]
         left = sizes - 1 - (np.arange(len(group)) - np.searchsorted(group, group))
@@ -304,7 +306,7 @@ def _rest(shared: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -
             pair = np.unique(np.concatenate(held))
             if len(seen):
                 pair = pair[seen[np.minimum(np.searchsorted(seen, pair), len(seen) - 1)] != pair]
-            for part in np.array_split(pair, max(1, len(pair) // 50_000)):
+            for part in np.array_split(pair, max(1, len(pair) // 10_000)):
                 x, y = part // len(doc), part % len(doc)
                 found.append(part[_may_link(n[x], n[y], np.abs(hist[x] - hist[y]).sum(axis=1, dtype=np.int64), percent)])
             if len(seen) < 5_000_000:  # beyond this a pair may be looked at again, which changes nothing
