@@ -3,7 +3,7 @@
 The neighbour graph starts from random hyperplanes: vectors on the same side of a few of them meet in groups of at most
 ``MEETING`` and take their best partners there. It is then refined: around every vector its neighbours and the vectors that
 count it among theirs are compared with one another, and each keeps the best it has met. A list whose members are all near
-duplicates is saturated and gets twice the places. Rounds end when few lists change.
+duplicates is saturated and gets twice the places. Rounds end when they find next to no new edges near the threshold.
 
 Edges over the threshold, checked in double precision, give components. Recall is audited: a bounded sample of vectors is
 compared with all vectors, block by block; while a true link crosses components or the recall of the sample is too low, the graph is
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendloom.llm.common import components, partitions_of, written
+from lendloom.llm.common import components, gathered, partitions_of, written
 
 THRESHOLD = 0.9
 PLACES, MOST_PLACES = 8, 32
@@ -102,10 +102,9 @@ def _meet(vectors: DataFrame, parts: int, rows: int, seed: int) -> DataFrame:
     salted = placed.join(sizes, "code").withColumn("salt", F.pmod(F.xxhash64("id", F.lit(seed)), F.ceil(F.col("count") / MEETING)))
 
     def compare(batches):
-        frame = pa.Table.from_batches(list(batches)).to_pandas() if batches else None
-        if frame is None or not len(frame):
+        if (table := gathered(batches)) is None:
             return
-        frame = frame.sort_values(["code", "salt", "id"])
+        frame = table.to_pandas().sort_values(["code", "salt", "id"])
         key = frame[["code", "salt"]].to_numpy()
         cuts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, [len(key)]])
         ids = frame["id"].to_numpy()
@@ -129,8 +128,7 @@ def _merge(edges: DataFrame, parts: int, threshold: float) -> DataFrame:
     """The best of every list: ``PLACES``, doubled while the list is filled with near duplicates, up to ``MOST_PLACES``."""
 
     def best(batches):
-        table = pa.Table.from_batches(list(batches))
-        if not table.num_rows:
+        if (table := gathered(batches)) is None:
             return
         owner, other, near = (table.column(c).to_numpy() for c in ("id", "other", "near"))
         distinct, code = np.unique(owner, return_inverse=True)
@@ -152,8 +150,7 @@ def _around(graph: DataFrame, vectors: DataFrame, parts: int) -> DataFrame:
 
     def sample(batches):
         # Of the many that may point at one vector, a task passes on a few, drawn by hash: forward lists carry all edges.
-        table = pa.Table.from_batches(list(batches))
-        if table.num_rows:
+        if (table := gathered(batches)) is not None:
             center, member, back = (table.column(c).to_numpy() for c in ("center", "member", "back"))
             rank = np.where(back, (member * 2654435761 % 1000003) / 1000003.0, 2.0)
             keep = _best(center, member, rank, np.where(back, PLACES + MOST_PLACES, 2 * MOST_PLACES))
@@ -171,8 +168,7 @@ def _around(graph: DataFrame, vectors: DataFrame, parts: int) -> DataFrame:
     filled = lists.unionByName(itself).join(small.mapInArrow(shrink, "member long, v binary"), "member")
 
     def compare(batches):
-        table = pa.Table.from_batches(list(batches))
-        if not table.num_rows:
+        if (table := gathered(batches)) is None:
             return
         center, member = table.column("center").to_numpy(), table.column("member").to_numpy()
         v = _matrix(table.column("v").to_pylist(), np.float16).astype(np.float32)
@@ -205,15 +201,18 @@ def _around(graph: DataFrame, vectors: DataFrame, parts: int) -> DataFrame:
 
 
 def refine(graph: DataFrame, vectors: DataFrame, parts: int, threshold: float, rounds: int = ROUNDS) -> DataFrame:
-    size = graph.count()
+    """Rounds of neighbours-of-neighbours, until a round finds next to no new edges near or over the threshold.
+
+    New edges of saturated lists do not count: they only swap one near duplicate for a nearer one.
+    """
+    close = F.col("near") >= threshold - 0.1
     for _ in range(rounds):
         wider = written(_merge(graph.unionByName(_around(graph, vectors, parts)), parts, threshold), "neighbours")
-        same = wider.join(graph, ["id", "other"], "left_semi").count()
-        now = wider.count()
+        filled = graph.where(close).groupBy("id").count().where(F.col("count") >= PLACES).select("id")
+        new = wider.where(close).join(graph, ["id", "other"], "left_anti").join(filled, "id", "left_anti").count()
         graph = wider
-        if now - same <= ENOUGH * size:
+        if new <= ENOUGH * wider.where(close).count():
             break
-        size = now
     return graph
 
 
