@@ -22,6 +22,7 @@ Null texts are empty: the end word alone. Repeated rows count each. Output colum
 from __future__ import annotations
 
 import zlib
+from collections import deque
 
 import numpy as np
 import pandas as pd
@@ -29,16 +30,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendloom.llm.common import mix, slices, word_hashes, written
+from lendloom.llm.common import batches_of, mix, slices, word_hashes, written
 
 DEPTH = 3
 LEAST_SHARE, LEAST_COUNT = 2e-6, 4
 BITS_PER_ENTRY = 6.0
 DISCOUNT = 0.75
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 1_000_000
 END_WORD = np.uint64(0x1F83D9ABFB41BD6B)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-BLOCKS = "block string, ids array<long>, held array<boolean>, sizes array<int>, codes binary, words array<long>, counts array<int>"
+BLOCKS = "block long, ids array<long>, held array<boolean>, sizes array<int>, codes binary, words array<long>, counts array<int>"
 
 
 # ---------------------------------------------------------------- blocks of texts
@@ -56,7 +57,7 @@ def text_blocks(docs: DataFrame, id_column: str, column: str, held: str) -> Data
             trained = np.repeat(~np.array(flags, bool), sizes)
             counts = np.bincount(codes[trained], minlength=len(distinct))
             return pa.RecordBatch.from_arrays(
-                [pa.array([f"{TaskContext.get().partitionId()}-{number}"]), pa.array([ids], pa.list_(pa.int64())), pa.array([flags], pa.list_(pa.bool_())), pa.array([sizes], pa.list_(pa.int32())),
+                [pa.array([(TaskContext.get().partitionId() << 20) + number]), pa.array([ids], pa.list_(pa.int64())), pa.array([flags], pa.list_(pa.bool_())), pa.array([sizes], pa.list_(pa.int32())),
                  pa.array([zlib.compress(codes.astype("<u4").tobytes(), 1)], pa.binary()), pa.array([distinct.view(np.int64)], pa.list_(pa.int64())), pa.array([counts.astype(np.int32)], pa.list_(pa.int32()))],
                 names=["block", "ids", "held", "sizes", "codes", "words", "counts"])
 
@@ -79,9 +80,8 @@ def text_blocks(docs: DataFrame, id_column: str, column: str, held: str) -> Data
     return docs.select(id_column, column, held).mapInArrow(block, BLOCKS)
 
 
-def _words(codes: bytes, words) -> tuple[np.ndarray, np.ndarray]:
-    codes = np.frombuffer(zlib.decompress(codes), "<u4")
-    return codes, np.asarray(words, np.int64).view(np.uint64)[codes]
+def _codes(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed), "<u4")
 
 
 def word_totals(blocks: DataFrame) -> DataFrame:
@@ -110,67 +110,62 @@ class Level:
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Place of each key, -1 if it is not kept."""
         if not len(self.keys):
-            return np.full(len(keys), -1, np.int64)
+            return np.full(len(keys), -1, np.int32)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, at, -1)
+        return np.where(self.keys[at] == keys, at, -1).astype(np.int32)
 
 
-def strings(words: np.ndarray, levels: list[Level]):
-    """For lengths 1, 2, ...: (key, place among the kept, -1 if none) of the string that ends at each word, one length further
-    than ``levels`` reach as keys of candidates (place -2)."""
-    key, at = words, levels[0].find(words)
+def strings(words: np.ndarray, at: np.ndarray, levels: list[Level]):
+    """For lengths 1, 2, ...: (key, place among the kept, -1 if none) of the string that ends at each word. After the last level
+    come the candidates that are one word longer, with place -2. ``at`` are the places of the words themselves."""
+    key = words
     yield key, at
     ended = words == END_WORD
     for level in [*levels[1:], None]:
         able = np.zeros(len(words), bool)
         able[1:] = (at[:-1] >= 0) & ~ended[:-1] & (at[1:] >= 0)
-        grown = np.zeros(len(words), np.uint64)
-        grown[1:] = mix(key[:-1] * _STEP + words[1:])
         where = np.flatnonzero(able)
-        place = np.full(len(words), -1, np.int64)
+        grown, place = np.zeros(len(words), np.uint64), np.full(len(words), -1, np.int32)
+        grown[where] = mix(key[where - 1] * _STEP + words[where])
         place[where] = level.find(grown[where]) if level is not None else -2
         key, at = grown, place
         yield key, at
 
 
-def _next_level(blocks: DataFrame, levels: list[Level], least: int) -> tuple[np.ndarray, ...]:
-    """Keys, counts, context and suffix places of the kept strings one word longer. Their number is bounded by the share."""
-    spark = blocks.sparkSession
-    shared = spark.sparkContext.broadcast(levels)
-
-    def trained(frame_row, lists):
-        codes, words = _words(frame_row["codes"], frame_row["words"])
-        seen = np.repeat(~np.asarray(frame_row["held"], bool), np.asarray(frame_row["sizes"], np.int64))
-        *_, (context, above), (key, at) = strings(words, lists)
-        where = np.flatnonzero((at == -2) & seen)
-        return key[where], above[where - 1], above[where]
+def _counted(blocks: DataFrame, levels: list[Level], least: int, further: bool) -> tuple[np.ndarray, ...]:
+    """One pass over all blocks: the strings one word longer than the last level that are seen ``least`` times, and for the strings
+    of the last level their context and suffix. What is returned is bounded by the share."""
+    shared = blocks.sparkSession.sparkContext.broadcast(levels)
 
     def count(batches):
+        known = shared.value
         for batch in batches:
-            for row in batch.to_pylist():
-                key, _, _ = trained(row, shared.value)
-                keys, n = np.unique(key, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
-
-    columns = blocks.select("held", "sizes", "codes", "words")
-    rows = columns.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).collect()
-    keys, counts = (np.array([r[k] for r in rows], np.int64) for k in ("key", "n"))
-    order = np.argsort(keys.view(np.uint64))
-    keys, counts = keys.view(np.uint64)[order], counts[order]
-    wanted = spark.sparkContext.broadcast(keys)
-
-    def describe(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                key, context, suffix = trained(row, shared.value)
-                key, first = np.unique(key, return_index=True)
-                ok = np.isin(key, wanted.value)
-                yield pa.RecordBatch.from_arrays([pa.array(key[ok].view(np.int64)), pa.array(context[first][ok]), pa.array(suffix[first][ok])], names=["key", "context", "suffix"])
-
-    found = columns.mapInArrow(describe, "key long, context long, suffix long").groupBy("key").agg(F.min("context").alias("context"), F.min("suffix").alias("suffix")).collect()
-    place = {r["key"]: (r["context"], r["suffix"]) for r in found}
-    pairs = np.array([place[k] for k in keys.view(np.int64).tolist()], np.int64).reshape(-1, 2)
-    return keys, counts, pairs[:, 0], pairs[:, 1]
+            for i in range(batch.num_rows):
+                held, sizes, own = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("held", "sizes", "words"))
+                codes, own = _codes(batch.column("codes")[i].as_py()), own.view(np.uint64)
+                found = deque(strings(own[codes], known[0].find(own)[codes], known), maxlen=3)
+                if further:
+                    seen = np.repeat(~held.astype(bool), sizes)
+                    keys, n = np.unique(found[-1][0][(found[-1][1] == -2) & seen], return_counts=True)
+                    yield _rows(keys, n, np.full(len(keys), -1), np.full(len(keys), -1))
+                if len(known) > 1:
+                    (_, above), (_, last) = found[-3], found[-2]
+                    where = np.flatnonzero(last >= 0)
+                    places, first = np.unique(last[where], return_index=True)
+                    where = where[first]
+                    yield _rows(known[-1].keys[places], np.zeros(len(places), np.int64), above[where - 1], above[where])
+
+    def _rows(keys, n, context, suffix):
+        return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64) if x.dtype != np.uint64 else x.view(np.int64)) for x in (keys, n, context, suffix)], names=["key", "n", "context", "suffix"])
+
+    rows = blocks.select("held", "sizes", "codes", "words").mapInArrow(count, "key long, n long, context long, suffix long")
+    rows = rows.groupBy("key").agg(F.sum("n").alias("n"), F.max("context").alias("context"), F.max("suffix").alias("suffix")).where((F.col("n") >= least) | (F.col("context") >= 0))
+    with batches_of(blocks.sparkSession, 1):
+        got = rows.collect()
+    got = np.array([tuple(r) for r in got], np.int64).reshape(-1, 4)
+    new, old = got[got[:, 1] >= least], got[got[:, 2] >= 0]
+    old = old[np.argsort(old[:, 0].view(np.uint64))]
+    return new[:, 0].view(np.uint64), new[:, 1], old[:, 2], old[:, 3]
 
 
 def retain(upper: Level, lower: Level, context: np.ndarray, suffix: np.ndarray, bits_per_entry: float, discount: float) -> None:
@@ -197,23 +192,24 @@ def grow(blocks: DataFrame, totals: DataFrame, n: int, v: int, *, depth: int = D
     root = Level(np.array([r["word"] for r in rows], np.int64).view(np.uint64), np.array([r["c"] for r in rows], np.int64))
     root.chance = (root.counts + 0.5) / (n + 0.5 * (v + 1))
     levels = [root]
-    for _ in range(depth):
-        keys, counts, context, suffix = _next_level(blocks, levels, least)
-        lower = Level(keys, counts)
-        retain(levels[-1], lower, context, suffix, bits_per_entry, discount)
-        levels.append(lower)
+    for length in range(1, depth + 2):
+        keys, counts, context, suffix = _counted(blocks, levels, least, further=length <= depth)
+        if len(levels) > 1:
+            retain(levels[-2], levels[-1], context, suffix, bits_per_entry, discount)
         if not len(keys):
             break
+        levels.append(Level(keys, counts))
     return levels
 
 
-def chances(words: np.ndarray, base: np.ndarray, levels: list[Level]) -> np.ndarray:
-    """Probability of each word in the state of the longest retained suffix before it; ``base`` are the unigram ones."""
-    found = list(strings(words, levels))[:len(levels)]
+def chances(words: np.ndarray, at: np.ndarray, base: np.ndarray, levels: list[Level]) -> np.ndarray:
+    """Probability of each word in the state of the longest retained suffix before it; ``base`` are the unigram ones and ``at``
+    the places of the words in the first level."""
+    found = [place for _, place in strings(words, at, levels)]
     chance = base.copy()
     ended = words == END_WORD
-    for upper, lower, (_, context), (_, entry) in zip(levels, levels[1:], found, found[1:]):
-        before = np.full(len(words), -1, np.int64)
+    for upper, lower, context, entry in zip(levels, levels[1:], found, found[1:]):
+        before = np.full(len(words), -1, np.int32)
         before[1:] = np.where(ended[:-1], -1, context[:-1])
         spare = np.where(before >= 0, upper.spare[np.maximum(before, 0)], np.nan) if len(upper.keys) else np.full(len(words), np.nan)
         state = ~np.isnan(spare)
@@ -233,8 +229,8 @@ def score(docs: DataFrame, *, id_column: str = "doc_id", column: str = "text", h
     shared = docs.sparkSession.sparkContext.broadcast(grow(blocks, totals, n, v, **growth))
 
     def finish(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        codes, words = _words(left["codes"].iloc[0], left["words"].iloc[0])
-        counts = np.zeros(len(left["words"].iloc[0]), np.int64)
+        codes, own = _codes(left["codes"].iloc[0]), np.asarray(left["words"].iloc[0], np.int64).view(np.uint64)
+        counts = np.zeros(len(own), np.int64)
         counts[right["code"].to_numpy()] = right["c"].to_numpy()
         c = counts[codes]
         sizes = np.asarray(left["sizes"].iloc[0], np.int64)
@@ -243,7 +239,7 @@ def score(docs: DataFrame, *, id_column: str = "doc_id", column: str = "text", h
         return pd.DataFrame({
             "doc_id": np.asarray(left["ids"].iloc[0]), "held_out": np.asarray(left["held"].iloc[0]), "n_tokens": sizes,
             "n_known": np.add.reduceat((c > 0).astype(np.int64), begins), "train_tokens": n,
-            "base_score": np.add.reduceat(np.log10(base), begins), "score": np.add.reduceat(np.log10(chances(words, base, shared.value)), begins),
+            "base_score": np.add.reduceat(np.log10(base), begins), "score": np.add.reduceat(np.log10(chances(own[codes], shared.value[0].find(own)[codes], base, shared.value)), begins),
         })
 
     known = totals.where("c > 0").select("block", "code", "c")
