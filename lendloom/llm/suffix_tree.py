@@ -2,10 +2,9 @@
 
 Texts are lower-cased (A-Z) and cut into words at ASCII white space, each text closed by an end word. The empty context is the
 word-unigram model over all training words, ``(c + 0.5) / (N + 0.5 (V + 1))``, with all unseen words as one. Longer contexts
-are grown word by word. A string of words is kept if it makes up at least ``least_share`` of all places and was seen
-``least_count`` times; a string can only be kept if the strings without its first and without its last word are. So there are
-at most ``1 / least_share`` kept strings of a length, whatever the corpus, and the tree may be broadcast; the counts behind it
-cover the whole corpus.
+are grown word by word. A string of words is kept if it was seen ``least_count`` times, whatever the size of the corpus; a string
+can only be kept if the strings without its first and without its last word are. So the tree grows with the corpus, and no task
+and not the driver holds it: the counts cover the whole corpus and lie in tables dealt by key.
 
 A context (a kept string with kept continuations) is retained if its next-word distribution diverges from that of its longest
 retained suffix: the code length it saves on the training words, its count times the divergence, must exceed
@@ -13,8 +12,9 @@ retained suffix: the code length it saves on the training words, its count times
 what is left goes to all other words in the proportions of its longest retained suffix, so every state sums to one. A word is
 scored in the state of the longest retained suffix of the words before it.
 
-Texts are first stored as blocks: words as numbers into the block's own word list. One shuffle by word adds up the blocks'
-counts and hands every block the totals of its words, so no task needs the whole vocabulary.
+Texts are first stored as blocks: words as numbers into the block's own word list. For each length, one shuffle by key adds up
+the blocks' counts, and the sums that decide on contexts, and hands every block what it must know of the strings that occur in
+it. So no task needs the whole vocabulary or the whole tree.
 
 Null texts are empty: the end word alone. Repeated rows count each. Output columns are fixed; extra columns are ignored.
 """
@@ -22,24 +22,25 @@ Null texts are empty: the end word alone. Repeated rows count each. Output colum
 from __future__ import annotations
 
 import zlib
-from collections import deque
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendloom.llm.common import batches_of, mix, slices, word_hashes, written
+from lendloom.llm.common import batches_of, gathered, mix, slices, word_hashes, written
 
 DEPTH = 3
-LEAST_SHARE, LEAST_COUNT = 2e-6, 4
+LEAST_COUNT = 4
 BITS_PER_ENTRY = 6.0
 DISCOUNT = 0.75
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS, BUCKET_WORDS = 1_000_000, 2_000_000
 END_WORD = np.uint64(0x1F83D9ABFB41BD6B)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 BLOCKS = "block long, ids array<long>, held array<boolean>, sizes array<int>, codes binary, words array<long>, counts array<int>"
+ASKED = "block long, bucket int, keys binary, counts binary, contexts binary, sums binary"
+TOLD = "block long, step int, keys binary, counts binary, first binary, states binary, spares binary, n long, v long"
+_TOLD = pa.schema([("block", pa.int64()), ("step", pa.int32()), *((c, pa.binary()) for c in ("keys", "counts", "first", "states", "spares")), ("n", pa.int64()), ("v", pa.int64())])
 
 
 # ---------------------------------------------------------------- blocks of texts
@@ -84,19 +85,11 @@ def _codes(packed: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(packed), "<u4")
 
 
-def word_totals(blocks: DataFrame) -> DataFrame:
-    """(block, code, word, c, r): for each word of each block its training count in all blocks; r is 1 on one row per word."""
-    listed = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("code", "w"))
-    listed = listed.select("block", "code", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    # A word has at most one row per block, so even the most frequent word makes a short window.
-    same = Window.partitionBy("word")
-    return listed.select("block", "code", "word", F.sum("n").over(same).alias("c"), F.row_number().over(same.orderBy("block")).alias("r"))
-
-
 # ---------------------------------------------------------------- growing the tree
 
 class Level:
-    """Kept strings of one length: sorted keys, counts, and the probability of the last word after the others.
+    """Kept strings of one length: sorted keys, counts, and the probability of the last word after the others; ``first`` on those
+    that a block answers for.
 
     As contexts, ``spare`` is the factor for words that are not stored, NaN where the context is not retained.
     """
@@ -106,6 +99,7 @@ class Level:
         self.keys, self.counts = keys[order], counts[order].astype(np.float64)
         self.chance = np.full(len(keys), np.nan)
         self.spare = np.full(len(keys), np.nan)
+        self.first = np.ones(len(keys), bool)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Place of each key, -1 if it is not kept."""
@@ -132,80 +126,161 @@ def strings(words: np.ndarray, at: np.ndarray, levels: list[Level]):
         yield key, at
 
 
-def _counted(blocks: DataFrame, levels: list[Level], least: int, further: bool) -> tuple[np.ndarray, ...]:
-    """One pass over all blocks: the strings one word longer than the last level that are seen ``least`` times, and for the strings
-    of the last level their context and suffix. What is returned is bounded by the share."""
-    shared = blocks.sparkSession.sparkContext.broadcast(levels)
+def _state(whole, stored, before, entries, seen, saved, bits_per_entry: float) -> np.ndarray:
+    """The spare factor of contexts from the sums over their continuations, NaN where a context is not retained."""
+    left, rest = 1 - stored, np.maximum(1 - before, 1e-12)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        saved = saved + np.where(whole > seen, (whole - seen) * np.log2(left / rest), 0.0)
+    return np.where((entries > 0) & (saved > bits_per_entry * entries) & (left > 0), left / rest, np.nan)
+
+
+def _sums(own, parent, n, context, size: int) -> list[np.ndarray]:
+    """Per context: what its continuations store, what they had before, their number, their count, and the bits they save."""
+    return [np.bincount(context, w, minlength=size) for w in (own, parent, np.ones(len(n)), n, n * np.log2(own / parent))]
+
 
-    def count(batches):
-        known = shared.value
+def retain(upper: Level, lower: Level, context: np.ndarray, suffix: np.ndarray, bits_per_entry: float, discount: float) -> None:
+    """Decide which strings of ``upper`` are states, from all their continuations in ``lower``; set its chances and ``upper``'s spare."""
+    own, parent = (lower.counts - discount) / upper.counts[context], upper.chance[suffix]
+    upper.spare = _state(upper.counts, *_sums(own, parent, lower.counts, context, len(upper.keys)), bits_per_entry)
+    lower.chance = np.where(np.isnan(upper.spare[context]), parent, own)
+
+
+def _local(table: pa.Table, told: pa.Table, least: int, depth: int):
+    """A block's words, their places among its own, all training counts of the latter, and the kept strings that occur in it."""
+    codes, own = _codes(table.column("codes")[0].as_py()), np.array(table.column("words")[0].values, np.int64).view(np.uint64)
+    step = told.column("step").to_numpy()
+    parts = {c: told.column(c).to_pylist() for c in ("keys", "counts", "first", "states", "spares")}
+    joined = lambda c, k, kind: np.frombuffer(b"".join(parts[c][i] for i in np.flatnonzero(step == k)), kind)
+    levels, counts = [], np.zeros(len(own), np.int64)
+    for length in range(1, min(int(step.max()), depth + 1) + 1):
+        keys, n, first = joined("keys", length, np.uint64), joined("counts", length, np.int64), joined("first", length, bool)
+        if length == 1:
+            counts[np.searchsorted(own, keys)] = n
+            keys, n, first = keys[n >= least], n[n >= least], first[n >= least]
+        order = np.argsort(keys)
+        level = Level(keys[order], n[order])
+        level.first = first[order]
+        level.spare[level.find(joined("states", length + 2, np.uint64))] = joined("spares", length + 2, np.float64)
+        levels.append(level)
+    return own[codes], codes, own, counts, levels
+
+
+def _learn(found: list, levels: list[Level], n: int, v: int, discount: float) -> list[tuple[np.ndarray, ...]]:
+    """Set the chances of a block's kept strings; (own chance, parent's chance, context) of those of two words and more."""
+    levels[0].chance = (levels[0].counts + 0.5) / (n + 0.5 * (v + 1))
+    out = []
+    for upper, lower, (_, above), (_, at) in zip(levels, levels[1:], found, found[1:]):
+        where, place = np.flatnonzero(at >= 0), np.zeros(len(lower.keys), np.int64)
+        place[at[where]] = where
+        context, suffix = above[place - 1], above[place]
+        own, parent = (lower.counts - discount) / upper.counts[context], upper.chance[suffix]
+        lower.chance = np.where(np.isnan(upper.spare[context]), parent, own)
+        out.append((own, parent, context))
+    return out
+
+
+def _asked(block: int, keys, counts, contexts, sums, buckets: int) -> pa.Table:
+    """A block's strings with their counts, and its contexts with their sums, one row per bucket of keys."""
+    def dealt(k):
+        bucket = (k % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+    (order, cuts), (turn, bounds) = dealt(keys), dealt(contexts)
+    keys, counts, contexts, sums = keys[order], counts[order].astype(np.int32), contexts[turn], sums[:, turn]
+    used = [i for i in range(buckets) if cuts[i] < cuts[i + 1] or bounds[i] < bounds[i + 1]]
+    cut = lambda x, at: pa.array([x[..., at[i]:at[i + 1]].tobytes() for i in used], pa.binary())
+    return pa.table([pa.array([block] * len(used), pa.int64()), pa.array(used, pa.int32()), cut(keys, cuts), cut(counts, cuts), cut(contexts, bounds), cut(sums, bounds)],
+                    names=["block", "bucket", "keys", "counts", "contexts", "sums"])
+
+
+def _answered(asked: DataFrame, step: int, buckets: int, least: int, bits_per_entry: float) -> DataFrame:
+    """What blocks asked, added up by key: to each block go the totals of its strings that were seen ``least`` times, ``first`` in
+    one block per string, and the spare factors of its contexts that are states. A key has one place per block, so none is hot."""
+
+    def total(batches):
+        if (table := gathered(batches)) is None:
+            return
+        block = table.column("block").to_numpy()
+        order = np.lexsort((table.column("bucket").to_numpy(), block))
+        part = lambda c, kind: [np.frombuffer(x, kind) for x in table.column(c).take(pa.array(order)).to_pylist()]
+        keys, contexts = part("keys", np.uint64), part("contexts", np.uint64)
+        n = np.concatenate(part("counts", np.int32))
+        cuts, bounds = (np.cumsum([0, *map(len, x)]) for x in (keys, contexts))
+        keys, contexts = np.concatenate(keys), np.concatenate(contexts)
+        sums = np.concatenate([x.reshape(6, -1) for x in part("sums", np.float64)], axis=1)
+        distinct, begin, code = np.unique(keys, return_index=True, return_inverse=True)
+        totals = np.bincount(code, n, minlength=len(distinct)).astype(np.int64)[code]
+        first = np.zeros(len(keys), bool)
+        first[begin] = True
+        distinct, begin, code = np.unique(contexts, return_index=True, return_inverse=True)
+        spare = _state(sums[0][begin], *(np.bincount(code, x, minlength=len(distinct)) for x in sums[1:]), bits_per_entry)[code]
+        rows, held = [], 0
+        for i, at in enumerate(order):
+            a, b = slice(cuts[i], cuts[i + 1]), slice(bounds[i], bounds[i + 1])
+            good, state = totals[a] >= least, ~np.isnan(spare[b])
+            counted = totals[a][first[a]]
+            rows.append((block[at], step, keys[a][good].tobytes(), totals[a][good].tobytes(), first[a][good].tobytes(), contexts[b][state].tobytes(), spare[b][state].tobytes(), counted.sum(), (counted > 0).sum()))
+            held += 17 * (cuts[i + 1] - cuts[i])
+            if held > 1 << 24 or i + 1 == len(order):
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), _TOLD)], schema=_TOLD)
+                rows, held = [], 0
+
+    return asked.repartition(buckets, "bucket").mapInArrow(total, TOLD)
+
+
+def grow(blocks: DataFrame, *, depth: int = DEPTH, least_count: int = LEAST_COUNT, bits_per_entry: float = BITS_PER_ENTRY, discount: float = DISCOUNT) -> tuple[DataFrame, int, int]:
+    """What every block must know of the kept strings of 1 to ``depth`` + 1 words that occur in it, the number of training words
+    and of different ones. Step k counts strings of k words and decides on contexts of k - 2."""
+    spark = blocks.sparkSession
+    words = blocks.agg(F.sum(F.expr("aggregate(sizes, 0L, (a, x) -> a + x)"))).first()[0] or 0
+    buckets = max(2 * spark.sparkContext.defaultParallelism, words // BUCKET_WORDS)
+    nothing = np.zeros(0, np.uint64), np.zeros((6, 0))
+
+    def words_of(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                held, sizes, own = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("held", "sizes", "words"))
-                codes, own = _codes(batch.column("codes")[i].as_py()), own.view(np.uint64)
-                found = deque(strings(own[codes], known[0].find(own)[codes], known), maxlen=3)
-                if further:
-                    seen = np.repeat(~held.astype(bool), sizes)
-                    keys, n = np.unique(found[-1][0][(found[-1][1] == -2) & seen], return_counts=True)
-                    yield _rows(keys, n, np.full(len(keys), -1), np.full(len(keys), -1))
-                if len(known) > 1:
-                    (_, above), (_, last) = found[-3], found[-2]
-                    where = np.flatnonzero(last >= 0)
-                    places, first = np.unique(last[where], return_index=True)
-                    where = where[first]
-                    yield _rows(known[-1].keys[places], np.zeros(len(places), np.int64), above[where - 1], above[where])
-
-    def _rows(keys, n, context, suffix):
-        return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64) if x.dtype != np.uint64 else x.view(np.int64)) for x in (keys, n, context, suffix)], names=["key", "n", "context", "suffix"])
-
-    rows = blocks.select("held", "sizes", "codes", "words").mapInArrow(count, "key long, n long, context long, suffix long")
-    rows = rows.groupBy("key").agg(F.sum("n").alias("n"), F.max("context").alias("context"), F.max("suffix").alias("suffix")).where((F.col("n") >= least) | (F.col("context") >= 0))
-    with batches_of(blocks.sparkSession, 1):
-        got = rows.collect()
-    got = np.array([tuple(r) for r in got], np.int64).reshape(-1, 4)
-    new, old = got[got[:, 1] >= least], got[got[:, 2] >= 0]
-    old = old[np.argsort(old[:, 0].view(np.uint64))]
-    return new[:, 0].view(np.uint64), new[:, 1], old[:, 2], old[:, 3]
+                own, n = (np.array(batch.column(c)[i].values, np.int64) for c in ("words", "counts"))
+                yield from _asked(batch.column("block")[i].as_py(), own.view(np.uint64), n, *nothing, buckets).to_batches()
 
+    with batches_of(spark, 1):
+        asked = blocks.select("block", "words", "counts").mapInArrow(words_of, ASKED)
+        told = written(_answered(asked, 1, buckets, 0, bits_per_entry), "told")
+    row = told.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
+    n, v = row["n"] or 0, row["v"] or 0
 
-def retain(upper: Level, lower: Level, context: np.ndarray, suffix: np.ndarray, bits_per_entry: float, discount: float) -> None:
-    """Decide which strings of ``upper`` are states, from their continuations in ``lower``; set its chances and ``upper``'s spare."""
-    n, whole, parent = lower.counts, upper.counts[context], upper.chance[suffix]
-    own = (n - discount) / whole
-    size = len(upper.keys)
-    stored, before, entries = (np.bincount(context, w, minlength=size) for w in (own, parent, np.ones(len(n))))
-    seen = np.bincount(context, n, minlength=size)
-    left, rest = 1 - stored, np.maximum(1 - before, 1e-12)
-    saved = np.bincount(context, n * np.log2(own / parent), minlength=size)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        saved = saved + np.where(upper.counts > seen, (upper.counts - seen) * np.log2(left / rest), 0.0)
-    kept = (entries > 0) & (saved > bits_per_entry * entries) & (left > 0)
-    upper.spare = np.where(kept, left / rest, np.nan)
-    lower.chance = np.where(kept[context], own, parent)
-
-
-def grow(blocks: DataFrame, totals: DataFrame, n: int, v: int, *, depth: int = DEPTH, least_share: float = LEAST_SHARE, least_count: int = LEAST_COUNT,
-         bits_per_entry: float = BITS_PER_ENTRY, discount: float = DISCOUNT) -> list[Level]:
-    """The kept strings of 1 to ``depth`` + 1 words with their chances."""
-    least = max(least_count, int(np.ceil(least_share * n)))
-    rows = totals.where((F.col("r") == 1) & (F.col("c") >= least)).select("word", "c").collect()
-    root = Level(np.array([r["word"] for r in rows], np.int64).view(np.uint64), np.array([r["c"] for r in rows], np.int64))
-    root.chance = (root.counts + 0.5) / (n + 0.5 * (v + 1))
-    levels = [root]
-    for length in range(1, depth + 2):
-        keys, counts, context, suffix = _counted(blocks, levels, least, further=length <= depth)
-        if len(levels) > 1:
-            retain(levels[-2], levels[-1], context, suffix, bits_per_entry, discount)
-        if not len(keys):
-            break
-        levels.append(Level(keys, counts))
-    return levels
-
-
-def chances(words: np.ndarray, at: np.ndarray, base: np.ndarray, levels: list[Level]) -> np.ndarray:
+    def asking(step: int):
+        def ask(left: pa.Table, right: pa.Table) -> pa.Table:
+            words, codes, own, _, levels = _local(left, right, least_count, depth)
+            found = list(strings(words, levels[0].find(own)[codes], levels))
+            keys, counts, contexts, sums = nothing[0], np.zeros(0), *nothing
+            if step <= depth + 1:
+                held, sizes = (left.column(c)[0].values.to_numpy(zero_copy_only=False) for c in ("held", "sizes"))
+                where = np.flatnonzero(found[-1][1] == -2)
+                keys, code = np.unique(found[-1][0][where], return_inverse=True)
+                counts = np.bincount(code, np.repeat(~held.astype(bool), sizes)[where], minlength=len(keys))
+            if step > 2:
+                chance, parent, context = _learn(found, levels[:step - 1], n, v, discount)[-1]
+                upper, lower = levels[step - 3], levels[step - 2]
+                mine = lower.first
+                contexts = upper.keys
+                sums = np.array([upper.counts, *_sums(chance[mine], parent[mine], lower.counts[mine], context[mine], len(upper.keys))])
+            return _asked(left.column("block")[0].as_py(), keys, counts, contexts, sums, buckets)
+
+        return ask
+
+    for step in range(2, depth + 3):
+        asked = blocks.select("block", "held", "sizes", "codes", "words").groupBy("block").cogroup(told.groupBy("block")).applyInArrow(asking(step), ASKED)
+        with batches_of(spark, 64):
+            told = told.unionByName(written(_answered(asked, step, buckets, least_count, bits_per_entry), "told"))
+    return told, n, v
+
+
+def chances(words: np.ndarray, at: np.ndarray, base: np.ndarray, levels: list[Level], found: list | None = None) -> np.ndarray:
     """Probability of each word in the state of the longest retained suffix before it; ``base`` are the unigram ones and ``at``
     the places of the words in the first level."""
-    found = [place for _, place in strings(words, at, levels)]
+    found = [place for _, place in found or strings(words, at, levels)]
     chance = base.copy()
     ended = words == END_WORD
     for upper, lower, context, entry in zip(levels, levels[1:], found, found[1:]):
@@ -220,28 +295,25 @@ def chances(words: np.ndarray, at: np.ndarray, base: np.ndarray, levels: list[Le
 
 # ---------------------------------------------------------------- scores
 
-def score(docs: DataFrame, *, id_column: str = "doc_id", column: str = "text", held: str = "held_out", **growth) -> DataFrame:
+def score(docs: DataFrame, *, id_column: str = "doc_id", column: str = "text", held: str = "held_out", depth: int = DEPTH, least_count: int = LEAST_COUNT,
+          bits_per_entry: float = BITS_PER_ENTRY, discount: float = DISCOUNT) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row, learned from the rows not held out."""
     blocks = written(text_blocks(docs, id_column, column, held), "blocks")
-    totals = written(word_totals(blocks), "totals")
-    row = totals.where("r = 1").agg(F.sum("c").alias("n"), F.sum((F.col("c") > 0).cast("long")).alias("v")).first()
-    n, v = row["n"] or 0, row["v"] or 0
-    shared = docs.sparkSession.sparkContext.broadcast(grow(blocks, totals, n, v, **growth))
+    told, n, v = grow(blocks, depth=depth, least_count=least_count, bits_per_entry=bits_per_entry, discount=discount)
 
-    def finish(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        codes, own = _codes(left["codes"].iloc[0]), np.asarray(left["words"].iloc[0], np.int64).view(np.uint64)
-        counts = np.zeros(len(own), np.int64)
-        counts[right["code"].to_numpy()] = right["c"].to_numpy()
+    def finish(left: pa.Table, right: pa.Table) -> pa.Table:
+        words, codes, own, counts, levels = _local(left, right, least_count, depth)
+        found = list(strings(words, levels[0].find(own)[codes], levels))
+        _learn(found, levels, n, v, discount)
         c = counts[codes]
-        sizes = np.asarray(left["sizes"].iloc[0], np.int64)
+        sizes = np.array(left.column("sizes")[0].values, np.int64)
         begins = np.cumsum(sizes) - sizes
         base = (c + 0.5) / (n + 0.5 * (v + 1))
-        return pd.DataFrame({
-            "doc_id": np.asarray(left["ids"].iloc[0]), "held_out": np.asarray(left["held"].iloc[0]), "n_tokens": sizes,
-            "n_known": np.add.reduceat((c > 0).astype(np.int64), begins), "train_tokens": n,
-            "base_score": np.add.reduceat(np.log10(base), begins), "score": np.add.reduceat(np.log10(chances(own[codes], shared.value[0].find(own)[codes], base, shared.value)), begins),
+        return pa.table({
+            "doc_id": left.column("ids")[0].values, "held_out": left.column("held")[0].values, "n_tokens": sizes,
+            "n_known": np.add.reduceat((c > 0).astype(np.int64), begins), "train_tokens": np.full(len(sizes), n, np.int64),
+            "base_score": np.add.reduceat(np.log10(base), begins), "score": np.add.reduceat(np.log10(chances(words, None, base, levels, found)), begins),
         })
 
-    known = totals.where("c > 0").select("block", "code", "c")
-    return blocks.drop("counts").groupBy("block").cogroup(known.groupBy("block")).applyInPandas(
+    return blocks.drop("counts").groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
         finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

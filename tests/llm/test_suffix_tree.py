@@ -81,3 +81,14 @@ def test_better_than_base_on_held_out_texts(spark):
 
     rows = [r for r in QUERIES["op2_suffix_tree"](spark, "/root/testdata/sf0.001").collect() if r["held_out"]]
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
+
+
+def test_rare_strings_stay_in_a_large_corpus(spark):
+    """A string seen 20 times is kept, however many other words there are."""
+    from pyspark.sql import functions as F
+
+    filler = spark.range(40).select(F.col("id").alias("doc_id"), F.expr("repeat('x ', 300000)").alias("text"), F.lit(False).alias("held_out"))
+    rare = spark.range(100, 121).select(F.col("id").alias("doc_id"), F.lit("red fox jumps high").alias("text"), (F.col("id") == 120).alias("held_out"))
+    row = next(r for r in score(filler.unionByName(rare)).collect() if r["doc_id"] == 120)
+    assert row["train_tokens"] == 40 * 300_001 + 20 * 5
+    assert row["score"] > row["base_score"] + 3
