@@ -6,8 +6,9 @@ count it among theirs are compared with one another, and each keeps the best it
 duplicates is saturated and gets twice the places. Rounds end when they find next to no new edges near the threshold.
 
 Edges over the threshold, checked in double precision, give components. Recall is audited: a bounded sample of vectors is
-compared with all vectors, block by block; while a true link crosses components or the recall of the sample is too low, the graph is
-met again on new hyperplanes. Then the links inside components are counted exactly, so lists that are still saturated lose
+compared with all vectors, block by block; links it finds across components join them, and while the recall of the sample is too
+low, the graph is met again on new hyperplanes; if it stays too low, an error is raised. Components of more than ``PLACES`` vectors,
+whose lists may hold nothing but their own, are compared with one another exactly. Then the links inside components are counted exactly, so lists that are still saturated lose
 nothing: small components are compared whole; in a large one, vectors near its mean direction are linked with each other by
 the triangle inequality on angles, and only the others are compared, in blocks.
 
@@ -25,6 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lendloom.llm.common import components, gathered, partitions_of, written
 
@@ -253,6 +255,88 @@ def audit(vectors: DataFrame, labels: DataFrame, threshold: float, seed: int, ro
     return known.withColumn("missed", ~(F.coalesce("ca", "a") == F.coalesce("cb", "b")))
 
 
+def _means(rows: DataFrame) -> DataFrame:
+    """(component, width, m): the mean direction of every component."""
+
+    def sums(batches):
+        for batch in batches:
+            frame = batch.to_pandas()
+            for (component, width), own in frame.groupby(["component", frame["v"].map(len)]):
+                yield pa.RecordBatch.from_pydict({"component": [int(component)], "width": [int(width)], "v": [_matrix(own["v"]).sum(axis=0).tobytes()]})
+
+    def mean(frame: pd.DataFrame) -> pd.DataFrame:
+        total = _matrix(frame["v"]).sum(axis=0)
+        size = np.linalg.norm(total)
+        return pd.DataFrame({"component": frame["component"].iloc[:1].to_numpy(), "width": frame["width"].iloc[:1].to_numpy(), "m": [(total / size if size else total).tobytes()]})
+
+    return rows.select("component", "v").mapInArrow(sums, "component long, width long, v binary").groupBy("component", "width").applyInPandas(mean, "component long, width long, m binary")
+
+
+def _angles(rows: DataFrame) -> DataFrame:
+    """The rows with the angle between v and m instead of m."""
+    fields = [f for f in rows.schema.fields if f.name != "m"]
+
+    def angle(batches):
+        for batch in batches:
+            v, m = _matrix(batch.column("v").to_pylist()), _matrix(batch.column("m").to_pylist())
+            far = np.arccos(np.clip((v * m).sum(axis=1), -1, 1))
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(far)], names=[*(f.name for f in fields), "angle"])
+
+    return rows.mapInArrow(angle, T.StructType([*fields, T.StructField("angle", T.DoubleType())]))
+
+
+def links_across(vectors: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links between components of more than ``PLACES`` vectors, at least one for each two that are linked.
+
+    The lists of such vectors may hold their own component alone, so these components are compared exactly: by their mean
+    directions and radii first, then the vectors that are near enough to the other mean, block by block.
+    """
+    reach = math.acos(threshold) + 1e-6
+    rows = vectors.join(labels, vectors["id"] == labels["node"]).select("id", "v", "component", F.length("v").cast("long").alias("width"))
+    sizes = rows.groupBy("component").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > PLACES)
+    rows = written(rows.join(sizes, "component").drop("size"), "large")
+    means = written(_means(rows), "means")
+    radii = _angles(rows.join(means, ["component", "width"])).groupBy("component").agg(F.max("angle").alias("radius"))
+    means = written(means.join(radii, "component"), "centers")
+    blocks = max(1, math.ceil(means.count() / (4 * SMALL)))
+    dealt = means.withColumn("own", F.pmod(F.xxhash64("component"), F.lit(blocks)).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+
+    def near(frame: pd.DataFrame) -> pd.DataFrame:
+        left, right = frame[frame["own"] == frame["low"]], frame[frame["own"] == frame["high"]]
+        angle = np.arccos(np.clip(_matrix([*left["m"], *right["m"]])[:len(left)] @ _matrix([*left["m"], *right["m"]])[len(left):].T, -1, 1))
+        x, y, r, q, w, u = (f[c].to_numpy() for c in ("component", "radius", "width") for f in (left, right))
+        good = (angle <= r[:, None] + q[None, :] + reach) & (w[:, None] == u[None, :]) & (x[:, None] != y[None, :])
+        i, j = np.nonzero(good)
+        return pd.DataFrame({"x": np.minimum(x[i], y[j]), "y": np.maximum(x[i], y[j])}).drop_duplicates()
+
+    pairs = written(dealt.groupBy("low", "high").applyInPandas(near, "x long, y long"), "pairs")
+    center = means.select(F.col("component").alias("facing"), "m", "radius")
+
+    def side(own: str, other: str) -> DataFrame:
+        met = pairs.select("x", "y", F.col(own).alias("component"), F.col(other).alias("facing")).join(center, "facing").join(rows.select("component", "id", "v"), "component")
+        return written(_angles(met.select("x", "y", "id", "v", "radius", "m")).where(F.col("angle") <= F.col("radius") + reach).select("x", "y", "id", "v"), "facing")
+
+    left, right = side("x", "y"), side("y", "x")
+    count = lambda rows, name: rows.groupBy("x", "y").agg(F.ceil(F.count(F.lit(1)) / SMALL).cast("int").alias(name))
+    number = written(count(left, "p").join(count(right, "q"), ["x", "y"]), "blocks")
+    mine = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asks = left.join(number, ["x", "y"]).select("x", "y", mine("p").alias("i"), every("q").alias("j"), "id", "v", F.lit(True).alias("asks"))
+    answers = right.join(number, ["x", "y"]).select("x", "y", every("p").alias("i"), mine("q").alias("j"), "id", "v", F.lit(False).alias("asks"))
+
+    def closest(frame: pd.DataFrame) -> pd.DataFrame:
+        a, b = frame[frame["asks"]], frame[~frame["asks"]]
+        if len(a) and len(b):
+            dots = _matrix(a["v"]) @ _matrix(b["v"]).T
+            i, j = np.unravel_index(dots.argmax(), dots.shape)
+            if dots[i, j] >= threshold:
+                return pd.DataFrame({"a": [a["id"].iloc[i]], "b": [b["id"].iloc[j]]})
+        return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+
+    return asks.unionByName(answers).groupBy("x", "y", "i", "j").applyInPandas(closest, "a long, b long")
+
+
 def count_links(vectors: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
     """(id, n_links): for vectors in components, the exact number of other vectors linked, copies counted."""
     spread = math.acos(threshold)
@@ -269,19 +353,7 @@ def count_links(vectors: DataFrame, labels: DataFrame, threshold: float) -> Data
     small = rows.where(F.col("size") <= SMALL).select("component", "id", "v", "copies").groupBy("component").applyInPandas(whole, "id long, n_links long")
 
     large = rows.where(F.col("size") > SMALL)
-
-    def sums(batches):
-        for batch in batches:
-            frame = batch.to_pandas()
-            for (component, width), own in frame.groupby(["component", frame["v"].map(len)]):
-                yield pa.RecordBatch.from_pydict({"component": [int(component)], "width": [int(width)], "v": [_matrix(own["v"]).sum(axis=0).tobytes()]})
-
-    def mean(frame: pd.DataFrame) -> pd.DataFrame:
-        total = _matrix(frame["v"]).sum(axis=0)
-        size = np.linalg.norm(total)
-        return pd.DataFrame({"component": frame["component"].iloc[:1].to_numpy(), "width": frame["width"].iloc[:1].to_numpy(), "m": [(total / size if size else total).tobytes()]})
-
-    means = large.select("component", "v").mapInArrow(sums, "component long, width long, v binary").groupBy("component", "width").applyInPandas(mean, "component long, width long, m binary")
+    means = _means(large)
     placed = large.withColumn("width", F.length("v").cast("long")).join(means, ["component", "width"])
 
     def angle(batches):
@@ -324,15 +396,26 @@ def near_duplicates(rows: DataFrame, *, id_column: str = "vec_id", column: str =
     vectors = written(named.where("id = rep").select("id", "v", "copies"), "vectors")
     size = vectors.count()
     parts = max(partitions_of(rows), 2 * rows.sparkSession.sparkContext.defaultParallelism, size // 20_000)
-    graph, labels = None, None
+    graph, held = None, None
     for attempt in range(AUDITS):
         met = _meet(vectors, parts, size, 17 + attempt)
         graph = written(_merge(met if graph is None else graph.unionByName(met), parts, threshold), "met")
         graph = refine(graph, vectors, parts, threshold, ROUNDS if attempt == 0 else 2)
-        labels = written(components(threshold_links(graph, vectors, threshold)), "labels")
-        seen = audit(vectors, labels, threshold, attempt).agg(F.count(F.lit(1)).alias("all"), F.sum(F.col("missed").cast("long")).alias("missed")).first()
-        if (seen["missed"] or 0) <= (1 - AUDIT_RECALL) * seen["all"]:
+        # No link found once is lost again when lists are trimmed.
+        new = threshold_links(graph, vectors, threshold)
+        held = written(new if held is None else held.unionByName(new), "links")
+        labels = written(components(held), "labels")
+        held = written(held.unionByName(links_across(vectors, labels, threshold)), "links")
+        labels = written(components(held), "labels")
+        seen = written(audit(vectors, labels, threshold, attempt), "audit")
+        row = seen.agg(F.count(F.lit(1)).alias("all"), F.sum(F.col("missed").cast("long")).alias("missed")).first()
+        if row["missed"]:
+            held = written(held.unionByName(seen.where("missed").select("a", "b")), "links")
+            labels = written(components(held), "labels")
+        if (row["missed"] or 0) <= (1 - AUDIT_RECALL) * row["all"]:
             break
+    else:
+        raise RuntimeError(f"near duplicates: the last audit still missed {row['missed']} of {row['all']} links of its sample")
     links = count_links(vectors, labels, threshold)
     out = named.join(labels.withColumnRenamed("node", "rep"), "rep", "left").join(links.withColumnRenamed("id", "rep"), "rep", "left")
     found = F.coalesce("n_links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1

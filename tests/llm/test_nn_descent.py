@@ -45,3 +45,14 @@ def test_same_as_plain(spark, rows, monkeypatch, small):
 
 def test_empty(spark):
     assert near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_links_of_tight_groups(spark):
+    """Two groups that fill one another's lists with their own members are still linked, as every pair across is over the threshold."""
+    random = np.random.default_rng(5)
+    axis = np.eye(24)
+    centers = axis[0], 0.93 * axis[0] + np.sqrt(1 - 0.93 ** 2) * axis[1]
+    out = [c + 0.004 * random.standard_normal(24) for c in centers for _ in range(400)] + [random.standard_normal(24) for _ in range(300)]
+    rows = [(i, v.tolist()) for i, v in enumerate(out)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)).collect()}
+    assert got == plain(rows)
