@@ -6,7 +6,8 @@ link text not counted, are summed over a sliding window of ``WINDOW`` lines; tex
 characters and ends where it dives to nothing, and what lies between is kept, short lines included. If the page has an
 <article> or <main>, only its lines count and any text is a surge. If nothing surges, all lines that are not links are kept.
 
-Character references are decoded, white space inside a line becomes one space, lines are joined by one space in page order.
+Scripts, styles, text areas and titles that are not closed run to the end; of other embedded elements only those that are closed
+are left out whole. Character references are decoded, white space inside a line becomes one space, lines are joined by one space in page order.
 Null and empty pages give an empty text. Output columns that clash with an input column replace it.
 """
 
@@ -22,8 +23,9 @@ from pyspark.sql import types as T
 
 WINDOW, SURGE = 3, 80
 MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|svg|math|iframe|object|canvas|audio|video)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>", re.S | re.I)
+EMBEDDED = {t: re.compile(rf"</{t}\s*>", re.I) for t in "noscript template svg math iframe object canvas audio video".split()}
 BLOCKS = frozenset(
     "address article aside blockquote body br button center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead tr ul".split())
@@ -88,13 +90,19 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
                 plain += len(said.strip())
 
     at = 0
-    for m in MARKUP.finditer(page):
+    unclosed: set[str] = set()
+    while m := MARKUP.search(page, at):
         put(page[at:m.start()])
         at = m.end()
         tag = m[3]
         if tag is None:
             continue
         tag = tag.lower()
+        if tag in EMBEDDED and not m[2] and not m[4].endswith("/") and tag not in unclosed:
+            if end := EMBEDDED[tag].search(page, at):
+                at = end.end()
+                continue
+            unclosed.add(tag)
         if tag in BLOCKS:
             close()
         if m[2]:

@@ -39,3 +39,13 @@ def test_clashing_and_empty(spark):
     df = spark.createDataFrame([(1, "u", "<p>hi", 5), (1, "u", "<p>hi", 5), (None, None, None, None)], "page_id long, url string, html string, n_chars int")
     assert sorted(tuple(r) for r in extract(df).collect() if r["page_id"]) == [(1, "u", "hi", 2)] * 2
     assert extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<article><p>one <svg class="i"/> two</p><p>three</p></article>', "one two three"),
+    ("<article><p>one <math/> two <svg><text>no</text></svg> three</p></article>", "one two three"),
+    ("<article><p>one</p><svg><p>two</p></article>", "one two"), ("<article><p>one</p><iframe src=x><p>two</p></article>", "one two"),
+    ("<article><p>one</p><video a='x>y'>no</video><p>two</p></article>", "one two"),
+])
+def test_embedded_elements(page, text):
+    assert main_text(page) == text
