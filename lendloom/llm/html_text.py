@@ -1,10 +1,11 @@
 """Main text of web pages by the distribution of text over lines.
 
 Markup is stripped and every block element becomes a line. Lines in elements that by name, role or class are not the article
-(menus, headers, footers, sidebars, notices, adverts, forms, comments) are left out. The text lengths of the remaining lines,
-link text not counted, are summed over a sliding window of ``WINDOW`` lines; text begins where the sum surges to ``SURGE``
-characters and ends where it dives to nothing, and what lies between is kept, short lines included. If the page has an
-<article> or <main>, only its lines count and any text is a surge. If nothing surges, all lines that are not links are kept.
+(menus, headers, footers, sidebars, notices, adverts, forms, comments) are left out. If the page has an <article> or <main>, its
+other lines are the text. Else the text lengths of the lines, link text counted in headings and paragraphs only, are summed over a
+sliding window of ``WINDOW`` lines; text begins where the sum surges to ``SURGE`` characters, or before it with the lines of the
+same container that lead up to it, and ends where it dives to nothing; what lies between is kept, short lines included. If
+nothing surges, all lines that are not links are kept.
 
 Scripts, styles, text areas and titles that are not closed run to the end; of other embedded elements only those that are closed
 are left out whole. Character references are decoded, white space inside a line becomes one space, lines are joined by one space in page order.
@@ -29,6 +30,8 @@ EMBEDDED = {t: re.compile(rf"</{t}\s*>", re.I) for t in "noscript template svg m
 BLOCKS = frozenset(
     "address article aside blockquote body br button center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead tr ul".split())
+SPOKEN = frozenset("p h1 h2 h3 h4 h5 h6".split())
+HOLDERS = BLOCKS - SPOKEN - frozenset("br li dt dd pre hr hgroup summary caption figcaption".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ASIDE = frozenset("nav footer aside form button select menu dialog search fieldset label input head".split())
 BODY = frozenset("article main".split())
@@ -58,35 +61,42 @@ def _is_aside(tag: str, attributes: str, in_body: bool) -> bool:
     return False
 
 
-def lines(page: str) -> list[tuple[str, int, bool]]:
-    """(text, characters outside links, inside an article) of every line that is not left out."""
-    found: list[tuple[str, int, bool]] = []
+def lines(page: str) -> list[tuple[str, int, bool, int]]:
+    """(text, characters outside links, inside an article, number of its container) of every line that is not left out.
+
+    Link text in headings and paragraphs counts.
+    """
+    found: list[tuple[str, int, bool, int]] = []
     text: list[str] = []
     plain = 0
     stack: list[tuple[str, bool]] = []
-    asides = bodies = links = 0
+    asides = bodies = links = spoken = holder = 0
+    holders = [0]
 
     def close() -> None:
         nonlocal plain, text
         if text:
             whole = " ".join("".join(text).split())
             if whole:
-                found.append((whole, plain, bodies > 0))
+                found.append((whole, plain, bodies > 0, holders[-1]))
         text, plain = [], 0
 
     def pop() -> None:
-        nonlocal asides, bodies, links
+        nonlocal asides, bodies, links, spoken
         tag, aside = stack.pop()
         asides -= aside
         bodies -= tag in BODY
         links -= tag == "a"
+        spoken -= tag in SPOKEN
+        if tag in HOLDERS:
+            holders.pop()
 
     def put(raw: str) -> None:
         nonlocal plain
         if raw and not asides:
             said = html.unescape(raw)
             text.append(said)
-            if not links:
+            if spoken or not links:
                 plain += len(said.strip())
 
     at = 0
@@ -122,6 +132,10 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
                 asides += aside
                 bodies += tag in BODY
                 links += tag == "a"
+                spoken += tag in SPOKEN
+                if tag in HOLDERS:
+                    holder += 1
+                    holders.append(holder)
     put(page[at:])
     close()
     return found
@@ -129,12 +143,12 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
 
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
     found = lines(page or "")
-    inside = [line for line in found if line[2]]
+    inside = [text for text, _, body, _ in found if body]
     if inside:
-        found, surge = inside, 1
+        return " ".join(inside)
     if not found:
         return ""
-    sizes = np.array([n for _, n, _ in found], np.int64)
+    sizes = np.array([n for _, n, _, _ in found], np.int64)
     sums = np.convolve(sizes, np.ones(window, np.int64))[window - 1:]
     rises = sums >= surge
     keep = np.zeros(len(found), bool)
@@ -142,12 +156,16 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
     for i in range(len(found)):
         if not open_ and rises[i] and sizes[i] > 0:
             open_ = True
+            back = i
+            while back and not keep[back - 1] and sizes[back - 1] > 0 and found[back - 1][3] == found[i][3]:
+                back -= 1
+            keep[back:i] = True
         if open_ and sums[i] == 0:
             open_ = False
         keep[i] = open_
     if not keep.any():
         keep = sizes > 0
-    return " ".join(t for (t, _, _), k in zip(found, keep) if k)
+    return " ".join(t for (t, *_), k in zip(found, keep) if k)
 
 
 def extract(pages: DataFrame, column: str = "html") -> DataFrame:

@@ -49,3 +49,14 @@ def test_clashing_and_empty(spark):
 ])
 def test_embedded_elements(page, text):
     assert main_text(page) == text
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><h1><a href=x>Head</a></h1><p>one</p><p><a>l1</a></p><p><a>l2</a></p><p><a>l3</a></p><p><a>l4</a></p></article>", "Head one l1 l2 l3 l4"),
+    ("<main><ul><li><a>a</a><li><a>b</a></ul><p>one</p></main>", "a b one"),
+    (f"<div><h1>Title</h1><p>a.</p><p>b.</p><p>c.</p><p>{PLAIN}</p></div>", f"Title a. b. c. {PLAIN}"),
+    (f"<div><h1><a>Title</a></h1><p>a.</p><p>b.</p><p>c.</p><p>{PLAIN}</p></div>", f"Title a. b. c. {PLAIN}"),
+    (f"<div><div>far</div><div>x</div></div><div><p>a.</p><p>b.</p><p>{PLAIN}</p></div>", f"a. b. {PLAIN}"),
+])
+def test_titles_and_linked_lines(page, text):
+    assert main_text(page) == text
