@@ -56,3 +56,12 @@ def test_links_of_tight_groups(spark):
     rows = [(i, v.tolist()) for i, v in enumerate(out)]
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)).collect()}
     assert got == plain(rows)
+
+
+def test_hot_group_does_not_hide_small_ones(spark):
+    """A vector with many found links does not make up for small components with missed ones."""
+    from lendloom.llm.nn_descent import short_strata
+
+    hot = spark.range(100_000).selectExpr("1L AS a", "id + 10 AS b", "3L AS stratum", "false AS missed")
+    small = spark.range(100).selectExpr("-id - 1 AS a", "-id - 1000 AS b", "1L AS stratum", "id < 30 AS missed")
+    assert short_strata(hot.unionByName(small)) == [(1, 100, 30)]
