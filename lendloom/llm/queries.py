@@ -170,3 +170,11 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     from lendloom.llm.nn_descent import near_duplicates
 
     return near_duplicates(read(spark, folder, "embeddings").select("vec_id", "embedding"), threshold=0.9)
+
+
+@query("op11_token_alignment")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    from lendloom.llm.packing import public_tokenizer
+    from lendloom.llm.token_alignment import align
+
+    return align(read(spark, folder, "documents").select("doc_id", "text"), public_tokenizer("byte_bpe_50k.json"), public_tokenizer("piece_bpe_32k.model"))
