@@ -178,3 +178,40 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     from lendloom.llm.token_alignment import align
 
     return align(read(spark, folder, "documents").select("doc_id", "text"), public_tokenizer("byte_bpe_50k.json"), public_tokenizer("piece_bpe_32k.model"))
+
+
+def _nearest_sql(book: str) -> str:
+    """Parts with the number distance * 64 + index of their nearest entry, the lower index in a tie."""
+    return f"""(SELECT vec_id, pos, any_value(x) AS x, min(64 * list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) + entry) AS m
+  FROM p JOIN {book} USING (pos) GROUP BY vec_id, pos)"""
+
+
+def _moved_sql(book: str, found: str) -> str:
+    """The codebook with every used entry replaced by the floored mean of its parts."""
+    return f"""(SELECT pos, entry, coalesce(means.c, {book}.c) AS c FROM {book} LEFT JOIN
+  (SELECT pos, entry, list(CAST(floor(total / n) AS BIGINT) ORDER BY j) AS c FROM
+    (SELECT pos, entry, j, sum(x[j]) AS total, count(*) AS n FROM (SELECT pos, m % 64 AS entry, x, unnest(range(1, len(x) + 1)) AS j FROM {found}) GROUP BY pos, entry, j)
+  GROUP BY pos, entry) means USING (pos, entry))"""
+
+
+CODES_SQL = f"""
+WITH v AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+p AS MATERIALIZED (SELECT vec_id, pos, e[pos * len(e) // 16 + 1:(pos + 1) * len(e) // 16] AS x FROM (SELECT vec_id, e, unnest(range(16)) AS pos FROM v)),
+firsts AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v ORDER BY vec_id LIMIT 64),
+b0 AS MATERIALIZED (SELECT pos, entry, x AS c FROM p JOIN firsts USING (vec_id)),
+a1 AS MATERIALIZED {_nearest_sql("b0")}, b1 AS MATERIALIZED {_moved_sql("b0", "a1")},
+a2 AS MATERIALIZED {_nearest_sql("b1")}, b2 AS MATERIALIZED {_moved_sql("b1", "a2")},
+a3 AS MATERIALIZED {_nearest_sql("b2")},
+coded AS (SELECT vec_id, string_agg(printf('%02x', m % 64), '' ORDER BY pos) AS code, CAST(sum(m // 64) AS BIGINT) AS error FROM a3 GROUP BY vec_id),
+book AS (SELECT sha256(string_agg(CAST(c[j] AS VARCHAR), ',' ORDER BY pos, entry, j)) AS codebooks_sha256 FROM (SELECT pos, entry, c, unnest(range(1, len(c) + 1)) AS j FROM b2))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded JOIN v USING (vec_id) CROSS JOIN book"""
+
+
+@query("op12_vector_codes", CODES_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    from lendloom.llm.vector_codes import codebook_digest, compress, with_label_error
+
+    codes, books = compress(read(spark, folder, "embeddings").select("vec_id", "embedding", "label"), label="label")
+    digest = F.lit(None if books is None else codebook_digest(books)).cast("string")
+    return with_label_error(codes, "label").select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))
