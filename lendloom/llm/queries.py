@@ -215,3 +215,11 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
     codes, books = compress(read(spark, folder, "embeddings").select("vec_id", "embedding", "label"), label="label")
     digest = F.lit(None if books is None else codebook_digest(books)).cast("string")
     return with_label_error(codes, "label").select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))
+
+
+@query("op13_private_spans")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    from lendloom.llm.pii import find_private, fit
+
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return find_private(docs, fit(docs))
