@@ -14,7 +14,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def test_names():
-    assert [sum(n.startswith(f"op{k}_") for n in QUERIES) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in QUERIES) for k in range(1, 14)] == [1] * 13
     assert "pipeline" in QUERIES and set(ORACLES) <= set(QUERIES) and len(STAGES) == 5
 
 
