@@ -103,7 +103,8 @@ class WordTokens:
             self.words = Lists()
         if len(self.parts.known) > CACHED_WORDS:
             self.parts = Lists()
-        split = [(t if b"<|" in t else t.translate(LOWER_TABLE)).split() for t in texts]
+        # A word that may hold a control string stays as it is, or its capitals would turn into one.
+        split = [[w if b"<|" in w else w.translate(LOWER_TABLE) for w in t.split()] if b"<|" in t else t.translate(LOWER_TABLE).split() for t in texts]
         words = [w for s in split for w in s]
         new = list({w for w in words if w not in self.words.known})
         if new:

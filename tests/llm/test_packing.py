@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 from lendloom.llm.packing import cross, evolve, mutate, pack, pieces, public_tokenizer
 
 PATH = public_tokenizer("word_bpe_49k.json")
-TEXTS = [None, "", "Hello, World!! it's 25°C", "Straße ÉCOLE naïve… — ok", "<|endoftext|> x <|ENDOFTEXT|>", "word " * 5000, "a" * 3000, "the same", "the same", "tab\tnew\nline\x1cfs nbsp em", "é İ Σσς ﬁ"]
+TEXTS = [None, "", "Hello, World!! it's 25°C", "Straße ÉCOLE naïve… — ok", "<|endoftext|> x <|ENDOFTEXT|>", "<|endoftext|> HI There,<|endoftext|>Big WORD A<|b", "HI<| Some UPPER Words", "word " * 5000, "a" * 3000, "the same", "the same", "tab\tnew\nline\x1cfs nbsp em", "é İ Σσς ﬁ"]
 
 
 def test_pieces_are_the_tokens(spark):
