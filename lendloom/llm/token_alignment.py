@@ -11,8 +11,8 @@ the distinct pairs of a block are shuffled: summed over blocks they are the coun
 a frequent pair is one row of a block, however many links it has, and no partition holds more than its blocks. The highest
 counts have one row per id of the second vocabulary, which bounds their broadcast.
 
-A long text is cut, for the tokenizers, at a space between two other characters: neither tokenizer joins across it, and both
-put a token's end there.
+For the tokenizers a text is cut into units at its spaces: neither tokenizer joins across such a cut, and both put a token's end
+there. A task aligns every distinct unit once, as long as it remembers it.
 
 Null and empty texts, and texts whose token bytes do not give back the text, have no tokens: all figures 0 and an empty digest.
 Repeated rows and ids are rows of their own. Columns other than id and text are not read, whatever their names.
@@ -23,7 +23,6 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Iterator
 from itertools import accumulate, product
 
 import numpy as np
@@ -38,8 +37,8 @@ from lendloom.llm.common import batches_of, written
 
 BLOCK_BYTES = 16 << 20
 ENCODED_CHARS = 1 << 20
-CHUNK_CHARS = 1 << 18
-CUT = re.compile(r"(?<=\S) (?=\S)")
+MOST_UNITS, JOINED_CHARS = 500_000, 1 << 17
+CUT = re.compile(r"(?<=[^\s▁]) ")
 #: The letter that byte-level vocabularies show for a byte: itself if printable, else the next one from 256 on.
 SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
@@ -88,24 +87,23 @@ def tokenizer(path: str) -> ByteLevel | Pieces:
     return _LOADED[path]
 
 
-def chunks(text: str, size: int = CHUNK_CHARS) -> list[str]:
-    """The text cut at spaces between two other characters; the space of a cut is left out, as every chunk gets one in front."""
-    out, at = [], 0
-    while len(text) - at > size and (cut := CUT.search(text, at + size)):
-        out.append(text[at:cut.start()])
-        at = cut.end()
-    return [*out, text[at:]]
+def units(text: str) -> list[str]:
+    """The text cut at spaces after a character that is neither white space nor the mark for it; the space is left out: every unit gets one in front.
 
+    Neither tokenizer joins across such a cut, so the ids, and the groups, of a text are those of its units end to end.
+    """
+    out = CUT.split(text)
+    if len(out) > 1 and not out[-1]:
+        out[-2:] = [out[-2] + " "]
+    return out
 
-def slices_of(a: list[int], b: list[int], sizes_a: list[int], sizes_b: list[int]) -> Iterator[tuple[list[int], list[int]]]:
-    """The groups of two id lists over the same bytes. Of tokens that end together, a dictionary holds the last."""
+
+def cuts(a: list[int], b: list[int], sizes_a: list[int], sizes_b: list[int]) -> tuple[list[int], list[int]]:
+    """Where the groups of two id lists over the same bytes end in either list. Of tokens that end together, a dictionary holds the last."""
     ends_a = dict(zip(accumulate(map(sizes_a.__getitem__, a)), range(1, len(a) + 1)))
     ends_b = dict(zip(accumulate(map(sizes_b.__getitem__, b)), range(1, len(b) + 1)))
-    i = j = 0
-    for end in sorted(ends_a.keys() & ends_b.keys()):
-        to_i, to_j = ends_a[end], ends_b[end]
-        yield a[i:to_i], b[j:to_j]
-        i, j = to_i, to_j
+    common = sorted(ends_a.keys() & ends_b.keys())
+    return list(map(ends_a.__getitem__, common)), list(map(ends_b.__getitem__, common))
 
 
 def ending(ids: list[int], sizes: list[int]) -> list[int]:
@@ -117,45 +115,110 @@ def ending(ids: list[int], sizes: list[int]) -> list[int]:
 
 
 class Aligner:
-    def __init__(self, path_a: str, path_b: str):
+    """Aligned units, remembered, since texts repeat their words; a text is put together from its units."""
+
+    def __init__(self, path_a: str, path_b: str, most_units: int = MOST_UNITS):
         self.a, self.b = tokenizer(path_a), tokenizer(path_b)
         self.sizes_a, self.sizes_b = ([len(x) for x in t.bytes] for t in (self.a, self.b))
         self.names_a, self.names_b = (list(map(str, range(len(t.bytes)))) for t in (self.a, self.b))
-        self.width = len(self.b.bytes)
+        self.width, self.most_units = len(self.b.bytes), most_units
+        self.lengths_a, self.gapless = np.array(self.sizes_a), 0 not in self.sizes_a and 0 not in self.sizes_b
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.shown: list[str] = []
+        #: n_a (-1 if the bytes do not give back the unit), n_b, n_groups, and where the links of the unit begin and how many they are.
+        self.figures, self.links = np.zeros((0, 5), np.int64), np.zeros(0, np.int64)
+
+    def _learn(self, new: list[str]) -> None:
+        """Align new units, many at once as one text: what holds for the units of a text holds for any units in a row."""
+        joined, size = [[]], 0
+        for unit in new:
+            if not unit or unit[-1].isspace() or unit[-1] == "▁":
+                joined.insert(0, [unit])  # nothing may follow it
+                continue
+            if size > JOINED_CHARS:
+                joined.append([])
+                size = 0
+            joined[-1].append(unit)
+            size += len(unit)
+        joined = [own for own in joined if own]
+        while joined:
+            texts = [" ".join(own) for own in joined]
+            again = []
+            for own, text, a, b in zip(joined, texts, self.a.encode(texts), self.b.encode(texts)):
+                whole = (" " + text).encode()
+                if b"".join(map(self.a.bytes.__getitem__, a)) == whole == b"".join(map(self.b.bytes.__getitem__, b)):
+                    self._add(own, a, b)
+                elif len(own) > 1:  # one of them does not come back: each on its own
+                    again += [[unit] for unit in own]
+                else:
+                    self._keep(own, [""], np.array([[-1, 0, 0, len(self.links), 0]]), np.zeros(0, np.int64))
+            joined = again
+
+    def _add(self, own: list[str], a: list[int], b: list[int]) -> None:
+        names_a, names_b, sizes_a, sizes_b = self.names_a, self.names_b, self.sizes_a, self.sizes_b
+        to_a, to_b = cuts(a, b, sizes_a, sizes_b)
+        shown = [
+            names_a[a[i]] + "|" + names_b[b[j]] if to_i - i == 1 == to_j - j
+            else ",".join(map(names_a.__getitem__, a[i:to_i])) + "|" + ",".join(map(names_b.__getitem__, b[j:to_j]))
+            for i, to_i, j, to_j in zip([0, *to_a], to_a, [0, *to_b], to_b)
+        ]
+        ids_a, ids_b = np.array(a), np.array(b)
+        upto_a, upto_b = np.array([0, *to_a]), np.array([0, *to_b])
+        if self.gapless:
+            links, upto_links = ids_a[upto_a[1:] - 1] * self.width + ids_b[upto_b[1:] - 1], np.arange(len(upto_a))
+        else:  # empty tokens end where the one before them does
+            pairs = [
+                [p * self.width + q for p, q in product(ending(a[i:to_i], sizes_a), ending(b[j:to_j], sizes_b))]
+                for i, to_i, j, to_j in zip([0, *to_a], to_a, [0, *to_b], to_b)
+            ]
+            links, upto_links = np.array([x for own_ in pairs for x in own_], np.int64), np.concatenate([[0], np.cumsum([len(x) for x in pairs])])
+        # The groups of a unit are those up to its last byte, where both sides have an end.
+        ends = np.cumsum(self.lengths_a[ids_a])[upto_a[1:] - 1]
+        lasts = np.searchsorted(ends, np.cumsum([1 + len(unit.encode()) for unit in own]), "right")
+        firsts = np.concatenate([[0], lasts[:-1]])
+        begins = upto_links[firsts]
+        figures = np.stack([upto_a[lasts] - upto_a[firsts], upto_b[lasts] - upto_b[firsts], lasts - firsts, begins + len(self.links), upto_links[lasts] - begins], 1)
+        self._keep(own, [";".join(shown[i:j]) for i, j in zip(firsts.tolist(), lasts.tolist())], figures, links)
+
+    def _keep(self, own: list[str], shown: list[str], figures: np.ndarray, links: np.ndarray) -> None:
+        self.known.update(zip(own, range(len(self.shown), len(self.shown) + len(own))))
+        self.shown += shown
+        self.figures, self.links = np.concatenate([self.figures, figures]), np.concatenate([self.links, links])
 
     def documents(self, texts: list[str], with_groups: bool = False) -> list[tuple]:
         """For each text: n_a, n_b, n_groups, the digest of its groups, its links as numbers ``a * width + b``, and the groups."""
-        parts = [chunks(t) for t in texts]
-        flat = [c for own in parts for c in own]
-        found = zip(flat, self.a.encode(flat), self.b.encode(flat))
-        return [self._document([next(found) for _ in own], text, with_groups) for own, text in zip(parts, texts)]
-
-    def _document(self, own: list[tuple[str, list[int], list[int]]], text: str, with_groups: bool) -> tuple:
-        nothing = (0, 0, 0, "", [], "")
-        if not text or any(
-            b"".join(map(t.bytes.__getitem__, ids)) != (" " + chunk).encode() for chunk, a, b in own for t, ids in ((self.a, a), (self.b, b))
-        ):
-            return nothing
-        names_a, names_b, sizes_a, sizes_b, width = self.names_a, self.names_b, self.sizes_a, self.sizes_b, self.width
-        n_a = n_b = n_groups = 0
-        digest, links, kept = hashlib.sha256(), [], []
-        for _, a, b in own:
-            shown = []
-            for left, right in slices_of(a, b, sizes_a, sizes_b):
-                if len(left) == 1 == len(right):
-                    shown.append(f"{names_a[left[0]]}|{names_b[right[0]]}")
-                else:
-                    shown.append(f"{','.join(map(names_a.__getitem__, left))}|{','.join(map(names_b.__getitem__, right))}")
-                x, y = left[-1], right[-1]
-                if sizes_a[x] and sizes_b[y]:
-                    links.append(x * width + y)
-                else:
-                    links += [p * width + q for p, q in product(ending(left, sizes_a), ending(right, sizes_b))]
-            digest.update(((";" if n_groups else "") + ";".join(shown)).encode())
-            n_a, n_b, n_groups = n_a + len(a), n_b + len(b), n_groups + len(shown)
-            if with_groups:
-                kept += shown
-        return n_a, n_b, n_groups, digest.hexdigest(), links, ";".join(kept)
+        if len(self.known) > self.most_units:
+            self._forget()
+        split = [units(t) if t else [] for t in texts]
+        new = list({u for own in split for u in own} - self.known.keys())
+        if new:
+            self._learn(new)
+        out = []
+        for own in split:
+            at = np.fromiter(map(self.known.__getitem__, own), np.int64, len(own))
+            figures = self.figures[at]
+            if not len(at) or figures[:, 0].min() < 0:
+                out.append((0, 0, 0, "", np.zeros(0, np.int64), ""))
+                continue
+            groups = ";".join(map(self.shown.__getitem__, at.tolist()))
+            sizes = figures[:, 4]
+            ends = np.cumsum(sizes)
+            links = self.links[np.repeat(figures[:, 3] - (ends - sizes), sizes) + np.arange(ends[-1])]
+            out.append((*figures[:, :3].sum(0).tolist(), hashlib.sha256(groups.encode()).hexdigest(), links, groups if with_groups else ""))
+        return out
+
+
+_ALIGNERS: dict[tuple[str, str], Aligner] = {}
+
+
+def aligner_of(path_a: str, path_b: str) -> Aligner:
+    """One per worker process and pair of files, so that units are remembered from task to task; their number is bounded."""
+    if (path_a, path_b) not in _ALIGNERS:
+        _ALIGNERS[path_a, path_b] = Aligner(path_a, path_b)
+    return _ALIGNERS[path_a, path_b]
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -216,7 +279,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, *, id_column: str = "doc_id
     id_type = docs.schema[id_column].dataType
 
     def blocks(batches):
-        aligner, made, ids, rows, size = Aligner(path_a, path_b), 0, [], [], 0
+        aligner, made, ids, rows, size = aligner_of(path_a, path_b), 0, [], [], 0
         task = TaskContext.get().partitionId() << 32
         for batch in batches:
             kind, keys, texts = batch.schema.field(id_column).type, batch.column(id_column).to_pylist(), batch.column(column)

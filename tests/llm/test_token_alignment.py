@@ -1,12 +1,13 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
 from lendloom.llm.packing import public_tokenizer
-from lendloom.llm.token_alignment import Aligner, align, chunks, ending, slices_of
+from lendloom.llm.token_alignment import Aligner, align, cuts, ending, units
 
 A, B = public_tokenizer("byte_bpe_50k.json"), public_tokenizer("piece_bpe_32k.model")
 TEXTS = [None, "", " ", "Hello, World!! it's 25°C", "<|endoftext|> x </s> <s>", "a  b\t c\n\n d ", "naïve Ωmega 漢字 🎉 é", "the same", "the same", "▁ under", "end ", " nbsp \x00 nul", "word " * 3000 + "x"]
@@ -76,12 +77,23 @@ def test_table_against_plain_python(spark):
     assert [rows[d["doc_id"]] for d in docs] == list(plain([d["text"] for d in docs]))
 
 
-def test_chunks_leave_the_ids_as_they_are():
-    whole, aligner = "It was  the best of\ttimes, é ü 漢 字 end " * 40, Aligner(A, B)
-    parts = chunks(whole, 50)
-    assert len(parts) > 5 and " ".join(parts) == whole
-    for tool in (aligner.a, aligner.b):
-        assert [i for own in tool.encode(parts) for i in own] == tool.encode([whole])[0]
+def test_units_leave_the_ids_as_they_are():
+    random, aligner = np.random.default_rng(6), Aligner(A, B)
+    pieces = [" ", "  ", "\n", " \n", "\t", "\xa0", "\x1c", "\x85", "\u3000", "word", "It's", "12", "é", "漢字", "!?", "▁", "don't", "<s>"]
+    for _ in range(400):
+        text = "".join(random.choice(pieces, 12))
+        parts = units(text)
+        assert " ".join(parts) == text
+        for tool in (aligner.a, aligner.b):
+            assert [i for own in tool.encode(parts) for i in own] == tool.encode([text])[0], (text, parts)
+
+
+def test_forgetting_changes_nothing():
+    texts = ["one two three", "two three four five", "", "six one"]
+    whole, short = Aligner(A, B), Aligner(A, B, most_units=1)
+    for text in texts * 2:
+        for x, y in zip(whole.documents([text])[0], short.documents([text])[0]):
+            assert np.array_equal(x, y)
 
 
 def test_groups_as_text(spark):
@@ -89,10 +101,10 @@ def test_groups_as_text(spark):
     assert hashlib.sha256(rows[0]["groups"].encode()).hexdigest() == rows[0]["groups_sha256"]
 
 
-def test_slices_and_empty_tokens():
+def test_cuts_and_empty_tokens():
     sizes = [0, 1, 2, 3]
-    assert list(slices_of([1, 2, 3], [3, 3], sizes, sizes)) == [([1, 2], [3]), ([3], [3])]
-    assert list(slices_of([1, 0], [1], sizes, sizes)) == [([1, 0], [1])] and ending([2, 1, 0, 0], sizes) == [1, 0, 0]
+    assert cuts([1, 2, 3], [3, 3], sizes, sizes) == ([2, 3], [1, 2])
+    assert cuts([1, 0], [1], sizes, sizes) == ([2], [1]) and ending([2, 1, 0, 0], sizes) == [1, 0, 0]
 
 
 def test_empty_table(spark):
