@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendloom.functions.text import label_text, lookup_literal
-from lendloom.operators.profile import exact_quantiles, label_counts, label_rates, value_shares
+from lendloom.operators.profile import label_counts, label_rates, value_shares
+from lendloom.operators.selection import exact_quantiles
 from lendloom.operators.skew import broadcast_if_small
 from lendloom.session import checkpointed
 

@@ -13,8 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendloom.operators.profile import exact_quantiles
 from lendloom.operators.running import running
+from lendloom.operators.selection import exact_quantiles
 
 
 def confusion(df: DataFrame, score: str, label: str, threshold: float = 0.5, by: Sequence[str] = ()) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendloom.operators.running import running
+from lendloom.operators.selection import quantiles_of
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -59,43 +59,12 @@ def value_shares(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Mapping[str, float], **limits) -> DataFrame:
-    """(feature, n, one column per named share): exact quantiles with linear interpolation.
-
-    Values are reduced to distinct values with counts, ranked by a running sum, and the
-    two values around each rank are picked by an aggregate: no value list is ever held.
-    """
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "feature", "value")
-    counts = long.where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy("feature", "value").agg(F.count("*").alias("n"))
-    ranked = running(counts, ["feature"], "value", {"upto": ("sum", "n")}, bound=df, **limits)
-    sizes = counts.groupBy("feature").agg(F.sum("n").alias("size"))  # one row per column of the frame
-    placed = ranked.join(F.broadcast(sizes), "feature")
-    last_rank = F.col("size") - 1
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto")), F.col("value")))
-
-    picks = []
-    for name, share in shares.items():
-        position = F.lit(float(share)) * last_rank
-        picks += [at(F.floor(position)).alias(f"_{name}_low"), at(F.ceil(position)).alias(f"_{name}_high")]
-    found = placed.groupBy("feature").agg(F.max("size").alias("n"), *picks)
-    columns_out = []
-    for name, share in shares.items():
-        position = F.lit(float(share)) * (F.col("n") - 1)
-        low, high = F.col(f"_{name}_low"), F.col(f"_{name}_high")
-        columns_out.append((low + (high - low) * (position - F.floor(position))).alias(name))
-    return found.select("feature", "n", *columns_out)
-
-
 def numeric_summary(df: DataFrame, columns: Sequence[str], **limits) -> DataFrame:
-    """count, mean, std, min, quartiles, max per column."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "feature", "value")
-    moments = long.where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy("feature").agg(
-        F.avg("value").alias("mean"), F.stddev("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")
-    )
-    quartiles = exact_quantiles(df, columns, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, **limits)
-    return quartiles.join(moments, "feature").select("feature", "n", "mean", "std", "min", "q25", "q50", "q75", "max")
+    """count, mean, std, min, quartiles, max per column: moments and sketch from one aggregate, quartiles by selection."""
+    quartiles, extents = quantiles_of(df, columns, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, **limits)
+    moments = df.sparkSession.createDataFrame(
+        [(name, e.mean, e.std, e.low, e.high) for name, e in extents.items()], "feature string, mean double, std double, min double, max double")
+    return quartiles.join(F.broadcast(moments), "feature").select("feature", "n", "mean", "std", "min", "q25", "q50", "q75", "max")  # one row per column
 
 
 def text_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -103,3 +103,98 @@ def flatten_xml(df: DataFrame, column: str, schema: T.StructType, keep: Sequence
     last = lambda path: F.try_element_at(_texts(F.col("_doc"), path), F.lit(-1))
     columns = [F.coalesce(*[last(path) for path in reversed(paths)]).alias(tag) for tag, paths in by_tag.items()]
     return parsed.select(*keep, *columns)
+
+
+# --- documents without a declared schema ------------------------------------------
+
+TEXT_TAG = "#text"
+WALK = {"excludeAttribute": "true", "valueTag": TEXT_TAG, "inferSchema": "false"}
+MOST_TAGS = 5000
+
+
+def _well_formed(body: Column) -> Column:
+    return F.from_xml(body, "_bad string", {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})["_bad"].isNull() & (F.trim(body) != "")
+
+
+def discover_paths(df: DataFrame, column: str, depth: int = 5) -> DataFrame:
+    """(path, n): every element with own text, or without children, at depth 1 to ``depth`` below the root, over all documents.
+
+    A document is read as a variant, which needs no schema, and its objects and lists are opened level by level; the paths are
+    counted by one aggregate with a map-side part. Malformed documents have no paths.
+    """
+    body = without_declaration(F.col(column))
+    # The check and the variant are in different steps, so that no malformed document reaches the second parse.
+    fine = df.select(body.alias("_body")).where(F.col("_body").isNotNull())
+    rows = fine.withColumn("_body", F.when(_well_formed(F.col("_body")), F.col("_body"))).select(
+        F.array().cast("array<string>").alias("path"), F.from_xml("_body", "variant", WALK).alias("v"))
+    explode = df.sparkSession.tvf.variant_explode_outer
+    for _ in range(depth + 1):
+        for _ in range(2):  # a repeated element is a list of objects: one step opens the list, one the objects
+            opened = rows.lateralJoin(explode(F.col("v").outer()))
+            under = F.when(F.col("key").isNull() | (F.col("key") == TEXT_TAG), F.col("path")).otherwise(F.concat("path", F.array("key")))
+            rows = opened.select(under.alias("path"), F.col("value").alias("v"))
+    return rows.where(F.size("path").between(1, depth)).groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _schema_of(paths: Sequence[Sequence[str]]) -> T.StructType:
+    """Nested struct of the paths; an element that has both text and children keeps its text under ``TEXT_TAG``."""
+    tree: dict = {}
+    for path in paths:
+        node = tree
+        for name in path:
+            node = node.setdefault(name, {})
+
+    def struct(node: dict, path: tuple) -> T.StructType:
+        fields = [T.StructField(name, struct(inner, (*path, name)) if inner else T.StringType()) for name, inner in sorted(node.items())]
+        if path in found:
+            fields.append(T.StructField(TEXT_TAG, T.StringType()))
+        return T.StructType(fields)
+
+    found = {tuple(p) for p in paths}
+    return struct(tree, ())
+
+
+def _steps(schema: T.StructType, path: tuple = ()) -> list[tuple[str, ...]]:
+    out = []
+    for field in schema.fields:
+        here = (*path, field.name)
+        out += _steps(field.dataType, here) if isinstance(field.dataType, T.StructType) else [here]
+    return out
+
+
+def _texts_at(node: Column, path: Sequence[str]) -> Column:
+    head, *rest = path
+    values = node[head]
+    for name in rest:
+        values = _children(values, name)
+    return values
+
+
+def flatten_open(df: DataFrame, column: str, keep: Sequence[str] = (), depth: int = 5, most_tags: int = MOST_TAGS) -> DataFrame:
+    """One text column per tag that any document has at depth 2 to ``depth`` below the root, in order of the names.
+
+    Two passes: the first discovers the tags of all documents, the second parses each document once against the schema they
+    make. The last of repeated tags wins; of several sections with the same tag, the one whose path sorts last. A missing tag is
+    NULL, malformed and empty documents have only NULLs. A tag named like a kept column gets ``_xml`` at its end. More than ``most_tags`` paths,
+    or tags that differ in case alone, are an error, since a table cannot hold them.
+    """
+    found = discover_paths(df, column, depth).select("path").limit(most_tags + 1).collect()
+    if len(found) > most_tags:
+        raise ValueError(f"more than {most_tags} paths")
+    paths = sorted(tuple(r["path"]) for r in found)
+    by_tag: dict[str, list[tuple[str, ...]]] = {}
+    for path in _steps(_schema_of(paths)):
+        named = path[:-1] if path[-1] == TEXT_TAG else path
+        if 2 <= len(named) <= depth:
+            by_tag.setdefault(named[-1], []).append(path)
+    if len({name.lower() for name in by_tag}) < len(by_tag):
+        raise ValueError(f"tags that differ in case alone: {sorted(by_tag)}")
+    body = without_declaration(F.col(column))
+    schema = _all_repeated(_schema_of(paths))
+    parsed = df.select(*keep, F.from_xml(body, schema, {"mode": "PERMISSIVE", "valueTag": TEXT_TAG, "excludeAttribute": "true"}).alias("_doc")) if paths else df.select(*keep)
+    taken = {name.lower() for name in keep}
+    columns = []
+    for tag, own in sorted(by_tag.items()):
+        values = [F.try_element_at(F.filter(_texts_at(F.col("_doc"), path), lambda t: t.isNotNull()), F.lit(-1)) for path in sorted(own, reverse=True)]
+        columns.append(F.coalesce(*values).alias(f"{tag}_xml" if tag.lower() in taken else tag))
+    return parsed.select(*keep, *columns)

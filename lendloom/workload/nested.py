@@ -85,6 +85,31 @@ def xml_flatten(spark, folder):
     return xmltab.flatten_xml(spread(star(spark, folder, "bureau_response")["bureau_response"]), "response", FLAT_SCHEMA, keep=["id"])
 
 
+# Replies without a declared schema: a tag of the last document alone, repeated and missing tags, every fiftieth cut off.
+REPLIES_SQL = """
+SELECT o_orderkey, '<reply><made>' || CAST(o_custkey AS STRING) || '</made><scores at="x"><main>' || CAST(o_custkey AS STRING) || '</main>'
+    || CASE WHEN o_orderkey % 3 = 0 THEN '<main>00' || CAST(o_orderkey % 50 AS STRING) || '</main>' ELSE '' END || '</scores>'
+    || CASE WHEN o_orderkey % 4 = 0 THEN '<person><address><zip>0' || CAST(o_custkey % 100 AS STRING) || '</zip><kind>' || o_orderstatus || '</kind></address></person>' ELSE '' END
+    || CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM {orders}) THEN '<tail><note>last &amp; least</note></tail>' ELSE '' END
+    || CASE WHEN o_orderkey % 50 = 7 THEN '' ELSE '</reply>' END AS reply
+FROM {orders}
+"""
+
+
+@query(
+    "xml_flatten_open",
+    """
+SELECT o_orderkey, CASE WHEN cut THEN NULL WHEN o_orderkey % 3 = 0 THEN '00' || (o_orderkey % 50) ELSE CAST(o_custkey AS VARCHAR) END AS main,
+  CASE WHEN NOT cut AND o_orderkey % 4 = 0 THEN '0' || (o_custkey % 100) END AS zip, CASE WHEN NOT cut AND o_orderkey % 4 = 0 THEN o_orderstatus END AS kind,
+  CASE WHEN NOT cut AND o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 'last & least' END AS note
+FROM (SELECT *, o_orderkey % 50 = 7 AS cut FROM orders)
+""",
+)
+def xml_flatten_open(spark, folder):
+    replies = spark.sql(REPLIES_SQL, orders=spread(table(spark, folder, "orders")))
+    return xmltab.flatten_open(replies, "reply", keep=["o_orderkey"])
+
+
 @query(
     "bureau_documents",
     with_star(

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lendloom.operators import evaluate, history, lookups, profile, skew
+from lendloom.operators import evaluate, history, lookups, selection, skew
 from lendloom.operators.running import ranges, running
 
 random.seed(7)
@@ -89,13 +89,13 @@ def test_exact_quantiles_chunked(spark):
     shares = {"low": 0.1, "mid": 0.5, "high": 0.97}
     expected = {n: df.agg(*[F.percentile(n, F.lit(s)) for s in shares.values()]).first() for n in ("a", "b")}
     for limits in ({}, {"rows_per_task": 20}):
-        for row in profile.exact_quantiles(df, ["a", "b"], shares, **limits).collect():
+        for row in selection.exact_quantiles(df, ["a", "b"], shares, **limits).collect():
             assert [row[n] for n in shares] == pytest.approx(list(expected[row["feature"]]))
 
 
 def test_median_interpolates(spark):
     df = spark.range(20).select(F.col("id").cast("double").alias("v"))
-    assert profile.exact_quantiles(df, ["v"], {"m": 0.5}).first()["m"] == 9.5
+    assert selection.exact_quantiles(df, ["v"], {"m": 0.5}).first()["m"] == 9.5
 
 
 def test_last_before_first_with_hot_key(spark):
