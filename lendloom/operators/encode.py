@@ -43,15 +43,41 @@ def split(df: DataFrame, key: str, test_tenths: int = 3) -> tuple[DataFrame, Dat
 # --- missing values ---------------------------------------------------------------
 
 
+def count_table(train: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
+    """(feature, label, n, bad) of every column, kept: fills, rare labels and rates are all moves between its rows.
+
+    Labels of numbers have one text form and NaN is NULL, as where the states are applied.
+    """
+    doubles = {f for f, kind in train.dtypes if kind in ("double", "float")}
+    clean = train.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in columns if c in doubles}) if doubles & set(columns) else train
+    return held(label_counts(as_labels(clean, columns), columns, target))
+
+
+def moved(counts: DataFrame, label: Column) -> DataFrame:
+    """The counts with every label replaced, rows of the same label added up."""
+    return counts.withColumn("label", label).groupBy("feature", "label").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+
+
+def text_fills(counts: DataFrame, max_null: float = 0.05, numbers: Sequence[str] = ()) -> DataFrame:
+    """(feature, kind, value): 'Missing' where more than ``max_null`` of the rows have no label, else the mode."""
+    best = F.min_by(F.col("label"), F.when(F.col("label").isNotNull(), F.struct((-F.col("n")).alias("n"), F.col("label"))))
+    null_share = F.sum(F.when(F.col("label").isNull(), F.col("n")).otherwise(0)) / F.sum("n")
+    found = counts.groupBy("feature").agg(F.when(null_share > max_null, "Missing").otherwise(best).alias("value"), null_share.alias("_share"))
+    number = F.col("feature").isin(list(numbers)) & (F.col("_share") <= max_null)
+    return found.select("feature", F.when(number, "number").otherwise("text").alias("kind"), "value")
+
+
+def fill_counts(counts: DataFrame, fills: DataFrame) -> DataFrame:
+    """What the counts are after the fills: the rows without a label join those of the fill."""
+    joined = counts.join(F.broadcast(fills.select("feature", "value")), "feature", "left")  # one row per column
+    return moved(joined, F.coalesce("label", "value"))
+
+
 def fit_missing(train: DataFrame, text: Sequence[str], numeric: Sequence[str], max_null: float = 0.05, **limits) -> DataFrame:
     """(feature, kind, value): 'Missing' or the mode for text, the median for numbers."""
     parts = []
     if text:
-        counts = label_counts(train, text)
-        best = F.min_by(F.col("label"), F.when(F.col("label").isNotNull(), F.struct((-F.col("n")).alias("n"), F.col("label"))))
-        null_share = F.sum(F.when(F.col("label").isNull(), F.col("n")).otherwise(0)) / F.sum("n")
-        value = F.when(null_share > max_null, "Missing").otherwise(best)
-        parts.append(counts.groupBy("feature").agg(F.lit("text").alias("kind"), value.alias("value")))
+        parts.append(text_fills(label_counts(train, text), max_null))
     if numeric:
         medians = exact_quantiles(train, numeric, {"median": 0.5}, **limits)
         parts.append(medians.select("feature", F.lit("number").alias("kind"), F.col("median").cast("string").alias("value")))
@@ -93,7 +119,11 @@ def fit_rare(train: DataFrame, columns: Sequence[str], min_share: float = 0.01)
     'rare' becomes a frequent label itself when the merged rows exceed the share, as a
     second fitting round would find.
     """
-    counts = label_counts(as_labels(train, columns), columns)
+    return rare_labels(label_counts(as_labels(train, columns), columns), min_share)
+
+
+def rare_labels(counts: DataFrame, min_share: float = 0.01) -> DataFrame:
+    """``fit_rare`` from a table of counts."""
     per_feature = counts.groupBy("feature").agg(
         F.sum("n").alias("size"),
         F.count("*").alias("values"),
@@ -116,6 +146,14 @@ def fit_rare(train: DataFrame, columns: Sequence[str], min_share: float = 0.01)
     return bare.select("feature", F.lit(None).cast("string").alias("label"), "replacement").unionByName(found)
 
 
+def merge_counts(counts: DataFrame, rare: DataFrame) -> DataFrame:
+    """What the counts are after rare labels are merged."""
+    bare = rare.where("label IS NULL").select("feature", "replacement")  # one row per column
+    often = rare.where("label IS NOT NULL").select("feature", "label", F.lit(True).alias("_often"))  # at most 100 rows a column
+    joined = counts.join(F.broadcast(bare), "feature", "left").join(F.broadcast(often), ["feature", "label"], "left")
+    return moved(joined, F.when(F.col("_often"), F.col("label")).otherwise(F.coalesce("replacement", "label")))
+
+
 def apply_rare(df: DataFrame, state: DataFrame) -> DataFrame:
     """Keep frequent labels, replace the others and NULL. Labels are compared as text."""
     frequent: dict[str, list[str]] = {}
@@ -135,9 +173,13 @@ def apply_rare(df: DataFrame, state: DataFrame) -> DataFrame:
 
 def scarce_binary(df: DataFrame, columns: Sequence[str], max_share: float = 0.2) -> list[str]:
     """Columns with at most two labels of which one is scarce."""
-    counts = label_counts(df, columns)
-    rows = counts.groupBy("feature").agg(F.count("*").alias("labels"), F.min("n").alias("least"), F.sum("n").alias("all")).collect()
-    return sorted(r["feature"] for r in rows if r["labels"] <= 2 and r["least"] / r["all"] < max_share)
+    return scarce_in(label_counts(df, columns), max_share)
+
+
+def scarce_in(counts: DataFrame, max_share: float = 0.2) -> list[str]:
+    """``scarce_binary`` from a table of counts; one row per column reaches the driver."""
+    rows = counts.groupBy("feature").agg(F.count("*").alias("labels"), F.min("n").alias("least"), F.sum("n").alias("all")).where("labels <= 2").collect()
+    return sorted(r["feature"] for r in rows if r["least"] / r["all"] < max_share)
 
 
 # --- target rates -----------------------------------------------------------------
@@ -148,18 +190,29 @@ def fit_target(train: DataFrame, columns: Sequence[str], target: str) -> DataFra
     return label_rates(as_labels(train, columns), columns, target).select("feature", "label", F.col("bad_rate").alias("rate"))
 
 
+LITERAL_LABELS = 400
+
+
 def apply_target(df: DataFrame, state: DataFrame, default: float | None = None) -> DataFrame:
     """Replace labels by their rate; unseen labels give ``default``.
 
-    Every encoded column meets the rates of its own labels; the state is joined, one column
-    at a time, by the skew-safe join, since the mode owns most rows.
+    A state of merged labels has at most 100 rows a column: such columns are encoded by literal maps in one projection. A
+    column with more than ``LITERAL_LABELS`` labels meets its rates by the skew-safe join, since the mode owns most rows.
     """
-    features = [r["feature"] for r in state.select("feature").distinct().collect()]  # one row per column
-    for name in [f for f in features if f in df.columns]:
+    sizes = {r["feature"]: r["n"] for r in state.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect() if r["feature"] in df.columns}  # one row per column
+    small = [f for f, n in sizes.items() if n <= LITERAL_LABELS]
+    rates: dict[str, dict] = {f: {} for f in small}
+    for row in state.where(F.col("feature").isin(small)).collect() if small else []:
+        if row["label"] is not None:
+            rates[row["feature"]][row["label"]] = row["rate"]
+    missing = F.lit(default).cast("double")
+    if small:
+        df = df.withColumns({f: F.coalesce(lookup_literal(label_text(F.col(f)), own).cast("double"), missing) for f, own in rates.items()})
+    for name in [f for f in sizes if f not in rates]:
         part = state.where(F.col("feature") == name).select(F.col("label").alias("_label"), F.col("rate").alias("_rate"))
         labelled = df.withColumn("_label", label_text(F.col(name)))
         joined = labelled.join(broadcast_if_small(part), "_label", "left")
-        df = joined.withColumn(name, F.coalesce("_rate", F.lit(default).cast("double"))).select(*df.columns)
+        df = joined.withColumn(name, F.coalesce("_rate", missing)).select(*df.columns)
     return df
 
 

@@ -173,3 +173,43 @@ def feature_auc(df: DataFrame, features: Sequence[str], label: str, **limits) ->
     values = [F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)).alias(c) for c in features]
     long = df.select(label, *values).unpivot([label], list(features), "feature", "value")
     return roc_auc(long, "value", label, by=["feature"], **limits).select("feature", "auc").orderBy(F.desc("auc"), "feature")
+
+
+def _long(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """(feature, value, label) with missing values as 0."""
+    values = [F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)).alias(c) for c in features]
+    return df.where(F.col(label).isNotNull()).select(F.col(label).cast("bigint").alias("label"), *values).unpivot(["label"], list(features), "feature", "value")
+
+
+def tree_chances(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, **limits) -> DataFrame:
+    """(feature, chance, pos, neg): how many test rows the fully grown tree of one feature gives each chance.
+
+    A tree of one feature that is split until nothing is left to split parts every two neighbouring train values whose
+    labels differ, at the middle between them. So the chance of a test value is the bad rate of the train rows at the nearest train
+    value, the lower one at the middle. All features are grown together: train and test values meet as counts per distinct value, and two
+    running passes over ranges carry the train value below and above to every test value. A feature with many values covers many ranges.
+    """
+    counted = lambda df, side: _long(df, features, label).groupBy("feature", "value").agg(
+        F.sum("label").alias(f"{side}_pos"), F.sum(1 - F.col("label")).alias(f"{side}_neg"))
+    learnt, held = counted(train, "a"), counted(test, "b")
+    both = learnt.join(held, ["feature", "value"], "full").withColumns({"_down": -F.col("value"), "at": F.when(F.col("a_pos").isNotNull(), F.struct("value", (F.col("a_pos") / (F.col("a_pos") + F.col("a_neg"))).alias("rate")))})
+    upward = running(both, ["feature"], "value", {"below": ("max", "at")}, **limits)
+    placed = running(upward, ["feature"], "_down", {"above": ("min", "at")}, **limits).where("b_pos IS NOT NULL")
+    value, below, above = F.col("value"), F.col("below"), F.col("above")
+    nearer = F.when(below.isNull(), above["rate"]).when(above.isNull(), below["rate"]).when(value <= (below["value"] + above["value"]) / 2, below["rate"]).otherwise(above["rate"])
+    return placed.groupBy("feature", nearer.alias("chance")).agg(F.sum("b_pos").alias("pos"), F.sum("b_neg").alias("neg"))
+
+
+def feature_tree_auc(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, at_least: float = 0.5, **limits) -> DataFrame:
+    """(feature, auc, kept), best first: the AUC on test rows of the tree grown from each feature on train rows.
+
+    Unlike a rank AUC it does not depend on the direction: a feature that falls with the label is kept as one that rises.
+    Features without a train value or with one class of test rows have no AUC and are not kept.
+    """
+    counts = tree_chances(train, test, features, label, **limits).where("chance IS NOT NULL")
+    ranked = running(counts, ["feature"], "chance", {"neg_upto": ("sum", "neg")}, **limits)
+    wide = lambda c: F.col(c).cast("decimal(38,0)")
+    wins = F.sum((F.col("pos").cast("decimal(18,0)") * (2 * F.col("neg_upto") - F.col("neg")).cast("decimal(19,0)")).cast("decimal(38,0)"))
+    sums = ranked.groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), wins.alias("_wins"))
+    auc = F.try_divide(wide("_wins").cast("double"), 2.0 * F.col("pos").cast("double") * F.col("neg").cast("double"))
+    return sums.select("feature", auc.alias("auc")).withColumn("kept", F.coalesce(F.col("auc") > at_least, F.lit(False))).orderBy(F.desc("auc"), "feature")

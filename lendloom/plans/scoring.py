@@ -17,7 +17,7 @@ from lendloom.operators.models import add_scores, load_model, save_model
 from lendloom.params import (
     BANK_RULES_SCORING, CONSTANT_FILLS, DATE_COLUMNS, DATE_DIFF_FILLS, FEATURE_ORDER, LABEL_COLUMNS, PERCENT_COLUMNS, STATE_NAMES,
 )
-from lendloom.plans.training import join_renamed
+from lendloom.plans.training import fit_states, join_renamed
 from lendloom.sources.files import load_state, save_state
 
 
@@ -87,11 +87,9 @@ def fit_input_states(train: DataFrame, target: str, as_of: Column, **columns) ->
     scorer = Scorer(missing=None, rare=None, target=None, model=None, **columns)
     numeric = [name for name in scorer.features if name not in scorer.labels]
     cleaned = clean_inputs(train, as_of, scorer.percent, scorer.dates, scorer.bank)
-    scorer.missing = encode.held(encode.fit_missing(cleaned, scorer.labels, numeric))
-    filled = encode.apply_missing(cleaned, scorer.missing)
-    scorer.rare = encode.held(encode.fit_rare(filled, scorer.labels))
-    scorer.target = encode.held(encode.fit_target(encode.apply_rare(filled, scorer.rare), scorer.labels, target))
-    scorer.default_rate = train.agg(F.avg(target)).first()[0]
+    fitted = fit_states(cleaned, scorer.labels, numeric, target)
+    scorer.missing, scorer.rare, scorer.target = fitted.missing, fitted.rare, fitted.all_rates
+    scorer.default_rate = fitted.mean
     return scorer
 
 

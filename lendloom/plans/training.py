@@ -70,18 +70,28 @@ class Fitted:
     target: DataFrame
     dropped: list[str]
     model: PipelineModel | None = None
+    #: Rates of the dropped columns too, and the mean target of the train rows.
+    all_rates: DataFrame | None = None
+    mean: float | None = None
 
 
 def fit_states(train: DataFrame, text_columns: Sequence[str], numeric: Sequence[str], target: str) -> Fitted:
-    """Fills, rare labels and target rates from train rows only, each fitted on the result of the one before."""
-    missing = encode.held(encode.fit_missing(train, text_columns, numeric))
-    filled = encode.apply_missing(train, missing)
-    rare = encode.held(encode.fit_rare(filled, text_columns))
-    merged = encode.apply_rare(filled, rare)
-    dropped = encode.scarce_binary(merged, text_columns)
-    kept = [c for c in text_columns if c not in dropped]
-    rates = encode.held(encode.fit_target(merged, kept, target))
-    return Fitted(missing, rare, rates, dropped)
+    """Fills, rare labels and target rates from train rows only, each fitted on the result of the one before.
+
+    The rows are read once for all labels: a table of counts is filled, merged and rated in place of the rows.
+    """
+    counts = encode.count_table(train, text_columns, target)
+    fills = encode.text_fills(counts, numbers=[c for c in profile.numeric_columns(train) if c in text_columns])
+    medians = encode.fit_missing(train, [], numeric) if numeric else None
+    missing = encode.held(fills if medians is None else fills.unionByName(medians))
+    filled = encode.fill_counts(counts, missing)
+    rare = encode.held(encode.rare_labels(filled))
+    merged = encode.held(encode.merge_counts(filled, rare))
+    dropped = encode.scarce_in(merged)
+    rates = encode.held(merged.where("label IS NOT NULL").select("feature", "label", (F.col("bad") / F.col("n")).alias("rate")))
+    sums = counts.where(F.col("feature") == text_columns[0]).agg(F.sum("bad"), F.sum("n")).first() if text_columns else train.agg(F.sum(target), F.count(target)).first()
+    mean = None if not sums[1] else float(sums[0] or 0) / sums[1]
+    return Fitted(missing, rare, rates.where(~F.col("feature").isin(dropped)) if dropped else rates, dropped, None, rates, mean)
 
 
 def transform(df: DataFrame, state: Fitted, default_rate: float | None = None) -> DataFrame:

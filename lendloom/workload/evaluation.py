@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lendloom.operators import evaluate
+from lendloom.operators.encode import split
 from lendloom.params import SCORE_CUTOFFS
 from lendloom.workload.registry import query, shape, table
 
@@ -216,3 +217,36 @@ FROM (SELECT *, sum(neg) OVER (PARTITION BY feature ORDER BY value ROWS UNBOUNDE
 def feature_auc(spark, folder):
     rows = scored(spark, folder).select("bad", *[F.expr(body).alias(name) for name, body in FEATURES.items()])
     return shape(evaluate.feature_auc(rows, list(FEATURES), "bad"), feature="string", auc="r8")
+
+
+# A feature that falls with the label, one that rises and falls, and noise: a tree sees all but the last.
+TREE_SQL = """
+SELECT o_orderkey AS id, CAST(CASE WHEN (o_totalprice + o_custkey * 300) % 50000 < o_totalprice / 12 THEN 1 ELSE 0 END AS INT) AS bad,
+  floor(o_totalprice / 500) AS price, CASE WHEN (o_totalprice + o_custkey * 300) % 50000 < o_totalprice / 12 THEN 0 ELSE 40 END + o_orderkey * 7919 % 50 AS falling,
+  CASE WHEN o_orderkey % 3 = 0 THEN floor(o_totalprice / 500) END AS sparse, o_orderkey * 104729 % 1009 AS noise, o_custkey AS person, 1 AS same
+FROM {orders}
+"""
+TREE_FEATURES = ["price", "falling", "sparse", "noise", "person", "same"]
+
+
+@query(
+    "feature_tree_auc",
+    f"""
+WITH s AS ({TREE_SQL.replace("{orders}", "orders")}), p AS (SELECT *, CAST('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 6) AS BIGINT) % 10 >= 3 AS train FROM s),
+l AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, CAST(coalesce({c}, 0) AS DOUBLE) AS value, bad, train FROM p" for c in TREE_FEATURES)}),
+u AS (SELECT feature, value, avg(bad) FILTER (train) AS rate, CASE WHEN count(*) FILTER (train) > 0 THEN value END AS spot,
+  count(*) FILTER (NOT train AND bad = 1) AS pos, count(*) FILTER (NOT train AND bad = 0) AS neg FROM l GROUP BY 1, 2),
+w AS (SELECT *, last_value(spot IGNORE NULLS) OVER below AS low, last_value(rate IGNORE NULLS) OVER below AS low_rate,
+  first_value(spot IGNORE NULLS) OVER above AS high, first_value(rate IGNORE NULLS) OVER above AS high_rate FROM u
+  WINDOW below AS (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING), above AS (PARTITION BY feature ORDER BY value ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+c AS (SELECT feature, CASE WHEN low IS NULL THEN high_rate WHEN high IS NULL THEN low_rate WHEN value <= (low + high) / 2 THEN low_rate ELSE high_rate END AS chance,
+  CAST(sum(pos) AS DOUBLE) AS pos, CAST(sum(neg) AS DOUBLE) AS neg FROM w GROUP BY 1, 2),
+a AS (SELECT feature, sum(pos * (upto - neg / 2)) / (sum(pos) * sum(neg)) AS auc
+  FROM (SELECT *, sum(neg) OVER (PARTITION BY feature ORDER BY chance ROWS UNBOUNDED PRECEDING) AS upto FROM c) GROUP BY 1)
+SELECT feature, round(auc, 8) AS auc, auc > 0.5 AS kept FROM a
+""",
+)
+def feature_tree_auc(spark, folder):
+    rows = spark.sql(TREE_SQL, orders=table(spark, folder, "orders"))
+    train, test = split(rows, "id")
+    return shape(evaluate.feature_tree_auc(train, test, TREE_FEATURES, "bad"), feature="string", auc="r8", kept="boolean")

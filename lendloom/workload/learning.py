@@ -15,7 +15,7 @@ from lendloom.operators.evaluate import confusion
 from lendloom.plans.scoring import Scorer, fit_input_states, fit_scorer, prepare, score
 from lendloom.session import scratch_dir
 from lendloom.sources.files import request_json
-from lendloom.streaming.requests import read_requests, score_stream, write_scores
+from lendloom.streaming.requests import deliver, delivered, read_requests, score_stream, write_scores
 from lendloom.workload.ledger import FIRST_SQL, first_payment_labels
 from lendloom.workload.registry import query, shape, table
 from lendloom.workload.star import with_star
@@ -269,3 +269,28 @@ def stream_score(spark, folder):
     stream = read_requests(spark, f"{path}/requests", REQUEST_COLUMNS)
     write_scores(score_stream(stream, scorer, "id", as_of()), f"{path}/scores", f"{path}/progress").awaitTermination()
     return same_scores(spark.read.parquet(f"{path}/scores"), score(test, scorer, "id", as_of()))
+
+
+DELIVERED_SQL = f"""
+WITH t AS (SELECT l.id FROM ({LABEL_SQL}) l JOIN orders ON o_orderkey = l.id JOIN customer ON c_custkey = o_custkey WHERE NOT {TRAIN})
+SELECT 'scores' AS sink, CAST(NULL AS VARCHAR) AS reason, count(*) AS n, CAST(sum(id) AS BIGINT) AS keys, CAST(1 AS INT) AS is_same FROM t
+UNION ALL SELECT 'rejects', 'malformed', count(*), CAST(sum(id) AS BIGINT), 1 FROM t WHERE id % 10 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'rejects', 'empty', count(*), CAST(sum(id) AS BIGINT), 1 FROM t WHERE id % 10 = 5 HAVING count(*) > 0
+"""
+
+
+@query("stream_delivery", DELIVERED_SQL)
+def stream_delivery(spark, folder):
+    """Good lines among cut and empty ones: both sinks of one stream, and whether every score equals the batch score."""
+    scorer, test = fitted_scorer(spark, folder)
+    path = scratch_dir(spark, "delivery")
+    broken = F.when(F.col("id") % 10 == 0, F.concat(F.lit('{"id":['), F.col("id"))).when(F.col("id") % 10 == 5, F.concat(F.lit('{"id":[],"other":['), F.col("id"), F.lit("]}")))
+    lines = request_json(test, list(REQUEST_COLUMNS)).select("json").unionByName(test.select(broken.alias("json")).where("json IS NOT NULL"))
+    lines.write.text(f"{path}/requests")
+    places = (f"{path}/scores", f"{path}/rejects", f"{path}/progress")
+    deliver(spark, f"{path}/requests", REQUEST_COLUMNS, scorer, "id", as_of(), *places, files_per_trigger=3).awaitTermination()
+    same = same_scores(delivered(spark, places[0]), score(test, scorer, "id", as_of()))
+    scores = same.agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("keys"), F.min("is_same").alias("is_same"))
+    key = F.regexp_extract("text", "([0-9]+)", 1).cast("bigint")
+    rejects = delivered(spark, places[1]).groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.sum(key).alias("keys"), F.lit(1).alias("is_same"))
+    return scores.select(F.lit("scores").alias("sink"), F.lit(None).cast("string").alias("reason"), "n", "keys", "is_same").unionByName(rejects.select(F.lit("rejects").alias("sink"), "reason", "n", "keys", "is_same"))

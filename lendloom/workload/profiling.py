@@ -135,6 +135,35 @@ def chi_square(spark, folder):
     return shape(rows, feature="string", statistic="r6", dof="bigint", possibly_useful="bigint")
 
 
+# Half-integer gamma functions and the power series of the lower incomplete one, term by term.
+TAIL_SQL = """
+CASE WHEN dof < 1 OR statistic <= 0 THEN 1 ELSE greatest(0, 1 - list_sum(list_transform(range(0, 400),
+  lambda n: exp((dof / 2 + n) * ln(statistic / 2) - statistic / 2 - lgamma(dof / 2 + n + 1))))) END
+"""
+
+
+@query(
+    "chi_square_selection",
+    f"SELECT feature, statistic, dof, round(p, 6) AS p_value, possibly_useful, p <= 0.05 AS selected FROM (SELECT *, {TAIL_SQL} AS p FROM ({CHI_SQL}))",
+)
+def chi_square_selection(spark, folder):
+    rows = profile.chi_square_selection(frame(spark, folder), TEXTS + ["few", "constant"], "bad")
+    return shape(rows, feature="string", statistic="r6", dof="bigint", p_value="r6", possibly_useful="bigint", selected="boolean")
+
+
+@query(
+    "heavy_labels",
+    _each(
+        [*COLUMNS, "o_orderkey"],
+        "SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS label, count(*) AS n, CAST(sum(bad) AS BIGINT) AS bad, (SELECT count(*) FROM f) AS rows FROM f "
+        "WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) >= 0.05 * (SELECT count(*) FROM f)",
+    ),
+)
+def heavy_labels(spark, folder):
+    """Labels with a twentieth of the rows or more, of columns that hold ids and prices too."""
+    return profile.heavy_labels(frame(spark, folder), [*COLUMNS, "o_orderkey"], 0.05, "bad").select("feature", "label", "n", "bad", "rows")
+
+
 @query(
     "minority_bad_rate",
     f"""
