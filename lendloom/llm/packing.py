@@ -17,6 +17,7 @@ import bisect
 import os
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -67,7 +68,7 @@ BYTE_LETTERS = dict(zip([b for b in range(256) if b not in set(_SHOWN)], range(2
 
 
 class WordTokens:
-    """Token ids of texts, remembered per word: the tokenizer never joins what white space parts.
+    """Token ids of texts, remembered per word while a task runs: the tokenizer never joins what white space parts.
 
     A word of Latin letters between ASCII marks is looked up in its three parts, which the tokenizer encodes apart too; any
     other word is encoded as it stands. A-Z is lower-cased first, as the tokenizer does, unless a control string may be meant.
@@ -78,6 +79,9 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.forget()
+
+    def forget(self) -> None:
         self.words, self.parts = Lists(), Lists()
 
     def _learn(self, words: list[bytes]) -> None:
@@ -87,12 +91,13 @@ class WordTokens:
         # Letters alone, or marks alone, are one unit of the tokenizer: they go straight to its model.
         encode = self.tokenizer.model.tokenize
         lists = [
-            [t.id for t in encode(p.lower().decode("latin-1").translate(BYTE_LETTERS) if not p.isalpha() else p.decode())]
-            if p.isalpha() or UNIT.fullmatch(p) else self.tokenizer.encode(p.decode(), add_special_tokens=False).ids
+            [t.id for t in encode(p.decode())] if p.isalpha()
+            else [t.id for t in encode(p.lower().decode("latin-1").translate(BYTE_LETTERS))] if UNIT.fullmatch(p)
+            else self.tokenizer.encode(p.decode(), add_special_tokens=False).ids
             for p in new
         ]
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        self.parts.add(new, sizes, np.fromiter((i for e in lists for i in e), np.uint32, int(sizes.sum())))
+        self.parts.add(new, sizes, np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum())))
         ids, ends = self.parts.get(flat)
         upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum([len(s) for s in split])]).astype(np.int64)]
         self.words.add(words, np.diff(upto), ids)
@@ -118,7 +123,7 @@ _TOKENS: dict[str, WordTokens] = {}
 
 
 def word_tokens(path: str) -> WordTokens:
-    """One per worker process, so that what it has learned lasts from task to task."""
+    """One per worker process, so that its file is read once."""
     if path not in _TOKENS:
         _TOKENS[path] = WordTokens(path)
     return _TOKENS[path]
@@ -132,15 +137,18 @@ def pieces(docs: DataFrame, tokenizer_path: str, *, id_column: str = "doc_id", c
 
     def tokenise(batches):
         words = word_tokens(tokenizer_path)
-        for batch in batches:
-            data, bounds = utf8(batch.column(column))
-            raw, edges = data.tobytes(), bounds.tolist()
-            low, rows = 0, batch.num_rows
-            while low < rows:
-                high = max(low + 1, bisect.bisect_right(edges, edges[low] + SLICE_BYTES) - 1)
-                ids, begins = words.ids([raw[edges[i]:edges[i + 1]] for i in range(low, high)])
-                yield _cut(batch.column(id_column).slice(low, high - low), ids, begins, capacity, with_ids)
-                low = high
+        try:
+            for batch in batches:
+                data, bounds = utf8(batch.column(column))
+                raw, edges = data.tobytes(), bounds.tolist()
+                low, rows = 0, batch.num_rows
+                while low < rows:
+                    high = max(low + 1, bisect.bisect_right(edges, edges[low] + SLICE_BYTES) - 1)
+                    ids, begins = words.ids([raw[edges[i]:edges[i + 1]] for i in range(low, high)])
+                    yield _cut(batch.column(id_column).slice(low, high - low), ids, begins, capacity, with_ids)
+                    low = high
+        finally:
+            words.forget()  # a worker goes on to other tasks: what was learned here must not stay in its memory
 
     kind = docs.schema[id_column].dataType.simpleString()
     return docs.select(id_column, column).mapInArrow(tokenise, PIECES.format(kind=kind) + (", ids array<long>" if with_ids else ""))
