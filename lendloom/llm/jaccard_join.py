@@ -327,7 +327,8 @@ def _rest(shared: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -
         pair = np.unique(np.concatenate(found))
         yield pa.RecordBatch.from_arrays([pa.array(doc[pair // len(doc)]), pa.array(doc[pair % len(doc)])], names=["a", "b"])
 
-    parts = max(partitions_of(shared), shared.sparkSession.sparkContext.defaultParallelism)
+    # Every row carries a histogram, so a task gets an eighth of the signatures of a scan's partition.
+    parts = 8 * max(partitions_of(shared), shared.sparkSession.sparkContext.defaultParallelism)
     return rows.repartition(parts, "sig", "i", "j").mapInArrow(compare, "a long, b long").distinct()
 
 
