@@ -50,12 +50,15 @@ def unreverted(ledger: DataFrame) -> DataFrame:
     return ledger.join(reverts, "id", "left_anti")
 
 
-def first_payment(ledger: DataFrame, key: str = "ss") -> DataFrame:
-    """First payment per key that is not itself a revert and was not reverted."""
+def first_payment(ledger: DataFrame, key: str = "ss", only: DataFrame | None = None) -> DataFrame:
+    """First payment per key that is not itself a revert and was not reverted; ``only`` holds the keys to keep."""
     entry = F.col("type")
     wanted = contains_text(entry, "payment") & ~contains_text(entry, "Reverted Pay") & F.col(key).isNotNull()
     reverts = ledger.where(F.col("reference_id").isNotNull()).select(F.col("reference_id").alias("id")).distinct()
-    payments = ledger.where(wanted).select(key, "id", "dte", "payment").join(reverts, "id", "left_anti")
+    payments = ledger.where(wanted).select(key, "id", "dte", "payment")
+    if only is not None:
+        payments = payments.join(only, key, "left_semi")
+    payments = payments.join(reverts, "id", "left_anti")
     return first_by(payments, key, "id", ["id", "dte", "payment"])
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendloom.session import checkpointed
@@ -36,11 +36,28 @@ def _salts(df: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
     return df.join(F.broadcast(hot.toDF(key, "_salts")), key, "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
 
 
+def salt_columns(df: DataFrame, key: str, most: int = 2) -> list[str]:
+    """Columns whose hash tells the rows of a key apart at little cost: ids and other whole numbers before times, and those before the rest.
+
+    Only these are read and hashed for the salt, so columns that nothing else needs stay out of the scan.
+    """
+    def rank(kind: str) -> int:
+        return 0 if kind in ("bigint", "int") else 1 if kind.startswith(("timestamp", "date", "decimal", "double", "float")) else 2 if kind == "string" else 3
+
+    others = [(rank(kind), place, name) for place, (name, kind) in enumerate(df.dtypes) if name != key]
+    usable = sorted(o for o in others if o[0] < 3)
+    return [name for _, _, name in usable[:most]]
+
+
 def dealt(df: DataFrame, key: str, hot: DataFrame | None, name: str) -> DataFrame:
-    """Number the rows of a hot key at random, and so those without a key, which match nothing but must not pile up."""
-    number = F.xxhash64(*df.columns) + F.spark_partition_id()
+    """Number the rows of a hot key by a hash, and so those without a key, which match nothing but must not pile up.
+
+    Rows of other keys are 0 and nothing is hashed for them.
+    """
+    number = F.xxhash64(*salt_columns(df, key), F.spark_partition_id())
     salts = F.when(F.col(key).isNull(), F.lit(NULL_SALTS)).otherwise(F.col("_salts"))
-    return _salts(df, key, hot).withColumn(name, F.pmod(number, salts).cast("int")).drop("_salts")
+    spread_ = F.when(F.col(key).isNull() | (F.col("_salts") > 1), F.pmod(number, salts).cast("int")).otherwise(F.lit(0))
+    return _salts(df, key, hot).withColumn(name, spread_).drop("_salts")
 
 
 def repeated(df: DataFrame, key: str, hot: DataFrame | None, name: str) -> DataFrame:
@@ -89,7 +106,19 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def _bytes(df: DataFrame) -> Column:
+    """Size of a row: 8 for a fixed-width value, the text's own bytes, the JSON form's for anything nested."""
+    fixed, parts = 0, []
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            parts.append(F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)))
+        elif kind.startswith(("array", "struct", "map")):
+            parts.append(F.octet_length(F.to_json(F.struct(F.col(f"`{name}`")))))
+        else:
+            fixed += 16 if kind.startswith("decimal") else 8
+    return sum((p.cast("long") for p in parts), F.lit(8 + fixed).cast("long"))
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint only after measuring the rows as text; a larger side is left to the optimizer's own join choice."""
-    size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
-    return F.broadcast(df) if (df.agg(size).first()[0] or 0) <= max_bytes else df
+    """Broadcast hint only after measuring the rows' bytes; a larger side is left to the optimizer's own join choice."""
+    return F.broadcast(df) if (df.agg(F.sum(_bytes(df))).first()[0] or 0) <= max_bytes else df

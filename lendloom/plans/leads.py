@@ -147,10 +147,11 @@ def mapping_facts(t: Tables, p: LeadParams) -> DataFrame:
 
 def answered_applications(t: Tables, hot: DataFrame | None = None) -> DataFrame:
     """(applicant_id, employment_response): distinct answers to requests made for leads."""
-    asked = t["employment_request"].where(same_text(F.col("source"), "Leads")).select("mapping_id", "response").distinct()
+    asked = t["employment_request"].where(same_text(F.col("source"), "Leads")).select("mapping_id", "response")
     owners = t["applicant_mapping"].select("mapping_id", "applicant_id").distinct()
-    mapped = enrich(asked, owners, "mapping_id", "inner", hot=hot)
-    return mapped.select("applicant_id", F.col("response").alias("employment_response")).distinct()
+    mapped = enrich(asked, owners, "mapping_id", "inner", hot=hot).select("applicant_id", F.col("response").alias("employment_response"))
+    # Equal texts have equal digests: the aggregate's keys are short, and the text is any of theirs.
+    return mapped.groupBy("applicant_id", F.md5("employment_response").alias("_digest")).agg(F.any_value("employment_response").alias("employment_response")).drop("_digest")
 
 
 _PER_APPLICATION = {
@@ -212,8 +213,12 @@ def card_counts(t: Tables) -> DataFrame:
     return owned.groupBy("account_id").agg(F.sum("n").alias("card_count"))
 
 
-def account_facts(t: Tables) -> DataFrame:
-    """Accounts with ledger sums, first payment, first debit and card count."""
+def account_facts(t: Tables, only: DataFrame | None = None) -> DataFrame:
+    """Accounts with ledger sums, first payment, first debit and card count; ``only`` holds the ids to keep.
+
+    Ledger, debits and cards are cut to these accounts before anything is aggregated. A revert may stand under another person, so
+    all of them count.
+    """
     accounts = t["account"].select(
         F.col("id").alias("account_id"),
         F.lower("social").alias("account_social"),
@@ -221,14 +226,21 @@ def account_facts(t: Tables) -> DataFrame:
         F.col("aff_id").alias("account_aff_id"),
         F.col("date_due").alias("account_due"),
     )
-    t = {**t, "ledger": t["ledger"].withColumn("ss", F.lower("ss"))}  # one person whatever the case
-    paid = first_payment(t["ledger"]).select("ss", F.col("id").alias("first_payment_id"), F.col("dte").alias("first_payment_date"))
-    ledger = ledger_rollup(t["ledger"]).join(paid, "ss", "left").join(last_entry_type(t["ledger"]), "ss", "left")
-    by_social = ledger.withColumnRenamed("ss", "account_social")
+    whole, debits, mapping, people = t["ledger"].withColumn("ss", F.lower("ss")), t["ach_status"], t["applicant_mapping"], None  # one person whatever the case
+    ledger = whole
+    if only is not None:
+        accounts = checkpointed(accounts.join(only, "account_id", "left_semi"))
+        people = broadcast_if_small(accounts.select(F.col("account_social").alias("ss")).where("ss IS NOT NULL").distinct())
+        ids = broadcast_if_small(accounts.select("account_id").distinct())
+        ledger = whole.join(people, "ss", "left_semi")
+        debits, mapping = debits.join(ids, "account_id", "left_semi"), mapping.join(ids, "account_id", "left_semi")
+    paid = first_payment(whole, only=people).select("ss", F.col("id").alias("first_payment_id"), F.col("dte").alias("first_payment_date"))
+    sums = ledger_rollup(ledger).join(paid, "ss", "left").join(last_entry_type(ledger), "ss", "left")
+    by_social = sums.withColumnRenamed("ss", "account_social")
     return (
         accounts.join(by_social, "account_social", "left")
-        .join(first_debit(t["ach_status"]), "account_id", "left")
-        .join(card_counts(t), "account_id", "left")
+        .join(first_debit(debits), "account_id", "left")
+        .join(card_counts({**t, "applicant_mapping": mapping}), "account_id", "left")
         .withColumn("card_count", F.coalesce("card_count", F.lit(0)))
     )
 
@@ -244,7 +256,8 @@ def renewal_facts(t: Tables) -> DataFrame:
 
 def lead_facts(t: Tables, p: LeadParams, xml_root: str = "loan_request") -> DataFrame:
     """Leads with all looked-up facts; fan-out by carrier values and by employment response."""
-    answered = answered_applications(t, hot_keys(t["employment_request"], "mapping_id"))
+    # Used by the leads, the applications and the fan-out at the end: worked out once.
+    answered = checkpointed(answered_applications(t, hot_keys(t["employment_request"], "mapping_id")))
     hot_answers = hot_keys(answered, "applicant_id", bound=t["employment_request"])
     hot_leads = hot_keys(t["lead_log"], "applicant_id")
     log = enrich(t["lead_log"].withColumnRenamed("status", "lead_status"), answered.select("applicant_id"), "applicant_id", "left_semi", hot=hot_leads)
@@ -258,11 +271,13 @@ def lead_facts(t: Tables, p: LeadParams, xml_root: str = "loan_request") -> Data
     leads = leads.join(rejects, "lead_id", "left")
     leads = leads.withColumn("_partner", F.lower("username"))
     leads = leads.join(broadcast_if_small(partners), "_partner", "left").drop("_partner")
-    leads = enrich(leads, account_facts(t), "account_id", hot=hot_keys(t["renewal_log"], "cust_id"))
+    asked = t["lead_log"].select("lead_id", "applicant_id").join(answered.select("applicant_id"), "applicant_id", "left_semi").select("lead_id")
+    accounts = renewal_facts(t).join(asked, "lead_id", "left_semi").select("account_id")
+    leads = enrich(leads, account_facts(t, accounts), "account_id", hot=hot_keys(t["renewal_log"], "cust_id"))
     leads = named_values(leads, "xml_in", LEAD_KEYS, xml_root, "_bal").drop("xml_in")
     facts = application_facts(t, p, answered)
     leads = enrich(leads, facts, "applicant_id", "inner", hot=hot_leads)
-    for part in carrier_lookups(t).values():
+    for part in carrier_lookups({**t, "carrier_log": t["carrier_log"].join(broadcast_if_small(answered.select("applicant_id").distinct()), "applicant_id", "left_semi")}).values():
         leads = enrich(leads, part, "applicant_id", "left", hot=hot_leads)
     return enrich(answered, leads, "applicant_id", "inner", hot=hot_answers, lookup_hot=hot_leads)
 
