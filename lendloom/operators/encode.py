@@ -176,8 +176,14 @@ def scarce_binary(df: DataFrame, columns: Sequence[str], max_share: float = 0.2)
     return scarce_in(label_counts(df, columns), max_share)
 
 
-def scarce_in(counts: DataFrame, max_share: float = 0.2) -> list[str]:
-    """``scarce_binary`` from a table of counts; one row per column reaches the driver."""
+def scarce_in(counts: DataFrame, max_share: float = 0.2, rare: DataFrame | None = None) -> list[str]:
+    """``scarce_binary`` from a table of counts; with rare labels, only of the columns whose others become 'rare'.
+
+    One row per column reaches the driver.
+    """
+    if rare is not None:
+        tested = rare.where("label IS NULL AND replacement = 'rare'").select("feature")  # one row per column
+        counts = counts.join(F.broadcast(tested), "feature", "left_semi")
     rows = counts.groupBy("feature").agg(F.count("*").alias("labels"), F.min("n").alias("least"), F.sum("n").alias("all")).where("labels <= 2").collect()
     return sorted(r["feature"] for r in rows if r["least"] / r["all"] < max_share)
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lendloom.operators.skew import broadcast_if_small
+
 
 def between_dates(df: DataFrame, column: str, start: Column, end: Column) -> DataFrame:
     day = F.col(column).cast("date")
@@ -24,6 +26,12 @@ def in_list(df: DataFrame, key: str, ids: Sequence) -> DataFrame:
     return df.where(F.col(key).isin(list(ids)))
 
 
+def in_ids(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """Rows whose key is in a list kept as a table of any length; repeated and NULL ids change nothing."""
+    listed = ids.select(F.col(ids.columns[0]).alias(key)).where(F.col(key).isNotNull()).distinct()
+    return df.join(broadcast_if_small(listed), key, "left_semi")
+
+
 def exists(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     return df.join(other.select(key), key, "left_semi")
 

@@ -87,7 +87,7 @@ def fit_states(train: DataFrame, text_columns: Sequence[str], numeric: Sequence[
     filled = encode.fill_counts(counts, missing)
     rare = encode.held(encode.rare_labels(filled))
     merged = encode.held(encode.merge_counts(filled, rare))
-    dropped = encode.scarce_in(merged)
+    dropped = encode.scarce_in(merged, rare=rare)
     rates = encode.held(merged.where("label IS NOT NULL").select("feature", "label", (F.col("bad") / F.col("n")).alias("rate")))
     sums = counts.where(F.col("feature") == text_columns[0]).agg(F.sum("bad"), F.sum("n")).first() if text_columns else train.agg(F.sum(target), F.count(target)).first()
     mean = None if not sums[1] else float(sums[0] or 0) / sums[1]
@@ -111,3 +111,20 @@ def select_columns(df: DataFrame, target: str, always: Sequence[str] = ()) -> tu
 
 def encode_two_valued(df: DataFrame, columns: Sequence[str], extra: Mapping[str, int] | None = None) -> DataFrame:
     return encode.encode_binary(df, columns, BINARY_LABELS | dict(extra or {}))
+
+
+def training_frame(
+    df: DataFrame, key: str, target: str, excluded: Sequence[str] = (), default_rate: float | None = None
+) -> tuple[DataFrame, DataFrame, Fitted, list[str]]:
+    """(train, test, states, features): the whole preparation between the joined customers and the learners.
+
+    Sparse, constant and near-constant columns go, the rest is split by a hash of the key, states are fitted on train rows and
+    applied to both parts; columns of the exclusion list are no features. Unseen labels get the mean target of the train rows.
+    """
+    categorical, numerical = select_columns(df.drop(*excluded), target, always=(key,))
+    kept = df.select(key, target, *categorical, *numerical)
+    train, test = encode.split(kept, key)
+    states = fit_states(train, categorical, numerical, target)
+    rate = states.mean if default_rate is None else default_rate
+    features = profile.training_columns(df.select(*categorical, *numerical), [*excluded, *states.dropped])
+    return transform(train, states, rate), transform(test, states, rate), states, features

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lendloom.operators import encode
 from lendloom.plans.training import fit_states, transform
+from lendloom.plans.training import training_frame as prepare_training
 from lendloom.workload.profiling import FRAME, frame
 from lendloom.workload.registry import query, shape, table
 
@@ -186,3 +187,25 @@ def target_encode_unseen(spark, folder):
     state = encode.fit_target(parts.where("p_type <> 'PROMO'"), ["p_brand"], "big")
     seen = parts.select("p_type", "p_brand", F.col("p_brand").alias("rate")).distinct()
     return shape(encode.apply_target(seen, state.withColumn("feature", F.lit("rate"))), p_type="string", p_brand="string", rate="r6")
+
+
+RATES = "(SELECT {expr} AS label, avg(bad) AS rate FROM t GROUP BY 1)"
+
+
+@query(
+    "training_frame",
+    f"""
+WITH f AS ({FRAME}), t0 AS ({TRAIN}), mode AS (SELECT few FROM t0 WHERE few IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, CAST(CAST(few AS DOUBLE) AS VARCHAR) LIMIT 1),
+  t AS (SELECT * REPLACE (coalesce(priority, 'Missing') AS priority, coalesce(few, (SELECT few FROM mode)) AS few) FROM t0),
+  x AS (SELECT * REPLACE (coalesce(priority, 'Missing') AS priority, coalesce(few, (SELECT few FROM mode)) AS few) FROM f WHERE {BUCKET} < 3)
+SELECT o_orderkey, bad, round(a.rate, 6) AS priority, round(b.rate, 6) AS status, round(c.rate, 6) AS few, round(price, 4) AS price, CAST(visits AS DOUBLE) AS visits,
+  'few,price,priority,status,visits' AS features
+FROM x JOIN {RATES.format(expr="priority")} a ON a.label = x.priority JOIN {RATES.format(expr="status")} b ON b.label = x.status JOIN {RATES.format(expr="few")} c ON c.label = x.few
+""",
+)
+def training_frame(spark, folder):
+    """Test rows after column selection, split, fills, merging and encoding; and the features that are left."""
+    _, test, _, features = prepare_training(frame(spark, folder), "o_orderkey", "bad", excluded=["unused"])
+    rows = test.withColumn("features", F.lit(",".join(sorted(features))))
+    kinds = {"priority": "r6", "status": "r6", "few": "r6", "price": "r4", "visits": "double"}
+    return shape(rows, o_orderkey="bigint", bad="int", **kinds, features="string")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lendloom.operators import models
 from lendloom.operators.encode import split
 from lendloom.operators.evaluate import confusion
+from lendloom.params import CONSTANT_FILLS, DATE_DIFF_FILLS, FEATURE_ORDER, LABEL_COLUMNS, PERCENT_COLUMNS
 from lendloom.plans.scoring import Scorer, fit_input_states, fit_scorer, prepare, score
 from lendloom.session import scratch_dir
 from lendloom.sources.files import request_json
@@ -294,3 +295,53 @@ def stream_delivery(spark, folder):
     key = F.regexp_extract("text", "([0-9]+)", 1).cast("bigint")
     rejects = delivered(spark, places[1]).groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.sum(key).alias("keys"), F.lit(1).alias("is_same"))
     return scores.select(F.lit("scores").alias("sink"), F.lit(None).cast("string").alias("reason"), "n", "keys", "is_same").unionByName(rejects.select(F.lit("rejects").alias("sink"), "reason", "n", "keys", "is_same"))
+
+
+# --- the shipped scorer with its own column lists ------------------------------------
+
+
+def _shipped_column(place: int, name: str) -> str:
+    """A value for every feature of the shipped scorer, by rule from the order; some are missing."""
+    key = f"(o_orderkey * {2 * place + 7})"
+    if name in LABEL_COLUMNS:
+        missing = 6 if name in CONSTANT_FILLS else 1_000_003
+        return f"CASE WHEN o_orderkey % {missing} = 0 THEN NULL ELSE 'L' || CAST({key} % 5 AS STRING) END AS `{name}`"
+    if name.endswith("diff"):
+        source = name.removesuffix("diff")
+        return f"CASE WHEN o_orderkey % {place % 7 + 3} = 0 THEN NULL ELSE date_format(o_orderdate - INTERVAL '{place}' DAY, 'M/d/yyyy h:mm:ss a') END AS `{source}`"
+    if name in PERCENT_COLUMNS:
+        return f"CAST({key} % 101 AS STRING) || '%' AS `{name}`"
+    return f"CASE WHEN o_orderkey % {place + 20} = 0 THEN NULL ELSE CAST({key} % 997 AS DOUBLE) END AS `{name}`"
+
+
+def shipped_requests(spark, folder):
+    columns = ", ".join(_shipped_column(k, name) for k, name in enumerate(FEATURE_ORDER))
+    return spark.sql(f"SELECT o_orderkey AS id, CAST(o_orderkey * 7919 % 10 < 3 AS INT) AS bad, {columns} FROM {{orders}}", orders=table(spark, folder, "orders"))
+
+
+def _shipped_sql() -> str:
+    place = {name: k for k, name in enumerate(FEATURE_ORDER)}
+    diffs = ", ".join(
+        f"coalesce(CASE WHEN o_orderkey % {place[n] % 7 + 3} <> 0 THEN CAST(date_diff('day', o_orderdate - INTERVAL '{place[n]}' DAY, TIMESTAMP '2001-06-30') AS DOUBLE) END, {fill}) AS \"{n}\""
+        for n, fill in DATE_DIFF_FILLS.items())
+    percents = ", ".join(f"round((o_orderkey * {2 * place[n] + 7}) % 101 / 100, 4) AS \"{n}\"" for n in PERCENT_COLUMNS)
+    label = {n: f"coalesce(CASE WHEN o_orderkey % 6 <> 0 THEN 'L' || (o_orderkey * {2 * place[n] + 7}) % 5 END, '{fill}')" for n, fill in CONSTANT_FILLS.items()}
+    rates = ", ".join(f"round((SELECT avg(bad) FROM t WHERE {label[n].replace('o_orderkey', 't.o_orderkey')} = {label[n].replace('o_orderkey', 'x.o_orderkey')}), 6) AS \"{n}\"" for n in CONSTANT_FILLS)
+    number = f"CASE WHEN o_orderkey % {place['Salary'] + 20} <> 0 THEN CAST((o_orderkey * {2 * place['Salary'] + 7}) % 997 AS DOUBLE) END"
+    return f"""
+WITH o AS (SELECT *, CAST(o_orderkey * 7919 % 10 < 3 AS INT) AS bad, CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 6) AS BIGINT) % 10 >= 3 AS train FROM orders), t AS (SELECT * FROM o WHERE train)
+SELECT o_orderkey AS id, {diffs}, {percents}, {rates}, coalesce({number}, (SELECT median({number}) FROM t)) AS "Salary",
+  md5('{",".join(FEATURE_ORDER)}') AS feature_order, CAST({len(FEATURE_ORDER)} AS BIGINT) AS filled FROM o x WHERE NOT train
+"""
+
+
+@query("shipped_inputs", _shipped_sql())
+def shipped_inputs(spark, folder):
+    """Model input of the scorer with its 55 columns, its own label, percentage and date lists, and its fixed fills; every value is there."""
+    train, test = split(shipped_requests(spark, folder), "id")
+    scorer = fit_input_states(train, "bad", as_of())
+    ready = prepare(test, scorer, as_of())
+    ordered = F.md5(F.lit(",".join(models.assembler(scorer.features).getInputCols())))
+    filled = sum((F.col(name).isNotNull().cast("bigint") for name in scorer.features), F.lit(0).cast("bigint"))
+    kinds = {name: "double" for name in DATE_DIFF_FILLS} | {name: "r4" for name in PERCENT_COLUMNS} | {name: "r6" for name in CONSTANT_FILLS} | {"Salary": "double"}
+    return shape(ready.withColumn("feature_order", ordered).withColumn("filled", filled), id="bigint", **kinds, feature_order="string", filled="bigint")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lendloom.operators import encode
 from lendloom.session import scratch_dir
 from lendloom.sources import files
+from lendloom.sources.split_csv import read_csv_split
 from lendloom.workload.encoding import LABEL_COLUMNS, RARE_STATE, label_frame
 from lendloom.workload.registry import query, table
 
@@ -21,6 +22,14 @@ def csv_round_trip(spark, folder):
     return files.read_csv(spark, path, DOCUMENT_SCHEMA).select("doc_id", F.md5("text").alias("digest"), "source")
 
 
+@query("csv_multiline_split", "SELECT doc_id, md5(text) AS digest, source FROM documents")
+def csv_multiline_split(spark, folder):
+    """The same texts through the reader whose tasks share files."""
+    path = scratch_dir(spark, "csv")
+    files.write_csv(table(spark, folder, "documents").select("doc_id", "text", "source"), path)
+    return read_csv_split(spark, path, DOCUMENT_SCHEMA).select("doc_id", F.md5("text").alias("digest"), "source")
+
+
 @query(
     "csv_append",
     "SELECT o_orderstatus AS status, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY 1",
