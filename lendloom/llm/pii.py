@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from lendloom.operators.skew import spread
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_DOCS, REGIONS_PER_DOC, EPOCHS = 1500, 4, 14
+SAMPLE_DOCS, REGIONS_PER_DOC, EPOCHS = 300, 4, 10
 MOST_TOKENS, SURE = 24, 0.9
 
 # ---------------------------------------------------------------- the base rules
@@ -232,8 +232,6 @@ class Field:
             if not region.segments:
                 continue
             scores = self.scores(region)
-            if (scores.max() if len(scores) else -1.0) <= 0:
-                continue  # no segment is worth leaving the outside for
             chosen, chance = decode(region, scores, self.moves, self.outside)
             out += [((KINDS[k], region.tokens[i][0], region.tokens[j - 1][1]), chance[s, k]) for s, (i, j), k in chosen if chance[s, k] >= sure]
         return out
