@@ -7,7 +7,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from lendloom.llm.packing import public_tokenizer
-from lendloom.llm.token_alignment import Aligner, align, cuts, ending, units
+from lendloom.llm.token_alignment import Aligner, ByteLevel, align, cuts, ending, units
 
 A, B = public_tokenizer("byte_bpe_50k.json"), public_tokenizer("piece_bpe_32k.model")
 TEXTS = [None, "", " ", "Hello, World!! it's 25°C", "<|endoftext|> x </s> <s>", "a  b\t c\n\n d ", "naïve Ωmega 漢字 🎉 é", "the same", "the same", "▁ under", "end ", " nbsp \x00 nul", "word " * 3000 + "x"]
@@ -88,6 +88,17 @@ def test_units_leave_the_ids_as_they_are():
             assert [i for own in tool.encode(parts) for i in own] == tool.encode([text])[0], (text, parts)
 
 
+def test_the_fast_way_gives_the_ids_of_the_file(spark):
+    own = ByteLevel(A)
+    assert own.fast is not None
+    random = np.random.default_rng(1)
+    texts = [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").limit(400).collect()]
+    texts += ["".join(chr(c) for c in random.choice([*range(9, 14), *range(32, 127), 160, 233, 8217, 0x3000, 0x4E2D, 0x1F389, 0x0661], 80)) for _ in range(300)]
+    fast = own.encode(texts)
+    own.fast = None
+    assert own.encode(texts) == fast
+
+
 def test_forgetting_changes_nothing():
     texts = ["one two three", "two three four five", "", "six one"]
     whole, short = Aligner(A, B), Aligner(A, B, most_units=1)
