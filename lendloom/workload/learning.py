@@ -14,7 +14,7 @@ from lendloom.operators.encode import split
 from lendloom.operators.evaluate import confusion
 from lendloom.params import CONSTANT_FILLS, DATE_DIFF_FILLS, FEATURE_ORDER, LABEL_COLUMNS, PERCENT_COLUMNS
 from lendloom.plans.scoring import Scorer, fit_input_states, fit_scorer, prepare, score
-from lendloom.session import scratch_dir
+from lendloom.session import checkpointed, scratch_dir
 from lendloom.sources.files import request_json
 from lendloom.streaming.requests import deliver, delivered, read_requests, score_stream, write_scores
 from lendloom.workload.ledger import FIRST_SQL, first_payment_labels
@@ -107,6 +107,16 @@ def adaptive_scores(spark, folder):
     return _scores(lambda *a: models.fit_adaptive(*a, rounds=5), spark, folder)
 
 
+@query("real_adaptive_auc", f"SELECT CAST(count(*) AS BIGINT) AS test_rows, 1 AS above_no_skill, 1 AS above_discrete FROM ({LABEL_SQL}) l WHERE NOT {TRAIN}")
+def real_adaptive_auc(spark, folder):
+    """Held-out AUC of all 50 real-valued rounds: above no skill, and not below 5 rounds of the discrete form."""
+    train, test = (checkpointed(part) for part in parts(spark, folder))
+    auc = models.auc_of(models.fit_real_adaptive(train, NUMBERS, "bad"), test, "bad")
+    discrete = models.auc_of(models.fit_adaptive(train, NUMBERS, "bad", rounds=5), test, "bad")
+    flags = {"above_no_skill": auc > 0.5, "above_discrete": auc >= discrete - 1e-9}
+    return test.agg(F.count(F.lit(1)).alias("test_rows")).select("test_rows", *(F.lit(int(ok)).alias(name) for name, ok in flags.items()))
+
+
 @query("logistic_scores", SCORES_SQL)
 def logistic_scores(spark, folder):
     return _scores(models.fit_logistic, spark, folder)

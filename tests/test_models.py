@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lendloom.operators import evaluate, models
 from lendloom.plans.scoring import Scorer, assemble_applicants, fit_scorer, score, source_columns
 from lendloom.sources.files import request_json
-from lendloom.streaming.requests import read_requests, score_stream, write_scores
+from lendloom.streaming.requests import deliver, delivered, read_requests, score_stream, write_scores
 
 FEATURES = ["a", "b", "noise"]
 
@@ -141,3 +141,75 @@ def test_assembled_applicants(spark):
     customers = spark.createDataFrame([(1, "CA", job), (2, "CA", None), (3, "TX", job)], "applicant_id int, state string, employment_response string")
     row = assemble_applicants(bureau, customers).collect()
     assert [(r["application_id"], r["state_name"], r["employer_count"], r["active_count"], r["monthly_income"]) for r in row] == [(1, "California", 1, 1, 52.0)]
+
+
+def plain_real_boosting(rows, edges, rounds):
+    """Real-valued boosting with stumps in plain Python: (feature, edge) of every round and the margins."""
+    import numpy as np
+
+    values, y = np.array([r[:-1] for r in rows], float), np.array([r[-1] for r in rows])
+    margin, chosen = np.zeros(len(rows)), []
+    for _ in range(rounds):
+        w, best = np.exp(-0.5 * (2 * y - 1) * margin), None
+        for f in range(values.shape[1]):
+            for edge in edges[f]:
+                left = values[:, f] <= edge
+                sides = [(w[m & (y == 1)].sum(), w[m & (y == 0)].sum()) for m in (left, ~left)]
+                score = sum(2 * a * b / (a + b) for a, b in sides if a + b > 0)
+                if best is None or score < best[0] * (1 - 1e-12):
+                    best = (score, f, edge, left, sides)
+        odds = [np.log(p / (1 - p)) for p in (min(max(a / (a + b), models.CHANCE_FLOOR), 1 - models.CHANCE_FLOOR) for a, b in best[4])]
+        margin += np.where(best[3], *odds)
+        chosen.append((best[1], best[2]))
+    return chosen, margin
+
+
+def test_real_adaptive_boosting_against_plain_python(spark):
+    import numpy as np
+
+    random = np.random.default_rng(12)
+    rows = [(float(a), float(b), int(random.random() < 1 / (1 + np.exp(-(a - 1.2 * b * b + 1))))) for a, b in random.normal(size=(500, 2)).round(2)]
+    df = spark.createDataFrame(rows, "a double, b double, y int")
+    model = models.fit_real_adaptive(df, ["a", "b"], "y", rounds=7, bins=12, cut_every=3)
+    edges = models.bin_edges(df, ["a", "b"], 12)
+    chosen, margin = plain_real_boosting(rows, [edges["a"], edges["b"]], 7)
+    assert [(s.feature, s.threshold) for s in model.stumps] == [("ab"[f], e) for f, e in chosen]
+    decided = [r["d"] for r in df.coalesce(1).select(model.decision().alias("d")).collect()]
+    assert sorted(decided) == pytest.approx(sorted(margin / 7))
+    again = models.fit_real_adaptive(df.repartition(5), ["a", "b"], "y", rounds=7, bins=12)
+    assert [(s.feature, s.threshold) for s in again.stumps] == [(s.feature, s.threshold) for s in model.stumps]
+    scored = models.add_scores(model, df).collect()
+    assert all(abs(r["prob_0"] + r["prob_1"] - 1) < 1e-9 and (r["prob_1"] > 0.5) == (r["predicted"] == 1) for r in scored)
+
+
+def test_real_adaptive_boosting_needs_a_split(spark):
+    with pytest.raises(ValueError, match="two values"):
+        models.fit_real_adaptive(spark.createDataFrame([(1.0, 0), (1.0, 1)], "a double, y int"), ["a"], "y")
+    perfect = models.fit_real_adaptive(spark.createDataFrame([(float(k), int(k > 3)) for k in range(9)], "a double, y int"), ["a"], "y", rounds=4, bins=9)
+    assert perfect.stumps[0].threshold in (3.0, 3.5) or 3 <= perfect.stumps[0].threshold < 4
+
+
+def test_scores_and_rejects_of_one_read(spark, applicants, scorer, tmp_path):
+    """Bad lines among good ones; a stream that stops and goes on; a batch that runs again after its writes."""
+    import glob
+    import os
+
+    folder = str(tmp_path)
+    sinks = (f"{folder}/scores", f"{folder}/rejects", f"{folder}/progress")
+    run = lambda: deliver(spark, f"{folder}/in", REQUEST, scorer, "id", as_of(), *sinks, files_per_trigger=1).awaitTermination()
+    lines = request_json(applicants, list(REQUEST)).select("json")
+    lines.limit(20).coalesce(1).write.text(f"{folder}/in")
+    run()
+    lines.exceptAll(lines.limit(20)).coalesce(2).write.mode("append").text(f"{folder}/in")
+    spark.createDataFrame([('{"id":[1',), ("no request",), ('{"id":[]}',)], "json string").coalesce(1).write.mode("append").text(f"{folder}/in")
+    run()
+    pick = lambda df: sorted(df.select("id", "score", "predicted").collect())
+    expected = pick(score(applicants, scorer, "id", as_of()))
+    assert pick(delivered(spark, sinks[0])) == expected
+    assert sorted(r["reason"] for r in delivered(spark, sinks[1]).collect()) == ["empty", "malformed", "malformed"]
+    last = max(glob.glob(f"{folder}/progress/commits/[0-9]*"), key=lambda p: int(os.path.basename(p)))
+    os.remove(last)  # as if the process had ended between the last write and its commit
+    for leftover in glob.glob(f"{folder}/progress/commits/.{os.path.basename(last)}.crc"):
+        os.remove(leftover)
+    run()
+    assert pick(delivered(spark, sinks[0])) == expected and delivered(spark, sinks[1]).count() == 3
