@@ -46,7 +46,7 @@ def salt_columns(df: DataFrame, key: str, most: int = 2) -> list[str]:
 
     others = [(rank(kind), place, name) for place, (name, kind) in enumerate(df.dtypes) if name != key]
     usable = sorted(o for o in others if o[0] < 3)
-    return [name for _, _, name in usable[:most]]
+    return [name for order, _, name in usable if order == usable[0][0]][:most]
 
 
 def dealt(df: DataFrame, key: str, hot: DataFrame | None, name: str) -> DataFrame:

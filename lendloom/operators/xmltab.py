@@ -175,20 +175,22 @@ def flatten_open(df: DataFrame, column: str, keep: Sequence[str] = (), depth: in
 
     Two passes: the first discovers the tags of all documents, the second parses each document once against the schema they
     make. The last of repeated tags wins; of several sections with the same tag, the one whose path sorts last. A missing tag is
-    NULL, malformed and empty documents have only NULLs. A tag named like a kept column gets ``_xml`` at its end. More than ``most_tags`` paths,
-    or tags that differ in case alone, are an error, since a table cannot hold them.
+    NULL, malformed and empty documents have only NULLs. A tag named like a kept column gets ``_xml`` at its end; tags that differ
+    in case alone are one column, as they are for Spark's reader. More than ``most_tags`` paths are an error: no table would hold them.
     """
     found = discover_paths(df, column, depth).select("path").limit(most_tags + 1).collect()
     if len(found) > most_tags:
         raise ValueError(f"more than {most_tags} paths")
-    paths = sorted(tuple(r["path"]) for r in found)
+    spelled: dict[str, str] = {}
+    for path in sorted(tuple(r["path"]) for r in found):
+        for name in path:
+            spelled.setdefault(name.lower(), name)
+    paths = sorted({tuple(spelled[name.lower()] for name in r["path"]) for r in found})
     by_tag: dict[str, list[tuple[str, ...]]] = {}
     for path in _steps(_schema_of(paths)):
         named = path[:-1] if path[-1] == TEXT_TAG else path
         if 2 <= len(named) <= depth:
             by_tag.setdefault(named[-1], []).append(path)
-    if len({name.lower() for name in by_tag}) < len(by_tag):
-        raise ValueError(f"tags that differ in case alone: {sorted(by_tag)}")
     body = without_declaration(F.col(column))
     schema = _all_repeated(_schema_of(paths))
     parsed = df.select(*keep, F.from_xml(body, schema, {"mode": "PERMISSIVE", "valueTag": TEXT_TAG, "excludeAttribute": "true"}).alias("_doc")) if paths else df.select(*keep)

@@ -1,5 +1,6 @@
 """XML and list text."""
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,3 +71,32 @@ def test_truncated_lists_lose_two_real_employers(spark):
 def test_repair_keeps_closed_lists(spark):
     df = spark.createDataFrame([("[1]",), ("[{a},{b",), ("[{a}, {b",), ("nothing",)], "t string")
     assert [r[0] for r in df.select(jsontab.close_truncated(F.col("t"))).collect()] == ["[1]", "[{a}]", "[{a}]", None]
+
+
+def test_open_flattening(spark):
+    """Tags that no schema names: attributes, mixed text, repeats, sections, malformed and empty documents."""
+    docs = [
+        (1, '<?xml version="1.0"?><root><a><b>1</b><c at="z">two</c><b>3</b></a><d>top</d><e><f><g>deep</g></f></e></root>'),
+        (2, "<root><a><b> 5 </b></a><e><h/></e></root>"), (3, None), (4, "<bad"), (5, "<root>t</root>"), (6, "<root><a>x<b>1</b>y</a><a><b>9</b><k>true</k></a></root>"),
+        (7, "<root><a><b>1</root>"), (8, ""), (9, "plain"), (10, '<root><a><n:z xmlns:n="u">007</n:z><w>1.50</w><id>5</id></a></root>'),
+        (11, "<root><a><c>t<cc>1</cc></c></a><z><y><x><w><v><u>too deep</u></v></w></x></y></z></root>"), (12, "<root><last><only>&lt;here&gt;</only></last></root>"),
+    ]
+    df = spark.createDataFrame(docs, "id int, t string").repartition(5)
+    rows = {r["id"]: r.asDict() for r in xmltab.flatten_open(df, "t", ["id"]).collect()}
+    assert list(rows[1]) == ["id", "b", "c", "cc", "g", "h", "id_xml", "k", "n:z", "only", "w"]
+    filled = {i: {k: v for k, v in r.items() if k != "id" and v is not None} for i, r in rows.items()}
+    assert filled == {
+        1: {"b": "3", "c": "two", "g": "deep"}, 2: {"b": "5", "h": ""}, 3: {}, 4: {}, 5: {}, 6: {"b": "9", "k": "true"}, 7: {}, 8: {}, 9: {},
+        10: {"id_xml": "5", "n:z": "007", "w": "1.50"}, 11: {"c": "t", "cc": "1"}, 12: {"only": "<here>"},
+    }
+    paths = {tuple(r["path"]): r["n"] for r in xmltab.discover_paths(df, "t").collect()}
+    assert paths[("a", "b")] == 5 and ("d",) in paths and not any(len(p) > 5 for p in paths)
+
+
+def test_open_flattening_of_nothing_and_limits(spark):
+    none = spark.createDataFrame([], "id int, t string")
+    assert xmltab.flatten_open(none, "t", ["id"]).columns == ["id"]
+    some = spark.createDataFrame([(1, "<r><a><b>1</b><B>2</B></a></r>"), (2, "<r><a><B>7</B><c/></a></r>")], "id int, t string")
+    assert sorted(tuple(r) for r in xmltab.flatten_open(some, "t", ["id"]).collect()) == [(1, "2", None), (2, "7", "")]
+    with pytest.raises(ValueError, match="more than"):
+        xmltab.flatten_open(some, "t", ["id"], most_tags=1)

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,3 +156,54 @@ def test_a_person_is_one_whatever_the_case(spark):
     leads = spark.createDataFrame([(9, "s1", "2021-01-05 10:00:00"), (8, "S1", "2021-01-02 10:00:00"), (7, "S2", "2021-01-02 10:00:00"), (6, None, None)], "lead_id long, social string, lead_ts string")
     found = {r["lead_id"]: (r["social"], r["prior_count"], r["prior_type"]) for r in history.prior_applications(leads.withColumn("lead_ts", F.to_timestamp("lead_ts")), applicants).collect()}
     assert found == {9: ("s1", 2, "B"), 8: ("S1", 1, "A"), 7: ("S2", 0, ""), 6: (None, 0, "")}
+
+
+def plain_tree_auc(train, test):
+    """A tree of one feature grown until nothing can be split, level by level, and the AUC of its test chances."""
+    def grow(rows):
+        values, labels = sorted({v for v, _ in rows}), [y for _, y in rows]
+        if len(values) == 1 or len(set(labels)) == 1:
+            rate = sum(labels) / len(labels)
+            return lambda v: rate
+        best = None
+        for a, b in zip(values, values[1:]):
+            cut = (a + b) / 2
+            parts = [[y for v, y in rows if (v <= cut) == side] for side in (True, False)]
+            score = sum(2 * sum(p) * (len(p) - sum(p)) / len(p) for p in parts)
+            if best is None or score < best[0]:
+                best = (score, cut)
+        low, high = (grow([r for r in rows if (r[0] <= best[1]) == side]) for side in (True, False))
+        return lambda v: low(v) if v <= best[1] else high(v)
+
+    tree = grow(train)
+    good, bad = [tree(v) for v, y in test if y == 0], [tree(v) for v, y in test if y == 1]
+    return sum((b > g) + 0.5 * (b == g) for b in bad for g in good) / (len(good) * len(bad))
+
+
+def test_single_feature_trees_against_grown_trees(spark):
+    random = np.random.default_rng(21)
+    make = lambda n: [(float(v) if v > -1.5 else None, float(-y + random.normal() * 0.3), float(random.integers(0, 4)), 1.0, int(y)) for v, y in ((round(random.normal(), 1), random.random() < 0.4) for _ in range(n))]
+    train, test = make(160), make(70)
+    frames = [spark.createDataFrame(rows, "holes double, falling double, few double, same double, y int").repartition(4) for rows in (train, test)]
+    features = ["holes", "falling", "few", "same"]
+    found = {r["feature"]: (r["auc"], r["kept"]) for r in evaluate.feature_tree_auc(*frames, features, "y").collect()}
+    for place, name in enumerate(features):
+        pick = lambda rows: [(0.0 if r[place] is None else r[place], r[-1]) for r in rows]  # noqa: E731, B023
+        auc = plain_tree_auc(pick(train), pick(test))
+        assert found[name][0] == pytest.approx(auc) and found[name][1] == (auc > 0.5)
+    assert found["falling"][1] and found["same"] == (0.5, False)
+
+
+def test_only_what_is_needed_is_read_for_the_salt(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(k, k % 3, "x" * 50, [k]) for k in range(50)], "id long, k long, wide string, many array<long>").write.parquet(path)
+    joined = skew.enrich(spark.read.parquet(path), spark.range(3).select(F.col("id").alias("k")), "k").select("id", "k")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "wide" not in plan and "many" not in plan
+
+
+def test_id_lists_as_tables(spark):
+    from lendloom.operators import membership
+
+    ids = spark.createDataFrame([(3,), (3,), (None,), (40,)], "wanted long")
+    assert sorted(r["id"] for r in membership.in_ids(spark.range(10), "id", ids).collect()) == [3]
