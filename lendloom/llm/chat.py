@@ -7,8 +7,8 @@ are then null). Inside an added piece the text is located by rendering the turn
 the common prefix and suffix of the two pieces are the template's own marks. That is also where a template that changes the
 text (trims it, say) shows.
 
-Prefixes are rendered incrementally: a template may offer ``render.step(state, role, text) -> (state, added)``; without it the
-whole prefix is rendered, and the cost grows with the square of the turns.
+Every template, the default one too, is taken as a black box: each prefix is rendered whole, and so is the prefix with the probe. The
+cost of a conversation is its turns times its characters; conversations are short, and no two meet in a task's memory at once.
 
 The default template writes ``### Role: text </turn>\\n``; a backslash goes before every backslash and every control string
 inside a text, so texts that contain marks come back unchanged.
@@ -59,9 +59,6 @@ def render(turns: list[Turn]) -> str:
     return "".join(_turn(*t) for t in turns)
 
 
-render.step = lambda state, role, text: (state, _turn(role, text))
-
-
 def parse(formatted: str) -> list[Turn]:
     """The turns read back from the default template's output."""
     turns, at = [], 0
@@ -90,27 +87,20 @@ def _probe(text: str) -> str:
 
 def spans(turns: list[Turn], template: Callable[[list[Turn]], str] = render) -> tuple[str, list[tuple[int, int, int, int]] | None]:
     """The rendered conversation and, per turn, (start, text start, text end, end) in it; None if history was rewritten."""
-    step = getattr(template, "step", None)
-    pieces, found, before, state, length = [], [], "", None, 0
+    found, before = [], ""
     for k, (role, text) in enumerate(turns):
-        if step is not None:
-            state_before = state
-            state, added = step(state_before, role, text)
-            _, other = step(state_before, role, _probe(text))
-            pieces.append(added)
-        else:
-            now = template(turns[:k + 1])
-            if not now.startswith(before):
-                return template(turns), None
-            probed = template([*turns[:k], (role, _probe(text))])
-            if not probed.startswith(before):
-                return template(turns), None
-            added, other, before = now[len(before):], probed[len(before):], now
+        now = template(turns[:k + 1])
+        if not now.startswith(before):
+            return template(turns), None
+        probed = template([*turns[:k], (role, _probe(text))])
+        if not probed.startswith(before):
+            return template(turns), None
+        at, added, other = len(before), now[len(before):], probed[len(before):]
         head = _common(added, other)
         tail = _common(added[head:][::-1], other[head:][::-1])
-        found.append((length, length + head, length + len(added) - tail, length + len(added)))
-        length += len(added)
-    return ("".join(pieces) if step is not None else before), found
+        found.append((at, at + head, len(now) - tail, len(now)))
+        before = now
+    return before, found
 
 
 def format_conversations(rows: DataFrame, template: Callable[[list[Turn]], str] = render, *, conversation: str = "conv_id") -> DataFrame:

@@ -42,3 +42,18 @@ def test_rows(spark):
 def test_rewriting_is_flagged(spark):
     df = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b")], "conv_id long, turn long, role string, text string")
     assert format_conversations(df, lambda turns: f"{len(turns)}:{turns}").first()["rewrites"]
+
+
+def test_every_prefix_goes_through_the_template():
+    """The query's own template is a black box as well: its prefixes are rendered in order, and one that rewrites is told."""
+    seen = []
+
+    def watched(turns):
+        seen.append(list(turns))
+        return render(turns)
+
+    turns = [("user", "a"), ("assistant", "b"), ("user", "c")]
+    assert spans(turns, watched)[1] == spans(turns)[1]
+    assert [t for t in seen if t == turns[:len(t)]] == [turns[:1], turns[:2], turns]
+    trims = lambda turns: render([(r, t if k == len(turns) - 1 else t.strip()) for k, (r, t) in enumerate(turns)])
+    assert spans([("user", "a "), ("assistant", "b")], trims)[1] is None and spans([("user", "a"), ("assistant", "b ")], trims)[1] is not None
