@@ -14,6 +14,7 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 
 import pandas as pd
@@ -44,6 +45,7 @@ def records(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
         F.concat(F.lit("WARC-Record-ID: <urn:page:"), F.col("page_id").cast("string"), F.lit(">")),
         F.concat(F.lit("WARC-Target-URI: "), url), F.lit("WARC-Date: 1970-01-01T00:00:00Z"),
         F.when(revisit, F.concat(F.lit("WARC-Refers-To: <urn:page:"), F.col("first").cast("string"), F.lit(">"))),
+        F.when(revisit, F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
         F.concat(F.lit("WARC-Payload-Digest: sha256:"), F.col("digest")), F.concat(F.lit("X-Payload-Length: "), F.col("size").cast("string")),
         F.concat(F.lit("Content-Length: "), F.octet_length(body).cast("string")), F.lit("\r\n"))
     return pages.select("page_id", F.concat(head, body).alias("record"))
@@ -135,7 +137,10 @@ def archive_index(spark: SparkSession, target: str) -> DataFrame:
 
 
 def read_records(spark: SparkSession, target: str) -> DataFrame:
-    """(page_id, url, payload_bytes, payload_digest, record_type, refers_to, body): every record, read at its offset."""
+    """(page_id, url, payload_bytes, payload_digest, record_type, refers_to, body): every record, read at its offset.
+
+    Size and digest of a response are those of the bytes read; if its header tells others, the archive is damaged and reading fails.
+    """
 
     def read(frames):
         for frame in frames:
@@ -146,7 +151,12 @@ def read_records(spark: SparkSession, target: str) -> DataFrame:
                     end = raw.index(END) + 4
                     head, body = fields(raw[:end]), raw[end:-4]
                     refers = head.get("warc-refers-to")
-                    rows.append((_number(head["warc-record-id"]), head["warc-target-uri"], int(head["x-payload-length"]), head["warc-payload-digest"].removeprefix("sha256:"), head["warc-type"], _number(refers) if refers else None, body))
+                    size, digest = int(head["x-payload-length"]), head["warc-payload-digest"].removeprefix("sha256:")
+                    if refers is None:  # the payload is here: what is returned comes from its bytes
+                        told, size, digest = (size, digest), len(body), hashlib.sha256(body).hexdigest()
+                        if told != (size, digest):
+                            raise ValueError(f"{head['warc-record-id']}: the payload is not the one that was written")
+                    rows.append((_number(head["warc-record-id"]), head["warc-target-uri"], size, digest, head["warc-type"], _number(refers) if refers else None, body))
                 yield pd.DataFrame(rows, columns=["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "body"]).astype({"refers_to": "Int64"})
 
     return spark.read.parquet(target).select("content", "offsets", "lengths").mapInPandas(

@@ -61,3 +61,16 @@ def test_cut_records():
 
 def test_empty(spark):
     assert round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_a_damaged_payload_is_told(spark, tmp_path):
+    df = spark.createDataFrame(PAGES, "page_id long, url string, html string").coalesce(1)
+    write_archives(df, str(tmp_path / "raw"))
+    (raw,) = (tmp_path / "raw").glob("*.gz")
+    whole = gzip.decompress(raw.read_bytes())
+    at = whole.index(b"\r\n\r\n", whole.index(b"Content-Length: 1")) + 4
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.gz").write_bytes(gzip.compress(whole[:at] + bytes([whole[at] ^ 1]) + whole[at + 1:]))
+    normalise(spark, str(tmp_path / "bad"), str(tmp_path / "members"))
+    with pytest.raises(Exception, match="not the one that was written"):
+        read_records(spark, str(tmp_path / "members")).collect()
