@@ -130,6 +130,7 @@ class Prices:
 class Markers:
     loan_performance: str = "<LoanPerformance>"
     identity: str = "<IDV>"
+    address: str = "AddressisCurrent"
     account: str = "<ChexAdvisor>"
     credit_attributes: str = '<Service Name="TraditionalCreditAttributes">'
     no_employer: str = '"EmployerName":""'

@@ -309,6 +309,8 @@ def derived_columns(t: Tables, p: LeadParams) -> dict[str, Column]:
         "card_provided": F.when(c("card_count") > 0, "Y").otherwise("N"),
         "military": flag(c("military_store_id").isNotNull()),
         "loan_performance": flag(text.contains_text(c("bureau_response"), marker.loan_performance.strip("<>"))),
+        "id_logic": flag(text.contains_text(c("bureau_response"), marker.address)),
+        "account_check": flag(text.contains_text(c("bureau_response"), marker.account.strip("<>"))),
         "amount": amount,
         "sell_type": money.sell_type(c("original"), c("selected"), c("loan_amount")),
         "approval_path": labels.approval_path(c("auto_ok"), c("auto_approved"), c("type")),
@@ -363,7 +365,7 @@ PROJECTION = {
     "identity_status": "identity_status", "risk_score": "risk_score", "credit_risk_score": "credit_risk_score",
     "first_model_decision": "first_model_decision", "last_model_decision": "last_model_decision", "military": "military",
     "paid_off_loans_credit": "paid_off_loans_credit", "paid_off_loans": "paid_off_loans", "card_provided": "card_provided",
-    "store": "store_label", "applicant_type": "type", "if_accepted": "if_accepted", "if_funded": "if_funded",
+    "loan_performance": "loan_performance", "id_logic": "id_logic", "account_check": "account_check", "store": "store_label", "applicant_type": "type", "if_accepted": "if_accepted", "if_funded": "if_funded",
     "lead_status": "lead_status", "loan_amount": "loan_amount_desired_bal", "original_amount": "original",
     "selected_amount": "selected", "sell_type": "sell_type", "affiliate": "affiliate", "affiliate_group": "affiliate_group",
     "sub_id": "sub_id_bal", "lead_price": "lead_price", "fraud_score": "fraud_score", "carrier_name": "carrier_name",

@@ -16,7 +16,8 @@ KINDS = {
     "salary": "string", "dob": "string", "age": "double", "email_domain": "string", "payment_ratio": "r4", "direct_deposit": "string",
     "state": "string", "state_abbr": "string", "pre_status": "string", "times_applied": "bigint", "identity_status": "string",
     "risk_score": "double", "credit_risk_score": "double", "first_model_decision": "string", "last_model_decision": "string",
-    "military": "bigint", "paid_off_loans_credit": "string", "paid_off_loans": "string", "card_provided": "string", "store": "string",
+    "military": "bigint", "paid_off_loans_credit": "string", "paid_off_loans": "string", "card_provided": "string",
+    "loan_performance": "bigint", "id_logic": "bigint", "account_check": "bigint", "store": "string",
     "applicant_type": "string", "if_accepted": "bigint", "if_funded": "bigint", "lead_status": "string", "loan_amount": "string",
     "original_amount": "double", "selected_amount": "double", "sell_type": "string", "affiliate": "string", "affiliate_group": "string",
     "sub_id": "string", "lead_price": "double", "fraud_score": "double", "carrier_name": "string", "auto_ok": "double",
@@ -106,6 +107,9 @@ SELECT lead_id, applicant_id, CAST(month(lead_ts) AS BIGINT) AS received_month,
   CASE WHEN k_response IS NOT NULL THEN CAST(k_id % 7 AS VARCHAR) END AS paid_off_loans_credit,
   CASE WHEN b_response IS NOT NULL AND b_id % 2 = 0 THEN CAST(b_id % 9 AS VARCHAR) END AS paid_off_loans,
   CASE WHEN card_count > 0 THEN 'Y' ELSE 'N' END AS card_provided,
+  CAST(CASE WHEN strpos(b_response, 'LoanPerformance') > 0 THEN 1 ELSE 0 END AS BIGINT) AS loan_performance,
+  CAST(CASE WHEN strpos(b_response, 'AddressisCurrent') > 0 THEN 1 ELSE 0 END AS BIGINT) AS id_logic,
+  CAST(CASE WHEN strpos(b_response, 'ChexAdvisor') > 0 THEN 1 ELSE 0 END AS BIGINT) AS account_check,
   CASE WHEN t_model = 'RandomForest' THEN 'Store 12-RF' WHEN ft_store IS NULL AND t_store = 8 THEN 'Store 08' WHEN ft_store IS NULL AND t_store = 13 THEN 'Store 13'
     WHEN ft_store IS NULL AND t_store IS NULL AND CAST(b_store AS INT) = 14 THEN 'Store 14' WHEN ft_store IS NULL AND t_store IS NULL AND CAST(b_store AS INT) = 30 THEN 'Store 30'
     WHEN ft_store IS NULL AND t_store = 30 THEN 'Store 30' WHEN ft_store BETWEEN 6 AND 11 THEN 'Store ' || lpad(CAST(ft_store AS VARCHAR), 2, '0')

@@ -149,7 +149,7 @@ SELECT event_id AS id, user_id AS applicant_id,
   CASE WHEN value > 150 THEN NULL ELSE
     '<?xml version="1.0" encoding="utf-8" ?><ApplicationResponse><ApplicationInfo>'
     || CASE WHEN event_id % 2 = 0 THEN '<LoanPerformance><NumberofLoansPaidOff>' || CAST(event_id % 9 AS STRING) || '</NumberofLoansPaidOff></LoanPerformance>' ELSE '' END
-    || '</ApplicationInfo>' || CASE WHEN event_id % 3 = 0 THEN '<IDV><Score>1</Score></IDV>' ELSE '' END
+    || '</ApplicationInfo>' || CASE WHEN event_id % 3 = 0 THEN '<IDV><Score>1</Score>' || CASE WHEN event_id % 6 = 0 THEN '<AddressisCurrent>Y</AddressisCurrent>' ELSE '' END || '</IDV>' ELSE '' END
     || CASE WHEN event_id % 4 = 0 THEN '<ChexAdvisor><Score>2</Score></ChexAdvisor>' ELSE '' END
     || CASE WHEN event_id % 5 = 0 THEN '<Service Name="TraditionalCreditAttributes"><Score>3</Score></Service>' ELSE '' END
     || '<LoanPerformance><NumberofLoansPaidOff>' || CAST(event_id % 7 AS STRING) || '</NumberofLoansPaidOff></LoanPerformance></ApplicationResponse>' END AS response
