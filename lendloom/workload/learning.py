@@ -147,15 +147,15 @@ def logit_table(spark, folder):
 
 @query("backward_elimination", f"SELECT CAST(count(*) AS BIGINT) AS train_rows, 1 AS all_significant, 1 AS refit_agrees FROM ({LABEL_SQL}) l WHERE {TRAIN}")
 def backward_elimination(spark, folder):
-    """The features left are significant, and an ordinary least-squares fit on them gives the same p-values."""
+    """Some features are left, all are significant, and an ordinary least-squares fit on them gives the same p-values."""
     train, _ = parts(spark, folder)
     kept = models.backward_elimination(train, NUMBERS, "bad")
-    agrees = True
+    agrees = False
     if kept:
         data = models.assembler([n for n, _ in kept]).transform(train.select(*[n for n, _ in kept], F.col("bad").cast("double").alias("bad")))
         refit = LinearRegression(labelCol="bad", solver="normal").fit(data).summary.pValues
         agrees = all(abs(p - q) < 1e-6 for (_, p), q in zip(kept, refit))
-    significant = all(p <= 0.05 for _, p in kept)
+    significant = bool(kept) and all(p <= 0.05 for _, p in kept)
     return train.agg(F.count("*").alias("train_rows")).select("train_rows", F.lit(int(significant)).alias("all_significant"), F.lit(int(agrees)).alias("refit_agrees"))
 
 
@@ -179,6 +179,32 @@ def importances(spark, folder):
     )
 
 
+CUTS_SQL = f"""
+SELECT model, rule, 1 AS is_cut, 1 AS is_ranked FROM (SELECT unnest(['forest', 'boosted', 'logistic']) AS model, unnest(['at_least 0.01', 'at_least 0.01', 'top 3']) AS rule)
+"""
+
+
+@query("importance_cuts", CUTS_SQL)
+def importance_cuts(spark, folder):
+    """The features that pass the cut of a model: exactly those at or above the threshold, or the first ones in order."""
+    train, _ = parts(spark, folder)
+    train = checkpointed(train)
+    fitted = {
+        "forest": (models.fit_forest(train, NUMBERS, "bad", trees=20), {"at_least": 0.01}),
+        "boosted": (models.fit_boosted(train, NUMBERS, "bad", rounds=ROUNDS), {"at_least": 0.01}),
+        "logistic": (models.fit_logistic(train, NUMBERS, "bad"), {"top": 3}),
+    }
+    rows = []
+    for name, (model, cut) in fitted.items():
+        values, kept = dict(models.importances(model, NUMBERS)), models.important_features(model, NUMBERS, **cut)
+        out = [values[f] for f in NUMBERS if f not in kept]
+        inside = [values[f] for f in kept]
+        is_cut = len(kept) == 3 if "top" in cut else bool(kept) and min(inside) >= 0.01 and max(out, default=0.0) < 0.01
+        ranked = inside == sorted(inside, reverse=True) and min(inside) >= max(out, default=0.0)
+        rows.append((name, " ".join(str(x) for x in next(iter(cut.items()))), int(is_cut), int(ranked)))
+    return spark.createDataFrame(rows, "model string, rule string, is_cut int, is_ranked int")
+
+
 # --- scoring of requests ------------------------------------------------------------
 
 REQUEST_COLUMNS = {
