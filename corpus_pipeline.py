@@ -6,10 +6,12 @@ with a null id are kept by the near-duplicate stage, since nothing can be linked
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendloom.llm.common import read, written
+from lendloom.llm.common import batches_of, read, written
 from lendloom.llm.decontaminate import contamination
 from lendloom.llm.jaccard_join import jaccard_components, only
 from lendloom.llm.language_id import classify, fit
@@ -18,14 +20,25 @@ from lendloom.llm.packing import pack, pieces, public_tokenizer
 from lendloom.llm.queries import ORACLES, QUERIES, query
 
 
+#: Rows passed to Python at once: whole texts, so that a worker and its executor hold a few megabytes of them.
+ROWS_AT_ONCE = 500
+
+
+def in_small_batches(docs: DataFrame, build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``build`` gives, worked out here and kept, with few rows passed to Python at once."""
+    with batches_of(docs.sparkSession, ROWS_AT_ONCE):
+        return written(build(), name)
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with a margin; what is rejected goes."""
-    return classify(docs, fit(docs)).where(~F.col("rejected")).select(*docs.columns)
+    return in_small_batches(docs, lambda: classify(docs, fit(docs)).where(~F.col("rejected")).select(*docs.columns), "known")
 
 
 def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that ten or more documents share are taken out; n_chars follows the text."""
-    return dedup_lines(docs, min_docs=10, min_chars=1).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    fresh = lambda: dedup_lines(docs, min_docs=10, min_chars=1).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return in_small_batches(docs, fresh, "fresh")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +55,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than one word in twenty lies in a benchmark passage."""
-    return contamination(docs, read(spark, sf_dir, "benchmark"), size=13, one_in=20).where(~F.col("contaminated")).select(*docs.columns)
+    found = lambda: contamination(docs, read(spark, sf_dir, "benchmark"), size=13, one_in=20)
+    return in_small_batches(docs, lambda: found().where(~F.col("contaminated")).select(*docs.columns), "clean")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
