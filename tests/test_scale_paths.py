@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lendloom.operators import evaluate, history, lookups, selection, skew
+from lendloom.operators import evaluate, history, ledger, lookups, selection, skew
 from lendloom.operators.running import ranges, running
 
 random.seed(7)
@@ -50,6 +50,38 @@ def test_no_task_holds_more_than_its_share(spark, rows):
     assert sum(sizes) == 4000 and max(sizes) <= 2 * 200 and len(sizes) >= 15
 
 
+def test_small_ranges_add_no_tasks(spark):
+    df = spark.createDataFrame([(i, "hot") for i in range(4000)], "id long, key string")
+    dealt = ranges(df, ["key"], "id", df, 10)
+    assert dealt.rdd.getNumPartitions() == 4 and dealt.select("_range").distinct().count() >= 400
+    spans = dealt.groupBy("_range").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n")).orderBy("_range").collect()
+    assert all(s["n"] <= 10 and s["high"] - s["low"] == s["n"] - 1 for s in spans)
+    assert all(a["high"] < b["low"] for a, b in zip(spans, spans[1:]))
+
+
+def test_unreverted_rows_are_dealt_by_their_number(spark):
+    entries = spark.createDataFrame([(i, i - 1 if i % 5 == 0 and i else None) for i in range(1000)], "id long, reference_id long")
+    left = ledger.unreverted(entries, rows_per_task=100)
+    assert left.rdd.getNumPartitions() == 10
+    assert sorted(r["id"] for r in left.select("id").collect()) == sorted(set(range(1000)) - {i - 1 for i in range(5, 1000, 5)})
+
+
+def test_leads_without_an_own_application_do_not_meet_in_one_task(spark):
+    leads = spark.createDataFrame([(i, i if i % 50 == 0 else None, "2024-01-02 00:00:00") for i in range(2000)], "lead_id long, failure_applicant_id long, lead_ts string")
+    people = spark.createDataFrame([(i, "s", "T", "2024-01-01") for i in range(0, 2000, 100)], "id long, social string, type string, dte string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = history.own_prior_application(leads, people)
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        statuses = {r["lead_id"]: r["last_applicant_status"] for r in found.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(sizes) < 1000
+    assert statuses == {i: "T" if i % 100 == 0 else "" for i in range(2000)}
+
+
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
 def test_enrich_with_hot_keys(spark, how):
     facts = spark.createDataFrame(ROWS + [(9001, None, 1, "z")], "id long, key string, value long, tag string")
