@@ -18,6 +18,7 @@ from lendloom.params import (
     BANK_RULES_SCORING, CONSTANT_FILLS, DATE_COLUMNS, DATE_DIFF_FILLS, FEATURE_ORDER, LABEL_COLUMNS, PERCENT_COLUMNS, STATE_NAMES,
 )
 from lendloom.plans.training import fit_states, join_renamed
+from lendloom.session import written
 from lendloom.sources.files import load_state, save_state
 
 
@@ -86,7 +87,8 @@ def fit_input_states(train: DataFrame, target: str, as_of: Column, **columns) ->
     """
     scorer = Scorer(missing=None, rare=None, target=None, model=None, **columns)
     numeric = [name for name in scorer.features if name not in scorer.labels]
-    cleaned = clean_inputs(train, as_of, scorer.percent, scorer.dates, scorer.bank)
+    # Dates, percentages and names are read from text once, however many passes the states take.
+    cleaned = written(clean_inputs(train, as_of, scorer.percent, scorer.dates, scorer.bank).select(*numeric, *scorer.labels, target), "cleaned")
     fitted = fit_states(cleaned, scorer.labels, numeric, target)
     scorer.missing, scorer.rare, scorer.target = fitted.missing, fitted.rare, fitted.all_rates
     scorer.default_rate = fitted.mean
@@ -98,7 +100,8 @@ def fit_scorer(
 ) -> Scorer:
     """States and model from train rows, through the same transform that scoring uses."""
     scorer = fit_input_states(train, target, as_of, **columns)
-    scorer.model = learn(prepare(train, scorer, as_of), list(scorer.features), target)
+    ready = written(prepare(train, scorer, as_of).select(*scorer.features, target), "model-input")  # a learner reads it again and again
+    scorer.model = learn(ready, list(scorer.features), target)
     return scorer
 
 

@@ -12,6 +12,9 @@ from lendloom.operators import evaluate, models
 from lendloom.plans.scoring import Scorer, assemble_applicants, fit_scorer, score, source_columns
 from lendloom.sources.files import request_json
 from lendloom.streaming.requests import deliver, delivered, read_requests, score_stream, write_scores
+from lendloom.workload.learning import cut_flags, parts, request_parts
+
+SMOKE_FOLDER = "/root/testdata/sf0.001"
 
 FEATURES = ["a", "b", "noise"]
 
@@ -213,3 +216,15 @@ def test_scores_and_rejects_of_one_read(spark, applicants, scorer, tmp_path):
         os.remove(leftover)
     run()
     assert pick(delivered(spark, sinks[0])) == expected and delivered(spark, sinks[1]).count() == 3
+
+
+def test_an_empty_selection_is_a_row_and_not_an_error():
+    none = {"a": 0.0, "b": 0.0}  # trees without a split
+    assert cut_flags(none, [], {"at_least": 0.01}) == (0, 0)
+    assert cut_flags({"a": 0.9, "b": 0.1}, ["a"], {"at_least": 0.2}) == (1, 1)
+    assert cut_flags({"a": 0.9, "b": 0.1}, ["b"], {"at_least": 0.01})[0] == 0
+
+
+def test_parts_are_joined_once(spark):
+    for part in (*parts(spark, SMOKE_FOLDER), *request_parts(spark, SMOKE_FOLDER)):
+        assert "Join" not in part._jdf.queryExecution().optimizedPlan().toString()
