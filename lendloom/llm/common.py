@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
+import functools
 import os
 from collections.abc import Iterator
 
@@ -46,6 +48,25 @@ def batches_of(spark: SparkSession, rows: int):
         spark.conf.set(name, before)
 
 
+@functools.cache
+def _trim():
+    """What hands freed memory of the C library back, where there is such a call."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda pad: 0)
+
+
+def freed(step):
+    """A step over batches that gives its freed memory back when its task ends: Python workers live on and wait, and an
+    executor holds all of them."""
+
+    @functools.wraps(step)
+    def run(batches):
+        yield from step(batches)
+        pa.default_memory_pool().release_unused()
+        _trim()(0)
+
+    return run
+
+
 def gathered(batches) -> pa.Table | None:
     """All batches of a partition as one table; None if there are no rows."""
     batches = list(batches)
@@ -201,7 +222,7 @@ def components(links: DataFrame) -> DataFrame:
     each an aggregation with a map-side part and a join. Every step ends in a checkpoint.
     """
     edges = links.where(F.col("a") != F.col("b")).select(F.col("a").cast("long"), F.col("b").cast("long"))
-    edges = checkpointed(edges.mapInPandas(_local_forest, "a long, b long"))
+    edges = checkpointed(edges.mapInPandas(freed(_local_forest), "a long, b long"))
     seen = None
     while True:
         both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendloom.llm.common import batches_of, components, gathered, mix, partitions_of, shingle_hashes, slices, word_hashes, written
+from lendloom.llm.common import batches_of, components, freed, gathered, mix, partitions_of, shingle_hashes, slices, word_hashes, written
 
 SIZE, PERCENT = 5, 80
 RATIO = 1.6
@@ -146,7 +146,7 @@ def set_names(docs: DataFrame, id_column: str = "doc_id", column: str = "text",
             as_long = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(list(map(len, sets)), pa.int64()), as_long(h1), as_long(h2), as_long(least)], names=["doc_id", "n_shingles", "h1", "h2", "least"])
 
-    return docs.where(F.col(id_column).isNotNull()).select(id_column, column).mapInArrow(name, "doc_id long, n_shingles long, h1 long, h2 long, least long")
+    return docs.where(F.col(id_column).isNotNull()).select(id_column, column).mapInArrow(freed(name), "doc_id long, n_shingles long, h1 long, h2 long, least long")
 
 
 def only(docs: DataFrame, ids: DataFrame, id_column: str, how: str) -> DataFrame:
@@ -216,7 +216,7 @@ def shared_signatures(docs: DataFrame, plan: Plan, id_column: str, column: str,
             sig, doc = sig[several], doc[several]
         return pd.DataFrame({"sig": sig.view(np.int64), "doc": doc})
 
-    blocks = docs.select(id_column, column).mapInArrow(emit, "part long, sigs binary, docs binary")
+    blocks = docs.select(id_column, column).mapInArrow(freed(emit), "part long, sigs binary, docs binary")
     return blocks.groupBy("part").applyInPandas(meet, "sig long, doc long")
 
 
@@ -229,7 +229,7 @@ def _kept_sets(docs: DataFrame, id_column: str, column: str, size: int) -> DataF
             yield pa.RecordBatch.from_arrays(
                 [ids.cast(pa.int64()), pa.array(list(map(len, sets)), pa.int64()), pa.array(hist, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc", "n", "hist", "shingles"])
 
-    return docs.select(id_column, column).mapInArrow(keep, "doc long, n long, hist binary, shingles binary")
+    return docs.select(id_column, column).mapInArrow(freed(keep), "doc long, n long, hist binary, shingles binary")
 
 
 def _may_link(na, nb, difference, percent):
@@ -262,10 +262,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     small = sets.select("doc", "n", "hist")
     sized = pairs.join(small.toDF("a", "na", "ha"), "a").join(small.toDF("b", "nb", "hb"), "b")
-    left = written(sized.mapInPandas(bound, "a long, b long"), "pairs")
+    left = written(sized.mapInPandas(freed(bound), "a long, b long"), "pairs")
     # Whole sets travel only for documents that still have a pair.
     whole = only(sets.select("doc", "shingles"), left.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "doc", "left_semi")
-    return left.join(whole.toDF("a", "sa"), "a").join(whole.toDF("b", "sb"), "b").select("a", "b", "sa", "sb").mapInPandas(exact, "a long, b long")
+    return left.join(whole.toDF("a", "sa"), "a").join(whole.toDF("b", "sb"), "b").select("a", "b", "sa", "sb").mapInPandas(freed(exact), "a long, b long")
 
 
 def _stars(shared: DataFrame) -> DataFrame:
@@ -329,7 +329,7 @@ def _rest(shared: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -
 
     # Every row carries a histogram, so a task gets an eighth of the signatures of a scan's partition.
     parts = 8 * max(partitions_of(shared), shared.sparkSession.sparkContext.defaultParallelism)
-    return rows.repartition(parts, "sig", "i", "j").mapInArrow(compare, "a long, b long").distinct()
+    return rows.repartition(parts, "sig", "i", "j").mapInArrow(freed(compare), "a long, b long").distinct()
 
 
 def jaccard_components(docs: DataFrame, *, id_column: str = "doc_id", column: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
@@ -354,7 +354,8 @@ def _joined(docs: DataFrame, id_column: str, column: str, size: int, percent: in
     sets = written(_kept_sets(only(reps, shared.select("doc").distinct(), id_column, "left_semi"), id_column, column, size), "candidates")
     first = written(_verified(_stars(shared), sets, percent), "links")
     labels = written(components(first), "labels")
-    second = _verified(_rest(shared, labels, sets, percent), sets, percent)
+    # Written, since the components begin with a Python step: two in one task would keep twice as many workers on an executor.
+    second = written(_verified(_rest(shared, labels, sets, percent), sets, percent), "links")
     links = first.unionByName(second).unionByName(copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
     final = components(links)
     out = names.select("doc_id", "n_shingles").join(final, F.col("doc_id") == F.col("node"), "left")

@@ -61,3 +61,12 @@ def test_shingles():
     sets = shingle_hashes(*word_hashes(data, bounds), 5)
     assert [len(s) for s in sets] == [2, 1, 1, 1, 0, 6]
     assert sets[1][0] in sets[0] and sets[2][0] == sets[3][0]
+
+
+def test_step_gives_memory_back(monkeypatch):
+    from lendloom.llm import common
+
+    calls = []
+    monkeypatch.setattr(common, "_trim", lambda: calls.append)
+    assert list(common.freed(lambda batches: (b + 1 for b in batches))([1, 2])) == [2, 3]
+    assert calls == [0]

@@ -59,3 +59,13 @@ def test_empty_and_repeated_ids(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "A b c d e f"), (None, "a b c d e f")]
     got = sorted(tuple(r) for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert got == [(1, 2, 1), (1, 2, 1), (2, 2, 1)]
+
+
+def test_one_python_step_a_task(spark, monkeypatch):
+    """What the components begin with is a Python step: the links they get come from a table, not from another such step."""
+    from lendloom.llm import jaccard_join
+
+    plans, plain = [], jaccard_join.components
+    monkeypatch.setattr(jaccard_join, "components", lambda links: plans.append(links._jdf.queryExecution().optimizedPlan().toString()) or plain(links))
+    jaccard_components(spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f h")], "doc_id long, text string")).collect()
+    assert len(plans) == 2 and not any("MapIn" in plan for plan in plans)
