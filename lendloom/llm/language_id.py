@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lendloom.llm.common import freed
+
 UNKNOWN = "und"
 SAMPLE_DOCS, EXCERPT_CHARS, MAX_LANGUAGES = 400, 400, 500
 BLOCK_CHARS = 1500
@@ -106,7 +108,7 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], *, column: str = "
             columns = [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *columns], names=[*names, *dict(OUTPUT)])
 
-    return docs.mapInArrow(judge, T.StructType([*docs.schema.fields, *(T.StructField(n, t) for n, t in OUTPUT)]))
+    return docs.mapInArrow(freed(judge), T.StructType([*docs.schema.fields, *(T.StructField(n, t) for n, t in OUTPUT)]))
 
 
 def held_out(id_column: str, folds: int, fold: int) -> Column:

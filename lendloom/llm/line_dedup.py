@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendloom.llm.common import LOWER_TABLE, SPACES, partitions_of, written
+from lendloom.llm.common import LOWER_TABLE, SPACES, freed, partitions_of, written
 
 HASHES = 4
 SEGMENTS = 32
@@ -103,7 +103,7 @@ def _filters(docs: DataFrame, column: str, bits: int, least: int) -> DataFrame:
 
     # As many partial filters as the cluster has task slots (times four), however large the input.
     slots = 4 * docs.sparkSession.sparkContext.defaultParallelism
-    partial = docs.select(column).coalesce(min(partitions_of(docs), slots)).mapInArrow(fill, "segment long, once binary, twice binary")
+    partial = docs.select(column).coalesce(min(partitions_of(docs), slots)).mapInArrow(freed(fill), "segment long, once binary, twice binary")
     return partial.groupBy("segment").applyInPandas(merge, "segment long, twice binary")
 
 
@@ -144,7 +144,7 @@ def repeated_lines(docs: DataFrame, column: str = "text", min_docs: int = 10, mi
                 yield flush()
         yield flush()
 
-    counted = docs.select(column, *([first] if first else [])).mapInArrow(suspects, "key binary, n long, owner long")
+    counted = docs.select(column, *([first] if first else [])).mapInArrow(freed(suspects), "key binary, n long, owner long")
     return counted.groupBy("key").agg(F.sum("n").alias("n_docs"), F.min("owner").alias("owner")).where(F.col("n_docs") >= min_docs)
 
 
@@ -171,7 +171,7 @@ def dedup_lines(docs: DataFrame, column: str = "text", min_docs: int = 10, min_c
     for number in range(blocks):
         part = repeated if blocks == 1 else repeated.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == number)
         block = docs.sparkSession.sparkContext.broadcast(dict(_digests(part)))
-        out = out.mapInArrow(_dropper(block, column, number == 0, first), _schema(docs))
+        out = out.mapInArrow(freed(_dropper(block, column, number == 0, first)), _schema(docs))
     return out
 
 

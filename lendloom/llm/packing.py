@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendloom.llm.common import LOWER_TABLE, utf8, written
+from lendloom.llm.common import LOWER_TABLE, freed, utf8, written
 
 CAPACITY = 2048
 END_ID = 0
@@ -151,7 +151,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, *, id_column: str = "doc_id", c
             words.forget()  # a worker goes on to other tasks: what was learned here must not stay in its memory
 
     kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(id_column, column).mapInArrow(tokenise, PIECES.format(kind=kind) + (", ids array<long>" if with_ids else ""))
+    return docs.select(id_column, column).mapInArrow(freed(tokenise), PIECES.format(kind=kind) + (", ids array<long>" if with_ids else ""))
 
 
 def _cut(owners: pa.Array, ids: np.ndarray, begins: np.ndarray, capacity: int, with_ids: bool) -> pa.RecordBatch:
