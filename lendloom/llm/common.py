@@ -37,17 +37,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextlib.contextmanager
-def batches_of(spark: SparkSession, rows: int):
-    """Jobs that run inside pass rows to Python in batches of so many: for rows of many kilobytes."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def _setting(spark: SparkSession, name: str, value: str):
     before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.set(name, before)
 
 
+def batches_of(spark: SparkSession, rows: int):
+    """Jobs that run inside pass rows to Python in batches of so many: for rows of many kilobytes."""
+    return _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def shuffles_dropped(spark: SparkSession):
+    """Shuffle files of a job that runs inside go when it ends: for operators that keep what they need in written tables."""
+    return _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 @functools.cache
 def _trim():
     """What hands freed memory of the C library back, where there is such a call."""

@@ -17,7 +17,8 @@ shares a signature is a bucket; a bucket is never expanded to pairs at once:
 
 1. every document is compared with the smallest member of most of its buckets; the links found give components;
 2. only members of different components are still compared, in blocks, behind a bound: the summed difference of two small
-   histograms of shingles never exceeds the true difference.
+   histograms of shingles never exceeds the true difference. A pair that shares many buckets is passed on by the task of the
+   first of them alone.
 
 Every candidate is verified on the whole sets. Both steps lose nothing: a linked pair shares a bucket, and is either compared or
 already in one component.
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendloom.llm.common import batches_of, components, freed, gathered, mix, partitions_of, shingle_hashes, slices, word_hashes, written
+from lendloom.llm.common import batches_of, components, freed, gathered, mix, partitions_of, shingle_hashes, shuffles_dropped, slices, word_hashes, written
 
 SIZE, PERCENT = 5, 80
 RATIO = 1.6
@@ -47,6 +48,7 @@ BROADCAST_IDS = 4_000_000
 HELD_SIGNATURES = 600_000
 BUCKET_BLOCK = 1500
 BATCH_ROWS = 1000
+FIRST_SIGNATURES = 64
 _SEGMENT, _TOKEN, _HIST = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -276,15 +278,22 @@ def _stars(shared: DataFrame) -> DataFrame:
     return best.select("a", F.col("doc").alias("b"))
 
 
-def _rest(shared: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket but different components that pass the histogram bound."""
+def _mixed(shared: DataFrame, links: DataFrame) -> DataFrame:
+    """(sig, doc, comp, members): the buckets whose members are in different components of the links."""
+    labels = written(components(links), "labels")
     named = shared.join(labels, shared["doc"] == labels["node"], "left").select("sig", "doc", F.coalesce("component", "doc").alias("comp"))
     mixed = named.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("members")).where("x < y")
-    rows = named.join(mixed.select("sig", "members"), "sig").join(sets.select("doc", "n", "hist"), "doc")
+    return named.join(mixed.select("sig", "members"), "sig")
+
+
+def _rest(mixed: DataFrame, parts: int, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one bucket but different components that pass the histogram bound."""
+    firsts = mixed.groupBy("doc").agg(F.slice(F.sort_array(F.collect_list("sig")), 1, FIRST_SIGNATURES).alias("firsts"))
+    rows = mixed.join(firsts, "doc").join(sets.select("doc", "n", "hist"), "doc")
     blocks = F.ceil(F.col("members") / BUCKET_BLOCK).cast("int")
     own = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
     rows = rows.withColumn("blocks", blocks).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc", "comp", "n", "hist")
+    rows = rows.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc", "comp", "n", "hist", "firsts")
 
     def compare(batches):
         if (table := gathered(batches)) is None:
@@ -294,6 +303,7 @@ def _rest(shared: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -
         group = np.cumsum(np.concatenate([[True], (np.diff(sig[order]) != 0) | (np.diff(i[order]) != 0) | (np.diff(j[order]) != 0)]))
         _, first, code = np.unique(doc, return_index=True, return_inverse=True)
         hist = _histograms(table.column("hist").take(pa.array(first)).to_pylist())
+        firsts, here = table.column("firsts").take(pa.array(first)).to_pylist(), set(np.unique(sig).tolist())
         doc, comp, n, code, own, across = doc[first], comp[first], n[first], code[order], own[order], (i != j)[order]
         sizes = np.bincount(group)[group]
         left = sizes - 1 - (np.arange(len(group)) - np.searchsorted(group, group))
@@ -325,16 +335,20 @@ def _rest(shared: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -
         if held:
             flush()
         pair = np.unique(np.concatenate(found))
+
+        def first_here(x: int, y: int) -> bool:
+            """Whether the smallest bucket known to be common is one of this task's; every task that meets the pair finds the same."""
+            return (least := min(set(firsts[x]).intersection(firsts[y]), default=None)) is None or least in here
+
+        pair = pair[np.array([first_here(x, y) for x, y in zip((pair // len(doc)).tolist(), (pair % len(doc)).tolist())], bool)]
         yield pa.RecordBatch.from_arrays([pa.array(doc[pair // len(doc)]), pa.array(doc[pair % len(doc)])], names=["a", "b"])
 
-    # Every row carries a histogram, so a task gets an eighth of the signatures of a scan's partition.
-    parts = 8 * max(partitions_of(shared), shared.sparkSession.sparkContext.defaultParallelism)
     return rows.repartition(parts, "sig", "i", "j").mapInArrow(freed(compare), "a long, b long").distinct()
 
 
 def jaccard_components(docs: DataFrame, *, id_column: str = "doc_id", column: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every document with an id."""
-    with batches_of(docs.sparkSession, BATCH_ROWS):
+    with batches_of(docs.sparkSession, BATCH_ROWS), shuffles_dropped(docs.sparkSession):
         return _joined(docs, id_column, column, size, percent)
 
 
@@ -353,9 +367,11 @@ def _joined(docs: DataFrame, id_column: str, column: str, size: int, percent: in
     shared = written(shared_signatures(reps, plan, id_column, column, size).distinct(), "signatures")
     sets = written(_kept_sets(only(reps, shared.select("doc").distinct(), id_column, "left_semi"), id_column, column, size), "candidates")
     first = written(_verified(_stars(shared), sets, percent), "links")
-    labels = written(components(first), "labels")
+    mixed = _mixed(shared, first)
+    # Every row of the rest carries a histogram, so a task gets an eighth of the signatures of a scan's partition.
+    parts = 8 * max(partitions_of(shared), shared.sparkSession.sparkContext.defaultParallelism)
     # Written, since the components begin with a Python step: two in one task would keep twice as many workers on an executor.
-    second = written(_verified(_rest(shared, labels, sets, percent), sets, percent), "links")
+    second = written(_verified(_rest(mixed, parts, sets, percent), sets, percent), "links")
     links = first.unionByName(second).unionByName(copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
     final = components(links)
     out = names.select("doc_id", "n_shingles").join(final, F.col("doc_id") == F.col("node"), "left")
