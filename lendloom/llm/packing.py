@@ -14,6 +14,7 @@ the output are dropped.
 from __future__ import annotations
 
 import bisect
+import json
 import os
 import re
 import zlib
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendloom.llm.common import LOWER_TABLE, freed, utf8, written
+from lendloom.llm.common import LOWER_TABLE, freed, slices, written
 
 CAPACITY = 2048
 END_ID = 0
@@ -67,8 +68,83 @@ _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_LETTERS = dict(zip([b for b in range(256) if b not in set(_SHOWN)], range(256, 512)))
 
 
+#: Kinds of bytes of plain texts: white space, letters, marks, digits. A text with any other byte is not plain; in one that is,
+#: bytes from 0x80 on follow 0xC3 and make a Latin letter.
+SPACE, LETTER, MARK, DIGIT, OTHER = range(5)
+KINDS = np.full(256, OTHER, np.uint8)
+KINDS[[*b" \t\n\x0b\x0c\r"]] = SPACE
+KINDS[[*range(0x41, 0x5B), *range(0x61, 0x7B), 0xC3, *(b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7))]] = LETTER
+KINDS[[b for b in range(0x21, 0x7F) if KINDS[b] == OTHER and b not in b"'<>0123456789"]] = MARK
+KINDS[[*b"0123456789"]] = DIGIT
+PLAIN_LOWER = np.array([b + 32 if 0x41 <= b <= 0x5A or 0x80 <= b <= 0x9E else b for b in range(256)], np.uint8)
+#: What normalizes, parts and merges in the only kind of file that plain texts are merged apart for.
+PLAIN_FORM = (
+    ["NFC", {"Regex": r"\s+"}, "Lowercase"],
+    {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+    {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "fuse_unk": False, "byte_fallback": False, "ignore_merges": False},
+)
+
+
+class PlainMerges:
+    """Token ids of plain texts by the byte merging of tiktoken, which has no suffix at the end of a unit: a zero byte stands for it.
+
+    If every entry of the vocabulary is what its own text encodes to, merging the pair whose union has the lowest id gives the
+    same ids as the listed merges (as in ``token_alignment.ByteLevel``); the entries of one byte and the suffix come before all merges.
+    """
+
+    def __init__(self, vocabulary: dict[str, int]):
+        import tiktoken
+
+        letters = {chr(n): b for b, n in (dict(zip(_SHOWN, _SHOWN)) | BYTE_LETTERS).items()}
+        ranks = {bytes(letters[c] for c in p.removesuffix("</w>")) + b"\0" * p.endswith("</w>"): i for p, i in vocabulary.items()}
+        self.merged = tiktoken.Encoding("plain", pat_str=r"[^\x00\t-\r ]+\x00", mergeable_ranks=ranks, special_tokens={})
+
+    @classmethod
+    def of(cls, path: str) -> PlainMerges | None:
+        """None if the file has another form than this class knows, or an entry that its own text does not encode to."""
+        from tokenizers.models import BPE
+
+        with open(path, encoding="utf-8") as file:
+            form = json.load(file)
+        model, steps = form["model"], form["normalizer"].get("normalizers", []) if form["normalizer"] else []
+        parts = (form["pre_tokenizer"] or {}).get("pretokenizers", [])
+        known = (
+            [s["pattern"] if s["type"] == "Replace" else s["type"] for s in steps], parts[0].get("pattern") if parts else None,
+            {k: v for k, v in model.items() if k not in ("vocab", "merges")},
+        )
+        vocabulary = model.get("vocab", {})
+        if known != PLAIN_FORM or [p["type"] for p in parts] != ["Split", "ByteLevel"] or parts[1]["use_regex"] or parts[1]["add_prefix_space"] or form["post_processor"]:
+            return None
+        ends = [p for p, i in vocabulary.items() if i < 512 and p.endswith("</w>")]
+        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        if len(ends) != 256 or [vocabulary["".join(m)] for m in merges] != list(range(512, len(vocabulary))):
+            return None
+        inside, ending = BPE(vocabulary, merges), BPE(vocabulary, merges, end_of_word_suffix="</w>")
+        own = ([t.id for t in (ending.tokenize(p.removesuffix("</w>")) if p.endswith("</w>") else inside.tokenize(p))] == [i] for p, i in vocabulary.items())
+        return cls(vocabulary) if all(own) else None
+
+    def ids(self, data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray | None]:
+        """Ids of each text, None for texts that are not plain."""
+        if not len(data):
+            return [np.zeros(0, np.uint32)] * (len(bounds) - 1)
+        kinds = KINDS[data]
+        other = np.zeros(len(bounds) - 1, bool)
+        other[np.searchsorted(bounds, np.flatnonzero(kinds == OTHER), "right") - 1] = True
+        ends = kinds == DIGIT
+        ends[:-1] |= kinds[:-1] != kinds[1:]
+        ends[bounds[1:][bounds[1:] > 0] - 1] = True
+        ends &= kinds != SPACE
+        before = np.cumsum(ends, dtype=np.int64)
+        marked = np.zeros(len(data) + int(before[-1]), np.uint8)
+        marked[np.arange(len(data)) + before - ends] = PLAIN_LOWER[data]
+        raw, cuts = marked.tobytes(), (bounds + np.concatenate([[0], before])[bounds]).tolist()
+        encode = self.merged.encode_to_numpy
+        return [None if skip else encode(raw[a:b].decode(), disallowed_special=()) for skip, a, b in zip(other.tolist(), cuts, cuts[1:])]
+
+
 class WordTokens:
-    """Token ids of texts, remembered per word while a task runs: the tokenizer never joins what white space parts.
+    """Token ids of texts. Plain ones are merged whole; of others the ids are remembered per word while a task runs: the tokenizer
+    never joins what white space parts.
 
     A word of Latin letters between ASCII marks is looked up in its three parts, which the tokenizer encodes apart too; any
     other word is encoded as it stands. A-Z is lower-cased first, as the tokenizer does, unless a control string may be meant.
@@ -78,7 +154,7 @@ class WordTokens:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.plain = Tokenizer.from_file(path), PlainMerges.of(path)
         self.forget()
 
     def forget(self) -> None:
@@ -102,8 +178,16 @@ class WordTokens:
         upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum([len(s) for s in split])]).astype(np.int64)]
         self.words.add(words, np.diff(upto), ids)
 
-    def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def ids(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of several texts end to end, and where each text's ids begin."""
+        lists = self.plain.ids(data, bounds) if self.plain else [None] * (len(bounds) - 1)
+        if rest := [i for i, own in enumerate(lists) if own is None]:
+            ids, begins = self._by_word([data[bounds[i]:bounds[i + 1]].tobytes() for i in rest])
+            for i, low, high in zip(rest, begins.tolist(), begins[1:].tolist()):
+                lists[i] = ids[low:high]
+        return np.concatenate([np.zeros(0, np.uint32), *lists]), np.cumsum([0, *map(len, lists)])
+
+    def _by_word(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.words.known) > CACHED_WORDS:
             self.words = Lists()
         if len(self.parts.known) > CACHED_WORDS:
@@ -139,14 +223,9 @@ def pieces(docs: DataFrame, tokenizer_path: str, *, id_column: str = "doc_id", c
         words = word_tokens(tokenizer_path)
         try:
             for batch in batches:
-                data, bounds = utf8(batch.column(column))
-                raw, edges = data.tobytes(), bounds.tolist()
-                low, rows = 0, batch.num_rows
-                while low < rows:
-                    high = max(low + 1, bisect.bisect_right(edges, edges[low] + SLICE_BYTES) - 1)
-                    ids, begins = words.ids([raw[edges[i]:edges[i + 1]] for i in range(low, high)])
+                for low, high, data, bounds in slices(batch.column(column), SLICE_BYTES):
+                    ids, begins = words.ids(data, bounds)
                     yield _cut(batch.column(id_column).slice(low, high - low), ids, begins, capacity, with_ids)
-                    low = high
         finally:
             words.forget()  # a worker goes on to other tasks: what was learned here must not stay in its memory
 

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from lendloom.llm.packing import cross, evolve, mutate, pack, pieces, public_tokenizer
+from lendloom.llm.packing import cross, evolve, mutate, pack, pieces, public_tokenizer, word_tokens
 
 PATH = public_tokenizer("word_bpe_49k.json")
 TEXTS = [None, "", "Hello, World!! it's 25°C", "Straße ÉCOLE naïve… — ok", "<|endoftext|> x <|ENDOFTEXT|>", "<|endoftext|> HI There,<|endoftext|>Big WORD A<|b", "HI<| Some UPPER Words", "word " * 5000, "a" * 3000, "the same", "the same", "tab\tnew\nline\x1cfs nbsp em", "é İ Σσς ﬁ"]
@@ -43,6 +43,19 @@ def test_packing_is_valid_and_tight(spark, group_items):
     assert len(sequences) <= math.ceil(sum(r["length"] for r in rows) / 1000) + 1 + groups
 
 
+def test_plain_texts_are_merged_whole():
+    words, tokenizer = word_tokens(PATH), Tokenizer.from_file(PATH)
+    texts = ["Plain WORDS, ÉCOLE Straße!! 25 (x-y)\tz\x0b\nend", "", "ÀÞß øÿ %%% a1b22 ...", "×", "it's", "ª \x1c", " ", "x<y>z", "antidisestablishment" * 9]
+    data = "".join(texts).encode()
+    bounds = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    own = words.plain.ids(np.frombuffer(data, np.uint8), bounds)
+    assert [i for i, ids in enumerate(own) if ids is None] == [3, 4, 5, 7]
+    expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert all(ids.tolist() == e for ids, e in zip(own, expected) if ids is not None)
+    ids, begins = words.ids(np.frombuffer(data, np.uint8), bounds)
+    assert [ids[a:b].tolist() for a, b in zip(begins, begins[1:])] == expected
+
+
 def test_operators_keep_every_item():
     random = np.random.default_rng(0)
     lengths = np.sort(random.integers(1, 100, 120))[::-1].astype(np.int64)
