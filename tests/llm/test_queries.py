@@ -7,6 +7,7 @@ import duckdb
 import oracle
 import pytest
 
+import corpus_pipeline
 from corpus_pipeline import ORACLES, QUERIES, STAGES, run
 from lendloom.llm.common import read
 
@@ -73,3 +74,10 @@ def test_stages_keep_the_columns(spark):
         assert out.schema.names == docs.schema.names and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
     none = docs.limit(0)
     assert all(stage(spark, none, FOLDER).count() == 0 for _, stage in STAGES)
+
+
+def test_the_pipeline_packs_with_few_rows_in_python(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(corpus_pipeline, "pack", lambda items, capacity: seen.append(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) or items)
+    corpus_pipeline.packed(spark, spark.createDataFrame([(1, "a")], "doc_id long, text string"), "")
+    assert seen == [str(corpus_pipeline.ROWS_AT_ONCE)]
