@@ -84,6 +84,14 @@ def test_small_tables(tables):
     assert (other[0]["employment_response"], other[0]["pre_status"], other[0]["employment_inquiries"]) == (None, None, 0)
 
 
+def test_rows_of_a_lead_are_counted_as_they_multiply(tables):
+    wide, counted = leads.wide_leads(tables, P), leads.counted_leads(tables, P)
+    made = {r["lead_id"]: r["count"] for r in wide.groupBy("lead_id").count().collect()}
+    assert {r["lead_id"]: r["n_rows"] for r in counted.collect()} == made and max(made.values()) == 4
+    # documents and what multiplies rows do not go through the joins that multiply them
+    assert not {"bureau_response", "employment_response", "carrier_name"} & set(counted.columns)
+
+
 def test_notes(tables):
     found = leads.note_lookups(tables, P).collect()
     assert [(r["applicant_id"], r["response_minutes"], r["response_seconds"]) for r in found] == [(102, 1, 1)]
