@@ -28,11 +28,11 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Keep a frame as Parquet in the shared folder and read it again: lineage ends there, and lost tasks reread files."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -75,6 +75,20 @@ def freed(step):
     return run
 
 
+def freed_once(step):
+    """The same for a step on whole groups: after each of them."""
+
+    @functools.wraps(step)
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        try:
+            return step(left, right)
+        finally:
+            pa.default_memory_pool().release_unused()
+            _trim()(0)
+
+    return run
+
+
 def gathered(batches) -> pa.Table | None:
     """All batches of a partition as one table; None if there are no rows."""
     batches = list(batches)
@@ -87,6 +101,20 @@ def partitions_of(df: DataFrame) -> int:
     return max(1, df.rdd.getNumPartitions())
 
 
+# ---------------------------------------------------------------- numbers as bytes
+
+def planes(numbers: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then their second bytes, and so on: sorted or small numbers have planes of few different
+    bytes, which the compression of shuffles and files takes out."""
+    return np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+
+
+def of_planes(parts, kind) -> np.ndarray:
+    """The numbers of several such byte strings, end to end."""
+    width = np.dtype(kind).itemsize
+    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x, np.uint8).reshape(width, -1).T.copy().view(kind)[:, 0] for x in parts)])
+
+
 # ---------------------------------------------------------------- texts as bytes
 
 def table_of(in_word) -> np.ndarray:

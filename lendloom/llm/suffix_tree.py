@@ -14,7 +14,8 @@ scored in the state of the longest retained suffix of the words before it.
 
 Texts are first stored as blocks: words as numbers into the block's own word list. For each length, one shuffle by key adds up
 the blocks' counts, and the sums that decide on contexts, and hands every block what it must know of the strings that occur in
-it. So no task needs the whole vocabulary or the whole tree.
+it. So no task needs the whole vocabulary or the whole tree. An answer has no keys: a block finds its own again, and takes the
+numbers in their order. Numbers travel as planes of bytes, and the shuffle files of a step go when it ends.
 
 Null texts are empty: the end word alone. Repeated rows count each. Output columns are fixed; extra columns are ignored.
 """
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendloom.llm.common import batches_of, gathered, mix, slices, word_hashes, written
+from lendloom.llm.common import batches_of, freed, freed_once, gathered, mix, of_planes, planes, shuffles_dropped, slices, word_hashes, written
 
 DEPTH = 3
 LEAST_COUNT = 4
@@ -37,10 +38,10 @@ DISCOUNT = 0.75
 BLOCK_WORDS, BUCKET_WORDS = 1_000_000, 2_000_000
 END_WORD = np.uint64(0x1F83D9ABFB41BD6B)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-BLOCKS = "block long, ids array<long>, held array<boolean>, sizes array<int>, codes binary, words array<long>, counts array<int>"
+BLOCKS = "block long, ids array<long>, held array<boolean>, sizes array<int>, codes binary, words binary, counts binary"
 ASKED = "block long, bucket int, keys binary, counts binary, contexts binary, sums binary"
-TOLD = "block long, step int, keys binary, counts binary, first binary, states binary, spares binary, n long, v long"
-_TOLD = pa.schema([("block", pa.int64()), ("step", pa.int32()), *((c, pa.binary()) for c in ("keys", "counts", "first", "states", "spares")), ("n", pa.int64()), ("v", pa.int64())])
+TOLD = "block long, step int, bucket int, counts binary, spares binary, n long, v long"
+_TOLD = pa.schema([("block", pa.int64()), ("step", pa.int32()), ("bucket", pa.int32()), *((c, pa.binary()) for c in ("counts", "spares")), ("n", pa.int64()), ("v", pa.int64())])
 
 
 # ---------------------------------------------------------------- blocks of texts
@@ -59,7 +60,7 @@ def text_blocks(docs: DataFrame, id_column: str, column: str, held: str) -> Data
             counts = np.bincount(codes[trained], minlength=len(distinct))
             return pa.RecordBatch.from_arrays(
                 [pa.array([(TaskContext.get().partitionId() << 20) + number]), pa.array([ids], pa.list_(pa.int64())), pa.array([flags], pa.list_(pa.bool_())), pa.array([sizes], pa.list_(pa.int32())),
-                 pa.array([zlib.compress(codes.astype("<u4").tobytes(), 1)], pa.binary()), pa.array([distinct.view(np.int64)], pa.list_(pa.int64())), pa.array([counts.astype(np.int32)], pa.list_(pa.int32()))],
+                 pa.array([zlib.compress(planes(codes.astype(np.uint32)), 1)], pa.binary()), pa.array([planes(distinct)], pa.binary()), pa.array([planes(counts.astype(np.int32))], pa.binary())],
                 names=["block", "ids", "held", "sizes", "codes", "words", "counts"])
 
         for batch in batches:
@@ -78,11 +79,28 @@ def text_blocks(docs: DataFrame, id_column: str, column: str, held: str) -> Data
         if ids:
             yield flush()
 
-    return docs.select(id_column, column, held).mapInArrow(block, BLOCKS)
+    return docs.select(id_column, column, held).mapInArrow(freed(block), BLOCKS)
+
+
+def _filled(x: np.ndarray, mask: np.ndarray) -> bytes:
+    """The columns of ``x`` under the mask, and the mask."""
+    return len(mask).to_bytes(4, "little") + np.packbits(mask).tobytes() + planes(x[..., mask])
+
+
+def _of_filled(parts, kind, fill, rows: int = 1) -> np.ndarray:
+    """The arrays of several such byte strings, end to end, with ``fill`` outside the masks."""
+    out = [np.zeros((rows, 0), kind)]
+    for x in parts:
+        n = int.from_bytes(x[:4], "little")
+        end = 4 + -(-n // 8)
+        whole = np.full((rows, n), fill, kind)
+        whole[:, np.unpackbits(np.frombuffer(x[4:end], np.uint8), count=n).view(bool)] = of_planes([x[end:]], kind).reshape(rows, -1)
+        out.append(whole)
+    return np.concatenate(out, axis=1)
 
 
 def _codes(packed: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(packed), "<u4")
+    return of_planes([zlib.decompress(packed)], np.uint32)
 
 
 # ---------------------------------------------------------------- growing the tree
@@ -109,6 +127,14 @@ class Level:
         return np.where(self.keys[at] == keys, at, -1).astype(np.int32)
 
 
+def _longer(key: np.ndarray, at: np.ndarray, words: np.ndarray, ended: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a string that is one word longer than those of ``key`` ends, and its key there: both strings in it must be kept."""
+    able = np.zeros(len(words), bool)
+    able[1:] = (at[:-1] >= 0) & ~ended[:-1] & (at[1:] >= 0)
+    where = np.flatnonzero(able)
+    return where, mix(key[where - 1] * _STEP + words[where])
+
+
 def strings(words: np.ndarray, at: np.ndarray, levels: list[Level]):
     """For lengths 1, 2, ...: (key, place among the kept, -1 if none) of the string that ends at each word. After the last level
     come the candidates that are one word longer, with place -2. ``at`` are the places of the words themselves."""
@@ -116,11 +142,9 @@ def strings(words: np.ndarray, at: np.ndarray, levels: list[Level]):
     yield key, at
     ended = words == END_WORD
     for level in [*levels[1:], None]:
-        able = np.zeros(len(words), bool)
-        able[1:] = (at[:-1] >= 0) & ~ended[:-1] & (at[1:] >= 0)
-        where = np.flatnonzero(able)
+        where, keys = _longer(key, at, words, ended)
         grown, place = np.zeros(len(words), np.uint64), np.full(len(words), -1, np.int32)
-        grown[where] = mix(key[where - 1] * _STEP + words[where])
+        grown[where] = keys
         place[where] = level.find(grown[where]) if level is not None else -2
         key, at = grown, place
         yield key, at
@@ -146,24 +170,38 @@ def retain(upper: Level, lower: Level, context: np.ndarray, suffix: np.ndarray,
     lower.chance = np.where(np.isnan(upper.spare[context]), parent, own)
 
 
-def _local(table: pa.Table, told: pa.Table, least: int, depth: int):
-    """A block's words, their places among its own, all training counts of the latter, and the kept strings that occur in it."""
-    codes, own = _codes(table.column("codes")[0].as_py()), np.array(table.column("words")[0].values, np.int64).view(np.uint64)
+def _local(table: pa.Table, told: pa.Table, least: int, length: int):
+    """A block's words, their places among its own, all training counts of the latter, the kept strings of up to ``length`` words
+    that occur in it, and for each length (key, place among the kept, -1 if none) of the string that ends at each word."""
+    codes, own = _codes(table.column("codes")[0].as_py()), of_planes(table.column("words").to_pylist(), np.uint64)
+    told = told.sort_by([("step", "ascending"), ("bucket", "ascending")])
     step = told.column("step").to_numpy()
-    parts = {c: told.column(c).to_pylist() for c in ("keys", "counts", "first", "states", "spares")}
-    joined = lambda c, k, kind: np.frombuffer(b"".join(parts[c][i] for i in np.flatnonzero(step == k)), kind)
-    levels, counts = [], np.zeros(len(own), np.int64)
-    for length in range(1, min(int(step.max()), depth + 1) + 1):
-        keys, n, first = joined("keys", length, np.uint64), joined("counts", length, np.int64), joined("first", length, bool)
-        if length == 1:
-            counts[np.searchsorted(own, keys)] = n
-            keys, n, first = keys[n >= least], n[n >= least], first[n >= least]
-        order = np.argsort(keys)
-        level = Level(keys[order], n[order])
-        level.first = first[order]
-        level.spare[level.find(joined("states", length + 2, np.uint64))] = joined("spares", length + 2, np.float64)
-        levels.append(level)
-    return own[codes], codes, own, counts, levels
+    part = lambda c, k: told.column(c).filter(pa.array(step == k)).to_pylist()
+
+    def level(keys: np.ndarray, size: int):
+        """The kept ones of a block's strings of a length, and the place of each string among them."""
+        told_counts = _of_filled(part("counts", size), np.int64, 0)[0]
+        counts = told_counts >> 1
+        good = counts >= least
+        made = Level(keys[good], counts[good])
+        made.first = (told_counts[good] & 1).astype(bool)
+        spares = _of_filled(part("spares", size + 2), np.float64, np.nan)[0]
+        if len(spares):
+            made.spare = spares
+        return made, np.where(good, np.cumsum(good) - 1, -1).astype(np.int32), counts
+
+    words = own[codes]
+    first, places, counts = level(own, 1)
+    levels, found, ended = [first], [(words, places[codes])], words == END_WORD
+    for size in range(2, length + 1):
+        where, keys = _longer(*found[-1], words, ended)
+        distinct, code = np.unique(keys, return_inverse=True)
+        kept, places, _ = level(distinct, size)
+        grown, at = np.zeros(len(words), np.uint64), np.full(len(words), -1, np.int32)
+        grown[where], at[where] = keys, places[code]
+        levels.append(kept)
+        found.append((grown, at))
+    return words, codes, counts, levels, found
 
 
 def _learn(found: list, levels: list[Level], n: int, v: int, discount: float) -> list[tuple[np.ndarray, ...]]:
@@ -181,53 +219,58 @@ def _learn(found: list, levels: list[Level], n: int, v: int, discount: float) ->
 
 
 def _asked(block: int, keys, counts, contexts, sums, buckets: int) -> pa.Table:
-    """A block's strings with their counts, and its contexts with their sums, one row per bucket of keys."""
-    def dealt(k):
-        bucket = (k % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
-
-    (order, cuts), (turn, bounds) = dealt(keys), dealt(contexts)
-    keys, counts, contexts, sums = keys[order], counts[order].astype(np.int32), contexts[turn], sums[:, turn]
+    """A block's strings with their counts, and its contexts with their sums, one row per bucket; keys are sorted, and a bucket is
+    a range of them."""
+    def cuts_of(k):
+        return np.searchsorted(((k >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32), np.arange(buckets + 1))
+
+    cuts, bounds, counts = cuts_of(keys), cuts_of(contexts), counts.astype(np.int32)
     used = [i for i in range(buckets) if cuts[i] < cuts[i + 1] or bounds[i] < bounds[i + 1]]
-    cut = lambda x, at: pa.array([x[..., at[i]:at[i + 1]].tobytes() for i in used], pa.binary())
-    return pa.table([pa.array([block] * len(used), pa.int64()), pa.array(used, pa.int32()), cut(keys, cuts), cut(counts, cuts), cut(contexts, bounds), cut(sums, bounds)],
+    cut = lambda x, at: pa.array([planes(x[at[i]:at[i + 1]]) for i in used], pa.binary())
+    some = (sums != 0).any(axis=0)
+    filled = pa.array([_filled(sums[:, bounds[i]:bounds[i + 1]], some[bounds[i]:bounds[i + 1]]) for i in used], pa.binary())
+    return pa.table([pa.array([block] * len(used), pa.int64()), pa.array(used, pa.int32()), cut(keys, cuts), cut(counts, cuts), cut(contexts, bounds), filled],
                     names=["block", "bucket", "keys", "counts", "contexts", "sums"])
 
 
 def _answered(asked: DataFrame, step: int, buckets: int, least: int, bits_per_entry: float) -> DataFrame:
-    """What blocks asked, added up by key: to each block go the totals of its strings that were seen ``least`` times, ``first`` in
-    one block per string, and the spare factors of its contexts that are states. A key has one place per block, so none is hot."""
+    """What blocks asked, added up by key: to each block go, in the order in which it asked, the totals of its strings (0 if they
+    were not seen ``least`` times), doubled and one more in the first block of a string, and the spare factors of its contexts. A
+    key has one place per block, so none is hot."""
 
     def total(batches):
         if (table := gathered(batches)) is None:
             return
+        bucket = table.column("bucket").to_numpy()
+        for one in np.unique(bucket):  # several may meet in a task: their sums are made one after another
+            yield from answers(table.filter(pa.array(bucket == one)).sort_by("block"), one)
+
+    def answers(table, bucket):
         block = table.column("block").to_numpy()
-        order = np.lexsort((table.column("bucket").to_numpy(), block))
-        part = lambda c, kind: [np.frombuffer(x, kind) for x in table.column(c).take(pa.array(order)).to_pylist()]
+        part = lambda c, kind: [of_planes([x], kind) for x in table.column(c).to_pylist()]
         keys, contexts = part("keys", np.uint64), part("contexts", np.uint64)
-        n = np.concatenate(part("counts", np.int32))
         cuts, bounds = (np.cumsum([0, *map(len, x)]) for x in (keys, contexts))
-        keys, contexts = np.concatenate(keys), np.concatenate(contexts)
-        sums = np.concatenate([x.reshape(6, -1) for x in part("sums", np.float64)], axis=1)
-        distinct, begin, code = np.unique(keys, return_index=True, return_inverse=True)
-        totals = np.bincount(code, n, minlength=len(distinct)).astype(np.int64)[code]
-        first = np.zeros(len(keys), bool)
+        distinct, begin, code = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        totals = np.bincount(code, np.concatenate(part("counts", np.int32)), minlength=len(distinct)).astype(np.int64)[code]
+        first = np.zeros(len(totals), bool)
         first[begin] = True
-        distinct, begin, code = np.unique(contexts, return_index=True, return_inverse=True)
-        spare = _state(sums[0][begin], *(np.bincount(code, x, minlength=len(distinct)) for x in sums[1:]), bits_per_entry)[code]
+        del keys, distinct, begin, code
+        distinct, code = np.unique(np.concatenate(contexts), return_inverse=True)
+        sums = _of_filled(table.column("sums").to_pylist(), np.float64, 0, 6)
+        spare = _state(*(np.bincount(code, x, minlength=len(distinct)) for x in sums), bits_per_entry)[code]
+        del contexts, distinct, code, sums
         rows, held = [], 0
-        for i, at in enumerate(order):
+        for i, at in enumerate(block):
             a, b = slice(cuts[i], cuts[i + 1]), slice(bounds[i], bounds[i + 1])
-            good, state = totals[a] >= least, ~np.isnan(spare[b])
             counted = totals[a][first[a]]
-            rows.append((block[at], step, keys[a][good].tobytes(), totals[a][good].tobytes(), first[a][good].tobytes(), contexts[b][state].tobytes(), spare[b][state].tobytes(), counted.sum(), (counted > 0).sum()))
-            held += 17 * (cuts[i + 1] - cuts[i])
-            if held > 1 << 24 or i + 1 == len(order):
+            kept = np.where(totals[a] >= least, totals[a], 0)
+            rows.append((at, step, bucket, _filled(2 * kept + first[a], kept > 0), _filled(spare[b], ~np.isnan(spare[b])), counted.sum(), (counted > 0).sum()))
+            held += 8 * (cuts[i + 1] - cuts[i]) + 8 * (bounds[i + 1] - bounds[i])
+            if held > 1 << 22 or i + 1 == len(block):
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), _TOLD)], schema=_TOLD)
                 rows, held = [], 0
 
-    return asked.repartition(buckets, "bucket").mapInArrow(total, TOLD)
+    return asked.repartition(buckets, "bucket").mapInArrow(freed(total), TOLD)
 
 
 def grow(blocks: DataFrame, *, depth: int = DEPTH, least_count: int = LEAST_COUNT, bits_per_entry: float = BITS_PER_ENTRY, discount: float = DISCOUNT) -> tuple[DataFrame, int, int]:
@@ -241,37 +284,36 @@ def grow(blocks: DataFrame, *, depth: int = DEPTH, least_count: int = LEAST_COUN
     def words_of(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                own, n = (np.array(batch.column(c)[i].values, np.int64) for c in ("words", "counts"))
-                yield from _asked(batch.column("block")[i].as_py(), own.view(np.uint64), n, *nothing, buckets).to_batches()
+                own, n = of_planes([batch.column("words")[i].as_py()], np.uint64), of_planes([batch.column("counts")[i].as_py()], np.int32)
+                yield from _asked(batch.column("block")[i].as_py(), own, n, *nothing, buckets).to_batches()
 
     with batches_of(spark, 1):
-        asked = blocks.select("block", "words", "counts").mapInArrow(words_of, ASKED)
+        asked = blocks.select("block", "words", "counts").mapInArrow(freed(words_of), ASKED)
         told = written(_answered(asked, 1, buckets, 0, bits_per_entry), "told")
     row = told.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     n, v = row["n"] or 0, row["v"] or 0
 
     def asking(step: int):
         def ask(left: pa.Table, right: pa.Table) -> pa.Table:
-            words, codes, own, _, levels = _local(left, right, least_count, depth)
-            found = list(strings(words, levels[0].find(own)[codes], levels))
+            words, _, _, levels, found = _local(left, right, least_count, min(step - 1, depth + 1))
             keys, counts, contexts, sums = nothing[0], np.zeros(0), *nothing
             if step <= depth + 1:
                 held, sizes = (left.column(c)[0].values.to_numpy(zero_copy_only=False) for c in ("held", "sizes"))
-                where = np.flatnonzero(found[-1][1] == -2)
-                keys, code = np.unique(found[-1][0][where], return_inverse=True)
+                where, keys = _longer(*found[-1], words, words == END_WORD)
+                keys, code = np.unique(keys, return_inverse=True)
                 counts = np.bincount(code, np.repeat(~held.astype(bool), sizes)[where], minlength=len(keys))
             if step > 2:
                 chance, parent, context = _learn(found, levels[:step - 1], n, v, discount)[-1]
                 upper, lower = levels[step - 3], levels[step - 2]
                 mine = lower.first
                 contexts = upper.keys
-                sums = np.array([upper.counts, *_sums(chance[mine], parent[mine], lower.counts[mine], context[mine], len(upper.keys))])
+                sums = np.array([np.where(upper.first, upper.counts, 0), *_sums(chance[mine], parent[mine], lower.counts[mine], context[mine], len(upper.keys))])
             return _asked(left.column("block")[0].as_py(), keys, counts, contexts, sums, buckets)
 
         return ask
 
     for step in range(2, depth + 3):
-        asked = blocks.select("block", "held", "sizes", "codes", "words").groupBy("block").cogroup(told.groupBy("block")).applyInArrow(asking(step), ASKED)
+        asked = blocks.select("block", "held", "sizes", "codes", "words").groupBy("block").cogroup(told.groupBy("block")).applyInArrow(freed_once(asking(step)), ASKED)
         with batches_of(spark, 64):
             told = told.unionByName(written(_answered(asked, step, buckets, least_count, bits_per_entry), "told"))
     return told, n, v
@@ -299,11 +341,11 @@ def score(docs: DataFrame, *, id_column: str = "doc_id", column: str = "text", h
           bits_per_entry: float = BITS_PER_ENTRY, discount: float = DISCOUNT) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row, learned from the rows not held out."""
     blocks = written(text_blocks(docs, id_column, column, held), "blocks")
-    told, n, v = grow(blocks, depth=depth, least_count=least_count, bits_per_entry=bits_per_entry, discount=discount)
+    with shuffles_dropped(docs.sparkSession):
+        told, n, v = grow(blocks, depth=depth, least_count=least_count, bits_per_entry=bits_per_entry, discount=discount)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
-        words, codes, own, counts, levels = _local(left, right, least_count, depth)
-        found = list(strings(words, levels[0].find(own)[codes], levels))
+        words, codes, counts, levels, found = _local(left, right, least_count, depth + 1)
         _learn(found, levels, n, v, discount)
         c = counts[codes]
         sizes = np.array(left.column("sizes")[0].values, np.int64)
@@ -316,4 +358,4 @@ def score(docs: DataFrame, *, id_column: str = "doc_id", column: str = "text", h
         })
 
     return blocks.drop("counts").groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
-        finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        freed_once(finish), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -70,3 +70,27 @@ def test_step_gives_memory_back(monkeypatch):
     monkeypatch.setattr(common, "_trim", lambda: calls.append)
     assert list(common.freed(lambda batches: (b + 1 for b in batches))([1, 2])) == [2, 3]
     assert calls == [0]
+
+
+def test_numbers_as_planes():
+    """Numbers come back as they were, and planes of sorted ones leave little to a compression."""
+    import zlib
+
+    from lendloom.llm.common import of_planes, planes
+
+    ids = np.arange(70_000, 90_000, 7)
+    for numbers in (ids, ids.astype(np.uint64) << np.uint64(40), np.linspace(-1, 1, 9), np.zeros(0, np.int32)):
+        assert np.array_equal(of_planes([planes(numbers[:3]), planes(numbers[3:])], numbers.dtype), numbers)
+    assert np.array_equal(of_planes([planes(np.arange(12.0).reshape(6, 2)[:, 1:])], float), np.arange(1.0, 12, 2))
+    assert of_planes([], np.int64).dtype == np.int64
+    assert len(zlib.compress(planes(ids), 1)) < 2 * len(ids)
+
+
+def test_written_takes_a_compression(spark):
+    import pyarrow.parquet as pq
+
+    from lendloom.llm.common import written
+
+    kept = written(spark.createDataFrame([(1, "a")], "doc_id long, text string"), "copy", "zstd")
+    file = pq.ParquetFile(kept.inputFiles()[0].removeprefix("file:").replace("///", "/"))
+    assert file.metadata.row_group(0).column(1).compression == "ZSTD" and kept.count() == 1

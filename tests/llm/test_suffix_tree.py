@@ -92,3 +92,24 @@ def test_rare_strings_stay_in_a_large_corpus(spark):
     row = next(r for r in score(filler.unionByName(rare)).collect() if r["doc_id"] == 120)
     assert row["train_tokens"] == 40 * 300_001 + 20 * 5
     assert row["score"] > row["base_score"] + 3
+
+
+def test_texts_without_words(spark):
+    """A block without strings of two words is answered for no longer ones."""
+    rows = score(spark.createDataFrame([(1, None, False), (2, " ", True)], "doc_id long, text string, held_out boolean").coalesce(1)).collect()
+    assert sorted((r["doc_id"], r["n_tokens"], r["train_tokens"]) for r in rows) == [(1, 1, 1), (2, 1, 1)]
+    assert all(r["score"] == r["base_score"] for r in rows)
+
+
+def test_answers_are_short(spark):
+    """What blocks are told is kept without keys: a word seen once costs them less than two bytes."""
+    import os
+
+    from lendloom.llm.common import written
+    from lendloom.llm.suffix_tree import grow, text_blocks
+
+    words = 200_000
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(words // 4)), False) for i in range(4)], "doc_id long, text string, held_out boolean")
+    told, n, v = grow(written(text_blocks(docs, "doc_id", "text", "held_out"), "blocks"))
+    assert (n, v) == (words + 4, words + 1)
+    assert sum(os.path.getsize(f.removeprefix("file:").replace("///", "/")) for f in told.inputFiles()) < 2 * words
