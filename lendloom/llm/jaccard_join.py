@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendloom.llm.common import batches_of, components, freed, gathered, mix, partitions_of, shingle_hashes, shuffles_dropped, slices, word_hashes, written
+from lendloom.llm.common import batches_of, components, freed, gathered, mix, of_planes, partitions_of, planes, shingle_hashes, shuffles_dropped, slices, word_hashes, written
 
 SIZE, PERCENT = 5, 80
 RATIO = 1.6
@@ -185,12 +185,12 @@ def shared_signatures(docs: DataFrame, plan: Plan, id_column: str, column: str,
                 a, b = where[p], where[p + 1]
                 if b > a:
                     groups.append(p)
-                    blobs.append(one[a:b].tobytes())
-                    doc_blobs.append(docs_of[a:b].tobytes())
+                    blobs.append(planes(one[a:b]))
+                    doc_blobs.append(planes(docs_of[a:b]))
             if several.any():
                 groups.append(parts + int(sig[0] % np.uint64(1 << 20)) + turn)
-                blobs.append(sig[several].tobytes())
-                doc_blobs.append(doc[several].tobytes())
+                blobs.append(planes(sig[several]))
+                doc_blobs.append(planes(doc[several]))
             turn += 1
             return pa.RecordBatch.from_arrays([pa.array(groups, pa.int64()), pa.array(blobs, pa.binary()), pa.array(doc_blobs, pa.binary())], names=["part", "sigs", "docs"])
 
@@ -208,8 +208,7 @@ def shared_signatures(docs: DataFrame, plan: Plan, id_column: str, column: str,
             yield flush()
 
     def meet(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        sig = np.frombuffer(b"".join(frame["sigs"]), np.uint64)
-        doc = np.frombuffer(b"".join(frame["docs"]), np.int64)
+        sig, doc = of_planes(frame["sigs"], np.uint64), of_planes(frame["docs"], np.int64)
         if key[0] < parts:
             order = np.argsort(sig, kind="stable")
             sig, doc = sig[order], doc[order]

@@ -81,3 +81,16 @@ def test_the_pipeline_packs_with_few_rows_in_python(spark, monkeypatch):
     monkeypatch.setattr(corpus_pipeline, "pack", lambda items, capacity: seen.append(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) or items)
     corpus_pipeline.packed(spark, spark.createDataFrame([(1, "a")], "doc_id long, text string"), "")
     assert seen == [str(corpus_pipeline.ROWS_AT_ONCE)]
+
+
+def test_the_pipeline_keeps_each_stage_once(spark, monkeypatch):
+    """A stage that has written its result is not written again, and copies of texts are packed tightly."""
+    kept = []
+    monkeypatch.setattr(corpus_pipeline, "written", lambda df, name, compression=None: kept.append((name, compression)) or df)
+    own = lambda spark, docs, sf_dir: corpus_pipeline.in_small_batches(docs, lambda: docs, "own")
+    lazy = lambda spark, docs, sf_dir: docs
+    monkeypatch.setattr(corpus_pipeline, "WRITTEN", {own})
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("own", own), ("lazy", lazy), ("last", lazy)])
+    assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
+    assert kept == [("own", "zstd"), ("stage-lazy", "zstd")]
+    assert {f for _, f in STAGES} >= {corpus_pipeline.known_language, corpus_pipeline.fresh_lines, corpus_pipeline.decontaminated}
