@@ -91,6 +91,6 @@ def test_written_takes_a_compression(spark):
 
     from lendloom.llm.common import written
 
-    kept = written(spark.createDataFrame([(1, "a")], "doc_id long, text string"), "copy", "zstd")
+    kept = written(spark.createDataFrame([(1, "a")], "doc_id long, text string").coalesce(1), "copy", "zstd")
     file = pq.ParquetFile(kept.inputFiles()[0].removeprefix("file:").replace("///", "/"))
     assert file.metadata.row_group(0).column(1).compression == "ZSTD" and kept.count() == 1
