@@ -4,15 +4,16 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from lendloom.operators import evaluate, models
+from lendloom.operators import boosting, evaluate, models
 from lendloom.plans.scoring import Scorer, assemble_applicants, fit_scorer, score, source_columns
 from lendloom.sources.files import request_json
 from lendloom.streaming.requests import deliver, delivered, read_requests, score_stream, write_scores
-from lendloom.workload.learning import cut_flags, parts, request_parts
+from lendloom.workload.learning import cut_flags, parts, request_parts, tuned_boosting_scores
 
 SMOKE_FOLDER = "/root/testdata/sf0.001"
 
@@ -228,3 +229,55 @@ def test_an_empty_selection_is_a_row_and_not_an_error():
 def test_parts_are_joined_once(spark):
     for part in (*parts(spark, SMOKE_FOLDER), *request_parts(spark, SMOKE_FOLDER)):
         assert "Join" not in part._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tuned_boosting_runs_all_rounds(spark, monkeypatch):
+    """The query fits the 3,000 trees of the tuned settings, and scores with all of them."""
+    fitted, fit = [], models.fit_tuned_boosting
+    monkeypatch.setattr(models, "fit_tuned_boosting", lambda *a, **k: fitted.append(fit(*a, **k)) or fitted[-1])
+    flags = tuned_boosting_scores(spark, SMOKE_FOLDER).collect()
+    (model,) = fitted
+    assert model.stages[-1].getNumTrees == model.stages[-1].getMaxIter() == 3000
+    assert flags and all(r["sums_to_one"] == r["is_scaled"] == r["is_decided"] == 1 for r in flags)
+
+
+@pytest.fixture(scope="module")
+def whole_numbers(spark):
+    random.seed(8)
+    rows = [(float(random.randrange(9)), float(random.randrange(20)), random.randrange(2)) for _ in range(500)]
+    rows = [(a, b, float(a + b / 2 + 4 * noise > 9)) for a, b, noise in rows]
+    return spark.createDataFrame(rows, "a double, b double, y double").coalesce(1).cache()
+
+
+def test_trees_are_those_of_spark_ml(whole_numbers):
+    """Without drawing rows and features by lot, every score is the one of GBTClassifier."""
+    settings = boosting.Settings(width=2, rounds=12, depth=4, least=7, share=1.0, step=0.1, seed=1)
+    assert settings.subset == 2
+    learner = GBTClassifier(labelCol="y", maxIter=12, maxDepth=4, stepSize=0.1, minInstancesPerNode=7, seed=1)
+    spark_ml, names = models._fit(learner, whole_numbers, ["a", "b"], "y"), ["a", "b"]
+    edges = models.split_candidates(whole_numbers, names, boosting.BINS)
+    assert edges == [[k + 0.5 for k in range(8)], [k + 0.5 for k in range(19)]]
+    own = boosting.with_trees(spark_ml, whole_numbers.sparkSession, boosting.boosted_trees(whole_numbers, edges, settings), edges, settings)
+    pick = lambda model: [r["prob_1"] for r in models.add_scores(model, whole_numbers).collect()]
+    assert pick(own) == pytest.approx(pick(spark_ml), abs=1e-9)
+    assert own.stages[-1].featureImportances.toArray() == pytest.approx(spark_ml.stages[-1].featureImportances.toArray())
+    assert [t.numNodes for t in own.stages[-1].trees] == [t.numNodes for t in spark_ml.stages[-1].trees]
+
+
+def test_dealt_blocks_give_the_same_trees(whole_numbers, monkeypatch):
+    monkeypatch.setattr(boosting, "CUT_EVERY", 2)
+    edges = models.split_candidates(whole_numbers, ["a", "b"], boosting.BINS)
+    near = lambda left, right: all(x == pytest.approx(y) for x, y in zip(left, right, strict=True))
+    drawn = boosting.Settings(width=2, rounds=5, depth=4, least=7, share=0.8, step=0.1, seed=1)
+    assert near(boosting.boosted_trees(whole_numbers, edges, drawn), boosting.boosted_trees(whole_numbers, edges, drawn, one_task_bytes=1))
+    full = boosting.Settings(width=2, rounds=5, depth=4, least=7, share=1.0, step=0.1, seed=1)
+    several = boosting.boosted_trees(whole_numbers.repartition(3), edges, full, one_task_bytes=1)
+    assert len(several) == 5 and near(several, boosting.boosted_trees(whole_numbers, edges, full))
+
+
+def test_tuned_boosting_without_a_split(spark):
+    same = spark.createDataFrame([(1.0, k % 2) for k in range(40)], "a double, y int")
+    scores = {r["prob_1"] for r in models.add_scores(models.fit_tuned_boosting(same, ["a"], "y", rounds=3), same).collect()}
+    assert len(scores) == 1 and 0 < scores.pop() < 1
+    with pytest.raises(Exception, match="(?i)null"):
+        models.fit_tuned_boosting(spark.createDataFrame([(1.0, 0), (None, 1)], "a double, y int"), ["a"], "y", rounds=3)
